@@ -1,0 +1,8 @@
+"""Streaming: nothing to build.
+
+The reference declares a streaming dependency and never uses it: no stream
+source, watermark, window or state appears in its code. Every operator in this
+package is a batch DataFrame job; none relies on batch-only actions inside a
+transform, so the stateless ones (filters, projections, scalar functions) can
+be applied to a ``readStream`` frame unchanged.
+"""
