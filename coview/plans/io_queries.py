@@ -1 +1,204 @@
-"""(filled in below)"""
+"""Sources, sinks, projections and filters over the driver's tables.
+
+Text inputs the reference reads from files (behaviour CSV, labelled points,
+edge lines, ``name, age`` lines, JSON) are written here from the driver's
+tables to the shared scratch folder and read back through the same reader a
+user would point at a file, so each query's work grows with its table.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from coview.operators import behavior as B
+from coview.operators import similarity as S
+from coview.operators.layout import dense_index
+from coview.plans.behavior_queries import (
+    SQL_VIEWS, TOP_K, USER_CAP, _with, sql_similarity_ctes, sql_top_k_ctes, views,
+)
+from coview.plans.registry import register
+from coview.plans.tables import table
+from coview.session import scratch_path
+from coview.sources import readers as R
+from coview.sources import sinks as K
+
+SQL_HOUR = "strftime(ts, '%Y-%m-%d %H')"
+
+
+def _unique(name: str) -> str:
+    return f"{name}_{uuid.uuid4().hex[:10]}"
+
+
+# --- S2: comma-separated behaviour log ---------------------------------------------
+
+@register("behavior_csv", oracle=_with(SQL_VIEWS) + "SELECT user_id, item_id FROM views")
+def q_behavior_csv(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    log = B.behavior_log_from_events(ev)
+    geohash = F.when(F.col("behavior_type") == "1", F.lit(None).cast("string")).otherwise(
+        F.substring(F.sha2(F.concat_ws(":", "user_id", "item_id"), 256), 1, 7))
+    lines = log.select("user_id", "item_id", "behavior_type", geohash.alias("user_geohash"),
+                       F.pmod(F.hash("item_id"), F.lit(10000)).alias("item_category"), "time")
+    path = scratch_path(spark, "behavior_csv")
+    lines.write.csv(path)
+    return R.read_behavior_csv(spark, path, keep=1)
+
+
+# --- S11: labelled points "y,x1 x2 x3" ----------------------------------------------
+
+@register("labeled_points", oracle="""
+SELECT CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS label,
+       l_quantity AS x1, l_discount AS x2, l_tax AS x3, 3 AS n_features
+FROM lineitem""")
+def q_labeled_points(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    label = F.when(F.col("l_returnflag") == "R", F.lit(1.0)).otherwise(F.lit(0.0))
+    lines = li.select(F.concat(label.cast("string"), F.lit(","),
+                               F.concat_ws(" ", "l_quantity", "l_discount", "l_tax")).alias("value"))
+    p = R.parse_labeled_points(lines)
+    return p.select("label", F.col("features")[0].alias("x1"), F.col("features")[1].alias("x2"),
+                    F.col("features")[2].alias("x3"), F.size("features").alias("n_features"))
+
+
+# --- S15: edge lines split on whitespace --------------------------------------------
+
+@register("edge_lines", oracle="""
+SELECT CAST(user_id AS VARCHAR) AS src, json_extract_string(props, '$.k') AS dst FROM events""")
+def q_edge_lines(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    # Mixed separators on purpose: a tab, runs of spaces, a trailing field.
+    sep = F.when(F.col("event_id") % 3 == 0, F.lit("\t")).otherwise(F.lit("   "))
+    lines = ev.select(F.concat(F.col("user_id").cast("string"), sep,
+                               F.get_json_object("props", B.ITEM_JSON_PATH), F.lit(" "),
+                               F.col("event_type")).alias("value"))
+    return R.parse_edge_lines(lines)
+
+
+# --- S17: "name, age" lines ----------------------------------------------------------
+
+@register("people_lines", oracle="SELECT c_name AS name, c_nationkey AS age FROM customer")
+def q_people_lines(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "people_txt")
+    K.write_text_lines(c, path, F.concat_ws(", ", "c_name", F.col("c_nationkey").cast("string")))
+    return R.parse_people_lines(R.read_text(spark, path))
+
+
+# --- F2, F5: range filter and labelled text -----------------------------------------
+
+@register("range_filter", oracle="""
+SELECT p_partkey, p_name, p_size FROM part WHERE p_size >= 13 AND p_size <= 19""")
+def q_range_filter(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    return p.where(F.col("p_size").between(13, 19)).select("p_partkey", "p_name", "p_size")
+
+
+@register("labelled_text", oracle="""
+SELECT 'Name: ' || c_name AS line FROM customer WHERE c_nationkey >= 13 AND c_nationkey <= 19""")
+def q_labelled_text(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return (c.where(F.col("c_nationkey").between(13, 19))
+            .select(F.concat(F.lit("Name: "), F.col("c_name")).alias("line")))
+
+
+# --- K1 + S6: Parquet round trip -----------------------------------------------------
+
+@register("parquet_roundtrip", oracle="""
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def q_parquet_roundtrip(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "customer_parquet")
+    K.write_parquet(c.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"), path)
+    return spark.read.parquet(path)
+
+
+# --- S7: JSON file, inferred schema --------------------------------------------------
+
+@register("json_roundtrip", oracle="""
+SELECT c_name AS name, CAST(c_nationkey AS BIGINT) AS age FROM customer""")
+def q_json_roundtrip(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "people_json")
+    c.select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("age")).write.json(path)
+    return R.read_json(spark, path).select("name", "age")  # age comes back as bigint
+
+
+# --- S8 + F4: JSON strings with a nested struct --------------------------------------
+
+@register("json_nested_fields", oracle="""
+SELECT c_name AS name, c_mktsegment AS city FROM customer""")
+def q_json_nested_fields(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    docs = c.select(F.to_json(F.struct(
+        F.col("c_name").alias("name"),
+        F.struct(F.col("c_mktsegment").alias("city"),
+                 F.col("c_nationkey").cast("string").alias("state")).alias("address")))
+        .alias("value"))
+    # Schema inference is a distributed pass of the JSON reader over the text.
+    path = scratch_path(spark, "people_address_json")
+    docs.write.text(path)
+    people = R.read_json(spark, path)
+    return people.select("name", F.col("address.city").alias("city"))
+
+
+# --- K3 + F3: create table as select -------------------------------------------------
+
+@register("click_table", oracle=f"""
+SELECT CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS item_id,
+       {SQL_HOUR} AS t
+FROM events WHERE event_type = 'view'""")
+def q_click_table(spark, sf_dir):
+    name = _unique("user_info")
+    B.behavior_log_from_events(table(spark, sf_dir, "events")).createOrReplaceTempView(name)
+    click = _unique("prm_click")
+    return K.create_table_as(
+        spark, click,
+        f"SELECT user_id, item_id, time AS t FROM {name} WHERE behavior_type = 1",
+        scratch_path(spark, "prm_click"))
+
+
+# --- K4 + K5 + F14: one partition overwritten, the other left alone -------------------
+
+@register("overwrite_partition", oracle=_with(SQL_VIEWS, sql_similarity_ctes(USER_CAP),
+                                              sql_top_k_ctes(TOP_K)) + """
+SELECT item_id, item_list, '2015-11-22' AS ds FROM lists
+UNION ALL
+SELECT item_id, CAST(count(*) AS VARCHAR) AS item_list, '2015-11-21' AS ds
+FROM views GROUP BY item_id""")
+def q_overwrite_partition(spark, sf_dir):
+    t = _unique("prm14_result")
+    K.create_partitioned_table(spark, t, "item_id BIGINT, item_list STRING", "ds",
+                               scratch_path(spark, "prm14_result"))
+    v = views(spark, sf_dir)
+    lists = _unique("lists")
+    S.related_items(v, TOP_K, USER_CAP).createOrReplaceTempView(lists)
+    counts = _unique("counts")
+    B.item_activity(v).createOrReplaceTempView(counts)
+    K.insert_overwrite_partition(spark, t, "ds", "2015-11-21", "SELECT 1111, 'prm14:100;asdfsd'")
+    K.insert_overwrite_partition(spark, t, "ds", "2015-11-22",
+                                 f"SELECT item_id, item_list FROM {lists}")
+    K.insert_overwrite_partition(spark, t, "ds", "2015-11-21",
+                                 f"SELECT item_id, CAST(n_events AS STRING) FROM {counts}")
+    return spark.table(t).select("item_id", "item_list", "ds")
+
+
+# --- W3: ordered limit ---------------------------------------------------------------
+
+@register("ordered_limit", oracle="""
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""")
+def q_ordered_limit(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return (o.select("o_orderkey", "o_totalprice")
+            .orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(10))
+
+
+# --- F15: dense row index ------------------------------------------------------------
+
+@register("row_index", oracle="""
+SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row_index, o_orderkey, o_custkey
+FROM orders""")
+def q_row_index(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return dense_index(o, ["o_orderkey"]).select("row_index", "o_orderkey", "o_custkey")
