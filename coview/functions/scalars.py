@@ -24,7 +24,7 @@ def java_split(c: str | Column, sep: str = " ") -> Column:
     """
     c = col_(c)
     esc = "\\" + sep if sep in ".$|()[]{}^?*+\\" else sep
-    stripped = F.regexp_replace(c, f"({esc})+$", "")
+    stripped = F.regexp_replace(c, f"({esc})+\\z", "")
     return (F.when(c == "", F.array(F.lit("")))
             .when(stripped == "", F.array().cast("array<string>"))
             .otherwise(F.split(stripped, esc)))
@@ -33,7 +33,7 @@ def java_split(c: str | Column, sep: str = " ") -> Column:
 def text_lines(c: str | Column) -> Column:
     """Lines of a text as a file reader gives them (no empty last line)."""
     c = col_(c)
-    body = F.regexp_replace(c, r"(\r\n|\r|\n)$", "")
+    body = F.regexp_replace(c, r"(\r\n|\r|\n)\z", "")
     return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK))
 
 
