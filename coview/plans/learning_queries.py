@@ -1 +1,161 @@
-"""(filled in below)"""
+"""Gradient descent, error measures, splits and MLlib-backed jobs.
+
+Feature expressions are written once as SQL text that both Spark and DuckDB
+evaluate identically, so the oracle sees exactly the same inputs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from coview.operators import descent as D
+from coview.operators import evaluate as EV
+from coview.operators.layout import hash_split_flag
+from coview.plans.registry import register
+from coview.plans.tables import table
+
+GD_ROUNDS = 3
+
+# Ten features per lineitem row, scaled to about [0, 1]; the last is a constant.
+_Q = "l_quantity / CAST(50 AS DOUBLE)"
+_D = "l_discount * CAST(10 AS DOUBLE)"
+_T = "l_tax * CAST(10 AS DOUBLE)"
+_P = "l_extendedprice / CAST(100000 AS DOUBLE)"
+FEATURE_SQL = (_Q, _D, _T, _P, "l_linenumber / CAST(7 AS DOUBLE)",
+               f"({_Q}) * ({_Q})", f"({_D}) * ({_D})", f"({_T}) * ({_T})", f"({_P}) * ({_P})",
+               "CAST(1 AS DOUBLE)")
+FEATURES = tuple(f"x{j + 1}" for j in range(len(FEATURE_SQL)))
+LABEL_PM1 = "CASE WHEN l_returnflag = 'R' THEN CAST(1 AS DOUBLE) ELSE CAST(-1 AS DOUBLE) END"
+LABEL_01 = "CASE WHEN l_returnflag = 'R' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END"
+
+
+def lineitem_points(spark, sf_dir, label_sql: str):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.expr(label_sql).alias("y"),
+                     *[F.expr(e).alias(x) for e, x in zip(FEATURE_SQL, FEATURES)])
+
+
+def _sql_points(label_sql: str) -> str:
+    cols = ", ".join(f"{e} AS {x}" for e, x in zip(FEATURE_SQL, FEATURES))
+    return f"pts AS (SELECT {label_sql} AS y, {cols} FROM lineitem)"
+
+
+def _sql_dot(w: str) -> str:
+    return " + ".join(f"p.{x} * {w}.w{j + 1}" for j, x in enumerate(FEATURES))
+
+
+def _sql_start(ws) -> str:
+    return "w0 AS (SELECT " + ", ".join(
+        f"CAST('{float(v)!r}' AS DOUBLE) AS w{j + 1}" for j, v in enumerate(ws)) + ")"
+
+
+def _sql_final(last: str) -> str:
+    return "SELECT " + ", ".join(
+        f"round(w{j + 1} + 1e-9, 6) AS w{j + 1}" for j in range(len(FEATURES))) + f" FROM {last}"
+
+
+def _sql_gd(rounds: int) -> str:
+    ctes = [_sql_points(LABEL_PM1), _sql_start(D.START_WEIGHTS_SEED42)]
+    for r in range(1, rounds + 1):
+        m = f"((1.0 / (1.0 + exp(-p.y * ({_sql_dot('w')}))) - 1.0) * p.y)"
+        cols = ", ".join(f"min(w.w{j + 1}) - sum({m} * p.{x}) AS w{j + 1}"
+                         for j, x in enumerate(FEATURES))
+        ctes.append(f"w{r} AS (SELECT {cols} FROM pts p, w{r - 1} w)")
+    return "WITH " + ",\n".join(ctes) + "\n" + _sql_final(f"w{rounds}")
+
+
+def _sql_gradient() -> str:
+    m = f"((1.0 / (1.0 + exp(-p.y * ({_sql_dot('w')}))) - 1.0) * p.y)"
+    cols = ", ".join(f"round(sum({m} * p.{x}) + 1e-9, 6) AS g{j + 1}" for j, x in enumerate(FEATURES))
+    return ("WITH " + ",\n".join([_sql_points(LABEL_PM1), _sql_start(D.START_WEIGHTS_SEED42)])
+            + f"\nSELECT {cols} FROM pts p, w0 w")
+
+
+def _sql_sgd(rounds: int, step: float = 1.0) -> str:
+    ctes = [_sql_points(LABEL_01),
+            "w0 AS (SELECT " + ", ".join(f"CAST(0 AS DOUBLE) AS w{j + 1}"
+                                         for j in range(len(FEATURES))) + ")"]
+    for t in range(1, rounds + 1):
+        eta = f"(CAST({step!r} AS DOUBLE) / sqrt({t}))"
+        m = f"(1.0 / (1.0 + exp(-({_sql_dot('w')}))) - p.y)"
+        cols = ", ".join(f"min(w.w{j + 1}) * (1.0 - {eta} * 0.0) - {eta} * avg({m} * p.{x}) AS w{j + 1}"
+                         for j, x in enumerate(FEATURES))
+        ctes.append(f"w{t} AS (SELECT {cols} FROM pts p, w{t - 1} w)")
+    return "WITH " + ",\n".join(ctes) + "\n" + _sql_final(f"w{rounds}")
+
+
+# --- A14, I3, M3: gradient descent ---------------------------------------------------
+
+@register("logistic_gradient", oracle=_sql_gradient())
+def q_logistic_gradient(spark, sf_dir):
+    g = D.gradient_sum(lineitem_points(spark, sf_dir, LABEL_PM1), FEATURES, "y",
+                       D.START_WEIGHTS_SEED42)
+    return g.select(*[F.round(F.col(c) + F.lit(1e-9), 6).alias(c) for c in g.columns])
+
+
+@register("logistic_gd", oracle=_sql_gd(GD_ROUNDS))
+def q_logistic_gd(spark, sf_dir):
+    w = D.logistic_gd(lineitem_points(spark, sf_dir, LABEL_PM1), FEATURES, "y",
+                      D.START_WEIGHTS_SEED42, GD_ROUNDS)
+    return D.weights_frame(spark, w)
+
+
+@register("logistic_sgd", oracle=_sql_sgd(GD_ROUNDS))
+def q_logistic_sgd(spark, sf_dir):
+    w = D.logistic_sgd(lineitem_points(spark, sf_dir, LABEL_01), FEATURES, "y", GD_ROUNDS)
+    return D.weights_frame(spark, w)
+
+
+# --- A15, A16, A13, F16: error measures, class counts, split ------------------------
+
+@register("mean_squared_error", oracle="""
+SELECT l_returnflag,
+       round(avg(power(l_quantity * p_retailprice / 1000.0 - l_extendedprice / 1000.0, 2))
+             + 1e-9, 6) AS mse
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_returnflag""")
+def q_mean_squared_error(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part")
+    scored = li.join(p, li["l_partkey"] == p["p_partkey"]).select(
+        "l_returnflag",
+        (F.col("l_quantity") * F.col("p_retailprice") / F.lit(1000.0)).alias("prediction"),
+        (F.col("l_extendedprice") / F.lit(1000.0)).alias("label"))
+    m = EV.mean_squared_error(scored, "prediction", "label", by=["l_returnflag"])
+    return m.select("l_returnflag", F.round(F.col("mse") + F.lit(1e-9), 6).alias("mse"))
+
+
+@register("error_rate", oracle="""
+SELECT l_linestatus,
+       round(avg(CAST((l_discount > 0.05) <> (l_returnflag = 'R') AS DOUBLE)) + 1e-9, 6)
+         AS error_rate
+FROM lineitem GROUP BY l_linestatus""")
+def q_error_rate(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_linestatus", (F.col("l_discount") > 0.05).alias("prediction"),
+        (F.col("l_returnflag") == "R").alias("label"))
+    e = EV.error_rate(li, "prediction", "label", by=["l_linestatus"])
+    return e.select("l_linestatus", F.round(F.col("error_rate") + F.lit(1e-9), 6).alias("error_rate"))
+
+
+@register("class_count", oracle="""
+SELECT 'labels.quality' AS label_column, count(DISTINCT quality) AS n_classes FROM labels
+UNION ALL SELECT 'labels.toxic', count(DISTINCT toxic) FROM labels
+UNION ALL SELECT 'embeddings.label', count(DISTINCT label) FROM embeddings""")
+def q_class_count(spark, sf_dir):
+    lab = table(spark, sf_dir, "labels")
+    emb = table(spark, sf_dir, "embeddings")
+    parts = [EV.class_count(lab, "quality").select(F.lit("labels.quality").alias("label_column"), "n_classes"),
+             EV.class_count(lab, "toxic").select(F.lit("labels.toxic").alias("label_column"), "n_classes"),
+             EV.class_count(emb, "label").select(F.lit("embeddings.label").alias("label_column"), "n_classes")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("hash_split", oracle="""
+SELECT o_orderkey,
+       CASE WHEN (((o_orderkey * 7919 + 104729) % 10) + 10) % 10 < 7 THEN 'train' ELSE 'test' END
+         AS side
+FROM orders""")
+def q_hash_split(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    flag = hash_split_flag("o_orderkey")
+    return o.select("o_orderkey", F.when(flag, F.lit("train")).otherwise(F.lit("test")).alias("side"))
