@@ -159,3 +159,207 @@ def q_hash_split(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     flag = hash_split_flag("o_orderkey")
     return o.select("o_orderkey", F.when(flag, F.lit("train")).otherwise(F.lit("test")).alias("side"))
+
+
+# --- M1: frequent itemsets (part types per order) ------------------------------------
+
+FP_MIN_SUPPORT = 0.1
+
+
+@register("frequent_itemsets", oracle=f"""
+WITH t AS (SELECT DISTINCT l.l_orderkey AS o, p.p_type AS item
+           FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+n AS (SELECT count(DISTINCT o) AS n FROM t),
+s AS (
+  SELECT item AS itemset, 1 AS size, count(*) AS freq FROM t GROUP BY item
+  UNION ALL
+  SELECT a.item || ',' || b.item, 2, count(*) FROM t a JOIN t b ON a.o = b.o AND a.item < b.item
+  GROUP BY a.item, b.item
+  UNION ALL
+  SELECT a.item || ',' || b.item || ',' || c.item, 3, count(*)
+  FROM t a JOIN t b ON a.o = b.o AND a.item < b.item JOIN t c ON b.o = c.o AND b.item < c.item
+  GROUP BY a.item, b.item, c.item)
+SELECT itemset, CAST(size AS INTEGER) AS size, CAST(freq AS BIGINT) AS freq
+FROM s, n WHERE freq >= ceil({FP_MIN_SUPPORT} * n.n)""")
+def q_frequent_itemsets(spark, sf_dir):
+    from coview.operators.mining import frequent_itemsets, transactions
+    li = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part")
+    rows = li.join(p, li["l_partkey"] == p["p_partkey"]).select("l_orderkey", "p_type")
+    return frequent_itemsets(transactions(rows, "l_orderkey", "p_type"), FP_MIN_SUPPORT)
+
+
+# --- M2 + K2: ALS factors and their text dump ----------------------------------------
+
+def purchase_ratings(spark, sf_dir):
+    """(user int, item int, rating double): mean quantity / 10 per customer and part."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders")
+    return (li.join(o, li["l_orderkey"] == o["o_orderkey"])
+            .groupBy(F.col("o_custkey").cast("int").alias("user"),
+                     F.col("l_partkey").cast("int").alias("item"))
+            .agg((F.avg("l_quantity") / F.lit(10.0)).alias("rating")))
+
+
+def _factors(spark, sf_dir):
+    from coview.operators.mining import als_factors
+    return als_factors(purchase_ratings(spark, sf_dir), rank=10, iterations=5, reg=0.01)
+
+
+@register("als_factors")
+def q_als_factors(spark, sf_dir):
+    users, items = _factors(spark, sf_dir)
+    return (users.select(F.lit("user").alias("side"), "id", F.size("features").alias("rank"))
+            .unionByName(items.select(F.lit("item").alias("side"), "id",
+                                      F.size("features").alias("rank"))))
+
+
+@register("factor_text_lines")
+def q_factor_text_lines(spark, sf_dir):
+    from coview.session import scratch_path
+    from coview.sources.sinks import vector_text, write_text_lines
+    users, _ = _factors(spark, sf_dir)
+    path = scratch_path(spark, "user_factors_txt")
+    write_text_lines(users, path, vector_text("id", "features"))
+    return spark.read.text(path)
+
+
+# --- M4, M5, M6: k-means, LDA, power iteration clustering ----------------------------
+
+@register("kmeans_centers")
+def q_kmeans_centers(spark, sf_dir):
+    from coview.operators.cluster import as_vectors, kmeans
+    pts = as_vectors(table(spark, sf_dir, "embeddings"), "embedding")
+    centers, cost = kmeans(pts, k=10, max_iter=20, runs=1, seed=1)
+    return centers.select("cluster", F.size("center").alias("dims"),
+                          F.round(F.aggregate("center", F.lit(0.0), lambda a, v: a + v * v), 6)
+                          .alias("sq_norm"),
+                          F.lit(round(cost, 6)).alias("cost"))
+
+
+@register("lda_topics")
+def q_lda_topics(spark, sf_dir):
+    from coview.operators.cluster import count_vectors, lda_topics, tokens
+    docs = tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    corpus, vocab = count_vectors(docs)
+    return lda_topics(corpus.select("doc_id", "features"), vocab, k=3, max_iter=20)
+
+
+@register("graph_clusters")
+def q_graph_clusters(spark, sf_dir):
+    from coview.operators.cluster import power_iteration_clusters
+    ev = table(spark, sf_dir, "events")
+    edges = (ev.select(F.col("user_id").alias("src"),
+                       F.get_json_object("props", "$.k").cast("long").alias("dst"))
+             .groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight")))
+    return power_iteration_clusters(edges, k=2, max_iter=10)
+
+
+# --- M7-M13: tree learners ----------------------------------------------------------
+
+def _embedding_points(spark, sf_dir):
+    from coview.operators.cluster import as_vectors
+    e = table(spark, sf_dir, "embeddings")
+    return as_vectors(e, "embedding").select(F.col("label").cast("double").alias("label"),
+                                             "features", "vec_id")
+
+
+def _price_rows(spark, sf_dir):
+    """lineitem as (l_orderkey, x1..x5, price); price is the regression label."""
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", *[F.expr(e).alias(x) for e, x in zip(FEATURE_SQL[:5], FEATURES[:5])],
+        (F.col("l_extendedprice") / F.lit(1000.0)).alias("price"))
+
+
+def _price_points(rows):
+    from coview.operators.trees import assemble
+    return assemble(rows, list(FEATURES[:5]), "price")
+
+
+@register("tree_classifier")
+def q_tree_classifier(spark, sf_dir):
+    from coview.operators.trees import tree_classifier
+    return tree_classifier(_embedding_points(spark, sf_dir))[1]
+
+
+@register("tree_regressor")
+def q_tree_regressor(spark, sf_dir):
+    from coview.operators.trees import tree_regressor
+    return tree_regressor(_price_points(_price_rows(spark, sf_dir)))[1]
+
+
+@register("forest_classifier")
+def q_forest_classifier(spark, sf_dir):
+    from coview.operators.trees import forest_classifier
+    pts = _embedding_points(spark, sf_dir)
+    flag = hash_split_flag("vec_id")
+    return forest_classifier(pts.where(flag), pts.where(~flag))[1]
+
+
+@register("forest_regressor")
+def q_forest_regressor(spark, sf_dir):
+    from coview.operators.trees import forest_regressor
+    rows = _price_rows(spark, sf_dir)
+    flag = hash_split_flag("l_orderkey")
+    return forest_regressor(_price_points(rows.where(flag)), _price_points(rows.where(~flag)))[1]
+
+
+def _document_points(spark, sf_dir):
+    """documents with a quality label: text statistics as features."""
+    from coview.operators.trees import assemble
+    d = table(spark, sf_dir, "documents")
+    lab = table(spark, sf_dir, "labels")
+    n = F.greatest(F.length("text"), F.lit(1))
+    feats = d.join(lab, "doc_id").select(
+        F.length("text").alias("n_chars"),
+        F.size(F.split("text", r"\r\n|\r|\n")).alias("n_lines"),
+        F.size(F.split("text", r"\s+")).alias("n_tokens"),
+        (F.length(F.regexp_replace("text", r"[^0-9]", "")) / n).alias("digit_share"),
+        (F.length(F.regexp_replace("text", r"[^\p{Lu}]", "")) / n).alias("upper_share"),
+        (F.length(F.regexp_replace("text", r"[\p{L}\p{N}\s]", "")) / n).alias("symbol_share"),
+        F.col("quality").alias("quality"))
+    return assemble(feats, ["n_chars", "n_lines", "n_tokens", "digit_share", "upper_share",
+                            "symbol_share"], "quality")
+
+
+@register("gbt_classifier")
+def q_gbt_classifier(spark, sf_dir):
+    from coview.operators.trees import gbt_classifier
+    return gbt_classifier(_document_points(spark, sf_dir), rounds=10, max_depth=5)[1]
+
+
+@register("gbt_regressor")
+def q_gbt_regressor(spark, sf_dir):
+    from coview.operators.trees import gbt_regressor
+    return gbt_regressor(_price_points(_price_rows(spark, sf_dir)), rounds=10, max_depth=5)[1]
+
+
+# Long-typed columns of lineitem x orders standing in for the reference's
+# feature table (8 long features, one double label).
+FEATURE_TABLE_COLS = ("f_part", "f_supp", "f_line", "f_cust", "f_qty", "f_disc", "f_tax", "f_month")
+
+
+def feature_table(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders")
+    return li.join(o, li["l_orderkey"] == o["o_orderkey"]).select(
+        "l_orderkey",
+        F.col("l_partkey").cast("long").alias("f_part"),
+        F.col("l_suppkey").cast("long").alias("f_supp"),
+        F.col("l_linenumber").cast("long").alias("f_line"),
+        F.col("o_custkey").cast("long").alias("f_cust"),
+        F.floor("l_quantity").cast("long").alias("f_qty"),
+        F.round(F.col("l_discount") * 100).cast("long").alias("f_disc"),
+        F.round(F.col("l_tax") * 100).cast("long").alias("f_tax"),
+        F.month("l_shipdate").cast("long").alias("f_month"),
+        (F.col("l_extendedprice") / F.lit(1000.0)).alias("label"))
+
+
+@register("gbt_feature_table")
+def q_gbt_feature_table(spark, sf_dir):
+    from coview.operators.trees import assemble, gbt_regressor
+    ft = feature_table(spark, sf_dir)
+    flag = hash_split_flag("l_orderkey")
+    train = assemble(ft.where(flag), FEATURE_TABLE_COLS, "label")
+    test = assemble(ft.where(~flag), FEATURE_TABLE_COLS, "label")
+    return gbt_regressor(train, test, rounds=3, max_depth=5)[1]
