@@ -36,12 +36,14 @@ ACCESS_LOG_PATTERN = (
 )
 
 
-def _on_bad(df: DataFrame, ok, on_bad: str, what: str) -> DataFrame:
-    if on_bad == "drop":
-        return df.where(ok)
+def _guard(value, ok, on_bad: str, what: str):
+    """``value`` where ``ok``; otherwise fail the job (``fail``) or give NULL (``drop``,
+    with the row removed by the caller). The check sits inside an output column,
+    so column pruning cannot remove it."""
     if on_bad == "fail":
-        return df.withColumn("_chk", F.when(ok, F.lit(True))
-                             .otherwise(F.raise_error(F.lit(f"bad {what} line")))).drop("_chk")
+        return F.when(ok, value).otherwise(F.raise_error(F.lit(f"bad {what} line")))
+    if on_bad == "drop":
+        return value
     raise ValueError(f"on_bad must be 'fail' or 'drop', not {on_bad!r}")
 
 
@@ -100,8 +102,10 @@ def parse_label_first(lines: DataFrame, dims: int = 10, col: str = "value",
     """Label, then exactly ``dims`` values; extra tokens ignored, too few is an error."""
     toks = java_split(F.col(col), " ")
     df = lines.select(toks.alias("_t"))
-    df = _on_bad(df, F.size("_t") >= dims + 1, on_bad, "point")
-    return df.select(F.col("_t").getItem(0).cast("double").alias("label"),
+    ok = F.size("_t") >= dims + 1
+    if on_bad == "drop":
+        df = df.where(ok)
+    return df.select(_guard(F.col("_t").getItem(0).cast("double"), ok, on_bad, "point").alias("label"),
                      F.transform(F.slice("_t", 2, dims), lambda x: x.cast("double")).alias("x"))
 
 
@@ -117,10 +121,13 @@ def parse_edge_lines(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 def parse_people_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """``name, age`` to (name string, age int); the age is trimmed first."""
+    """``name, age`` to (name string, age int); the age is trimmed first.
+
+    A line without an age gives a NULL age (so a range filter drops it).
+    """
     parts = F.split(F.col(col), ",")
     return lines.select(parts.getItem(0).alias("name"),
-                        F.trim(parts.getItem(1)).cast("int").alias("age"))
+                        F.trim(F.get(parts, 1)).cast("int").alias("age"))
 
 
 def parse_access_log(lines: DataFrame, col: str = "value") -> DataFrame:

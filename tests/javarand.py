@@ -1,0 +1,28 @@
+"""java.util.Random's documented 48-bit LCG, to rebuild the reference's seeded inputs."""
+
+
+class JavaRandom:
+    MULT = 0x5DEECE66D
+    MASK = (1 << 48) - 1
+
+    def __init__(self, seed: int):
+        self.seed = (seed ^ self.MULT) & self.MASK
+
+    def next(self, bits: int) -> int:
+        self.seed = (self.seed * self.MULT + 0xB) & self.MASK
+        r = self.seed >> (48 - bits)
+        return r - (1 << 32) if r >= 1 << 31 else r  # Java's (int) cast
+
+    def next_int(self, bound: int) -> int:
+        if bound & -bound == bound:
+            return (bound * (self.next(31) & 0x7FFFFFFF)) >> 31
+        while True:
+            bits = self.next(31) & 0x7FFFFFFF
+            val = bits % bound
+            if bits - val + (bound - 1) < (1 << 31):
+                return val
+
+    def next_double(self) -> float:
+        a = self.next(26) & ((1 << 26) - 1)
+        b = self.next(27) & ((1 << 27) - 1)
+        return ((a << 27) + b) * (1.0 / (1 << 53))
