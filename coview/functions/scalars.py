@@ -20,21 +20,24 @@ def java_split(c: str | Column, sep: str = " ") -> Column:
 
     Java drops trailing empty strings: ``"a b  "`` gives ``[a, b]``, a line of
     separators only gives ``[]``, and the empty line gives ``[""]``. Spark's
-    ``split`` keeps the trailing empties, so strip them first.
+    ``split`` keeps the trailing empties, so trailing separators are trimmed
+    first (``rtrim`` with the separator: no regex pass).
     """
+    if len(sep) != 1:
+        raise ValueError("java_split takes a one-character separator")
     c = col_(c)
     esc = "\\" + sep if sep in ".$|()[]{}^?*+\\" else sep
-    stripped = F.regexp_replace(c, f"({esc})+\\z", "")
+    stripped = F.rtrim(c, F.lit(sep))
     return (F.when(c == "", F.array(F.lit("")))
             .when(stripped == "", F.array().cast("array<string>"))
             .otherwise(F.split(stripped, esc)))
 
 
 def text_lines(c: str | Column) -> Column:
-    """Lines of a text as a file reader gives them (no empty last line)."""
-    c = col_(c)
-    body = F.regexp_replace(c, r"(\r\n|\r|\n)\z", "")
-    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK))
+    """Lines of a text as a file reader gives them: split on \\r\\n, \\r or \\n,
+    and a break at the very end does not start another (empty) line."""
+    parts = F.split(col_(c), LINE_BREAK)
+    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
 def stable_round(c: str | Column, places: int = 6, bias: float = 1e-9) -> Column:

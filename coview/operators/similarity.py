@@ -13,7 +13,8 @@ Plan shape (see ``explain``): the log is combined map-side to one row per
 (user, item) before the first shuffle; user totals are a second map-side
 combined aggregate joined back on ``user_id`` (AQE turns it into a broadcast
 only when the measured size is below its threshold, and splits a skewed user
-otherwise). Pairs are emitted once per unordered pair (``i < j``) from users
+otherwise). That table is written once to the shared folder and both the
+weights and the pairs read it. Pairs are emitted once per unordered pair (``i < j``) from users
 under the cap, so a user adds at most ``(cap-1)(cap-2)/2`` rows, and are summed
 with a partial aggregate before the pair shuffle. Both weight joins run on the
 half, the mirror is an ``explode`` of two structs, and the top-k is a
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 from coview.functions.scalars import fixed5
 from coview.operators.behavior import user_item_counts
+from coview.session import write_cut
 
 
 def rank_score(c) -> "F.Column":
@@ -54,7 +56,11 @@ def item_weights(dc: DataFrame) -> DataFrame:
 
 def item_pair_scores(dc: DataFrame, cap: int = 100) -> DataFrame:
     """(item_a, item_b, pair_score) with item_a < item_b, users under the cap only."""
-    capped = dc.where(F.col("n_items") < cap).select("user_id", "item_id", "n", "n_events")
+    # Explicit partition count: the pair step multiplies its input by up to
+    # cap/2, so AQE must not shrink it to the few partitions its input needs.
+    n_parts = int(dc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    capped = (dc.where(F.col("n_items") < cap).select("user_id", "item_id", "n", "n_events")
+              .repartition(n_parts, "user_id"))
     a = capped.alias("a")
     b = capped.select("user_id", F.col("item_id").alias("item_b"), F.col("n").alias("n_b"))
     pairs = a.join(b, (F.col("a.user_id") == b["user_id"]) & (F.col("a.item_id") < F.col("item_b")))
@@ -81,8 +87,14 @@ def mirror(half: DataFrame) -> DataFrame:
 
 
 def item_similarity(pairs: DataFrame, cap: int = 100) -> DataFrame:
-    """(item_id, other_id, score) in both directions."""
-    dc = damped_counts(pairs)
+    """(item_id, other_id, score) in both directions.
+
+    The per-(user, item) table is written once to the shared folder: the
+    weights and the pairs both read it, where two branches of one plan would
+    each scan and shuffle the raw log again (their column pruning differs, so
+    Spark cannot reuse the exchange).
+    """
+    dc = write_cut(damped_counts(pairs), "user_item_counts")
     return mirror(item_similarity_half(item_pair_scores(dc, cap), item_weights(dc)))
 
 
