@@ -8,6 +8,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coview.operators.layout import widen
+
 
 def as_vectors(df: DataFrame, array_col: str, out: str = "features") -> DataFrame:
     """``array<float|double>`` to an ML dense vector column."""
@@ -37,7 +39,7 @@ def kmeans(points: DataFrame, k: int, max_iter: int = 20, runs: int = 1, seed: i
 def tokens(docs: DataFrame, text_col: str = "text", out: str = "words") -> DataFrame:
     """Lower-cased runs of letters (any script) per document."""
     words = F.split(F.lower(F.col(text_col)), r"[^\p{L}]+")
-    return docs.withColumn(out, F.filter(words, lambda w: w != F.lit("")))
+    return widen(docs).withColumn(out, F.filter(words, lambda w: w != F.lit("")))
 
 
 def count_vectors(docs: DataFrame, words_col: str = "words", vocab_size: int = 1 << 18,

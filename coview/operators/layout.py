@@ -55,3 +55,21 @@ def hash_split(df: DataFrame, key: str, **kw) -> tuple[DataFrame, DataFrame]:
 def random_split(df: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int = 12345):
     """Seeded random split (the reference's split is unseeded)."""
     return df.randomSplit(list(weights), seed)
+
+
+def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a narrow input before CPU-heavy per-row work (splits, regexes).
+
+    A scan has as many partitions as its files' splits; a few large files or
+    one big row group give fewer tasks than cores. Only then is the input
+    redistributed round-robin to ``min_partitions`` (default: the context's
+    parallelism). Inputs that are already wide, as any large table is, are
+    returned unchanged, so no shuffle is added at scale.
+
+    Counting partitions plans the frame; call this on a scan (or a narrow
+    projection of one), where planning runs no job.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

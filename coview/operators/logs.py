@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coview.operators.layout import widen
 from coview.sources.readers import parse_access_log
 
 
@@ -16,7 +17,7 @@ def log_rollup(lines: DataFrame, col: str = "value") -> DataFrame:
     ``-`` goes to the all-NULL key with its bytes; a line that does not match
     goes there with 0 bytes. Counts and byte sums are 64-bit.
     """
-    p = parse_access_log(lines, col)
+    p = parse_access_log(widen(lines), col)
     keep = F.col("matched") & (F.lower(F.col("user")) != F.lit("-"))
     key = lambda c: F.when(keep, F.col(c))  # noqa: E731  NULL otherwise
     return (p.select(key("ip").alias("ip"), key("user").alias("user"),

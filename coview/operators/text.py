@@ -6,10 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coview.functions.scalars import java_split, text_lines
+from coview.operators.layout import widen
 
 
 def lines_of(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """One row per line of every text (``line``), as a file reader splits them."""
+    """One row per line of every text (``line``), as a file reader splits them.
+
+    A narrow input (fewer partitions than cores) is spread first, so the
+    splitting runs on every core; a wide one is left as it is.
+    """
+    docs = widen(docs.select(text_col))
     return docs.select(F.explode(text_lines(F.col(text_col))).alias("line"))
 
 
