@@ -1,10 +1,10 @@
 """Edge-table jobs: distinct edges, union, PageRank, transitive closure.
 
-Loops keep the big table (the edges) hash-partitioned on the join key once and
-reuse that layout every round, so a round shuffles only the small side (ranks,
-or the new paths). Loop state is written to the shared checkpoint folder every
-few rounds (``write_cut``), so plans stay short and a lost executor re-reads
-files instead of replaying earlier rounds.
+Loop state is written to the shared checkpoint folder (``write_cut``), so plans
+stay short and a lost executor re-reads files instead of replaying earlier
+rounds. A node that holds a large share of the edges never lands in one task:
+PageRank splits hot sources off into a map-side join, and the closure leaves
+its joins to AQE's skew handling.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coview.operators.layout import HOT_KEY_ROWS
 from coview.session import write_cut
 
 
@@ -29,7 +30,8 @@ def _num_partitions(df: DataFrame) -> int:
 
 
 def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85,
-             cut_every: int = 3, num_partitions: int | None = None) -> DataFrame:
+             cut_every: int = 3, num_partitions: int | None = None,
+             hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """(node, rank) after ``iterations`` rounds, with the reference's semantics.
 
     Duplicate edges count once. Every node with an out-link starts at 1.0; each
@@ -37,54 +39,61 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85,
     its in-links, and only nodes that received something keep a rank: a node
     without in-links drops out after round 1, a node without out-links gets a
     rank but passes nothing on. Zero rounds give 1.0 to every source.
+
+    Layout: the distinct edges are written once. Edges of ordinary sources are
+    hash-partitioned on ``src`` and kept, so a round shuffles only the ranks
+    (one row per node) to meet them. Sources with more than ``hot_rows``
+    out-links (at most |E| / hot_rows of them) keep their edges spread as
+    written and get their share broadcast, so no task holds a hot source's
+    whole adjacency.
     """
     n = num_partitions or _num_partitions(edges)
-    links = distinct_edges(edges)
+    links = write_cut(distinct_edges(edges), "pagerank_links")
     deg = links.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    # Edges with their source's out-degree, hash-partitioned on src and kept:
-    # each round's join then shuffles only the ranks.
-    weighted = (links.join(deg, "src").repartition(n, "src").persist())
+    hot = F.broadcast(deg.where(F.col("deg") > hot_rows).select("src"))
+    cold_edges = links.join(hot, "src", "left_anti").repartition(n, "src").persist()
+    hot_edges = links.join(hot, "src", "left_semi")
     ranks = deg.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
     base = 1.0 - damping
     try:
         for i in range(1, iterations + 1):
-            contrib = (weighted.join(ranks, weighted["src"] == ranks["node"])
-                       .select(F.col("dst"), (F.col("rank") / F.col("deg")).alias("c")))
+            share = (ranks.join(deg, ranks["node"] == deg["src"])
+                     .select("src", (F.col("rank") / F.col("deg")).alias("share")))
+            hot_share = F.broadcast(share.join(hot, "src", "left_semi"))
+            contrib = (cold_edges.join(share, "src").select("dst", "share")
+                       .unionByName(hot_edges.join(hot_share, "src").select("dst", "share")))
             ranks = (contrib.groupBy("dst")
-                     .agg((F.lit(base) + F.sum("c") * F.lit(damping)).alias("rank"))
+                     .agg((F.lit(base) + F.sum("share") * F.lit(damping)).alias("rank"))
                      .select(F.col("dst").alias("node"), "rank"))
             if i % cut_every == 0 and i < iterations:
                 ranks = write_cut(ranks, "pagerank")
         if iterations > 0:
             ranks = write_cut(ranks, "pagerank")
     finally:
-        weighted.unpersist()
+        cold_edges.unpersist()
     return ranks
 
 
-def transitive_closure(edges: DataFrame, max_rounds: int = 1000,
-                       num_partitions: int | None = None) -> DataFrame:
+def transitive_closure(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
     """All (src, dst) joined by a path of length >= 1; (x, x) when x is on a cycle.
 
     Semi-naive: each round extends only the paths found in the round before by
     one edge, removes what is already known (``left_anti``) and stops when a
-    round adds nothing. Every round's new paths are written to the shared
-    folder; the known set is the union of those scans.
+    round adds nothing. The edges and every round's new paths are written to
+    the shared folder; the known set is the union of those scans. Both sides
+    of each round's join are plain scans, so AQE's skew join can split a node
+    with a huge fan-in or fan-out.
     """
-    n = num_partitions or _num_partitions(edges)
     e = write_cut(distinct_edges(edges), "closure_edges")
-    by_src = e.select(F.col("src").alias("mid"), F.col("dst").alias("to")).repartition(n, "mid").persist()
+    nxt = e.select(F.col("src").alias("mid"), F.col("dst").alias("to"))
     known = e
     delta = e
-    try:
-        for _ in range(max_rounds):
-            step = (delta.join(by_src, delta["dst"] == by_src["mid"])
-                    .select(F.col("src"), F.col("to").alias("dst")).distinct())
-            new = write_cut(step.join(known, ["src", "dst"], "left_anti"), "closure_delta")
-            if new.limit(1).count() == 0:
-                return known
-            known = known.unionByName(new)
-            delta = new
-        raise RuntimeError(f"transitive closure did not converge in {max_rounds} rounds")
-    finally:
-        by_src.unpersist()
+    for _ in range(max_rounds):
+        step = (delta.join(nxt, delta["dst"] == nxt["mid"])
+                .select(F.col("src"), F.col("to").alias("dst")).distinct())
+        new = write_cut(step.join(known, ["src", "dst"], "left_anti"), "closure_delta")
+        if new.limit(1).count() == 0:
+            return known
+        known = known.unionByName(new)
+        delta = new
+    raise RuntimeError(f"transitive closure did not converge in {max_rounds} rounds")

@@ -73,3 +73,26 @@ def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+# Rows of one key beyond which a join treats the key as hot.
+HOT_KEY_ROWS = 1 << 20
+
+
+def hot_split_join(big: DataFrame, small: DataFrame, on: str, hot_keys: DataFrame) -> DataFrame:
+    """Inner join of ``big`` with ``small`` (at most one row per key) on ``on``,
+    safe when a few keys hold a large share of ``big``'s rows.
+
+    ``hot_keys`` lists those keys and must have a proven size bound, such as the
+    keys with more than T rows in a table of R rows (at most R / T of them).
+    Rows of ``big`` with a hot key are joined map-side against ``small``'s rows
+    for those keys, broadcast (one per hot key, so bounded the same way); they
+    stay spread over ``big``'s partitions instead of landing in one task. All
+    other rows take the ordinary shuffle join, in which no key is large. AQE's
+    own skew handling does not cover these joins: it needs both sides to come
+    straight from a shuffle, and ``small`` here is usually an aggregate.
+    """
+    hk = F.broadcast(hot_keys.select(on))
+    cold = big.join(hk, on, "left_anti").join(small, on)
+    hot = big.join(hk, on, "left_semi").join(F.broadcast(small.join(hk, on, "left_semi")), on)
+    return cold.unionByName(hot)

@@ -11,16 +11,17 @@ For a log of (user, item) events::
 
 Plan shape (see ``explain``): the log is combined map-side to one row per
 (user, item) before the first shuffle; user totals are a second map-side
-combined aggregate joined back on ``user_id`` (AQE turns it into a broadcast
-only when the measured size is below its threshold, and splits a skewed user
-otherwise). That table is written once to the shared folder and both the
-weights and the pairs read it. Pairs are emitted once per unordered pair (``i < j``) from users
-under the cap, so a user adds at most ``(cap-1)(cap-2)/2`` rows, and are summed
-with a partial aggregate before the pair shuffle. Both weight joins run on the
-half, the mirror is an ``explode`` of two structs, and the top-k is a
-``row_number`` filter that Spark plans as a per-partition ``WindowGroupLimit``
-before the shuffle on ``item_id``, so at most k rows per item and map task
-travel.
+combined aggregate joined back on ``user_id`` (users with very many items are
+joined map-side, ``hot_split_join``). That table is written once to the
+shared folder. Weights are an aggregate of it, and are joined back per
+(user, item) as ``x = c / sqrt(w)``, so the pair table is never joined with
+anything: ``score = sum_u x_ui * x_uj / ln(1 + N_u)``. Pairs are emitted once
+per unordered pair (``i < j``) from users under the cap, so a user adds at
+most ``(cap-1)(cap-2)/2`` rows, and are summed with a partial aggregate before
+the pair shuffle. The mirror is an ``explode`` of two structs, and the top-k
+is a ``row_number`` filter that Spark plans as a per-partition
+``WindowGroupLimit`` before the shuffle on ``item_id``, so at most k rows per
+item and map task travel.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from coview.functions.scalars import fixed5
 from coview.operators.behavior import user_item_counts
+from coview.operators.layout import HOT_KEY_ROWS, hot_split_join
 from coview.session import write_cut
 
 
@@ -40,27 +42,37 @@ def rank_score(c) -> "F.Column":
     return F.round(c + F.lit(1e-12), 9)
 
 
-def damped_counts(pairs: DataFrame) -> DataFrame:
-    """(user_id, item_id, n, n_events, n_items) for every user-item pair."""
+def damped_counts(pairs: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """(user_id, item_id, n, n_events, n_items) for every user-item pair.
+
+    Users with more than ``hot_rows`` distinct items (bots, crawlers) are
+    joined to their totals map-side (``hot_split_join``).
+    """
     cui = user_item_counts(pairs)
     totals = cui.groupBy("user_id").agg(F.sum("n").alias("n_events"),
                                         F.count(F.lit(1)).alias("n_items"))
-    return cui.join(totals, "user_id")
+    hot_users = totals.where(F.col("n_items") > hot_rows)   # at most |cui| / hot_rows
+    return hot_split_join(cui, totals, "user_id", hot_users)
 
 
 def item_weights(dc: DataFrame) -> DataFrame:
-    """(item_id, weight): sum over all users of c^2 / ln(1 + N_u)."""
+    """(item_id, weight, n_users): weight = sum over all users of c^2 / ln(1 + N_u)."""
     return dc.groupBy("item_id").agg(
-        F.sum(F.col("n") * F.col("n") / F.log(F.lit(1.0) + F.col("n_events"))).alias("weight"))
+        F.sum(F.col("n") * F.col("n") / F.log(F.lit(1.0) + F.col("n_events"))).alias("weight"),
+        F.count(F.lit(1)).alias("n_users"))
 
 
-def item_pair_scores(dc: DataFrame, cap: int = 100) -> DataFrame:
-    """(item_a, item_b, pair_score) with item_a < item_b, users under the cap only."""
+def _pair_input(df: DataFrame, cap: int, cols) -> DataFrame:
     # Explicit partition count: the pair step multiplies its input by up to
     # cap/2, so AQE must not shrink it to the few partitions its input needs.
-    n_parts = int(dc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    capped = (dc.where(F.col("n_items") < cap).select("user_id", "item_id", "n", "n_events")
-              .repartition(n_parts, "user_id"))
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.where(F.col("n_items") < cap).select(*cols).repartition(n_parts, "user_id")
+
+
+def item_pair_scores(dc: DataFrame, cap: int = 100) -> DataFrame:
+    """(item_a, item_b, pair_score) with item_a < item_b, users under the cap only:
+    the sum over those users of ``c_a * c_b / ln(1 + N_u)``."""
+    capped = _pair_input(dc, cap, ["user_id", "item_id", "n", "n_events"])
     a = capped.alias("a")
     b = capped.select("user_id", F.col("item_id").alias("item_b"), F.col("n").alias("n_b"))
     pairs = a.join(b, (F.col("a.user_id") == b["user_id"]) & (F.col("a.item_id") < F.col("item_b")))
@@ -69,13 +81,28 @@ def item_pair_scores(dc: DataFrame, cap: int = 100) -> DataFrame:
             .groupBy("item_a", "item_b").agg(F.sum("s").alias("pair_score")))
 
 
-def item_similarity_half(pair_scores: DataFrame, weights: DataFrame) -> DataFrame:
-    """(item_a, item_b, score), item_a < item_b: pair score over both weights' roots."""
-    wa = weights.select(F.col("item_id").alias("item_a"), F.col("weight").alias("w_a"))
-    wb = weights.select(F.col("item_id").alias("item_b"), F.col("weight").alias("w_b"))
-    return (pair_scores.join(wa, "item_a").join(wb, "item_b")
-            .select("item_a", "item_b",
-                    (F.col("pair_score") / F.sqrt("w_a") / F.sqrt("w_b")).alias("score")))
+def normalized_counts(dc: DataFrame, weights: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """``dc`` with ``x = n / sqrt(weight of the item)``.
+
+    Joining the weights here, once per (user, item), replaces the two joins of
+    the much larger pair table with the weights (``s_ij / sqrt(w_i) / sqrt(w_j)``
+    is the sum of ``x_ui * x_uj / ln(1 + N_u)``). Items with more than
+    ``hot_rows`` users are joined map-side.
+    """
+    hot_items = weights.where(F.col("n_users") > hot_rows)   # at most |dc| / hot_rows
+    j = hot_split_join(dc, weights.select("item_id", "weight", "n_users"), "item_id", hot_items)
+    return j.withColumn("x", F.col("n") / F.sqrt("weight"))
+
+
+def similarity_half(dcn: DataFrame, cap: int = 100) -> DataFrame:
+    """(item_a, item_b, score), item_a < item_b, from normalised counts."""
+    capped = _pair_input(dcn, cap, ["user_id", "item_id", "x", "n_events"])
+    a = capped.alias("a")
+    b = capped.select("user_id", F.col("item_id").alias("item_b"), F.col("x").alias("x_b"))
+    pairs = a.join(b, (F.col("a.user_id") == b["user_id"]) & (F.col("a.item_id") < F.col("item_b")))
+    s = F.col("a.x") * F.col("x_b") / F.log(F.lit(1.0) + F.col("a.n_events"))
+    return (pairs.select(F.col("a.item_id").alias("item_a"), "item_b", s.alias("s"))
+            .groupBy("item_a", "item_b").agg(F.sum("s").alias("score")))
 
 
 def mirror(half: DataFrame) -> DataFrame:
@@ -86,16 +113,16 @@ def mirror(half: DataFrame) -> DataFrame:
     return half.select(both.alias("p")).select("p.item_id", "p.other_id", "p.score")
 
 
-def item_similarity(pairs: DataFrame, cap: int = 100) -> DataFrame:
+def item_similarity(pairs: DataFrame, cap: int = 100, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """(item_id, other_id, score) in both directions.
 
-    The per-(user, item) table is written once to the shared folder: the
-    weights and the pairs both read it, where two branches of one plan would
-    each scan and shuffle the raw log again (their column pruning differs, so
-    Spark cannot reuse the exchange).
+    The per-(user, item) table is written once to the shared folder; the
+    weights and the normalised counts both read it. (Within one plan, the two
+    branches would each scan and shuffle the raw log again: their column
+    pruning differs, so Spark cannot reuse the exchange.)
     """
-    dc = write_cut(damped_counts(pairs), "user_item_counts")
-    return mirror(item_similarity_half(item_pair_scores(dc, cap), item_weights(dc)))
+    dc = write_cut(damped_counts(pairs, hot_rows), "user_item_counts")
+    return mirror(similarity_half(normalized_counts(dc, item_weights(dc), hot_rows), cap))
 
 
 def top_k(similar: DataFrame, k: int = 10) -> DataFrame:
@@ -123,9 +150,10 @@ def top_k_list(ranked: DataFrame) -> DataFrame:
                     .alias("item_list")))
 
 
-def related_items(pairs: DataFrame, k: int = 10, cap: int = 100) -> DataFrame:
+def related_items(pairs: DataFrame, k: int = 10, cap: int = 100,
+                  hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """The whole job: behaviour pairs to (item_id, item_list)."""
-    return top_k_list(top_k(item_similarity(pairs, cap), k))
+    return top_k_list(top_k(item_similarity(pairs, cap, hot_rows), k))
 
 
 def shown_items(lists: DataFrame, active: DataFrame, n: int = 101) -> DataFrame:

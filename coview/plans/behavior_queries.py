@@ -58,9 +58,13 @@ ps AS (SELECT a.item_id AS item_a, b.item_id AS item_b,
               sum(a.n * b.n / ln(1 + a.n_events)) AS pair_score
        FROM capped a JOIN capped b ON a.user_id = b.user_id AND a.item_id < b.item_id
        GROUP BY a.item_id, b.item_id),
-half AS (SELECT ps.item_a, ps.item_b,
-                ps.pair_score / sqrt(wa.weight) / sqrt(wb.weight) AS score
-         FROM ps JOIN w wa ON wa.item_id = ps.item_a JOIN w wb ON wb.item_id = ps.item_b),
+dcn AS (SELECT dc.user_id, dc.item_id, dc.n_events, dc.n_items, dc.n / sqrt(w.weight) AS x
+        FROM dc JOIN w ON dc.item_id = w.item_id),
+cn AS (SELECT * FROM dcn WHERE n_items < {cap}),
+half AS (SELECT a.item_id AS item_a, b.item_id AS item_b,
+                sum(a.x * b.x / ln(1 + a.n_events)) AS score
+         FROM cn a JOIN cn b ON a.user_id = b.user_id AND a.item_id < b.item_id
+         GROUP BY a.item_id, b.item_id),
 sim AS (SELECT item_a AS item_id, item_b AS other_id, score FROM half
         UNION ALL SELECT item_b, item_a, score FROM half)"""
 

@@ -77,3 +77,11 @@ def test_gradient_descent_matches_local_formula(spark):
         w = [w[0] - g[0], w[1] - g[1]]
     got = D.logistic_gd(pts, ["a", "b"], "y", [0.1, -0.2], 2)
     assert all(math.isclose(x, y, rel_tol=1e-12) for x, y in zip(got, w))
+
+
+def test_pagerank_hot_sources_same_result(spark):
+    rows = [(1, d) for d in range(2, 40)] + [(d, 1) for d in range(2, 40, 3)] + [(2, 3), (3, 2)]
+    e = _edges(spark, rows)
+    a = {r["node"]: r["rank"] for r in G.pagerank(e, 4).collect()}
+    b = {r["node"]: r["rank"] for r in G.pagerank(e, 4, hot_rows=5).collect()}
+    assert a.keys() == b.keys() and all(math.isclose(a[k], b[k]) for k in a)

@@ -81,3 +81,25 @@ def test_user_baskets_respects_cap(spark):
     pairs = spark.createDataFrame(rows, "user_id long, item_id long")
     got = {r["user_id"]: r["item_list"] for r in B.user_baskets(pairs, cap=5).collect()}
     assert got == {2: "1:2,2:1"}
+
+
+def test_hot_key_paths_give_same_lists(spark):
+    from coview.plans.behavior_queries import views
+    from conftest import SF_SMALL
+    v = views(spark, SF_SMALL)
+    base = _lists(S.related_items(v))
+    for hot_rows in (0, 3, 8):   # 0: every user and item hot; others: mixed
+        assert _lists(S.related_items(v, hot_rows=hot_rows)) == base
+
+
+def test_hot_split_join_matches_plain_join(spark):
+    from coview.operators.layout import hot_split_join
+    from pyspark.sql import functions as F
+    big = spark.range(0, 3000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    big = big.unionByName(spark.range(0, 2000).select(F.lit(3).cast("long").alias("k"), F.col("id").alias("v")))
+    small = spark.range(0, 7).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    counts = big.groupBy("k").count()
+    hot = counts.where("count > 1000").select("k")
+    got = sorted(tuple(r) for r in hot_split_join(big, small, "k", hot).collect())
+    want = sorted(tuple(r) for r in big.join(small, "k").collect())
+    assert got == want and hot.count() == 1
