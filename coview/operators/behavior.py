@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coview.operators.layout import HOT_KEY_ROWS
+
 # How the driver's ``events`` table maps onto a behaviour log.
 # Behaviour code per event type (1 is the view the similarity job keeps), the
 # JSON path of the item id inside ``props``, and the hour format of the log.
@@ -77,16 +79,22 @@ def user_item_counts(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def user_baskets(pairs: DataFrame, cap: int = 100) -> DataFrame:
+def user_baskets(pairs: DataFrame, cap: int = 100, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Per user with fewer than ``cap`` distinct items: the (item, count) list.
 
     The cap is applied before the list is built, from a count that is itself
     map-side combined, so no list ever holds more than ``cap - 1`` entries.
+    Users with more than ``hot_rows`` items (at most |rows| / hot_rows of them,
+    broadcast) are dropped map-side first, so the semi-join on ``user_id``
+    never gathers a hot user's rows in one task.
     The list is returned as text ``item:n,item:n`` sorted by item.
     """
     cui = user_item_counts(pairs)
-    small = (cui.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_items"))
-             .where(F.col("n_items") < cap))
+    n_items = cui.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_items"))
+    small = n_items.where(F.col("n_items") < cap)
+    if hot_rows >= cap:
+        hot = F.broadcast(n_items.where(F.col("n_items") > hot_rows).select("user_id"))
+        cui = cui.join(hot, "user_id", "left_anti")
     return (cui.join(small, "user_id", "left_semi")
             .groupBy("user_id")
             .agg(F.array_sort(F.collect_list(F.struct("item_id", "n"))).alias("items"))

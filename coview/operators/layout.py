@@ -13,7 +13,7 @@ _POS_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
 
 
 def dense_index(df: DataFrame, order_by: Sequence[str], index_col: str = "row_index",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, seed: int = 42) -> DataFrame:
     """A 0-based dense index in ``order_by`` order, without a one-task window.
 
     Range-partition on the key (Spark samples the bounds, so skew is spread),
@@ -26,7 +26,11 @@ def dense_index(df: DataFrame, order_by: Sequence[str], index_col: str = "row_in
     bounded by the partition count and broadcast safely.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    # A seeded random tie-break lets the range bounds split a key that holds a
+    # large share of the rows; rows with equal keys have no order of their own.
+    keys = [*order_by, "_tie"]
+    ranged = (df.withColumn("_tie", F.rand(seed))
+              .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_mid", F.monotonically_increasing_id()))
     tagged = write_cut(ranged.select(
         "*", F.shiftright("_mid", _POS_BITS).alias("_part"),
@@ -37,7 +41,7 @@ def dense_index(df: DataFrame, order_by: Sequence[str], index_col: str = "row_in
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return (tagged.join(F.broadcast(offsets), "_part")
             .withColumn(index_col, F.col("_off") + F.col("_pos"))
-            .drop("_mid", "_part", "_pos", "_off"))
+            .drop("_mid", "_part", "_pos", "_off", "_tie"))
 
 
 def hash_split_flag(key: str, a: int = 7919, b: int = 104729, buckets: int = 10,

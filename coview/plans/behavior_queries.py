@@ -24,7 +24,8 @@ SHOWN_ROWS = 101          # the job prints the first 101 active items
 
 
 def views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.behavior_filter(B.behavior_log_from_events(table(spark, sf_dir, "events")))
+    """(user_id, item_id) of view events; ``event_type = 'view'`` reaches the Parquet scan."""
+    return B.views_from_events(table(spark, sf_dir, "events"))
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +93,8 @@ def _with(*ctes: str) -> str:
 
 @register("behavior_filter", oracle=_with(SQL_VIEWS) + "SELECT user_id, item_id FROM views")
 def q_behavior_filter(spark, sf_dir):
-    return views(spark, sf_dir)
+    # The reference's path: a text-typed behaviour table, parsed and filtered.
+    return B.behavior_filter(B.behavior_log_from_events(table(spark, sf_dir, "events")))
 
 
 @register("behavior_counts", oracle=_with(SQL_VIEWS, sql_similarity_ctes(USER_CAP)) + f"""

@@ -103,3 +103,11 @@ def test_hot_split_join_matches_plain_join(spark):
     got = sorted(tuple(r) for r in hot_split_join(big, small, "k", hot).collect())
     want = sorted(tuple(r) for r in big.join(small, "k").collect())
     assert got == want and hot.count() == 1
+
+
+def test_user_baskets_hot_users_dropped_map_side(spark):
+    rows = [(1, i) for i in range(30)] + [(2, 1), (2, 1), (2, 2)]
+    pairs = spark.createDataFrame(rows, "user_id long, item_id long")
+    base = {r["user_id"]: r["item_list"] for r in B.user_baskets(pairs, cap=5).collect()}
+    hot = {r["user_id"]: r["item_list"] for r in B.user_baskets(pairs, cap=5, hot_rows=10).collect()}
+    assert base == hot == {2: "1:2,2:1"}

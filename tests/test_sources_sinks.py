@@ -147,3 +147,11 @@ def test_hash_split_repeatable(spark):
     assert tr.count() + te.count() == 1000
     assert sorted(r[0] for r in tr.collect()) == sorted(r[0] for r in tr2.collect())
     assert 600 <= tr.count() <= 800
+
+
+def test_dense_index_hot_equal_key(spark):
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("k"))
+    got = dense_index(df, ["k"], num_partitions=6).orderBy("row_index").collect()
+    assert [r["row_index"] for r in got] == list(range(3000))
+    ks = [r["k"] for r in got]
+    assert ks == sorted(ks)
