@@ -77,3 +77,8 @@ def drop_first_field(c: str | Column, sep: str = ",") -> Column:
     """The list without its first field, joined again by ``sep``."""
     parts = java_split(c, sep)
     return F.array_join(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), sep)
+
+
+def today_ds() -> Column:
+    """Today's date as ``yyyy-MM-dd`` (the partition value of a daily write)."""
+    return F.date_format(F.current_date(), "yyyy-MM-dd")

@@ -7,6 +7,8 @@ item = l_partkey).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,8 +95,11 @@ def _with(*ctes: str) -> str:
 
 @register("behavior_filter", oracle=_with(SQL_VIEWS) + "SELECT user_id, item_id FROM views")
 def q_behavior_filter(spark, sf_dir):
-    # The reference's path: a text-typed behaviour table, parsed and filtered.
-    return B.behavior_filter(B.behavior_log_from_events(table(spark, sf_dir, "events")))
+    # The reference's path: a text-typed behaviour table scanned by SQL, then
+    # parsed and filtered.
+    name = f"user_info_{uuid.uuid4().hex[:10]}"
+    B.behavior_log_from_events(table(spark, sf_dir, "events")).createOrReplaceTempView(name)
+    return B.behavior_filter(spark.sql(f"SELECT * FROM {name}"))
 
 
 @register("behavior_counts", oracle=_with(SQL_VIEWS, sql_similarity_ctes(USER_CAP)) + f"""

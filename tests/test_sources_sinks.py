@@ -155,3 +155,12 @@ def test_dense_index_hot_equal_key(spark):
     assert [r["row_index"] for r in got] == list(range(3000))
     ks = [r["k"] for r in got]
     assert ks == sorted(ks)
+
+
+def test_random_split_seeded(spark):
+    from coview.operators.layout import random_split
+    df = spark.range(0, 2000)
+    a1, b1 = random_split(df, seed=7)
+    a2, _ = random_split(df, seed=7)
+    assert a1.count() + b1.count() == 2000
+    assert sorted(r[0] for r in a1.collect()) == sorted(r[0] for r in a2.collect())

@@ -75,3 +75,10 @@ def test_log_rollup_null_key_cases(spark):
     assert got[(None, None, None)] == (2, 77)
     assert got[("1.2.3.4", '"BOB"', "GET /y HTTP/1.1")] == (1, 0)
     assert got[("10.10.10.10", '"FRED"', "GET http://images.com/2013/Generic.jpg HTTP/1.1")] == (2, 621)
+
+
+def test_today_ds(spark):
+    import datetime
+    from coview.functions.scalars import today_ds
+    got = spark.range(1).select(today_ds()).first()[0]
+    assert got == datetime.datetime.now(datetime.timezone.utc).date().isoformat()
