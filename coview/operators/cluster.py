@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import LDA, KMeans, PowerIterationClustering
 from pyspark.ml.feature import CountVectorizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,7 +82,3 @@ def power_iteration_clusters(edges: DataFrame, k: int = 2, max_iter: int = 10,
                                    dstCol=dst, weightCol=weight)
     return pic.assignClusters(g).select(F.col("id").cast("long").alias("id"),
                                         F.col("cluster").cast("int").alias("cluster"))
-
-
-__all__ = ["as_vectors", "kmeans", "tokens", "count_vectors", "lda_topics",
-           "power_iteration_clusters", "vector_to_array"]
