@@ -106,13 +106,13 @@ def user_baskets(pairs: DataFrame, cap: int = 100, hot_rows: int = HOT_KEY_ROWS)
 
 
 def behavior_counts(log: DataFrame, keep: int = 1, min_events: int = 50, cap: int = 100,
-                    similar: DataFrame | None = None) -> DataFrame:
+                    partnered: DataFrame | None = None) -> DataFrame:
     """The job's progress counts as a (metric, value) table.
 
     One aggregate per level instead of one action per number: rows and kept
     rows from the log, users and baskets from the per-user totals, items and
-    active items from the per-item totals, and (if given) the number of items
-    with at least one similar item.
+    active items from the per-item totals, and (if given, one row per item)
+    the number of items with at least one similar item.
     """
     kept = behavior_filter(log, keep)
     raw = log.agg(
@@ -130,8 +130,8 @@ def behavior_counts(log: DataFrame, keep: int = 1, min_events: int = 50, cap: in
         users.selectExpr("stack(2, 'users', users, 'baskets', baskets) as (metric, value)"),
         items.selectExpr("stack(2, 'items', items, 'active_items', active_items) as (metric, value)"),
     ]
-    if similar is not None:
-        parts.append(similar.agg(F.countDistinct("item_id").alias("value"))
+    if partnered is not None:
+        parts.append(partnered.agg(F.count(F.lit(1)).alias("value"))
                      .select(F.lit("output").alias("metric"), "value"))
     out = parts[0]
     for p in parts[1:]:

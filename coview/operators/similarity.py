@@ -125,6 +125,17 @@ def item_similarity(pairs: DataFrame, cap: int = 100, hot_rows: int = HOT_KEY_RO
     return mirror(similarity_half(normalized_counts(dc, item_weights(dc), hot_rows), cap))
 
 
+def items_with_partners(dc: DataFrame, cap: int = 100) -> DataFrame:
+    """(item_id) of every item that has at least one similar item.
+
+    Exact without building pairs: every pair score is a sum of positive terms,
+    so an item has a partner exactly when a user under the cap holds it
+    together with at least one other item.
+    """
+    return (dc.where((F.col("n_items") >= 2) & (F.col("n_items") < cap))
+            .select("item_id").distinct())
+
+
 def top_k(similar: DataFrame, k: int = 10) -> DataFrame:
     """(item_id, rank, other_id, score): the k best partners per item.
 

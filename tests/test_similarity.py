@@ -111,3 +111,13 @@ def test_user_baskets_hot_users_dropped_map_side(spark):
     base = {r["user_id"]: r["item_list"] for r in B.user_baskets(pairs, cap=5).collect()}
     hot = {r["user_id"]: r["item_list"] for r in B.user_baskets(pairs, cap=5, hot_rows=10).collect()}
     assert base == hot == {2: "1:2,2:1"}
+
+
+def test_items_with_partners_equals_items_in_similarity(spark):
+    from coview.plans.behavior_queries import views
+    from conftest import SF_SMALL
+    v = views(spark, SF_SMALL)
+    for cap in (3, 5, 100):
+        a = {r[0] for r in S.items_with_partners(S.damped_counts(v), cap).collect()}
+        b = {r[0] for r in S.item_similarity(v, cap).select("item_id").distinct().collect()}
+        assert a == b
