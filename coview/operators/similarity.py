@@ -62,17 +62,28 @@ def item_weights(dc: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_users"))
 
 
-def _pair_input(df: DataFrame, cap: int, cols) -> DataFrame:
+CAP_COLUMNS = {"items": "n_items", "events": "n_events"}
+
+
+def _under_cap(cap: int, cap_on: str):
+    """Users who make pairs: fewer than ``cap`` distinct items (the job's rule)
+    or, with ``cap_on="events"``, fewer than ``cap`` events (its older form).
+    Either way a user has fewer than ``cap`` distinct items, which bounds the
+    pairs a user adds."""
+    return F.col(CAP_COLUMNS[cap_on]) < cap
+
+
+def _pair_input(df: DataFrame, cap: int, cols, cap_on: str = "items") -> DataFrame:
     # Explicit partition count: the pair step multiplies its input by up to
     # cap/2, so AQE must not shrink it to the few partitions its input needs.
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.where(F.col("n_items") < cap).select(*cols).repartition(n_parts, "user_id")
+    return df.where(_under_cap(cap, cap_on)).select(*cols).repartition(n_parts, "user_id")
 
 
-def item_pair_scores(dc: DataFrame, cap: int = 100) -> DataFrame:
+def item_pair_scores(dc: DataFrame, cap: int = 100, cap_on: str = "items") -> DataFrame:
     """(item_a, item_b, pair_score) with item_a < item_b, users under the cap only:
     the sum over those users of ``c_a * c_b / ln(1 + N_u)``."""
-    capped = _pair_input(dc, cap, ["user_id", "item_id", "n", "n_events"])
+    capped = _pair_input(dc, cap, ["user_id", "item_id", "n", "n_events"], cap_on)
     a = capped.alias("a")
     b = capped.select("user_id", F.col("item_id").alias("item_b"), F.col("n").alias("n_b"))
     pairs = a.join(b, (F.col("a.user_id") == b["user_id"]) & (F.col("a.item_id") < F.col("item_b")))
@@ -94,9 +105,9 @@ def normalized_counts(dc: DataFrame, weights: DataFrame, hot_rows: int = HOT_KEY
     return j.withColumn("x", F.col("n") / F.sqrt("weight"))
 
 
-def similarity_half(dcn: DataFrame, cap: int = 100) -> DataFrame:
+def similarity_half(dcn: DataFrame, cap: int = 100, cap_on: str = "items") -> DataFrame:
     """(item_a, item_b, score), item_a < item_b, from normalised counts."""
-    capped = _pair_input(dcn, cap, ["user_id", "item_id", "x", "n_events"])
+    capped = _pair_input(dcn, cap, ["user_id", "item_id", "x", "n_events"], cap_on)
     a = capped.alias("a")
     b = capped.select("user_id", F.col("item_id").alias("item_b"), F.col("x").alias("x_b"))
     pairs = a.join(b, (F.col("a.user_id") == b["user_id"]) & (F.col("a.item_id") < F.col("item_b")))
@@ -113,7 +124,8 @@ def mirror(half: DataFrame) -> DataFrame:
     return half.select(both.alias("p")).select("p.item_id", "p.other_id", "p.score")
 
 
-def item_similarity(pairs: DataFrame, cap: int = 100, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def item_similarity(pairs: DataFrame, cap: int = 100, hot_rows: int = HOT_KEY_ROWS,
+                    cap_on: str = "items") -> DataFrame:
     """(item_id, other_id, score) in both directions.
 
     The per-(user, item) table is written once to the shared folder; the
@@ -122,17 +134,17 @@ def item_similarity(pairs: DataFrame, cap: int = 100, hot_rows: int = HOT_KEY_RO
     pruning differs, so Spark cannot reuse the exchange.)
     """
     dc = write_cut(damped_counts(pairs, hot_rows), "user_item_counts")
-    return mirror(similarity_half(normalized_counts(dc, item_weights(dc), hot_rows), cap))
+    return mirror(similarity_half(normalized_counts(dc, item_weights(dc), hot_rows), cap, cap_on))
 
 
-def items_with_partners(dc: DataFrame, cap: int = 100) -> DataFrame:
+def items_with_partners(dc: DataFrame, cap: int = 100, cap_on: str = "items") -> DataFrame:
     """(item_id) of every item that has at least one similar item.
 
     Exact without building pairs: every pair score is a sum of positive terms,
     so an item has a partner exactly when a user under the cap holds it
     together with at least one other item.
     """
-    return (dc.where((F.col("n_items") >= 2) & (F.col("n_items") < cap))
+    return (dc.where((F.col("n_items") >= 2) & _under_cap(cap, cap_on))
             .select("item_id").distinct())
 
 
@@ -162,9 +174,13 @@ def top_k_list(ranked: DataFrame) -> DataFrame:
 
 
 def related_items(pairs: DataFrame, k: int = 10, cap: int = 100,
-                  hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """The whole job: behaviour pairs to (item_id, item_list)."""
-    return top_k_list(top_k(item_similarity(pairs, cap, hot_rows), k))
+                  hot_rows: int = HOT_KEY_ROWS, cap_on: str = "items") -> DataFrame:
+    """The whole job: behaviour pairs to (item_id, item_list).
+
+    ``cap_on="events", cap=500, k=100`` is the job's older form, which capped
+    users on their event count; its pair sums are the same.
+    """
+    return top_k_list(top_k(item_similarity(pairs, cap, hot_rows, cap_on), k))
 
 
 def shown_items(lists: DataFrame, active: DataFrame, n: int = 101) -> DataFrame:

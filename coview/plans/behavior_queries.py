@@ -49,21 +49,21 @@ SQL_PURCHASES = """views AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
 
-def sql_similarity_ctes(cap: int) -> str:
+def sql_similarity_ctes(cap: int, cap_col: str = "n_items") -> str:
     return f"""cui AS (SELECT user_id, item_id, count(*) AS n FROM views GROUP BY user_id, item_id),
 tot AS (SELECT user_id, CAST(sum(n) AS BIGINT) AS n_events, count(*) AS n_items
         FROM cui GROUP BY user_id),
 dc AS (SELECT cui.user_id, cui.item_id, cui.n, tot.n_events, tot.n_items
        FROM cui JOIN tot ON cui.user_id = tot.user_id),
 w AS (SELECT item_id, sum(n * n / ln(1 + n_events)) AS weight FROM dc GROUP BY item_id),
-capped AS (SELECT * FROM dc WHERE n_items < {cap}),
+capped AS (SELECT * FROM dc WHERE {cap_col} < {cap}),
 ps AS (SELECT a.item_id AS item_a, b.item_id AS item_b,
               sum(a.n * b.n / ln(1 + a.n_events)) AS pair_score
        FROM capped a JOIN capped b ON a.user_id = b.user_id AND a.item_id < b.item_id
        GROUP BY a.item_id, b.item_id),
 dcn AS (SELECT dc.user_id, dc.item_id, dc.n_events, dc.n_items, dc.n / sqrt(w.weight) AS x
         FROM dc JOIN w ON dc.item_id = w.item_id),
-cn AS (SELECT * FROM dcn WHERE n_items < {cap}),
+cn AS (SELECT * FROM dcn WHERE {cap_col} < {cap}),
 half AS (SELECT a.item_id AS item_a, b.item_id AS item_b,
                 sum(a.x * b.x / ln(1 + a.n_events)) AS score
          FROM cn a JOIN cn b ON a.user_id = b.user_id AND a.item_id < b.item_id
@@ -207,3 +207,16 @@ def q_active_item_top_k(spark, sf_dir):
           + "SELECT item_id, item_list FROM lists")
 def q_purchase_top_k_list(spark, sf_dir):
     return S.related_items(purchases(spark, sf_dir), TOP_K, PURCHASE_USER_CAP)
+
+
+# The job's older form: users capped on events (fewer than 500), 100 partners.
+EVENT_CAP = 500
+EVENT_CAP_TOP_K = 100
+
+
+@register("item_top_k_event_cap", oracle=_with(SQL_VIEWS, sql_similarity_ctes(EVENT_CAP, "n_events"),
+                                               sql_top_k_ctes(EVENT_CAP_TOP_K))
+          + "SELECT item_id, rank, other_id, score FROM topk")
+def q_item_top_k_event_cap(spark, sf_dir):
+    sim = S.item_similarity(views(spark, sf_dir), EVENT_CAP, cap_on="events")
+    return S.top_k(sim, EVENT_CAP_TOP_K)

@@ -121,3 +121,12 @@ def test_items_with_partners_equals_items_in_similarity(spark):
         a = {r[0] for r in S.items_with_partners(S.damped_counts(v), cap).collect()}
         b = {r[0] for r in S.item_similarity(v, cap).select("item_id").distinct().collect()}
         assert a == b
+
+
+def test_event_cap_variant(spark):
+    pairs = read_behavior_csv(spark, os.path.join(DATA, "data.txt"), keep=1)
+    # users 2 and 3 have 3 events each: an event cap of 3 leaves no pairs,
+    # an event cap of 4 gives the item-cap result.
+    assert S.related_items(pairs, cap=3, cap_on="events").count() == 0
+    got = _lists(S.related_items(pairs, cap=4, cap_on="events"))
+    assert got == {1: "2:0.57735", 2: "3:0.70711;1:0.57735", 3: "2:0.70711"}
