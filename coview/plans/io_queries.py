@@ -49,7 +49,7 @@ def q_behavior_csv(spark, sf_dir):
 # --- S11: labelled points "y,x1 x2 x3" ----------------------------------------------
 
 @register("labeled_points", oracle="""
-SELECT CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS label,
+SELECT CASE WHEN l_returnflag = 'R' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS label,
        l_quantity AS x1, l_discount AS x2, l_tax AS x3, 3 AS n_features
 FROM lineitem""")
 def q_labeled_points(spark, sf_dir):

@@ -46,7 +46,7 @@ SELECT CAST(split_part(line, ',', 1) AS BIGINT) AS key,
        trim(split_part(line, ',', 2)) AS name,
        lower(split_part(line, ',', 3)) = lower('building') AS is_building,
        CAST(trim(split_part(line, ',', 4)) AS INTEGER) AS nation,
-       len(string_split(line, ',')) AS n_fields,
+       CAST(len(string_split(line, ',')) AS INTEGER) AS n_fields,
        array_to_string(string_split(line, ',')[2:], ',') AS rest
 FROM l""")
 def q_text_scalars(spark, sf_dir):
