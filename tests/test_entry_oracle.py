@@ -10,7 +10,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from coview.plans.tables import TABLES
 
-SKIP_AT_SMALL_SF = set()
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT"}
 
 
 def test_contract_keys():
@@ -49,5 +50,8 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == {d[0]: str(d[1]) for d in cur.description}
     assert len(srows) == len(drows)
     assert _norm(srows, df.columns) == _norm(drows, dcols)
