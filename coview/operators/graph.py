@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coview.operators.layout import HOT_KEY_ROWS
+from coview.operators.layout import HOT_KEY_ROWS, widen
 from coview.session import write_cut
 
 
@@ -89,6 +89,9 @@ def transitive_closure(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
     known = e
     delta = e
     for _ in range(max_rounds):
+        # A round's paths fan out by the out-degree of their end; a small delta
+        # written as one file would expand in one task, so spread it first.
+        delta = widen(delta)
         step = (delta.join(nxt, delta["dst"] == nxt["mid"])
                 .select(F.col("src"), F.col("to").alias("dst")).distinct())
         new = write_cut(step.join(known, ["src", "dst"], "left_anti"), "closure_delta")

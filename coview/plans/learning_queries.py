@@ -99,7 +99,9 @@ def label_first_points(spark, sf_dir, label_sql: str):
     text round-trips exactly, so the values equal ``lineitem_points``."""
     from coview.session import scratch_path
     from coview.sources.readers import parse_label_first, read_text
+    from coview.operators.layout import widen
     pts = lineitem_points(spark, sf_dir, label_sql)
+    pts = widen(pts)
     path = scratch_path(spark, "label_first_points")
     pts.select(F.concat_ws(" ", *[F.col(c).cast("string") for c in ["y", *FEATURES]])
                .alias("value")).write.text(path)
