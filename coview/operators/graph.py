@@ -49,7 +49,8 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85,
     """
     n = num_partitions or _num_partitions(edges)
     links = write_cut(distinct_edges(edges), "pagerank_links")
-    deg = links.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
+    # Out-degrees are read every round: written once, not re-aggregated from the edges.
+    deg = write_cut(links.groupBy("src").agg(F.count(F.lit(1)).alias("deg")), "pagerank_degree")
     hot = F.broadcast(deg.where(F.col("deg") > hot_rows).select("src"))
     cold_edges = links.join(hot, "src", "left_anti").repartition(n, "src").persist()
     hot_edges = links.join(hot, "src", "left_semi")
