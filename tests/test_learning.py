@@ -74,3 +74,16 @@ def test_error_measures(spark):
     assert abs(EV.error_rate(df, "p", "y").first()[0] - 2 / 3) < 1e-12
     assert EV.class_count(df, "y").first()[0] == 2
     assert EV.mean_squared_error(df.where("p > 5"), "p", "y").first()[0] is None
+
+
+def test_als_rmse_bound(spark):
+    # Ratings from a rank-2 structure: the factors must reproduce them closely.
+    rows = [(u, i, float(1 + (u % 3) + 2 * (i % 2))) for u in range(20) for i in range(12)]
+    r = spark.createDataFrame(rows, "user int, item int, rating double")
+    users, items = M.als_factors(r, rank=4, iterations=15, reg=0.01)
+    pred = (r.join(users.withColumnRenamed("id", "user").withColumnRenamed("features", "uf"), "user")
+             .join(items.withColumnRenamed("id", "item").withColumnRenamed("features", "itf"), "item")
+             .select("rating", F.aggregate(F.zip_with("uf", "itf", lambda a, b: a * b), F.lit(0.0),
+                                           lambda acc, v: acc + v).alias("p")))
+    rmse = pred.agg(F.sqrt(F.avg(F.pow(F.col("p") - F.col("rating"), 2)))).first()[0]
+    assert rmse < 0.1
