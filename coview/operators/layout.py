@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from coview.session import write_cut
+from coview.session import parallelism, write_cut
 
 _POS_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
 
@@ -73,8 +73,12 @@ def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Counting partitions plans the frame; call this on a scan (or a narrow
     projection of one), where planning runs no job.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    target = min_partitions or parallelism(df.sparkSession)
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave the layout to Spark
+        return df
+    if current >= target:
         return df
     return df.repartition(target)
 

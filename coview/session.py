@@ -48,7 +48,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` setting, then (only when both are unset) a fresh
     folder of our own, which is also installed as the checkpoint directory.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no context: use the setting
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="coview-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -59,6 +63,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def parallelism(spark: SparkSession) -> int:
+    """The cluster's task slots (``defaultParallelism``), or the shuffle
+    partition count where the context is not reachable."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path that does not exist yet, below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
