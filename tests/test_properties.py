@@ -35,3 +35,92 @@ def test_text_lines_match_line_reader(spark, texts):
     # io.StringIO with newline=None splits on \n, \r and \r\n like a line reader.
     want = [[ln.rstrip("\r\n") for ln in io.StringIO(x, newline=None)] for x in texts]
     assert got == want
+
+
+# --- brute force on random small inputs ------------------------------------------------
+
+edge_lists = st.lists(st.tuples(st.integers(0, 9), st.integers(0, 9)), min_size=1, max_size=25)
+
+
+def closure_model(edges):
+    out = set(edges)
+    while True:
+        more = {(a, d) for (a, b) in out for (c, d) in edges if b == c} - out
+        if not more:
+            return out
+        out |= more
+
+
+def pagerank_model(edges, rounds):
+    links = {}
+    for a, b in set(edges):
+        links.setdefault(a, []).append(b)
+    ranks = {a: 1.0 for a in links}
+    for _ in range(rounds):
+        contrib = {}
+        for a, outs in links.items():
+            if a in ranks:
+                for b in outs:
+                    contrib[b] = contrib.get(b, 0.0) + ranks[a] / len(outs)
+        ranks = {b: 0.15 + s * 0.85 for b, s in contrib.items()}
+    return ranks
+
+
+@settings(max_examples=8, deadline=None)
+@given(edge_lists)
+def test_closure_matches_brute_force(spark, edges):
+    from coview.operators.graph import transitive_closure
+    df = spark.createDataFrame(edges, "src long, dst long")
+    got = {tuple(r) for r in transitive_closure(df).collect()}
+    assert got == closure_model(edges)
+
+
+@settings(max_examples=8, deadline=None)
+@given(edge_lists, st.integers(0, 4))
+def test_pagerank_matches_brute_force(spark, edges, rounds):
+    import math
+    from coview.operators.graph import pagerank
+    df = spark.createDataFrame(edges, "src long, dst long")
+    got = {r["node"]: r["rank"] for r in pagerank(df, rounds, hot_rows=2).collect()}
+    want = pagerank_model(edges, rounds)
+    assert got.keys() == want.keys()
+    assert all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+
+
+def similarity_model(events, cap, k):
+    import math
+    n_u, c = {}, {}
+    for u, i in events:
+        n_u[u] = n_u.get(u, 0) + 1
+        c[(u, i)] = c.get((u, i), 0) + 1
+    items_of = {}
+    for (u, i), n in c.items():
+        items_of.setdefault(u, {})[i] = n
+    w = {}
+    for (u, i), n in c.items():
+        w[i] = w.get(i, 0.0) + n * n / math.log(1 + n_u[u])
+    s = {}
+    for u, its in items_of.items():
+        if len(its) >= cap:
+            continue
+        for a in its:
+            for b in its:
+                if a != b:
+                    s[(a, b)] = s.get((a, b), 0.0) + its[a] * its[b] / math.log(1 + n_u[u])
+    per = {}
+    for (a, b), v in s.items():
+        per.setdefault(a, []).append((round(v / math.sqrt(w[a]) / math.sqrt(w[b]) + 1e-12, 9), b))
+    return {a: [b for _, b in sorted(lst, key=lambda t: (-t[0], t[1]))[:k]] for a, lst in per.items()}
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 7)), min_size=1, max_size=40),
+       st.integers(2, 6), st.integers(1, 4), st.sampled_from([0, 3, 1 << 20]))
+def test_similarity_matches_brute_force(spark, events, cap, k, hot_rows):
+    from coview.operators import similarity as S
+    df = spark.createDataFrame(events, "user_id long, item_id long")
+    got = {}
+    for r in S.top_k(S.item_similarity(df, cap, hot_rows), k).collect():
+        got.setdefault(r["item_id"], []).append((r["rank"], r["other_id"]))
+    got = {a: [b for _, b in sorted(v)] for a, v in got.items()}
+    assert got == similarity_model(events, cap, k)
