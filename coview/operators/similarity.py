@@ -126,15 +126,17 @@ def mirror(half: DataFrame) -> DataFrame:
 
 def item_similarity(pairs: DataFrame, cap: int = 100, hot_rows: int = HOT_KEY_ROWS,
                     cap_on: str = "items") -> DataFrame:
-    """(item_id, other_id, score) in both directions.
+    """(item_id, other_id, score) in both directions, score as ``rank_score``.
 
     The per-(user, item) table is written once to the shared folder; the
     weights and the normalised counts both read it. (Within one plan, the two
     branches would each scan and shuffle the raw log again: their column
-    pruning differs, so Spark cannot reuse the exchange.)
+    pruning differs, so Spark cannot reuse the exchange.) Scores are rounded
+    once per unordered pair, before the mirror doubles the rows.
     """
     dc = write_cut(damped_counts(pairs, hot_rows), "user_item_counts")
-    return mirror(similarity_half(normalized_counts(dc, item_weights(dc), hot_rows), cap, cap_on))
+    half = similarity_half(normalized_counts(dc, item_weights(dc), hot_rows), cap, cap_on)
+    return mirror(half.withColumn("score", rank_score(F.col("score"))))
 
 
 def items_with_partners(dc: DataFrame, cap: int = 100, cap_on: str = "items") -> DataFrame:
@@ -148,13 +150,15 @@ def items_with_partners(dc: DataFrame, cap: int = 100, cap_on: str = "items") ->
             .select("item_id").distinct())
 
 
-def top_k(similar: DataFrame, k: int = 10) -> DataFrame:
+def top_k(similar: DataFrame, k: int = 10, round_scores: bool = True) -> DataFrame:
     """(item_id, rank, other_id, score): the k best partners per item.
 
-    Ties in the rounded score go to the smaller partner id.
+    Ties in the rounded score go to the smaller partner id. Scores from
+    ``item_similarity`` are rounded already (``round_scores=False`` skips the
+    second, idempotent rounding).
     """
     w = Window.partitionBy("item_id").orderBy(F.col("score").desc(), F.col("other_id").asc())
-    ranked = similar.withColumn("score", rank_score(F.col("score")))
+    ranked = similar.withColumn("score", rank_score(F.col("score"))) if round_scores else similar
     return (ranked.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
             .select("item_id", F.col("rank").cast("int").alias("rank"), "other_id", "score"))
@@ -180,7 +184,7 @@ def related_items(pairs: DataFrame, k: int = 10, cap: int = 100,
     ``cap_on="events", cap=500, k=100`` is the job's older form, which capped
     users on their event count; its pair sums are the same.
     """
-    return top_k_list(top_k(item_similarity(pairs, cap, hot_rows, cap_on), k))
+    return top_k_list(top_k(item_similarity(pairs, cap, hot_rows, cap_on), k, round_scores=False))
 
 
 def shown_items(lists: DataFrame, active: DataFrame, n: int = 101) -> DataFrame:

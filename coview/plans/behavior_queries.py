@@ -175,13 +175,13 @@ def q_item_pair_scores(spark, sf_dir):
           + "SELECT item_id, other_id, round(score + 1e-12, 9) AS score FROM sim")
 def q_item_similarity(spark, sf_dir):
     sim = S.item_similarity(views(spark, sf_dir), USER_CAP)
-    return sim.select("item_id", "other_id", S.rank_score(F.col("score")).alias("score"))
+    return sim.select("item_id", "other_id", "score")   # already rounded (rank_score)
 
 
 @register("item_top_k", oracle=_with(SQL_VIEWS, sql_similarity_ctes(USER_CAP), sql_top_k_ctes(TOP_K))
           + "SELECT item_id, rank, other_id, score FROM topk")
 def q_item_top_k(spark, sf_dir):
-    return S.top_k(S.item_similarity(views(spark, sf_dir), USER_CAP), TOP_K)
+    return S.top_k(S.item_similarity(views(spark, sf_dir), USER_CAP), TOP_K, round_scores=False)
 
 
 @register("item_top_k_list", oracle=_with(SQL_VIEWS, sql_similarity_ctes(USER_CAP),
@@ -219,4 +219,4 @@ EVENT_CAP_TOP_K = 100
           + "SELECT item_id, rank, other_id, score FROM topk")
 def q_item_top_k_event_cap(spark, sf_dir):
     sim = S.item_similarity(views(spark, sf_dir), EVENT_CAP, cap_on="events")
-    return S.top_k(sim, EVENT_CAP_TOP_K)
+    return S.top_k(sim, EVENT_CAP_TOP_K, round_scores=False)
