@@ -152,11 +152,11 @@ FROM events WHERE event_type = 'view'""")
 def q_click_table(spark, sf_dir):
     name = _unique("user_info")
     B.behavior_log_from_events(table(spark, sf_dir, "events")).createOrReplaceTempView(name)
-    click = _unique("prm_click")
+    click = _unique("click")
     return K.create_table_as(
         spark, click,
         f"SELECT user_id, item_id, time AS t FROM {name} WHERE behavior_type = 1",
-        scratch_path(spark, "prm_click"))
+        scratch_path(spark, "click"))
 
 
 # --- K4 + K5 + F14: one partition overwritten, the other left alone -------------------
@@ -168,15 +168,15 @@ UNION ALL
 SELECT item_id, CAST(count(*) AS VARCHAR) AS item_list, '2015-11-21' AS ds
 FROM views GROUP BY item_id""")
 def q_overwrite_partition(spark, sf_dir):
-    t = _unique("prm14_result")
+    t = _unique("related_result")
     K.create_partitioned_table(spark, t, "item_id BIGINT, item_list STRING", "ds",
-                               scratch_path(spark, "prm14_result"))
+                               scratch_path(spark, "related_result"))
     v = views(spark, sf_dir)
     lists = _unique("lists")
     S.related_items(v, TOP_K, USER_CAP).createOrReplaceTempView(lists)
     counts = _unique("counts")
     B.item_activity(v).createOrReplaceTempView(counts)
-    K.insert_overwrite_partition(spark, t, "ds", "2015-11-21", "SELECT 1111, 'prm14:100;asdfsd'")
+    K.insert_overwrite_partition(spark, t, "ds", "2015-11-21", "SELECT 1111, 'old:100;row'")
     K.insert_overwrite_partition(spark, t, "ds", "2015-11-22",
                                  f"SELECT item_id, item_list FROM {lists}")
     K.insert_overwrite_partition(spark, t, "ds", "2015-11-21",

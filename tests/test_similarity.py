@@ -11,13 +11,13 @@ def _lists(df):
 
 
 def test_tiny_triples_expected_lists(spark):
-    pairs = read_behavior_csv(spark, os.path.join(DATA, "data.txt"), keep=1)
+    pairs = read_behavior_csv(spark, os.path.join(DATA, "tiny_triples.csv"), keep=1)
     got = _lists(S.related_items(pairs, k=10, cap=100))
     assert got == {1: "2:0.57735", 2: "3:0.70711;1:0.57735", 3: "2:0.70711"}
 
 
 def test_behavior_sample_four_mutual_pairs(spark):
-    pairs = read_behavior_csv(spark, os.path.join(DATA, "behavior.txt"), keep=1)
+    pairs = read_behavior_csv(spark, os.path.join(DATA, "behaviour_sample.csv"), keep=1)
     assert pairs.count() == 18
     got = _lists(S.related_items(pairs))
     assert got == {
@@ -124,7 +124,7 @@ def test_items_with_partners_equals_items_in_similarity(spark):
 
 
 def test_event_cap_variant(spark):
-    pairs = read_behavior_csv(spark, os.path.join(DATA, "data.txt"), keep=1)
+    pairs = read_behavior_csv(spark, os.path.join(DATA, "tiny_triples.csv"), keep=1)
     # users 2 and 3 have 3 events each: an event cap of 3 leaves no pairs,
     # an event cap of 4 gives the item-cap result.
     assert S.related_items(pairs, cap=3, cap_on="events").count() == 0

@@ -14,7 +14,7 @@ def _write_lines(spark, path, lines):
 
 
 def test_behavior_csv_all_columns(spark):
-    df = R.read_behavior_csv(spark, os.path.join(DATA, "behavior.txt"), keep=None)
+    df = R.read_behavior_csv(spark, os.path.join(DATA, "behaviour_sample.csv"), keep=None)
     assert df.count() == 20
     assert df.schema.simpleString().startswith("struct<user_id:bigint,item_id:bigint,behavior_type:int")
     assert df.where(F.col("behavior_type") != 1).count() == 2
@@ -92,22 +92,22 @@ def test_parquet_write_fails_if_exists(spark, scratch):
 
 
 def test_partition_overwrite_keeps_other_partitions(spark, scratch):
-    K.create_partitioned_table(spark, "prm14_result_t", "item_id BIGINT, item_list STRING", "ds",
-                               scratch("prm14"))
-    K.insert_overwrite_partition(spark, "prm14_result_t", "ds", "2015-11-21",
-                                 "SELECT 1111, 'prm14:100;asdfsd'")
-    K.insert_overwrite_partition(spark, "prm14_result_t", "ds", "2015-11-22", "SELECT 1, 'x'")
-    K.insert_overwrite_partition(spark, "prm14_result_t", "ds", "2015-11-21", "SELECT 2, 'y'")
-    got = sorted(tuple(r) for r in spark.table("prm14_result_t").collect())
+    K.create_partitioned_table(spark, "related_result_t", "item_id BIGINT, item_list STRING", "ds",
+                               scratch("related_result"))
+    K.insert_overwrite_partition(spark, "related_result_t", "ds", "2015-11-21",
+                                 "SELECT 1111, 'old:100;row'")
+    K.insert_overwrite_partition(spark, "related_result_t", "ds", "2015-11-22", "SELECT 1, 'x'")
+    K.insert_overwrite_partition(spark, "related_result_t", "ds", "2015-11-21", "SELECT 2, 'y'")
+    got = sorted(tuple(r) for r in spark.table("related_result_t").collect())
     assert got == [(1, "x", "2015-11-22"), (2, "y", "2015-11-21")]
 
 
 def test_create_table_as_if_not_exists(spark, scratch):
     loc = scratch("ctas")
     spark.createDataFrame([(1, 1), (2, 2)], "user_id int, b int").createOrReplaceTempView("ui_t")
-    t = K.create_table_as(spark, "prm_click_t", "SELECT user_id FROM ui_t WHERE b = 1", loc)
+    t = K.create_table_as(spark, "click_t", "SELECT user_id FROM ui_t WHERE b = 1", loc)
     assert t.count() == 1
-    t2 = K.create_table_as(spark, "prm_click_t", "SELECT user_id FROM ui_t", loc)
+    t2 = K.create_table_as(spark, "click_t", "SELECT user_id FROM ui_t", loc)
     assert t2.count() == 1  # left as it was
 
 
@@ -119,9 +119,9 @@ def test_views_catalog_and_database(spark):
     assert spark.table("people_v").count() == 2
     names = [r["tableName"] for r in K.list_tables(spark).collect()]
     assert "people_v" in names
-    spark.sql("CREATE DATABASE IF NOT EXISTS tmalldb")
-    K.use_database(spark, "tmalldb")
-    assert spark.catalog.currentDatabase() == "tmalldb"
+    spark.sql("CREATE DATABASE IF NOT EXISTS behavior_db")
+    K.use_database(spark, "behavior_db")
+    assert spark.catalog.currentDatabase() == "behavior_db"
     K.use_database(spark, "default")
 
 

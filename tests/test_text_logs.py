@@ -22,7 +22,7 @@ def test_text_lines_breaks(spark):
 
 
 def test_word_count_behavior_sample(spark):
-    lines = read_text(spark, os.path.join(DATA, "behavior.txt")).withColumnRenamed("value", "line")
+    lines = read_text(spark, os.path.join(DATA, "behaviour_sample.csv")).withColumnRenamed("value", "line")
     got = {r["word"]: r["n"] for r in word_count(lines).collect()}
     assert sum(got.values()) == 40
     repeated = {w: n for w, n in got.items() if n > 1}
