@@ -124,3 +124,45 @@ def test_similarity_matches_brute_force(spark, events, cap, k, hot_rows):
         got.setdefault(r["item_id"], []).append((r["rank"], r["other_id"]))
     got = {a: [b for _, b in sorted(v)] for a, v in got.items()}
     assert got == similarity_model(events, cap, k)
+
+
+log_line = st.one_of(
+    st.builds(lambda ip, user, req, nbytes: f'{ip} - {user} [18/Jan/2013:17:56:07 +1100] "{req}" '
+                                            f'200 {nbytes} "r" "agent"',
+              st.sampled_from(["1.2.3.4", "10.0.0.1"]),
+              st.sampled_from(['"FRED"', "-", '"bob"', "x"]),
+              st.sampled_from(["GET /a HTTP/1.1", "POST /b HTTP/1.0"]),
+              st.one_of(st.integers(0, 5000).map(str), st.just("-"))),
+    st.text(alphabet="ab -[]\"", max_size=20),
+)
+
+
+def log_model(lines):
+    import re
+    from coview.sources.readers import ACCESS_LOG_PATTERN
+    pat = re.compile(ACCESS_LOG_PATTERN)
+    out = {}
+    for line in lines:
+        m = pat.match(line)
+        if m and m.group(3).lower() != "-":
+            key = (m.group(1), m.group(3), m.group(5))
+        else:
+            key = (None, None, None)
+        nbytes = 0
+        if m:
+            try:
+                nbytes = int(m.group(7))
+            except ValueError:
+                nbytes = 0
+        n, b = out.get(key, (0, 0))
+        out[key] = (n + 1, b + nbytes)
+    return out
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(log_line, min_size=1, max_size=30))
+def test_log_rollup_matches_model(spark, lines):
+    from coview.operators.logs import log_rollup
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = {(r["ip"], r["user"], r["request"]): (r["n"], r["bytes"]) for r in log_rollup(df).collect()}
+    assert got == log_model(lines)
