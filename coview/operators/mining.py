@@ -7,6 +7,8 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coview.session import parallelism
+
 
 def transactions(rows: DataFrame, basket_col: str, item_col: str) -> DataFrame:
     """One row per basket with its distinct items (FP-growth refuses duplicates).
@@ -22,11 +24,12 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.3,
     """(itemset, size, freq): every itemset in at least ``ceil(min_support * n)`` baskets.
 
     ``itemset`` is the sorted items joined by ``,``. The mining is Spark ML's
-    parallel FP-growth; ``num_partitions`` spreads its conditional trees.
+    parallel FP-growth; ``num_partitions`` spreads its conditional trees and
+    defaults to the cluster's parallelism (Spark's own default, the input's
+    partition count, is one task for a basket table stored as one file).
     """
     fp = FPGrowth(itemsCol=items_col, minSupport=min_support, minConfidence=1.0)
-    if num_partitions:
-        fp = fp.setNumPartitions(num_partitions)
+    fp = fp.setNumPartitions(num_partitions or parallelism(baskets.sparkSession))
     sets = fp.fit(baskets).freqItemsets
     return sets.select(F.array_join(F.array_sort("items"), ",").alias("itemset"),
                        F.size("items").alias("size"), F.col("freq").cast("long").alias("freq"))
