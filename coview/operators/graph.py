@@ -47,34 +47,59 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85,
     written and get their share broadcast, so no task holds a hot source's
     whole adjacency.
     """
-    n = num_partitions or _num_partitions(edges)
-    links = write_cut(distinct_edges(edges), "pagerank_links")
-    # Out-degrees are read every round: written once, not re-aggregated from the edges.
-    deg = write_cut(links.groupBy("src").agg(F.count(F.lit(1)).alias("deg")), "pagerank_degree")
-    hot = F.broadcast(deg.where(F.col("deg") > hot_rows).select("src"))
-    cold_edges = links.join(hot, "src", "left_anti").repartition(n, "src").persist()
-    hot_edges = links.join(hot, "src", "left_semi")
-    ranks = deg.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
-    base = 1.0 - damping
+    layout = pagerank_layout(edges, num_partitions, hot_rows)
+    ranks = pagerank_start(layout)
     try:
         for i in range(1, iterations + 1):
-            share = (ranks.join(deg, ranks["node"] == deg["src"])
-                     .select("src", (F.col("rank") / F.col("deg")).alias("share")))
-            hot_share = F.broadcast(share.join(hot, "src", "left_semi"))
-            contrib = (cold_edges.join(share, "src").select("dst", "share")
-                       .unionByName(hot_edges.join(hot_share, "src").select("dst", "share")))
-            ranks = (contrib.groupBy("dst")
-                     .agg((F.lit(base) + F.sum("share") * F.lit(damping)).alias("rank"))
-                     .select(F.col("dst").alias("node"), "rank"))
+            ranks = pagerank_round(layout, ranks, damping)
             if i % cut_every == 0 and i < iterations:
                 ranks = write_cut(ranks, "pagerank")
         if iterations > 0:
             ranks = write_cut(ranks, "pagerank")
     finally:
-        cold_edges.unpersist()
+        layout["cold_edges"].unpersist()
     return ranks
 
 
+def pagerank_layout(edges: DataFrame, num_partitions: int | None = None,
+                    hot_rows: int = HOT_KEY_ROWS) -> dict:
+    """The loop-invariant tables of PageRank: out-degrees (written once), the hot
+    sources (broadcast, at most |E| / hot_rows), the edges of ordinary sources
+    (hash-partitioned on ``src`` and kept) and the edges of hot sources (left as
+    written). The caller unpersists ``cold_edges``."""
+    n = num_partitions or _num_partitions(edges)
+    links = write_cut(distinct_edges(edges), "pagerank_links")
+    # Out-degrees are read every round: written once, not re-aggregated from the edges.
+    deg = write_cut(links.groupBy("src").agg(F.count(F.lit(1)).alias("deg")), "pagerank_degree")
+    hot = F.broadcast(deg.where(F.col("deg") > hot_rows).select("src"))
+    return {
+        "deg": deg,
+        "hot": hot,
+        "cold_edges": links.join(hot, "src", "left_anti").repartition(n, "src").persist(),
+        "hot_edges": links.join(hot, "src", "left_semi"),
+    }
+
+
+def pagerank_start(layout: dict) -> DataFrame:
+    """Rank 1.0 for every node with an out-link."""
+    return layout["deg"].select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
+
+
+def pagerank_round(layout: dict, ranks: DataFrame, damping: float = 0.85) -> DataFrame:
+    """One round: each source's share ``rank / outdeg`` meets its edges (ordinary
+    sources through the kept partitioning, hot ones map-side against a broadcast
+    of their shares), then shares are summed per target."""
+    deg, hot = layout["deg"], layout["hot"]
+    share = (ranks.join(deg, ranks["node"] == deg["src"])
+             .select("src", (F.col("rank") / F.col("deg")).alias("share")))
+    hot_share = F.broadcast(share.join(hot, "src", "left_semi"))
+    contrib = (layout["cold_edges"].join(share, "src").select("dst", "share")
+               .unionByName(layout["hot_edges"].join(hot_share, "src").select("dst", "share")))
+    return (contrib.groupBy("dst")
+            .agg((F.lit(1.0 - damping) + F.sum("share") * F.lit(damping)).alias("rank"))
+            .select(F.col("dst").alias("node"), "rank"))
+
+
 def transitive_closure(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
     """All (src, dst) joined by a path of length >= 1; (x, x) when x is on a cycle.
 
