@@ -164,3 +164,12 @@ def test_random_split_seeded(spark):
     a2, _ = random_split(df, seed=7)
     assert a1.count() + b1.count() == 2000
     assert sorted(r[0] for r in a1.collect()) == sorted(r[0] for r in a2.collect())
+
+
+def test_widen_only_spreads_narrow_inputs(spark):
+    from coview.operators.layout import widen
+    target = spark.sparkContext.defaultParallelism
+    narrow = spark.range(0, 100, numPartitions=1)
+    assert widen(narrow).rdd.getNumPartitions() == target
+    wide = spark.range(0, 100, numPartitions=target + 3)
+    assert widen(wide) is wide
