@@ -10,11 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coview.llm import decontaminate as D
-from coview.llm import packing
+from coview.llm import langid, packing, quality, sharding
 from coview.llm.tables import documents, table
 from coview.llm.tables import tokenizer_path
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir)).withColumnRenamed("key", "doc_id")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
@@ -30,9 +34,27 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (hit > 0).alias("contaminated"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs)
+    return (langid.identify(docs, model)
+            .select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rules = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return (quality.judge(docs, rules)
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                    "base_failed", "kept"))
+
+
 QUERIES = {
+    "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
     "op6_decontamination": op6_decontamination,
+    "op7_language_id": op7_language_id,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
