@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coview.llm import decontaminate as D
-from coview.llm import langid, packing, quality, sharding
+from coview.llm import langid, licenses, packing, pii, quality, sharding
 from coview.llm.tables import documents, table
 from coview.llm.tables import tokenizer_path
 
@@ -25,6 +25,22 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (licenses.scan(documents(spark, sf_dir))
+            .withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")}))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(documents(spark, sf_dir))
+
+    def count(kind: str):
+        of_kind = F.filter("base", lambda s: s.startswith(f"{kind}:"))
+        return F.size(of_kind).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, ("email", "ip", "card", "phone")), F.sha2(F.array_join("base", ","), 256).alias("base_sha256"),
+                        F.array_join("spans", ",").alias("spans"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = D.find_windows(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     hit = D.n_hit()
@@ -52,9 +68,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
+    "op5_license_scans": op5_license_scans,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
+    "op9_pii": op9_pii,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
