@@ -10,11 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coview.llm import decontaminate as D
-from coview.llm import langid, licenses, packing, pii, quality, sharding
+from coview.llm import jaccard, langid, licenses, packing, pii, quality, sharding
 from coview.llm.tables import documents, table
 from coview.llm.tables import tokenizer_path
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (jaccard.join(documents(spark, sf_dir))
+            .select("doc_id", "n_shingles", "component_id"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir)).withColumnRenamed("key", "doc_id")
 
@@ -66,6 +71,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
     "op5_license_scans": op5_license_scans,
@@ -109,6 +115,29 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN words USING (r) LEFT JOIN ids USING (r)
 """
 
+OP1_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + least(len(w), 5) - 1), ' ') AS g
+  FROM d, LATERAL (SELECT unnest(generate_series(1, greatest(len(w) - 4, 1))) AS p)
+  WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
+      FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM o JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+      WHERE 100 * i >= 75 * (nx.n + ny.n - i)),
+r AS (SELECT DISTINCT x AS doc_id, x AS root FROM e
+      UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+       coalesce(c.root, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id)
+LEFT JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) c USING (doc_id)
+"""
+
 ORACLE_SQL = {
+    "op1_ngram_jaccard_join": OP1_SQL,
     "op6_decontamination": OP6_SQL,
 }
