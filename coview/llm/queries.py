@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coview.llm import decontaminate as D
-from coview.llm import jaccard, langid, licenses, packing, pii, quality, sharding
+from coview.llm import jaccard, langid, licenses, packing, pii, quality, sharding, suffixes
 from coview.llm.tables import documents, table
 from coview.llm.tables import tokenizer_path
 
@@ -30,6 +30,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicate(documents(spark, sf_dir))
+
+
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (licenses.scan(documents(spark, sf_dir))
             .withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")}))
@@ -74,6 +78,7 @@ QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_license_scans": op5_license_scans,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
