@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coview.llm import decontaminate as D
-from coview.llm import jaccard, langid, licenses, packing, pii, quality, sharding, suffixes
+from coview.llm import jaccard, langid, licenses, lm, packing, pii, quality, sharding, suffixes
 from coview.llm.tables import documents, table
 from coview.llm.tables import tokenizer_path
 
@@ -74,6 +74,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "base_failed", "kept"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_sharding": op2_sharding,
@@ -84,6 +88,7 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op9_pii": op9_pii,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
