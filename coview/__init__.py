@@ -7,7 +7,6 @@ Subpackages:
                gradient descent, evaluation, MLlib-backed learning
     plans      the registered queries over the driver's tables and their
                DuckDB oracle SQL
-    streaming  empty on purpose: the reference runs no streams
 """
 
 __version__ = "0.1.0"

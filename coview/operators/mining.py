@@ -23,6 +23,8 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.3,
                       num_partitions: int | None = None, items_col: str = "items") -> DataFrame:
     """(itemset, size, freq): every itemset in at least ``ceil(min_support * n)`` baskets.
 
+    A repeated item of a basket counts once.
+
     ``itemset`` is the sorted items joined by ``,``. The mining is Spark ML's
     parallel FP-growth; ``num_partitions`` spreads its conditional trees and
     defaults to the cluster's parallelism (Spark's own default, the input's
@@ -30,6 +32,7 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.3,
     """
     fp = FPGrowth(itemsCol=items_col, minSupport=min_support, minConfidence=1.0)
     fp = fp.setNumPartitions(num_partitions or parallelism(baskets.sparkSession))
+    baskets = baskets.withColumn(items_col, F.array_distinct(items_col))
     sets = fp.fit(baskets).freqItemsets
     return sets.select(F.array_join(F.array_sort("items"), ",").alias("itemset"),
                        F.size("items").alias("size"), F.col("freq").cast("long").alias("freq"))

@@ -202,3 +202,57 @@ FROM orders""")
 def q_row_index(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return dense_index(o, ["o_orderkey"]).select("row_index", "o_orderkey", "o_custkey")
+
+
+# --- S10, S12, S13, S14: the parsers of training inputs -------------------------------
+
+def _through_text(spark, name, lines):
+    """A frame of one text column, written to the shared folder and read back."""
+    path = scratch_path(spark, name)
+    lines.write.text(path)
+    return R.read_text(spark, path)
+
+
+@register("ratings_lines", oracle="""
+SELECT CAST(o_custkey AS INTEGER) AS "user", CAST(o_orderkey AS INTEGER) AS item,
+       CAST(o_totalprice AS DOUBLE) AS rating FROM orders""")
+def q_ratings_lines(spark, sf_dir):
+    path = scratch_path(spark, "ratings_csv")
+    (table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.col("o_totalprice").cast("double"))
+     .write.csv(path))
+    return R.read_ratings(spark, path)
+
+
+@register("dense_vector_lines", oracle="""
+SELECT CAST(len(embedding) AS INTEGER) AS dims, CAST(embedding[1] AS DOUBLE) AS first,
+       CAST(embedding[-1] AS DOUBLE) AS last FROM embeddings""")
+def q_dense_vector_lines(spark, sf_dir):
+    text = F.transform("embedding", lambda v: v.cast("double").cast("string"))
+    lines = _through_text(spark, "vectors_txt", table(spark, sf_dir, "embeddings")
+                          .select(F.array_join(text, " ").alias("value")))
+    return R.parse_dense_vectors(lines).select(
+        F.size("features").alias("dims"), F.element_at("features", 1).alias("first"),
+        F.element_at("features", -1).alias("last"))
+
+
+@register("label_first_lines", oracle="""
+SELECT CAST(l_quantity AS DOUBLE) AS label, CAST(l_extendedprice AS DOUBLE) AS x1,
+       CAST(l_discount AS DOUBLE) AS x2, CAST(l_tax AS DOUBLE) AS x3 FROM lineitem""")
+def q_label_first_lines(spark, sf_dir):
+    cols = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    lines = _through_text(spark, "label_first_txt", table(spark, sf_dir, "lineitem").select(
+        F.concat_ws(" ", *[F.col(c).cast("double").cast("string") for c in cols]).alias("value")))
+    return R.parse_label_first(lines, dims=3).select(
+        "label", *[F.col("x")[i].alias(f"x{i + 1}") for i in range(3)])
+
+
+@register("transaction_lines", oracle="""
+SELECT CAST(o_custkey AS VARCHAR) || ',' || o_orderstatus AS items, CAST(3 AS INTEGER) AS n_read,
+       CAST(2 AS INTEGER) AS n_items FROM orders""")
+def q_transaction_lines(spark, sf_dir):
+    """Baskets with a repeated item: read as they stand, counted once."""
+    lines = _through_text(spark, "transactions_txt", table(spark, sf_dir, "orders").select(
+        F.concat_ws(" ", F.col("o_custkey").cast("string"), "o_orderstatus", "o_orderstatus").alias("value")))
+    items = R.parse_transactions(lines).select("items", F.array_distinct("items").alias("kept"))
+    return items.select(F.array_join("kept", ",").alias("items"), F.size("items").alias("n_read"),
+                        F.size("kept").alias("n_items"))

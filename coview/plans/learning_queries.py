@@ -93,26 +93,9 @@ def q_logistic_gradient(spark, sf_dir):
     return g.select(*[F.round(F.col(c) + F.lit(1e-9), 6).alias(c) for c in g.columns])
 
 
-def label_first_points(spark, sf_dir, label_sql: str):
-    """lineitem as the reference's point lines ``y x1 ... x10`` (written to the
-    shared folder) read back through the label-first parser. Java's double
-    text round-trips exactly, so the values equal ``lineitem_points``."""
-    from coview.session import scratch_path
-    from coview.sources.readers import parse_label_first, read_text
-    from coview.operators.layout import widen
-    pts = lineitem_points(spark, sf_dir, label_sql)
-    pts = widen(pts)
-    path = scratch_path(spark, "label_first_points")
-    pts.select(F.concat_ws(" ", *[F.col(c).cast("string") for c in ["y", *FEATURES]])
-               .alias("value")).write.text(path)
-    parsed = parse_label_first(read_text(spark, path), dims=len(FEATURES))
-    return parsed.select(F.col("label").alias("y"),
-                         *[F.col("x")[j].alias(x) for j, x in enumerate(FEATURES)])
-
-
 @register("logistic_gd", oracle=_sql_gd(GD_ROUNDS))
 def q_logistic_gd(spark, sf_dir):
-    w = D.logistic_gd(label_first_points(spark, sf_dir, LABEL_PM1), FEATURES, "y",
+    w = D.logistic_gd(lineitem_points(spark, sf_dir, LABEL_PM1), FEATURES, "y",
                       D.START_WEIGHTS_SEED42, GD_ROUNDS)
     return D.weights_frame(spark, w)
 
@@ -202,14 +185,8 @@ def q_frequent_itemsets(spark, sf_dir):
     from coview.operators.mining import frequent_itemsets, transactions
     li = table(spark, sf_dir, "lineitem")
     p = table(spark, sf_dir, "part")
-    from coview.session import scratch_path
-    from coview.sources.readers import parse_transactions, read_text
     rows = li.join(p, li["l_partkey"] == p["p_partkey"]).select("l_orderkey", "p_type")
-    # Baskets as the reference reads them: one line per basket, items split on a space.
-    path = scratch_path(spark, "transactions_txt")
-    (transactions(rows, "l_orderkey", "p_type")
-     .select(F.array_join("items", " ").alias("value")).write.text(path))
-    return frequent_itemsets(parse_transactions(read_text(spark, path)), FP_MIN_SUPPORT)
+    return frequent_itemsets(transactions(rows, "l_orderkey", "p_type"), FP_MIN_SUPPORT)
 
 
 # --- M2 + K2: ALS factors and their text dump ----------------------------------------
@@ -226,12 +203,7 @@ def purchase_ratings(spark, sf_dir):
 
 def _factors(spark, sf_dir):
     from coview.operators.mining import als_factors
-    from coview.session import scratch_path
-    from coview.sources.readers import read_ratings
-    # Ratings as ``user,item,rating`` lines, read back with the ratings schema.
-    path = scratch_path(spark, "ratings_csv")
-    purchase_ratings(spark, sf_dir).write.csv(path)
-    return als_factors(read_ratings(spark, path), rank=10, iterations=5, reg=0.01)
+    return als_factors(purchase_ratings(spark, sf_dir), rank=10, iterations=5, reg=0.01)
 
 
 @register("als_factors")
@@ -246,10 +218,13 @@ def q_als_factors(spark, sf_dir):
 def q_factor_text_lines(spark, sf_dir):
     from coview.session import scratch_path
     from coview.sources.sinks import vector_text, write_text_lines
-    users, _ = _factors(spark, sf_dir)
-    path = scratch_path(spark, "user_factors_txt")
-    write_text_lines(users, path, vector_text("id", "features"))
-    return spark.read.text(path)
+    lines = None
+    for side, factors in zip(("user", "item"), _factors(spark, sf_dir), strict=True):
+        path = scratch_path(spark, f"{side}_factors_txt")
+        write_text_lines(factors, path, vector_text("id", "features"))
+        part = spark.read.text(path).select(F.lit(side).alias("side"), "value")
+        lines = part if lines is None else lines.unionByName(part)
+    return lines
 
 
 # --- M4, M5, M6: k-means, LDA, power iteration clustering ----------------------------
@@ -257,14 +232,7 @@ def q_factor_text_lines(spark, sf_dir):
 @register("kmeans_centers")
 def q_kmeans_centers(spark, sf_dir):
     from coview.operators.cluster import as_vectors, kmeans
-    from coview.session import scratch_path
-    from coview.sources.readers import parse_dense_vectors, read_text
-    # Points as the reference reads them: space-separated numbers per line.
-    path = scratch_path(spark, "points_txt")
-    (table(spark, sf_dir, "embeddings")
-     .select(F.array_join(F.transform("embedding", lambda v: v.cast("double").cast("string")), " ")
-             .alias("value")).write.text(path))
-    pts = as_vectors(parse_dense_vectors(read_text(spark, path)), "features")
+    pts = as_vectors(table(spark, sf_dir, "embeddings").select("embedding"), "embedding").select("features")
     centers, cost = kmeans(pts, k=10, max_iter=20, runs=1, seed=1)
     return centers.select("cluster", F.size("center").alias("dims"),
                           F.round(F.aggregate("center", F.lit(0.0), lambda a, v: a + v * v), 6)

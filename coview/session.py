@@ -8,6 +8,7 @@ a laptop) do we pick a folder of our own.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,24 +42,32 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def _own_folder(master: str) -> str:
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="coview-ckpt-")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written tables.
 
     Order: the directory already set on the context, then the
-    ``spark.checkpoint.dir`` setting, then (only when both are unset) a fresh
-    folder of our own, which is also installed as the checkpoint directory.
+    ``spark.checkpoint.dir`` setting. Only a ``local[...]`` master, whose driver
+    and executors are one process, falls back to a fresh folder of our own; on
+    a cluster an unset directory is an error, since executors would each write
+    to their own disk.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # a Spark Connect session has no context: use the setting
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="coview-ckpt-")
+        return configured or _own_folder(spark.conf.get("spark.master", ""))
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="coview-ckpt-")
+        configured = _own_folder(sc.master)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 

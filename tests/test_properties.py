@@ -127,7 +127,7 @@ def test_similarity_matches_brute_force(spark, events, cap, k, hot_rows):
 
 
 log_line = st.one_of(
-    st.builds(lambda ip, user, req, nbytes: f'{ip} - {user} [18/Jan/2013:17:56:07 +1100] "{req}" '
+    st.builds(lambda ip, user, req, nbytes: f'{ip} - {user} [03/May/2022:10:00:00 +0000] "{req}" '
                                             f'200 {nbytes} "r" "agent"',
               st.sampled_from(["1.2.3.4", "10.0.0.1"]),
               st.sampled_from(['"FRED"', "-", '"bob"', "x"]),

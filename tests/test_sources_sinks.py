@@ -173,3 +173,11 @@ def test_widen_only_spreads_narrow_inputs(spark):
     assert widen(narrow).rdd.getNumPartitions() == target
     wide = spark.range(0, 100, numPartitions=target + 3)
     assert widen(wide) is wide
+
+
+def test_unset_checkpoint_folder_is_an_error_on_a_cluster():
+    from coview.session import _own_folder
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            _own_folder(master)
+    assert _own_folder("local[4]")
