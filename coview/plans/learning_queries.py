@@ -240,20 +240,48 @@ def q_kmeans_centers(spark, sf_dir):
                           F.lit(round(cost, 6)).alias("cost"))
 
 
-@register("lda_topics")
+LDA_ROUNDS = 3
+
+
+def _sql_lda(rounds: int = LDA_ROUNDS) -> str:
+    """EM over (doc, term, n), three topics, the rounds unrolled."""
+    alpha, eta = 50.0 / 3 + 1.0 - 1.0, 1.1 - 1.0
+    start = ", ".join(f"CASE WHEN (doc + length(term)) % 3 = {t} THEN 0.6::DOUBLE ELSE 0.2::DOUBLE END AS p{t}"
+                      for t in range(3))
+    sums = lambda to: ", ".join(f"sum(n * p{t}) AS {to}{t}" for t in range(3))
+    ctes = [f"""c AS MATERIALIZED (SELECT doc, term, count(*) AS n
+  FROM (SELECT doc_id AS doc, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS term FROM documents)
+  GROUP BY doc, term),
+e0 AS MATERIALIZED (SELECT doc, term, n, {start} FROM c)"""]
+    for r in range(rounds + 1):
+        ctes.append(f"w{r}_ AS MATERIALIZED (SELECT term, {sums('w')} FROM e{r} GROUP BY term)")
+        ctes.append(f"t{r} AS (SELECT count(*) AS terms, sum(w0) AS s0, sum(w1) AS s1, sum(w2) AS s2 FROM w{r}_)")
+        if r < rounds:
+            raw = ", ".join(f"(w{t} + {eta!r}) * (d{t} + {alpha!r}) / (s{t} + terms * {eta!r}) AS r{t}" for t in range(3))
+            ctes.append(f"d{r}_ AS MATERIALIZED (SELECT doc, {sums('d')} FROM e{r} GROUP BY doc)")
+            ctes.append(f"""e{r + 1} AS MATERIALIZED (SELECT doc, term, n, r0 / (r0 + r1 + r2) AS p0,
+  r1 / (r0 + r1 + r2) AS p1, r2 / (r0 + r1 + r2) AS p2
+  FROM (SELECT doc, term, n, {raw} FROM c JOIN w{r}_ USING (term) JOIN d{r}_ USING (doc), t{r}))""")
+    out = " UNION ALL ".join(f"SELECT CAST({t} AS INTEGER) AS topic, term, round(w{t} / s{t} + 1e-13, 10) AS weight "
+                             f"FROM w{rounds}_, t{rounds}" for t in range(3))
+    return "WITH " + ",\n".join(ctes) + "\n" + out
+
+
+@register("lda_topics", oracle=_sql_lda())
 def q_lda_topics(spark, sf_dir):
-    from coview.operators.cluster import count_vectors, lda_topics, tokens
+    from coview.operators.cluster import lda_topics, term_counts, tokens
     docs = tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    corpus, vocab = count_vectors(docs)
-    return lda_topics(corpus.select("doc_id", "features"), vocab, k=3, max_iter=20)
+    topics = lda_topics(term_counts(docs), k=3, rounds=LDA_ROUNDS)
+    return topics.select("topic", "term", F.round(F.col("weight") + F.lit(1e-13), 10).alias("weight"))
 
 
 @register("graph_clusters")
 def q_graph_clusters(spark, sf_dir):
     from coview.operators.cluster import power_iteration_clusters
     ev = table(spark, sf_dir, "events")
-    edges = (ev.select(F.col("user_id").alias("src"),
-                       F.get_json_object("props", "$.k").cast("long").alias("dst"))
+    # users and items are different nodes: even ids for users, odd ids for items
+    edges = (ev.select((F.col("user_id") * 2).alias("src"),
+                       (F.get_json_object("props", "$.k").cast("long") * 2 + 1).alias("dst"))
              .groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight")))
     return power_iteration_clusters(edges, k=2, max_iter=10)
 

@@ -50,9 +50,8 @@ def test_kmeans_two_blobs(spark):
 def test_lda_topic_matrix_complete(spark):
     docs = spark.createDataFrame([(0, "apple banana apple"), (1, "car bus car"), (2, "apple bus")],
                                  "doc_id long, text string")
-    corpus, vocab = C.count_vectors(C.tokens(docs))
-    topics = C.lda_topics(corpus, vocab, k=2, max_iter=5)
-    assert topics.count() == 2 * len(vocab)
+    topics = C.lda_topics(C.term_counts(C.tokens(docs)), k=2, rounds=5)
+    assert topics.count() == 2 * 4   # every term under every topic
     sums = [r[1] for r in topics.groupBy("topic").agg(F.sum("weight")).collect()]
     assert all(abs(s - 1.0) < 1e-6 for s in sums)
 
