@@ -8,8 +8,9 @@ document enters with that many columns (its size-derived bound).
 
 Documents with equal sets are one row from the start. The product is not
 expanded within a column, which would be quadratic for n-grams that many
-documents share: each column is multiplied with one leader row, overlap counts
-are accumulated for each (document, leader), and pairs below bounds derived
+documents share: each column is multiplied with one leader row (the document
+that shares most of its columns, in every other round a random one), overlap
+counts are accumulated for each (document, leader), and pairs below bounds derived
 from their sizes are discarded. What remains is verified on the whole sets.
 Linked documents are contracted, columns that lie inside one component are
 dropped, and rounds with other leaders follow until one adds no link. A column
@@ -139,6 +140,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
              .select("doc_id", F.col("n").cast("int").alias("n"), F.explode("shingles").alias("shingle")))
     shared = cells.groupBy("shingle").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     matrix = write_cut(cells.join(shared.select("shingle"), "shingle"), "matrix")
+    # how much of a document others hold too: an original from which copies were
+    # made leads its copies better than one of them
+    central = write_cut(matrix.groupBy("doc_id").agg((-F.count("*") / F.first("n")).alias("c")), "central")
+    matrix = write_cut(matrix.join(central, "doc_id"), "matrix")
 
     links = None
     comp = None
@@ -148,9 +153,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
             rows = matrix.join(comp, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
         else:
             rows = matrix.withColumn("comp", F.col("doc_id"))
-        order = F.xxhash64("doc_id", F.lit(turn)) if turn else F.col("doc_id")
+        order = F.xxhash64("doc_id", F.lit(turn)).cast("double") if turn % 2 else F.col("c")
         lead = rows.groupBy("shingle").agg(
-            F.min(F.struct(order.alias("o"), "doc_id", "n", "comp")).alias("lead"),
+            F.min(F.struct(order.alias("o"), F.xxhash64("doc_id", F.lit(turn)).alias("t"), "doc_id", "n", "comp")).alias("lead"),
             F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("shingle", "lead")
         counted = (rows.join(lead, "shingle").where("comp <> lead.comp")
                    .where(F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * percent)
