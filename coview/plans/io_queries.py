@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from coview.operators import behavior as B
 from coview.operators import similarity as S
-from coview.operators.layout import dense_index
+from coview.operators.layout import dense_index, random_split
 from coview.plans.behavior_queries import (
     SQL_VIEWS, TOP_K, USER_CAP, _with, sql_similarity_ctes, sql_top_k_ctes, views,
 )
@@ -256,3 +256,34 @@ def q_transaction_lines(spark, sf_dir):
     items = R.parse_transactions(lines).select("items", F.array_distinct("items").alias("kept"))
     return items.select(F.array_join("kept", ",").alias("items"), F.size("items").alias("n_read"),
                         F.size("kept").alias("n_items"))
+
+
+# --- S9, K6, F16: LibSVM, a replaced view, the seeded random split -----------------------
+
+@register("libsvm_lines", oracle="""
+SELECT CAST(label AS DOUBLE) AS label, CAST(embedding[1] AS DOUBLE) AS first,
+       CAST(embedding[-1] AS DOUBLE) AS last FROM embeddings""")
+def q_libsvm_lines(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+    pairs = F.transform("embedding", lambda v, i: F.concat_ws(
+        ":", (i + 1).cast("string"), v.cast("double").cast("string")))
+    path = scratch_path(spark, "points_libsvm")
+    e = table(spark, sf_dir, "embeddings")
+    e.select(F.concat_ws(" ", F.col("label").cast("string"), F.array_join(pairs, " ")).alias("value")).write.text(path)
+    read = R.read_libsvm(spark, path).select("label", vector_to_array("features").alias("x"))
+    return read.select("label", F.element_at("x", 1).alias("first"), F.element_at("x", -1).alias("last"))
+
+
+@register("replaced_view", oracle="SELECT n_regionkey, count(*) AS n FROM nation GROUP BY n_regionkey")
+def q_replaced_view(spark, sf_dir):
+    """A view replaced under the same name answers from its new table."""
+    K.replace_view(table(spark, sf_dir, "region"), "replaced_view_source")
+    K.replace_view(table(spark, sf_dir, "nation"), "replaced_view_source")
+    return spark.sql("SELECT n_regionkey, count(*) AS n FROM replaced_view_source GROUP BY n_regionkey")
+
+
+@register("random_split_sides", oracle="SELECT o_orderkey, CAST(1 AS BIGINT) AS n_sides FROM orders")
+def q_random_split_sides(spark, sf_dir):
+    """Every row is on exactly one side of the seeded split."""
+    train, test = random_split(table(spark, sf_dir, "orders").select("o_orderkey"))
+    return train.unionByName(test).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n_sides"))
