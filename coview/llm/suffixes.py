@@ -43,6 +43,7 @@ SPAN, GRAM, SHALLOW = 100, 32, 40
 FILTER_BITS = 1 << 26
 _PLACE = np.uint64((1 << 24) - 1)
 SEGMENT = 1 << 22
+BLOCK = 1 << 18  # bytes of text whose anchors are found at once
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: int = GRAM):
@@ -83,7 +84,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: int =
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """gram hash and where it stands (text digest and place, hashed)."""
     for batch in batches:
-        for block in K.text_blocks(batch.column(2)):
+        for block in K.text_blocks(batch.column(2), BLOCK):
             doc, place, h, _, _ = anchors(block.data, block.offsets)
             text = K.span_hash(K.prefix_hash(block.data), block.offsets[:-1], block.offsets[1:])
             where = K.mix(text[doc] + (place - block.offsets[doc]).astype(np.uint64))
@@ -292,7 +293,7 @@ def _sites(batches: Iterator[pa.RecordBatch], bits) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, uids = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         parts = []
-        for block in K.text_blocks(batch.column(2)):
+        for block in K.text_blocks(batch.column(2), BLOCK):
             doc, place, h, least, most = anchors(block.data, block.offsets)
             slot = (h & np.uint64(FILTER_BITS - 1)).astype(np.int64)
             on = (found[slot >> 3] >> (slot & 7) & 1).astype(bool)
