@@ -9,7 +9,7 @@ document enters with that many columns (its size-derived bound).
 Documents with equal sets are one row from the start. The product is not
 expanded within a column, which would be quadratic for n-grams that many
 documents share: each column is multiplied with one leader row (the document
-that shares most of its columns, in every other round a random one), overlap
+that shares most of its columns, in later rounds a random one), overlap
 counts are accumulated for each (document, leader), and pairs below bounds derived
 from their sizes are discarded. What remains is verified on the whole sets.
 Linked documents are contracted, columns that lie inside one component are
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -147,13 +148,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
 
     links = None
     comp = None
-    for turn in range(8):
+    for turn in count():
         rows = matrix
         if comp is not None:
             rows = matrix.join(comp, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
         else:
             rows = matrix.withColumn("comp", F.col("doc_id"))
-        order = F.xxhash64("doc_id", F.lit(turn)).cast("double") if turn % 2 else F.col("c")
+        order = F.xxhash64("doc_id", F.lit(turn)).cast("double") if turn else F.col("c")
         lead = rows.groupBy("shingle").agg(
             F.min(F.struct(order.alias("o"), F.xxhash64("doc_id", F.lit(turn)).alias("t"), "doc_id", "n", "comp")).alias("lead"),
             F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("shingle", "lead")
