@@ -13,8 +13,11 @@ that shares most of its columns, in later rounds a random one), overlap
 counts are accumulated for each (document, leader), and pairs below bounds derived
 from their sizes are discarded. What remains is verified on the whole sets.
 Linked documents are contracted, columns that lie inside one component are
-dropped, and rounds with other leaders follow until one adds no link. A column
-held by a third of all documents costs its length per round.
+dropped, and rounds with other leaders follow until one adds no link. Then the
+columns of at most ``BLOCK_ROWS`` rows that still span components are multiplied
+as whole blocks (at most that many products a row); if that adds a link, the
+rounds go on. A column held by a third of all documents costs its length per
+round.
 
 Cases: a null text, or one without words, has no shingles and links with
 nothing; a text of fewer words than ``k`` has its whole sequence as its only
@@ -41,6 +44,8 @@ from coview.session import write_cut
 WORDS, PERCENT = 5, 75
 #: slots of the id filter that goes to all tasks: 128 KB, whatever the input
 FILTER_SLOTS = 1 << 20
+#: columns of at most so many rows are also multiplied as a whole block
+BLOCK_ROWS = 64
 
 
 def shingle_sets(block: K.Block, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -148,6 +153,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
 
     links = None
     comp = None
+    whole_columns = False
     for turn in count():
         rows = matrix
         if comp is not None:
@@ -157,9 +163,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
         order = F.xxhash64("doc_id", F.lit(turn)).cast("double") if turn else F.col("c")
         lead = rows.groupBy("shingle").agg(
             F.min(F.struct(order.alias("o"), F.xxhash64("doc_id", F.lit(turn)).alias("t"), "doc_id", "n", "comp")).alias("lead"),
-            F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("shingle", "lead")
-        counted = (rows.join(lead, "shingle").where("comp <> lead.comp")
-                   .where(F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * percent)
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("held")).where("low < high")
+        if whole_columns:
+            block = rows.join(lead.where(F.col("held") <= BLOCK_ROWS).select("shingle"), "shingle")
+            lead = block.select("shingle", F.struct("doc_id", "n", "comp").alias("lead"))
+            met = block.join(lead, "shingle").where("comp < lead.comp")
+        else:
+            met = rows.join(lead.select("shingle", "lead"), "shingle").where("comp <> lead.comp")
+        counted = (met.where(F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * percent)
                    .groupBy(F.col("doc_id").alias("x"), F.col("lead.doc_id").alias("y"), F.col("n").alias("nx"),
                             F.col("lead.n").alias("ny")).agg(F.count("*").alias("overlap")))
         # linked sets share at least p - (n - o) of their p columns, o being the
@@ -180,7 +191,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
                .where(F.col("i") * 100 >= (F.col("t") - F.col("i")) * percent))
         new = write_cut(new.select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
         if new.isEmpty():
-            break
+            if whole_columns:
+                break
+            whole_columns = True
+            continue
+        whole_columns = False
         links = new if links is None else links.union(new)
         comp = components(links)
     out = (digests.join(sets, ["n", "a", "b"], "left")
