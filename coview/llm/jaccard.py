@@ -4,20 +4,20 @@ The document by n-gram incidence matrix is kept as rows (shingle, document),
 dealt to blocks by the shingle's hash. Only the columns that a link needs are
 multiplied: a set of n shingles that links at 75 % shares a shingle among the
 first n - ceil(0.75 n) + 1 of each partner in one global order, so each
-document enters with that many columns (its size-derived bound).
-
-Documents with equal sets are one row from the start. The product is not
-expanded within a column, which would be quadratic for n-grams that many
-documents share: each column is multiplied with one leader row (the document
-that shares most of its columns, in later rounds a random one), overlap
-counts are accumulated for each (document, leader), and pairs below bounds derived
-from their sizes are discarded. What remains is verified on the whole sets.
-Linked documents are contracted, columns that lie inside one component are
-dropped, and rounds with other leaders follow until one adds no link. Then the
-columns of at most ``BLOCK_ROWS`` rows that still span components are multiplied
-as whole blocks (at most that many products a row); if that adds a link, the
-rounds go on. A column held by a third of all documents costs its length per
-round.
+document enters with that many columns (its size-derived bound). The order puts
+frequent shingles last (a table of fixed size, counted over all documents, says
+which hash slots are frequent), then goes by hash; so a passage that many
+documents share is no column of theirs unless they hold little else.
+
+Documents with equal sets are one row from the start. A column of a few rows is
+multiplied as a whole block; a longer one would be quadratic, so it is multiplied
+with one leader row, another one each round. Overlap counts are accumulated for
+each pair, and pairs below bounds derived from their sizes are discarded. What
+remains is verified on the whole sets. Linked documents are contracted, and
+columns that lie inside one component leave the matrix. From the second round on
+columns of at most ``BLOCK_ROWS`` rows are whole blocks (at most that many
+products a row), after which they leave too. Rounds follow until one adds no
+link. A column held by a third of all documents costs its length per round.
 
 Cases: a null text, or one without words, has no shingles and links with
 nothing; a text of fewer words than ``k`` has its whole sequence as its only
@@ -44,8 +44,13 @@ from coview.session import write_cut
 WORDS, PERCENT = 5, 75
 #: slots of the id filter that goes to all tasks: 128 KB, whatever the input
 FILTER_SLOTS = 1 << 20
-#: columns of at most so many rows are also multiplied as a whole block
-BLOCK_ROWS = 64
+#: columns of at most so many rows are multiplied as a whole block: in the
+#: first round, in later ones
+FIRST_BLOCK_ROWS, BLOCK_ROWS = 8, 64
+#: hash slots of the frequency table: 64 KB, whatever the input
+RANK_SLOTS = 1 << 16
+#: rows of one column that a task holds at a time
+HELD_ROWS = 1 << 20
 
 
 def shingle_sets(block: K.Block, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +91,29 @@ def _digests(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
                  *(pa.array(np.concatenate(x).view(np.int64)) for x in (a, b))], names=["doc_id", "n", "a", "b"])
 
 
-def _columns(batches: Iterator[pa.RecordBatch], k: int, percent: int, ids: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+def _frequent(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The hash slots that stand out in a task, with their counts."""
+    total = np.zeros(RANK_SLOTS, dtype=np.int64)
+    for batch in batches:
+        for block in K.text_blocks(batch.column(0)):
+            values, _ = shingle_sets(block, k)
+            total += np.bincount((values & np.uint64(RANK_SLOTS - 1)).astype(np.int64), minlength=RANK_SLOTS)
+    slot = np.flatnonzero(total >= max(8, 4 * total.mean()))
+    yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.array(total[slot])], names=["slot", "held"])
+
+
+def frequency_ranks(source: DataFrame, k: int) -> np.ndarray:
+    """Per hash slot 0, or the power of two of its count if it is frequent."""
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("slot", "held")])
+    rows = source.select("text").mapInArrow(partial(_frequent, k=k), schema).groupBy("slot").agg(F.sum("held").alias("held"))
+    ranks = np.zeros(RANK_SLOTS, dtype=np.uint8)
+    for r in rows.collect():
+        ranks[r["slot"]] = int(r["held"]).bit_length()
+    return ranks
+
+
+def _columns(batches: Iterator[pa.RecordBatch], k: int, percent: int, ids: np.ndarray | None,
+             ranks: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """Per document its leading columns, or (with an id filter) its whole set."""
     for batch in batches:
         if ids is not None:
@@ -96,6 +123,8 @@ def _columns(batches: Iterator[pa.RecordBatch], k: int, percent: int, ids: np.nd
             values, counts = shingle_sets(block, k)
             length = counts
             if ids is None:
+                rank = ranks[(values & np.uint64(RANK_SLOTS - 1)).astype(np.int64)]
+                values = values[np.lexsort((values, rank, np.repeat(np.arange(block.n), counts)))]
                 length = np.where(counts > 0, counts - -(-percent * counts // 100) + 1, 0)
             at = K.ragged(np.cumsum(counts) - counts, length)
             yield pa.RecordBatch.from_arrays(
@@ -103,6 +132,78 @@ def _columns(batches: Iterator[pa.RecordBatch], k: int, percent: int, ids: np.nd
                  K.list_array(values[at].view(np.int64), length, pa.int64())], names=["doc_id", "n", "shingles"])
 
 
+def _product(cells: np.ndarray, lead: np.ndarray | None, percent: int, block: int,
+             last: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (x, y, nx, ny, overlap) of some columns, and the cells that stay.
+
+    ``cells`` has rows shingle, doc_id, n, comp, sorted by shingle, the leader of
+    each column first; ``lead`` is the leader of a first column whose beginning
+    has been multiplied before.
+    """
+    if lead is not None:
+        cells = np.concatenate([lead[:, None], cells], axis=1)
+    shingle, doc, n, comp = cells
+    starts = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
+    held = np.diff(np.append(starts, len(shingle)))
+    spans = np.minimum.reduceat(comp, starts) < np.maximum.reduceat(comp, starts)
+    whole = held <= block
+    if lead is not None:
+        spans[0], whole[0] = True, False
+    stays = np.repeat(spans & ~(whole & last), held)
+    if lead is not None:
+        stays[0] = False
+    column = np.repeat(np.arange(len(starts)), held)
+    x, y = [np.flatnonzero(spans[column] & ~whole[column])], []
+    y.append(starts[column[x[0]]])
+    inside = np.flatnonzero(spans[column] & whole[column])
+    for step in range(1, block):
+        inside = inside[inside + step < len(column)]
+        inside = inside[column[inside] == column[inside + step]]
+        if not len(inside):
+            break
+        x.append(inside + step)
+        y.append(inside)
+    x, y = np.concatenate(x), np.concatenate(y)
+    low, high = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+    ok = (comp[x] != comp[y]) & (low * 100 >= high * percent)
+    x, y = x[ok], y[ok]
+    swap = doc[x] > doc[y]
+    x, y = np.where(swap, y, x), np.where(swap, x, y)
+    order = np.lexsort((doc[y], doc[x]))
+    x, y = x[order], y[order]
+    new = np.flatnonzero(np.concatenate([[True], (doc[x][1:] != doc[x][:-1]) | (doc[y][1:] != doc[y][:-1])])[: len(x)])
+    overlap = np.diff(np.append(new, len(x)))
+    return np.stack([doc[x[new]], doc[y[new]], n[x[new]], n[y[new]], overlap]), cells[:3, stays]
+
+
+def _multiply(batches: Iterator[pa.RecordBatch], percent: int, block: int, last: bool) -> Iterator[pa.RecordBatch]:
+    """``_product`` over a sorted stream of cells; holds whole columns up to ``HELD_ROWS``."""
+    names = ["a", "b", "na", "nb", "overlap"]
+    held, lead = np.zeros((4, 0), dtype=np.int64), None
+
+    def rows(cells: np.ndarray) -> Iterator[pa.RecordBatch]:
+        pairs, stay = _product(cells, lead, percent, block, last)
+        for part in (pairs, np.concatenate([stay, np.zeros((2, stay.shape[1]), dtype=np.int64)])):
+            if part.shape[1]:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in part], names=names)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
+        if held.shape[1] < HELD_ROWS // 8:
+            continue
+        cut = int(np.searchsorted(held[0], held[0, -1]))
+        if cut:
+            yield from rows(held[:, :cut])
+            held, lead = held[:, cut:].copy(), None
+        elif held.shape[1] >= HELD_ROWS:
+            yield from rows(held)
+            lead, held = (held[:, 0].copy() if lead is None else lead), np.zeros((4, 0), dtype=np.int64)
+    if held.shape[1]:
+        yield from rows(held)
+
+
 def _needed(ids: DataFrame) -> np.ndarray:
     """A bitmap of the ids' hash slots: a filter of fixed size without misses."""
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_SLOTS))
@@ -141,63 +242,42 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     sets = digests.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep"))
     reps = sets.select(F.col("rep").alias("doc_id"), "n").distinct()
     fields = T.StructType([*long("doc_id", "n"), T.StructField("shingles", T.ArrayType(T.LongType()))])
-    columns = source.mapInArrow(partial(_columns, k=k, percent=percent, ids=None), fields)
+    columns = source.mapInArrow(partial(_columns, k=k, percent=percent, ids=None, ranks=frequency_ranks(source, k)), fields)
     cells = (columns.join(reps, ["doc_id", "n"], "left_semi")
-             .select("doc_id", F.col("n").cast("int").alias("n"), F.explode("shingles").alias("shingle")))
-    shared = cells.groupBy("shingle").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    matrix = write_cut(cells.join(shared.select("shingle"), "shingle"), "matrix")
-    # how much of a document others hold too: an original from which copies were
-    # made leads its copies better than one of them
-    central = write_cut(matrix.groupBy("doc_id").agg((-F.count("*") / F.first("n")).alias("c")), "central")
-    matrix = write_cut(matrix.join(central, "doc_id"), "matrix")
+             .select(F.explode("shingles").alias("shingle"), "doc_id", "n"))
+    hashed = source.where("doc_id IS NOT NULL").withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_SLOTS)))
 
     links = None
     comp = None
-    whole_columns = False
     for turn in count():
-        rows = matrix
         if comp is not None:
-            rows = matrix.join(comp, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+            cells = cells.join(comp, "doc_id", "left").select("shingle", "doc_id", "n", F.coalesce("comp", "doc_id").alias("comp"))
         else:
-            rows = matrix.withColumn("comp", F.col("doc_id"))
-        order = F.xxhash64("doc_id", F.lit(turn)).cast("double") if turn else F.col("c")
-        lead = rows.groupBy("shingle").agg(
-            F.min(F.struct(order.alias("o"), F.xxhash64("doc_id", F.lit(turn)).alias("t"), "doc_id", "n", "comp")).alias("lead"),
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("held")).where("low < high")
-        if whole_columns:
-            block = rows.join(lead.where(F.col("held") <= BLOCK_ROWS).select("shingle"), "shingle")
-            lead = block.select("shingle", F.struct("doc_id", "n", "comp").alias("lead"))
-            met = block.join(lead, "shingle").where("comp < lead.comp")
-        else:
-            met = rows.join(lead.select("shingle", "lead"), "shingle").where("comp <> lead.comp")
-        counted = (met.where(F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * percent)
-                   .groupBy(F.col("doc_id").alias("x"), F.col("lead.doc_id").alias("y"), F.col("n").alias("nx"),
-                            F.col("lead.n").alias("ny")).agg(F.count("*").alias("overlap")))
-        # linked sets share at least p - (n - o) of their p columns, o being the
-        # least overlap of their sizes; leaders hold part of them, so a quarter
-        # of that is asked for and the rest is left to the verification
-        pairs = write_cut(counted.where("overlap * 100 >= least(nx, ny) * 2.5").select("x", "y"), "pairs")
-        ids = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y"))
-        slots = _needed(ids)
-        hashed = source.withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_SLOTS)))
-        whole = write_cut(hashed.where("doc_id IS NOT NULL")
-                          .mapInArrow(partial(_columns, k=k, percent=percent, ids=slots), fields)
-                          .join(reps, ["doc_id", "n"], "left_semi").join(ids.distinct(), "doc_id", "left_semi"), "sets")
-        left = whole.select(F.col("doc_id").alias("x"), F.col("shingles").alias("sx"))
-        right = whole.select(F.col("doc_id").alias("y"), F.col("shingles").alias("sy"))
-        both = F.size(F.array_intersect("sx", "sy"))
-        total = F.size("sx") + F.size("sy")
-        new = (pairs.join(left, "x").join(right, "y").select("x", "y", both.alias("i"), total.alias("t"))
+            cells = cells.select("shingle", "doc_id", "n", F.col("doc_id").alias("comp"))
+        dealt = cells.repartition("shingle").sortWithinPartitions("shingle", F.xxhash64("doc_id", F.lit(turn)), "doc_id")
+        product = write_cut(dealt.mapInArrow(
+            partial(_multiply, percent=percent, block=BLOCK_ROWS if turn else FIRST_BLOCK_ROWS, last=turn > 0),
+            T.StructType(long("a", "b", "na", "nb", "overlap"))), "product")
+        cells = product.where("overlap = 0").select(F.col("a").alias("shingle"), F.col("b").alias("doc_id"), F.col("na").alias("n"))
+        # linked sets of sizes x >= y share at least o = p (x + y) / (100 + p)
+        # shingles, so o - ceil(p x / 100) + 1 columns; a leader holds part of
+        # these, so a quarter is asked for and the verification decides
+        need = F.expr(f"(ceil({percent} * (na + nb) / {100 + percent}) - ceil({percent} * greatest(na, nb) / 100) + 1) / 4")
+        pairs = write_cut(product.where("overlap > 0").groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
+                          .where(F.col("overlap") >= need).select("a", "b", "na", "nb"), "pairs")
+        slots = _needed(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")))
+        whole = hashed.mapInArrow(partial(_columns, k=k, percent=percent, ids=slots, ranks=None), fields)
+        left = whole.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
+        right = whole.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
+        both = F.size(F.array_intersect("sa", "sb"))
+        new = (pairs.join(left, ["a", "na"]).join(right, ["b", "nb"]).select("a", "b", both.alias("i"), (F.col("na") + F.col("nb")).alias("t"))
                .where(F.col("i") * 100 >= (F.col("t") - F.col("i")) * percent))
-        new = write_cut(new.select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
-        if new.isEmpty():
-            if whole_columns:
-                break
-            whole_columns = True
-            continue
-        whole_columns = False
-        links = new if links is None else links.union(new)
-        comp = components(links)
+        new = write_cut(new.select("a", "b").distinct(), "links")
+        if not new.isEmpty():
+            links = new if links is None else links.union(new)
+            comp = components(links)
+        elif turn:
+            break
     out = (digests.join(sets, ["n", "a", "b"], "left")
            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep")))
     if links is None:
