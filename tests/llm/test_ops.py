@@ -7,6 +7,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from coview.llm import decontaminate as D
@@ -303,3 +305,31 @@ def test_seating_is_a_restaurant_process():
     tables = lm.seat(customers, np.full(4000, 2.0), 0.0, rng)
     assert tables.min() >= 1 and abs(tables.mean() - sum(2 / (2 + k) for k in range(30))) < 0.15
     assert lm.seat(np.array([0, 1]), np.ones(2), 0.5, rng).tolist() == [0, 1]
+
+
+def test_jaccard_product_in_parts(monkeypatch):
+    """Columns cut by batches, and one longer than a task holds."""
+    rng = np.random.default_rng(3)
+    cells = sorted({(int(s), int(d)) for s, d in zip(rng.integers(0, 12, 600), rng.integers(0, 90, 600), strict=True)}
+                   | {(5, d) for d in range(90)} | {(s, s + 11 * i) for s in range(20, 30) for i in range(2 + s % 5)})
+    rows = np.array([(s, d, 40 + d % 3, d // 4) for s, d in cells], dtype=np.int64)
+    monkeypatch.setattr(jaccard, "HELD_ROWS", 32)
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in rows[i: i + 7].T], names=["s", "d", "n", "c"])
+               for i in range(0, len(rows), 7)]
+    out = [r for b in jaccard._multiply(iter(batches), 75, 8, False) for r in zip(*(c.to_pylist() for c in b.columns))]
+    want, stay = {}, []
+    for s in sorted(set(rows[:, 0].tolist())):
+        column = rows[rows[:, 0] == s]
+        assert len(set(column[:, 3])) > 1
+        stay += [(s, int(d)) for d in column[:, 1]]
+        pairs = [(a, b) for i, b in enumerate(column) for a in column[:i]] if len(column) <= 8 else [(column[0], b) for b in column]
+        for a, b in pairs:
+            if a[3] != b[3]:
+                key = (int(min(a[1], b[1])), int(max(a[1], b[1])))
+                want[key] = want.get(key, 0) + 1
+    got = {}
+    for a, b, _, _, overlap in out:
+        if overlap:
+            got[a, b] = got.get((a, b), 0) + overlap
+    assert got == want
+    assert sorted((a, b) for a, b, _, _, o in out if not o) == stay
