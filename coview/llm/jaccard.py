@@ -21,8 +21,8 @@ link. A column held by a third of all documents costs its length per round.
 
 Cases: a null text, or one without words, has no shingles and links with
 nothing; a text of fewer words than ``k`` has its whole sequence as its only
-shingle; rows that share an id are one node; a null id links with nothing; an
-empty table gives no rows; other columns are not read. Shingles are compared
+shingle; rows that share an id are one node; a null id links with
+nothing and has a null component; an empty table gives no rows; other columns are not read. Shingles are compared
 by 64-bit hashes, sets by 128-bit digests.
 """
 
@@ -279,7 +279,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
         elif turn:
             break
     out = (digests.join(sets, ["n", "a", "b"], "left")
-           .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep")))
+           .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
     if links is None:
         return out.select("doc_id", "n_shingles", F.col("rep").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     degree = (links.select(F.col("a").alias("rep")).union(links.select("b"))

@@ -333,3 +333,12 @@ def test_jaccard_product_in_parts(monkeypatch):
             got[a, b] = got.get((a, b), 0) + overlap
     assert got == want
     assert sorted((a, b) for a, b, _, _, o in out if not o) == stay
+
+
+def test_jaccard_nulls_and_repeats(spark):
+    rows = [(1, None, 1), (2, "", 1), (None, "a b c d e f", 1), (3, "a b c d e f", 1), (3, "a b c d e f", 1),
+            (4, "A B c d e f", 2), (5, "x", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, shingle int")
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.join(df).collect()), key=str)
+    assert got == [(1, 0, 1), (2, 0, 2), (3, 2, 3), (3, 2, 3), (4, 2, 3), (5, 1, 5), (None, 2, None)]
+    assert jaccard.join(df.limit(0)).isEmpty()
