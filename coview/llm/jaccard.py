@@ -17,7 +17,12 @@ remains is verified on the whole sets. Linked documents are contracted, and
 columns that lie inside one component leave the matrix. From the second round on
 columns of at most ``BLOCK_ROWS`` rows are whole blocks (at most that many
 products a row), after which they leave too. Rounds follow until one adds no
-link. A column held by a third of all documents costs its length per round.
+link, ``LEADER_ROUNDS`` at most. They only contract: what they find is checked,
+what they miss is left to the last pass. That pass takes all columns of the first
+round that still span components and meets every two rows of different
+components, long columns in pairs of blocks of ``LONG_ROWS`` rows. Its counts are
+the exact numbers of shared leading columns, so its bound loses no link. Its cost
+grows with the square of the components in a column.
 
 Cases: a null text, or one without words, has no shingles and links with
 nothing; a text of fewer words than ``k`` has its whole sequence as its only
@@ -30,7 +35,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +53,10 @@ FILTER_SLOTS = 1 << 20
 FIRST_BLOCK_ROWS, BLOCK_ROWS = 8, 64
 #: hash slots of the frequency table: 64 KB, whatever the input
 RANK_SLOTS = 1 << 16
+#: rounds that contract before the last pass
+LEADER_ROUNDS = 6
+#: rows of a block of a long column in the last pass, and pairs held at a time
+LONG_ROWS, HELD_PAIRS = 4096, 1 << 20
 #: rows of one column that a task holds at a time
 HELD_ROWS = 1 << 20
 
@@ -176,13 +184,102 @@ def _product(cells: np.ndarray, lead: np.ndarray | None, percent: int, block: in
     return np.stack([doc[x[new]], doc[y[new]], n[x[new]], n[y[new]], overlap]), cells[:3, stays]
 
 
-def _multiply(batches: Iterator[pa.RecordBatch], percent: int, block: int, last: bool) -> Iterator[pa.RecordBatch]:
+def _all_pairs(cells: np.ndarray, percent: int) -> Iterator[np.ndarray]:
+    """Pairs (a, b, na, nb, overlap) of all rows of different components in some
+    columns. ``cells`` has rows key, doc_id, n, comp, side; rows of one side
+    (0 or 1) do not meet, as their block is multiplied by itself elsewhere."""
+    cells = cells[:, np.lexsort((cells[3], cells[0]))]
+    key, doc, n, comp, side = cells
+    m = len(key)
+    column = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    run = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (comp[1:] != comp[:-1])]))
+    column_end = np.repeat(np.append(column[1:], m), np.diff(np.append(column, m)))
+    run_end = np.repeat(np.append(run[1:], m), np.diff(np.append(run, m)))
+    partners = column_end - run_end
+    # by document, so that a pair's columns are counted together
+    rows = np.argsort(doc, kind="stable")
+    rows = rows[partners[rows] > 0]
+    done = np.cumsum(partners[rows])
+    first = 0
+    while first < len(rows):
+        past = max(first + 1, int(np.searchsorted(done, (done[first - 1] if first else 0) + HELD_PAIRS, side="right")))
+        some = rows[first:past]
+        first = past
+        x, y = np.repeat(some, partners[some]), K.ragged(run_end[some], partners[some])
+        low, high = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+        ok = (low * 100 >= high * percent) & ((side[x] < 0) | (side[x] != side[y]))
+        x, y = x[ok], y[ok]
+        swap = doc[x] > doc[y]
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
+        order = np.lexsort((doc[y], doc[x]))
+        x, y = x[order], y[order]
+        new = np.flatnonzero(np.concatenate([[True], (doc[x][1:] != doc[x][:-1]) | (doc[y][1:] != doc[y][:-1])])[: len(x)])
+        if len(new):
+            yield np.stack([doc[x[new]], doc[y[new]], n[x[new]], n[y[new]], np.diff(np.append(new, len(x)))])
+
+
+def _exhaust(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """``_all_pairs`` over a stream of cells sorted by key."""
+    held = np.zeros((5, 0), dtype=np.int64)
+
+    def rows(cells: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for pairs in _all_pairs(cells, percent):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], names=["a", "b", "na", "nb", "overlap"])
+
+    for batch in batches:
+        held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
+        if held.shape[1] < HELD_ROWS // 8:
+            continue
+        cut = int(np.searchsorted(held[0], held[0, -1]))
+        if cut:
+            yield from rows(held[:, :cut])
+            held = held[:, cut:].copy()
+    if held.shape[1]:
+        yield from rows(held)
+
+
+def last_pass(cells: DataFrame, lengths: DataFrame, comp: DataFrame | None, percent: int) -> DataFrame:
+    """Pairs (a, b, na, nb) of different components with at least the number of
+    shared leading columns that a link of their sizes has. ``lengths`` has
+    (shingle, held) of the columns of more than ``LONG_ROWS`` rows."""
+    if comp is not None:
+        cells = cells.join(comp, "doc_id", "left").select("shingle", "doc_id", "n", F.coalesce("comp", "doc_id").alias("comp"))
+    else:
+        cells = cells.select("shingle", "doc_id", "n", F.col("doc_id").alias("comp"))
+    blocks = lengths.groupBy("shingle").agg(F.ceil(F.sum("held") / LONG_ROWS).cast("int").alias("blocks"))
+    cells = cells.join(F.broadcast(blocks), "shingle", "left")
+    own = F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)")
+    cells = cells.withColumn("own", own).withColumn("other", F.explode(
+        F.when(F.col("blocks") > 1, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(-1)))))
+    alone = F.col("blocks").isNull() | (F.col("blocks") < 2)
+    cells = cells.select(
+        F.when(alone, F.col("shingle")).otherwise(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other"))).alias("key"),
+        "doc_id", "n", "comp",
+        F.when(alone | (F.col("own") == F.col("other")), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).cast("long").alias("side"))
+    fields = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "na", "nb", "overlap")])
+    pairs = cells.repartition("key").sortWithinPartitions("key").mapInArrow(partial(_exhaust, percent=percent), fields)
+    # sets x >= y that link share o = p (x + y) / (100 + p) shingles at least. Of
+    # the one whose leading columns end first all but ceil(p x / 100) - 1 lead, and
+    # what it shares of these leads in the other too
+    need = F.expr(f"ceil({percent} * (na + nb) / {100 + percent}) - ceil({percent} * greatest(na, nb) / 100) + 1")
+    return (pairs.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
+            .where(F.col("overlap") >= need).select("a", "b", "na", "nb"))
+
+
+def _multiply(batches: Iterator[pa.RecordBatch], percent: int, block: int, last: bool,
+              long_rows: int = LONG_ROWS) -> Iterator[pa.RecordBatch]:
     """``_product`` over a sorted stream of cells; holds whole columns up to ``HELD_ROWS``."""
     names = ["a", "b", "na", "nb", "overlap"]
     held, lead = np.zeros((4, 0), dtype=np.int64), None
 
     def rows(cells: np.ndarray) -> Iterator[pa.RecordBatch]:
         pairs, stay = _product(cells, lead, percent, block, last)
+        start = np.flatnonzero(np.concatenate([[True], cells[0, 1:] != cells[0, :-1]]))
+        length = np.diff(np.append(start, cells.shape[1]))
+        long = length > long_rows
+        if long.any():  # their lengths, for the last pass
+            none = np.zeros(int(long.sum()), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (cells[0, start[long]], length[long], none, none, none - 1)], names=names)
         for part in (pairs, np.concatenate([stay, np.zeros((2, stay.shape[1]), dtype=np.int64)])):
             if part.shape[1]:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in part], names=names)
@@ -247,37 +344,46 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
              .select(F.explode("shingles").alias("shingle"), "doc_id", "n"))
     hashed = source.where("doc_id IS NOT NULL").withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_SLOTS)))
 
+    def verified(pairs: DataFrame) -> DataFrame:
+        slots = _needed(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")))
+        whole = hashed.mapInArrow(partial(_columns, k=k, percent=percent, ids=slots, ranks=None), fields)
+        left = whole.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
+        right = whole.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
+        both = F.size(F.array_intersect("sa", "sb"))
+        new = (pairs.join(left, ["a", "na"]).join(right, ["b", "nb"]).select("a", "b", both.alias("i"), (F.col("na") + F.col("nb")).alias("t"))
+               .where(F.col("i") * 100 >= (F.col("t") - F.col("i")) * percent))
+        return write_cut(new.select("a", "b").distinct(), "links")
+
     links = None
     comp = None
-    for turn in count():
+    for turn in range(LEADER_ROUNDS):
         if comp is not None:
             cells = cells.join(comp, "doc_id", "left").select("shingle", "doc_id", "n", F.coalesce("comp", "doc_id").alias("comp"))
         else:
             cells = cells.select("shingle", "doc_id", "n", F.col("doc_id").alias("comp"))
         dealt = cells.repartition("shingle").sortWithinPartitions("shingle", F.xxhash64("doc_id", F.lit(turn)), "doc_id")
         product = write_cut(dealt.mapInArrow(
-            partial(_multiply, percent=percent, block=BLOCK_ROWS if turn else FIRST_BLOCK_ROWS, last=turn > 0),
+            partial(_multiply, percent=percent, block=BLOCK_ROWS if turn else FIRST_BLOCK_ROWS, last=turn > 0, long_rows=LONG_ROWS),
             T.StructType(long("a", "b", "na", "nb", "overlap"))), "product")
         cells = product.where("overlap = 0").select(F.col("a").alias("shingle"), F.col("b").alias("doc_id"), F.col("na").alias("n"))
+        if not turn:  # every column of two documents or more
+            every, lengths = cells, product.where("overlap = -1").select(F.col("a").alias("shingle"), F.col("b").alias("held"))
         # linked sets of sizes x >= y share at least o = p (x + y) / (100 + p)
         # shingles, so o - ceil(p x / 100) + 1 columns; a leader holds part of
-        # these, so a quarter is asked for and the verification decides
+        # these, so a quarter is asked for; the last pass finds what this drops
         need = F.expr(f"(ceil({percent} * (na + nb) / {100 + percent}) - ceil({percent} * greatest(na, nb) / 100) + 1) / 4")
         pairs = write_cut(product.where("overlap > 0").groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
                           .where(F.col("overlap") >= need).select("a", "b", "na", "nb"), "pairs")
-        slots = _needed(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")))
-        whole = hashed.mapInArrow(partial(_columns, k=k, percent=percent, ids=slots, ranks=None), fields)
-        left = whole.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-        right = whole.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-        both = F.size(F.array_intersect("sa", "sb"))
-        new = (pairs.join(left, ["a", "na"]).join(right, ["b", "nb"]).select("a", "b", both.alias("i"), (F.col("na") + F.col("nb")).alias("t"))
-               .where(F.col("i") * 100 >= (F.col("t") - F.col("i")) * percent))
-        new = write_cut(new.select("a", "b").distinct(), "links")
+        new = verified(pairs)
         if not new.isEmpty():
             links = new if links is None else links.union(new)
             comp = components(links)
         elif turn:
             break
+    new = verified(write_cut(last_pass(every, lengths, comp, percent), "pairs"))
+    if not new.isEmpty():
+        links = new if links is None else links.union(new)
+        comp = components(links)
     out = (digests.join(sets, ["n", "a", "b"], "left")
            .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
     if links is None:

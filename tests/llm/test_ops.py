@@ -342,3 +342,26 @@ def test_jaccard_nulls_and_repeats(spark):
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.join(df).collect()), key=str)
     assert got == [(1, 0, 1), (2, 0, 2), (3, 2, 3), (3, 2, 3), (4, 2, 3), (5, 1, 5), (None, 2, None)]
     assert jaccard.join(df.limit(0)).isEmpty()
+
+
+def _copies(n, own, words=200, seed=5):
+    """A page and ``n`` copies of it, each with ``own`` words of its own changed."""
+    rnd = random.Random(seed)
+    page = [f"w{i}" for i in range(words)]
+    texts = []
+    for i in range(n):
+        w = list(page)
+        for j in rnd.sample(range(2, words - 2, 5), own):
+            w[j] = f"c{i}x{j}"
+        texts.append(" ".join(w))
+    return texts + [" ".join(page)]
+
+
+def test_jaccard_hub_of_independent_copies(spark, monkeypatch):
+    """Copies link only to their page; long columns are met in pairs of blocks."""
+    monkeypatch.setattr(jaccard, "LONG_ROWS", 50, raising=False)
+    texts = _copies(150, 5)
+    assert len({c for _, c in _components(texts).values()}) == 1
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(df).collect()}
+    assert got == _components(texts)
