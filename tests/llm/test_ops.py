@@ -365,3 +365,22 @@ def test_jaccard_hub_of_independent_copies(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(df).collect()}
     assert got == _components(texts)
+
+
+def test_jaccard_pair_that_meets_in_few_rounds(spark):
+    """P and Q share only columns that a template's many copies lead; Q links to P alone."""
+    rnd = random.Random(9)
+    page = [f"w{i}" for i in range(400)]
+
+    def changed(words, places, tag):
+        w = list(words)
+        for j in places:
+            w[j] = f"{tag}x{j}"
+        return w
+
+    texts = [page] + [changed(page, [rnd.randrange(5, 395)], f"n{i}") for i in range(80)]
+    p = changed(page, [100, 200], "p")
+    texts = [" ".join(t) for t in [*texts, p, changed(p, range(10, 400, 39)[:10], "q")]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(df).collect()}
+    assert got == _components(texts) and got[82][1] == 0
