@@ -1,7 +1,8 @@
 """License scans by ordered signature rules, as DataFrame expressions only.
 
-A document that holds no license keyword is settled by plain substring tests.
-The others are normalised to words. Every word that begins some license name
+Texts are normalised to words. A document is settled by one test if no rule can
+match it: each form asks for a word that begins with "licen", for a verb of form 2
+beside a name's first word, or for a name that speaks for itself. Every word that begins some license name
 is an anchor; the rules of that name (a few hundred in all: each name in four
 forms) are matched on the words around the anchor. Detections are intervals of
 words: one that lies inside another is dropped, of equal ones the rule with the
@@ -91,6 +92,14 @@ def signature_rules() -> list[tuple[str, str, str, int, float, int]]:
     return rules
 
 
+def gate_expression() -> str:
+    """What a normalised text without a word in "licen" holds if a rule matches."""
+    verbs = FORMS[1][2].split(r"\|")[0]
+    first = "|".join(sorted({r[0] for r in signature_rules()}))
+    bare = "|".join(name for label, name in NAMES if label in _BARE)
+    return f" (?:{verbs}(?:{first})|(?:{bare}))(?= )"
+
+
 def _spaces(c: Column) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
 
@@ -105,12 +114,10 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", reach:
                       for r in rules])
     text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _UPPER, _LOWER)
     d = docs.select(F.col(id_col).alias("doc_id"), text.alias("t"))
-    has = lambda *words: F.greatest(*(F.contains("t", F.lit(w)) for w in words))
-    gate = (has("licen", "spdx", "gpl", "public domain", "rights reserved", "creative commons", "cc0")
-            | (F.contains("t", F.lit("cc")) & F.col("t").rlike("cc[^a-z0-9]+by")))
     d = d.select("doc_id", F.regexp_count("t", F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")).cast("long").alias("n_words"),
-                 F.when(gate, F.concat(F.lit(" "), F.trim(F.regexp_replace("t", _NOT_WORD, " ")), F.lit(" ")))
-                 .alias("norm"))
+                 F.concat(F.lit(" "), F.trim(F.regexp_replace("t", _NOT_WORD, " ")), F.lit(" ")).alias("norm"))
+    gate = F.contains("norm", F.lit(" licen")) | F.col("norm").rlike(gate_expression())
+    d = d.withColumn("norm", F.when(gate, F.col("norm")))
     # base phrases: the text between their places tells where they stand
     for i, phrase in enumerate(BASE):
         d = d.withColumn(f"cut{i}", F.when(F.contains("norm", F.lit(f" {phrase} ")),

@@ -384,3 +384,12 @@ def test_jaccard_pair_that_meets_in_few_rounds(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(df).collect()}
     assert got == _components(texts) and got[82][1] == 0
+
+
+def test_license_gate_passes_what_rules_match(spark):
+    want = {"Released under Apache 2.0": "apache-2", "distributed under the BSD 3-Clause": "bsd-3", "released under MIT": "mit",
+            "provided under MPL 2.0": "mpl-2", "do WTFPL what": "wtfpl", "CC-0": "cc0", "in the public-domain now": "public-domain",
+            "All rights\nreserved": "proprietary", "Creative\nCommons  Attribution": "cc-by", "the common house": None}
+    df = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(df).collect()}
+    assert [got[i] for i in range(len(want))] == [[x] if x else [] for x in want.values()]
