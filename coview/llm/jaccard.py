@@ -21,7 +21,9 @@ link, ``LEADER_ROUNDS`` at most. They only contract: what they find is checked,
 what they miss is left to the last pass. That pass takes all columns of the first
 round that still span components and meets every two rows of different
 components, long columns in pairs of blocks of ``LONG_ROWS`` rows. Its counts are
-the exact numbers of shared leading columns, so its bound loses no link. Its cost
+the exact numbers of shared leading columns, so its bound loses no link. Pairs
+then compare fixed-size parity sketches, whose distance is at most that of the
+sets, before whole sets are joined. Its cost
 grows with the square of the components in a column.
 
 Cases: a null text, or one without words, has no shingles and links with
@@ -57,6 +59,8 @@ RANK_SLOTS = 1 << 16
 LEADER_ROUNDS = 6
 #: rows of a block of a long column in the last pass, and pairs held at a time
 LONG_ROWS, HELD_PAIRS = 4096, 1 << 20
+#: 64-bit words of a set's parity sketch
+SKETCH_WORDS = 8
 #: rows of one column that a task holds at a time
 HELD_ROWS = 1 << 20
 
@@ -140,6 +144,22 @@ def _columns(batches: Iterator[pa.RecordBatch], k: int, percent: int, ids: np.nd
                  K.list_array(values[at].view(np.int64), length, pa.int64())], names=["doc_id", "n", "shingles"])
 
 
+def _sketches(batches: Iterator[pa.RecordBatch], k: int, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Per document in the id filter the parity of its shingles in each slot."""
+    bits = 64 * SKETCH_WORDS
+    for batch in batches:
+        slot = batch.column(2).to_numpy()
+        batch = batch.filter(pa.array((ids[slot >> 3] >> (slot & 7) & 1).astype(bool)))
+        for block in K.text_blocks(batch.column(1)):
+            values, counts = shingle_sets(block, k)
+            at = np.repeat(np.arange(block.n), counts) * bits + (K.mix(values) % np.uint64(bits)).astype(np.int64)
+            odd = (np.bincount(at, minlength=block.n * bits) & 1).astype(np.uint8)
+            words = np.packbits(odd).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(block.first, block.n), pa.array(counts.astype(np.int64)),
+                 K.list_array(words, np.full(block.n, SKETCH_WORDS), pa.int64())], names=["doc_id", "n", "shingles"])
+
+
 def _product(cells: np.ndarray, lead: np.ndarray | None, percent: int, block: int,
              last: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (x, y, nx, ny, overlap) of some columns, and the cells that stay.
@@ -354,6 +374,17 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
                .where(F.col("i") * 100 >= (F.col("t") - F.col("i")) * percent))
         return write_cut(new.select("a", "b").distinct(), "links")
 
+    def close(pairs: DataFrame) -> DataFrame:
+        """Pairs whose sketches differ in no more bits than linked sets can in shingles."""
+        slots = _needed(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")))
+        all_ = hashed.mapInArrow(partial(_sketches, k=k, ids=slots), fields)
+        left = all_.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
+        right = all_.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
+        differ = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+        most = F.expr(f"na + nb - 2 * ceil({percent} * (na + nb) / {100 + percent})")
+        return (pairs.join(left, ["a", "na"]).join(right, ["b", "nb"]).where(differ <= most)
+                .select("a", "b", "na", "nb").distinct())
+
     links = None
     comp = None
     for turn in range(LEADER_ROUNDS):
@@ -380,7 +411,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
             comp = components(links)
         elif turn:
             break
-    new = verified(write_cut(last_pass(every, lengths, comp, percent), "pairs"))
+    met = write_cut(last_pass(every, lengths, comp, percent), "pairs")
+    new = verified(write_cut(close(met), "pairs"))
     if not new.isEmpty():
         links = new if links is None else links.union(new)
         comp = components(links)
