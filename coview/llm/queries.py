@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coview.llm import decontaminate as D
-from coview.llm import jaccard, langid, licenses, lm, packing, pii, quality, sharding, suffixes
+from coview.llm import jaccard, langid, licenses, lm, merkle, mixing, packing, pii, quality, sharding, suffixes
 from coview.llm.tables import documents, table
 from coview.llm.tables import tokenizer_path
 
@@ -78,6 +78,21 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.translate("text", _UPPER, _LOWER)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf_hash(changed={"text": lowered}))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), keep={"tampered": tampered})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return (found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+                         folded.alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (mixing.mix(table(spark, sf_dir, "documents"))
+            .select("doc_id", "size", "source_size", "target", "taken"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_sharding": op2_sharding,
@@ -89,6 +104,8 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_pii": op9_pii,
     "op10_lm_scoring": op10_lm_scoring,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_mixing": op13_mixing,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -147,7 +164,102 @@ FROM d LEFT JOIN n USING (doc_id)
 LEFT JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) c USING (doc_id)
 """
 
+#: crc32 of the decimal doc_id, bit by bit; the trees and the folds level by level
+OP12_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang,
+    list_reduce(list_concat([4294967295::BIGINT],
+        [ascii(c)::BIGINT for c in string_split(CAST(doc_id AS VARCHAR), '')]),
+      lambda s, b: list_reduce(list_concat([xor(s, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+      || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+      || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head, text
+  FROM documents),
+leaf AS (
+  SELECT r, doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS h,
+    CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN sha256(head || coalesce(strlen(text) || ':'
+      || translate(text, '{_UPPER}', '{_LOWER}'), '-')) END AS h2
+  FROM d),
+place AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM leaf),
+low AS (
+  SELECT lang, 0 AS level, pos, n, h FROM place
+  UNION ALL
+  SELECT lang, level + 1, pos // 8, (max(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM low WHERE n > 1 GROUP BY lang, level, pos // 8),
+subs AS (SELECT lang, level, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+         FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS level, pos, n, h FROM subs
+  UNION ALL
+  SELECT level + 1, pos // 8, (max(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM high WHERE n > 1 GROUP BY level, pos // 8),
+nodes AS (
+  SELECT '.' || coalesce(lang, '') || CASE WHEN lang IS NULL THEN '?' ELSE '' END AS tree, level, pos, n, h FROM low
+  UNION ALL SELECT 'top', level, pos, n, h FROM high),
+steps AS (
+  SELECT a.tree, a.level, a.pos,
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS lft,
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS rgt
+  FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.level = b.level AND a.pos // 8 = b.pos // 8
+  WHERE a.n > 1 GROUP BY a.tree, a.level, a.pos),
+path AS (
+  SELECT place.r, i.level AS k, s.lft, s.rgt
+  FROM place JOIN subs ON subs.lang IS NOT DISTINCT FROM place.lang,
+       LATERAL (SELECT unnest(generate_series(0, subs.level - 1)) AS level) i
+  JOIN steps s ON s.tree = '.' || coalesce(place.lang, '') || CASE WHEN place.lang IS NULL THEN '?' ELSE '' END
+    AND s.level = i.level AND s.pos = place.pos >> (3 * i.level)
+  UNION ALL
+  SELECT place.r, subs.level + i.level, s.lft, s.rgt
+  FROM place JOIN subs ON subs.lang IS NOT DISTINCT FROM place.lang,
+       LATERAL (SELECT unnest(generate_series(0, (SELECT max(level) FROM high) - 1)) AS level) i
+  JOIN steps s ON s.tree = 'top' AND s.level = i.level AND s.pos = subs.pos >> (3 * i.level)),
+folded AS (
+  SELECT r, 0 AS k, coalesce(h2, h) AS h FROM place
+  UNION ALL
+  SELECT f.r, f.k + 1, sha256(p.lft || f.h || p.rgt) FROM folded f JOIN path p ON p.r = f.r AND p.k = f.k),
+ends AS (SELECT r, arg_max(h, k) AS h FROM folded GROUP BY r),
+proofs AS (SELECT r, sha256(string_agg(lft || rgt, '' ORDER BY k)) AS p FROM path GROUP BY r)
+SELECT place.doc_id, place.h AS leaf, subs.h AS subroot, top.h AS root, coalesce(p.p, sha256('')) AS proof_sha256,
+       e.h AS folded_root, e.h = top.h AS verified
+FROM place JOIN subs ON subs.lang IS NOT DISTINCT FROM place.lang JOIN ends e ON e.r = place.r
+LEFT JOIN proofs p ON p.r = place.r, (SELECT h FROM high WHERE n = 1) top
+"""
+
+OP13_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5('17:' || coalesce(CAST(doc_id AS VARCHAR), text, '')) AS place
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2 ELSE 1 END AS weight
+  FROM d GROUP BY source),
+level AS (
+  SELECT 1.5::DOUBLE * sum(source_size) AS total, 1.5::DOUBLE * sum(source_size) AS remaining, sum(weight) AS free FROM s
+  UNION
+  SELECT total, total - coalesce(sum(CASE WHEN remaining * weight / free > 2 * source_size THEN 2 * source_size END), 0),
+         sum(CASE WHEN remaining * weight / free > 2 * source_size THEN 0 ELSE weight END)
+  FROM level, s GROUP BY total, remaining, free),
+final AS (SELECT remaining, free FROM level WHERE free > 0 ORDER BY free LIMIT 1),
+t AS (SELECT source, source_size, least(remaining * weight / free, CAST(2 * source_size AS DOUBLE)) AS target FROM s, final),
+p AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target,
+    CASE WHEN t.source_size > 0 THEN CAST(floor(t.target / t.source_size) AS BIGINT) ELSE 0 END AS passes,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id NULLS FIRST, d.size
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source)
+SELECT doc_id, size, source_size, target,
+       CAST(passes * size + greatest(0, least(size, floor(target) - passes * source_size - before)) AS BIGINT) AS taken
+FROM p
+"""
+
 ORACLE_SQL = {
     "op1_ngram_jaccard_join": OP1_SQL,
     "op6_decontamination": OP6_SQL,
+    "op12_merkle_manifest": OP12_SQL,
+    "op13_mixing": OP13_SQL,
 }
