@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coview.llm import decontaminate as D
-from coview.llm import jaccard, langid, licenses, lm, merkle, mixing, packing, pii, quality, sharding, suffixes
+from coview.llm import (collocations, jaccard, langid, licenses, lm, merkle, mixing, packing, pii, quality, sharding,
+                        suffixes)
 from coview.llm.tables import documents, table
 from coview.llm.tables import tokenizer_path
 
@@ -78,6 +79,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lowered = F.translate("text", _UPPER, _LOWER)
     tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf_hash(changed={"text": lowered}))
@@ -104,6 +109,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_pii": op9_pii,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_collocations": op11_collocations,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_mixing": op13_mixing,
 }
@@ -164,6 +170,37 @@ FROM d LEFT JOIN n USING (doc_id)
 LEFT JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) c USING (doc_id)
 """
 
+OP11_SQL = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?
+-]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM p),
+g AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS f
+  FROM w, (VALUES (1), (2), (3), (4)) ks(k), LATERAL (SELECT unnest(generate_series(1, len(w) - k + 1)) AS i)
+  GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM g WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a, x.j, l.f AS l, r.f AS r,
+         CAST((2000000::HUGEINT * c.f) // (l.f + r.f) AS BIGINT) AS score
+  FROM c, LATERAL (SELECT unnest(generate_series(1, c.k - 1)) AS j) x
+  JOIN g l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(c.w, 1, x.j), ' ')
+  JOIN g r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(c.w, x.j + 1, c.k), ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (
+  SELECT c.lang, array_to_string(list_slice(c.w, s.i, s.i + m.m - 1), ' ') AS phrase, max(c.f) AS f
+  FROM c, (VALUES (2), (3)) m(m), LATERAL (SELECT unnest(generate_series(1, c.k - m.m + 1)) AS i) s
+  WHERE m.m < c.k GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+  WHERE i.f IS NULL OR 100::HUGEINT * i.f < 80::HUGEINT * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 #: crc32 of the decimal doc_id, bit by bit; the trees and the folds level by level
 OP12_SQL = rf"""
 WITH RECURSIVE d AS (
@@ -260,6 +297,7 @@ FROM p
 ORACLE_SQL = {
     "op1_ngram_jaccard_join": OP1_SQL,
     "op6_decontamination": OP6_SQL,
+    "op11_collocations": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,
     "op13_mixing": OP13_SQL,
 }
