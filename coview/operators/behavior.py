@@ -8,10 +8,13 @@ that holds a third of the rows still leaves every map task as one partial row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coview.operators.layout import HOT_KEY_ROWS
+from coview.operators.layout import salted_join
+from coview.session import write_cut
 
 # How the driver's ``events`` table maps onto a behaviour log.
 # Behaviour code per event type (1 is the view the similarity job keeps), the
@@ -79,24 +82,18 @@ def user_item_counts(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def user_baskets(pairs: DataFrame, cap: int = 100, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def user_baskets(pairs: DataFrame, cap: int = 100, salts: int | None = None) -> DataFrame:
     """Per user with fewer than ``cap`` distinct items: the (item, count) list.
 
-    The cap is applied before the list is built, from a count that is itself
-    map-side combined, so no list ever holds more than ``cap - 1`` entries.
-    Users with more than ``hot_rows`` items (at most |rows| / hot_rows of them,
-    broadcast) are dropped map-side first, so the semi-join on ``user_id``
-    never gathers a hot user's rows in one task.
+    Every (user, item) row learns its user's number of items through a salted
+    join, and rows of users over the cap go before any list is built: no task
+    gathers a heavy user and no list holds more than ``cap - 1`` entries.
     The list is returned as text ``item:n,item:n`` sorted by item.
     """
-    cui = user_item_counts(pairs)
+    cui = write_cut(user_item_counts(pairs), "user_item_counts")
     n_items = cui.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_items"))
-    small = n_items.where(F.col("n_items") < cap)
-    if hot_rows >= cap:
-        hot = F.broadcast(n_items.where(F.col("n_items") > hot_rows).select("user_id"))
-        cui = cui.join(hot, "user_id", "left_anti")
-    return (cui.join(small, "user_id", "left_semi")
-            .groupBy("user_id")
+    small = salted_join(cui, n_items, "user_id", ["item_id"], salts).where(F.col("n_items") < cap)
+    return (small.groupBy("user_id")
             .agg(F.array_sort(F.collect_list(F.struct("item_id", "n"))).alias("items"))
             .select("user_id",
                     F.size("items").cast("long").alias("n_items"),
@@ -106,34 +103,35 @@ def user_baskets(pairs: DataFrame, cap: int = 100, hot_rows: int = HOT_KEY_ROWS)
 
 
 def behavior_counts(log: DataFrame, keep: int = 1, min_events: int = 50, cap: int = 100,
-                    partnered: DataFrame | None = None) -> DataFrame:
-    """The job's progress counts as a (metric, value) table.
-
-    One aggregate per level instead of one action per number: rows and kept
-    rows from the log, users and baskets from the per-user totals, items and
-    active items from the per-item totals, and (if given, one row per item)
-    the number of items with at least one similar item.
+                    partnered: Callable[[DataFrame], DataFrame] | None = None,
+                    behavior_col: str = "behavior_type", user_col: str = "user_id",
+                    item_col: str = "item_id") -> DataFrame:
+    """The job's progress counts as a (metric, value) table, from one pass over the log.
+
+    The pass counts rows per (kept, user, item), where rows that are not kept
+    share one group, so it shuffles no more than the per-(user, item) table
+    that the rest is made of. That table is written once; users, baskets, items
+    and active items come from one grouping-sets aggregate over it. ``partnered``
+    (if given) turns it into one row per item with a similar item.
     """
-    kept = behavior_filter(log, keep)
-    raw = log.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("behavior_type").cast("long") == keep).alias("views"))
-    cui = user_item_counts(kept)
-    users = (cui.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_items"))
-             .agg(F.count(F.lit(1)).alias("users"),
-                  F.count_if(F.col("n_items") < cap).alias("baskets")))
-    items = (item_activity(kept)
-             .agg(F.count(F.lit(1)).alias("items"),
-                  F.count_if(F.col("n_events") > min_events).alias("active_items")))
-    parts = [
-        raw.selectExpr("stack(2, 'rows', rows, 'views', views) as (metric, value)"),
-        users.selectExpr("stack(2, 'users', users, 'baskets', baskets) as (metric, value)"),
-        items.selectExpr("stack(2, 'items', items, 'active_items', active_items) as (metric, value)"),
-    ]
+    kept = F.coalesce(F.col(behavior_col).cast("long") == keep, F.lit(False))
+    cells = write_cut(
+        log.select(kept.alias("kept"), F.when(kept, F.col(user_col).cast("long")).alias("user_id"),
+                   F.when(kept, F.col(item_col).cast("long")).alias("item_id"))
+        .groupBy("kept", "user_id", "item_id").agg(F.count(F.lit(1)).alias("n")), "behavior_cells")
+    rows = cells.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+                     F.coalesce(F.sum(F.when(F.col("kept"), F.col("n"))), F.lit(0)).alias("views"))
+    cui = cells.where("kept").drop("kept")
+    per_key = cui.groupingSets([["user_id"], ["item_id"]], "user_id", "item_id").agg(
+        F.grouping("item_id").alias("of_user"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("cells"))
+    user, item = F.col("of_user") == 1, F.col("of_user") == 0
+    keys = per_key.agg(F.count_if(user).alias("users"), F.count_if(user & (F.col("cells") < cap)).alias("baskets"),
+                       F.count_if(item).alias("items"),
+                       F.count_if(item & (F.col("n") > min_events)).alias("active_items"))
+    out = rows.selectExpr("stack(2, 'rows', rows, 'views', views) as (metric, value)").unionByName(
+        keys.selectExpr("stack(4, 'users', users, 'baskets', baskets, 'items', items, 'active_items', active_items)"
+                        " as (metric, value)"))
     if partnered is not None:
-        parts.append(partnered.agg(F.count(F.lit(1)).alias("value"))
-                     .select(F.lit("output").alias("metric"), "value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(partnered(cui).agg(F.count(F.lit(1)).alias("value"))
+                              .select(F.lit("output").alias("metric"), "value"))
     return out.select("metric", F.col("value").cast("long").alias("value"))

@@ -83,24 +83,36 @@ def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target)
 
 
-# Rows of one key beyond which a join treats the key as hot.
-HOT_KEY_ROWS = 1 << 20
-
-
-def hot_split_join(big: DataFrame, small: DataFrame, on: str, hot_keys: DataFrame) -> DataFrame:
+def salted_join(big: DataFrame, small: DataFrame, on: str, salt_on: Sequence[str],
+                salts: int | None = None) -> DataFrame:
     """Inner join of ``big`` with ``small`` (at most one row per key) on ``on``,
-    safe when a few keys hold a large share of ``big``'s rows.
-
-    ``hot_keys`` lists those keys and must have a proven size bound, such as the
-    keys with more than T rows in a table of R rows (at most R / T of them).
-    Rows of ``big`` with a hot key are joined map-side against ``small``'s rows
-    for those keys, broadcast (one per hot key, so bounded the same way); they
-    stay spread over ``big``'s partitions instead of landing in one task. All
-    other rows take the ordinary shuffle join, in which no key is large. AQE's
-    own skew handling does not cover these joins: it needs both sides to come
-    straight from a shuffle, and ``small`` here is usually an aggregate.
+    safe when one key holds any share of ``big``'s rows, and without a broadcast.
+
+    ``big``'s rows get a salt from a hash of ``salt_on``; ``small``'s row of a
+    key is repeated for the salts that the key's rows really have, which the
+    distinct (key, salt) pairs of ``big`` tell. So a key meets its row in up to
+    ``salts`` places, a key of a few rows in no more places than rows, and
+    nothing depends on a threshold or on how large ``small`` is. No group in
+    any step holds more than ``salts`` rows of a key except the last join's,
+    where a key is spread over ``salts`` (default: the shuffle partitions, so
+    that the largest key can fill the cluster).
+
+    ``big`` is read twice: pass a scan or a written table. Null keys meet nothing.
     """
-    hk = F.broadcast(hot_keys.select(on))
-    cold = big.join(hk, on, "left_anti").join(small, on)
-    hot = big.join(hk, on, "left_semi").join(F.broadcast(small.join(hk, on, "left_semi")), on)
-    return cold.unionByName(hot)
+    n = salts or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(n)).cast("int"))
+    met = salted.select(on, "_salt").distinct()
+    return salted.join(small.join(met, on), [on, "_salt"]).drop("_salt")
+
+
+#: pairs that a task of a pair expansion is to make
+PAIRS_PER_TASK = 1 << 21
+
+
+def spread_by_pairs(groups: DataFrame, key: str, n_pairs: int, least: int | None = None,
+                    per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """``groups`` dealt by ``key`` over as many tasks as ``n_pairs`` needs (and at
+    least ``least``, default: the cluster's slots). An explicit count, which
+    AQE does not coalesce: the step behind it makes far more than it reads."""
+    n = max(least or parallelism(groups.sparkSession), -(-n_pairs // per_task))
+    return groups.repartition(n, key)

@@ -10,49 +10,47 @@ For a log of (user, item) events::
     score = s_ij / sqrt(w_i) / sqrt(w_j)
 
 Plan shape (see ``explain``): the log is combined map-side to one row per
-(user, item) before the first shuffle; user totals are a second map-side
-combined aggregate joined back on ``user_id`` (users with very many items are
-joined map-side, ``hot_split_join``). That table is written once to the
-shared folder. Weights are an aggregate of it, and are joined back per
-(user, item) as ``x = c / sqrt(w)``, so the pair table is never joined with
-anything: ``score = sum_u x_ui * x_uj / ln(1 + N_u)``. Pairs are emitted once
-per unordered pair (``i < j``) from users under the cap, so a user adds at
-most ``(cap-1)(cap-2)/2`` rows, and are summed with a partial aggregate before
-the pair shuffle. The mirror is an ``explode`` of two structs, and the top-k
-is a ``row_number`` filter that Spark plans as a per-partition
-``WindowGroupLimit`` before the shuffle on ``item_id``, so at most k rows per
-item and map task travel.
+(user, item) and written once. User totals, and later item weights, come back
+to those rows by a salted join, so a user or an item that holds a third of
+them is spread over the cluster and nothing is broadcast on trust. Weights join
+per (user, item) as ``x = c / sqrt(w)``, so the pair table is never joined with
+anything: ``score = sum_u x_ui * x_uj / ln(1 + N_u)``. A user under the cap is a
+basket of fewer than ``cap`` items; baskets are dealt over as many tasks as
+their pairs need and unfold in place, each unordered pair once (``i < j``),
+into a partial aggregate before the pair shuffle. The mirror is an
+``explode`` of two structs, and the top-k is a ``row_number`` filter that Spark
+plans as a per-partition ``WindowGroupLimit`` before the shuffle on
+``item_id``, so at most k rows per item and map task travel.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from coview.functions.scalars import fixed5
 from coview.operators.behavior import user_item_counts
-from coview.operators.layout import HOT_KEY_ROWS, hot_split_join
+from coview.operators.layout import PAIRS_PER_TASK, salted_join, spread_by_pairs
 from coview.session import write_cut
 
 
-def rank_score(c) -> "F.Column":
+def rank_score(c: Column) -> Column:
     """The score used for ordering and output: rounded to 9 places after a
     1e-12 bias, so sums taken in another order still rank the same."""
     return F.round(c + F.lit(1e-12), 9)
 
 
-def damped_counts(pairs: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """(user_id, item_id, n, n_events, n_items) for every user-item pair.
+def damped_counts(pairs: DataFrame, salts: int | None = None) -> DataFrame:
+    """(user_id, item_id, n, n_events, n_items) for every user-item pair."""
+    return with_user_totals(write_cut(user_item_counts(pairs), "user_item_counts"), salts)
 
-    Users with more than ``hot_rows`` distinct items (bots, crawlers) are
-    joined to their totals map-side (``hot_split_join``).
-    """
-    cui = user_item_counts(pairs)
+
+def with_user_totals(cui: DataFrame, salts: int | None = None) -> DataFrame:
+    """A written (user_id, item_id, n) table with its users' events and items."""
     totals = cui.groupBy("user_id").agg(F.sum("n").alias("n_events"),
                                         F.count(F.lit(1)).alias("n_items"))
-    hot_users = totals.where(F.col("n_items") > hot_rows)   # at most |cui| / hot_rows
-    return hot_split_join(cui, totals, "user_id", hot_users)
+    return salted_join(cui, totals, "user_id", ["item_id"], salts)
 
 
 def item_weights(dc: DataFrame) -> DataFrame:
@@ -73,47 +71,51 @@ def _under_cap(cap: int, cap_on: str):
     return F.col(CAP_COLUMNS[cap_on]) < cap
 
 
-def _pair_input(df: DataFrame, cap: int, cols, cap_on: str = "items") -> DataFrame:
-    # Explicit partition count: the pair step multiplies its input by up to
-    # cap/2, so AQE must not shrink it to the few partitions its input needs.
-    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.where(_under_cap(cap, cap_on)).select(*cols).repartition(n_parts, "user_id")
+def count_pairs(dc: DataFrame, cap: int = 100, cap_on: str = "items") -> int:
+    """How many (user, unordered item pair) rows the users under the cap make."""
+    return int(dc.where(_under_cap(cap, cap_on)).agg(F.sum((F.col("n_items") - 1) / 2)).first()[0] or 0)
+
+
+def _pair_sums(df: DataFrame, value: str, cap: int, cap_on: str, name: str, n_pairs: int,
+               pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """(item_a, item_b, name), item_a < item_b: the sum over users under the cap
+    of the product of both values, damped by the user's events.
+
+    Baskets hold fewer than ``cap`` items, so one user's pairs are a small part
+    of a task's and tasks of equal pair counts follow from dealing users by
+    hash over ``pairs / pairs_per_task`` tasks.
+    """
+    capped = df.where(_under_cap(cap, cap_on)).select("user_id", "item_id", F.col(value).alias("x"), "n_events")
+    baskets = (spread_by_pairs(capped, "user_id", n_pairs, per_task=pairs_per_task).groupBy("user_id", "n_events")
+               .agg(F.array_sort(F.collect_list(F.struct("item_id", "x"))).alias("items")))
+    firsts = baskets.select("n_events", "items", F.posexplode("items").alias("at", "a"))
+    pairs = firsts.select("n_events", "a", F.explode(F.slice("items", F.col("at") + 2, F.size("items"))).alias("b"))
+    product = F.col("a.x") * F.col("b.x") / F.log(F.lit(1.0) + F.col("n_events"))
+    return (pairs.select(F.col("a.item_id").alias("item_a"), F.col("b.item_id").alias("item_b"), product.alias("s"))
+            .groupBy("item_a", "item_b").agg(F.sum("s").alias(name)))
 
 
 def item_pair_scores(dc: DataFrame, cap: int = 100, cap_on: str = "items") -> DataFrame:
     """(item_a, item_b, pair_score) with item_a < item_b, users under the cap only:
     the sum over those users of ``c_a * c_b / ln(1 + N_u)``."""
-    capped = _pair_input(dc, cap, ["user_id", "item_id", "n", "n_events"], cap_on)
-    a = capped.alias("a")
-    b = capped.select("user_id", F.col("item_id").alias("item_b"), F.col("n").alias("n_b"))
-    pairs = a.join(b, (F.col("a.user_id") == b["user_id"]) & (F.col("a.item_id") < F.col("item_b")))
-    score = F.col("a.n") * F.col("n_b") / F.log(F.lit(1.0) + F.col("a.n_events"))
-    return (pairs.select(F.col("a.item_id").alias("item_a"), "item_b", score.alias("s"))
-            .groupBy("item_a", "item_b").agg(F.sum("s").alias("pair_score")))
+    return _pair_sums(dc, "n", cap, cap_on, "pair_score", count_pairs(dc, cap, cap_on))
 
 
-def normalized_counts(dc: DataFrame, weights: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def normalized_counts(dc: DataFrame, weights: DataFrame, salts: int | None = None) -> DataFrame:
     """``dc`` with ``x = n / sqrt(weight of the item)``.
 
     Joining the weights here, once per (user, item), replaces the two joins of
     the much larger pair table with the weights (``s_ij / sqrt(w_i) / sqrt(w_j)``
-    is the sum of ``x_ui * x_uj / ln(1 + N_u)``). Items with more than
-    ``hot_rows`` users are joined map-side.
+    is the sum of ``x_ui * x_uj / ln(1 + N_u)``).
     """
-    hot_items = weights.where(F.col("n_users") > hot_rows)   # at most |dc| / hot_rows
-    j = hot_split_join(dc, weights.select("item_id", "weight", "n_users"), "item_id", hot_items)
+    j = salted_join(dc, weights.select("item_id", "weight"), "item_id", ["user_id"], salts)
     return j.withColumn("x", F.col("n") / F.sqrt("weight"))
 
 
-def similarity_half(dcn: DataFrame, cap: int = 100, cap_on: str = "items") -> DataFrame:
+def similarity_half(dcn: DataFrame, cap: int = 100, cap_on: str = "items", n_pairs: int | None = None) -> DataFrame:
     """(item_a, item_b, score), item_a < item_b, from normalised counts."""
-    capped = _pair_input(dcn, cap, ["user_id", "item_id", "x", "n_events"], cap_on)
-    a = capped.alias("a")
-    b = capped.select("user_id", F.col("item_id").alias("item_b"), F.col("x").alias("x_b"))
-    pairs = a.join(b, (F.col("a.user_id") == b["user_id"]) & (F.col("a.item_id") < F.col("item_b")))
-    s = F.col("a.x") * F.col("x_b") / F.log(F.lit(1.0) + F.col("a.n_events"))
-    return (pairs.select(F.col("a.item_id").alias("item_a"), "item_b", s.alias("s"))
-            .groupBy("item_a", "item_b").agg(F.sum("s").alias("score")))
+    n_pairs = count_pairs(dcn, cap, cap_on) if n_pairs is None else n_pairs
+    return _pair_sums(dcn, "x", cap, cap_on, "score", n_pairs)
 
 
 def mirror(half: DataFrame) -> DataFrame:
@@ -124,18 +126,16 @@ def mirror(half: DataFrame) -> DataFrame:
     return half.select(both.alias("p")).select("p.item_id", "p.other_id", "p.score")
 
 
-def item_similarity(pairs: DataFrame, cap: int = 100, hot_rows: int = HOT_KEY_ROWS,
+def item_similarity(pairs: DataFrame, cap: int = 100, salts: int | None = None,
                     cap_on: str = "items") -> DataFrame:
     """(item_id, other_id, score) in both directions, score as ``rank_score``.
 
-    The per-(user, item) table is written once to the shared folder; the
-    weights and the normalised counts both read it. (Within one plan, the two
-    branches would each scan and shuffle the raw log again: their column
-    pruning differs, so Spark cannot reuse the exchange.) Scores are rounded
-    once per unordered pair, before the mirror doubles the rows.
+    The per-(user, item) table with user totals is written once to the shared
+    folder; the weights and the normalised counts both read it. Scores are
+    rounded once per unordered pair, before the mirror doubles the rows.
     """
-    dc = write_cut(damped_counts(pairs, hot_rows), "user_item_counts")
-    half = similarity_half(normalized_counts(dc, item_weights(dc), hot_rows), cap, cap_on)
+    dc = write_cut(damped_counts(pairs, salts), "damped_counts")
+    half = similarity_half(normalized_counts(dc, item_weights(dc), salts), cap, cap_on, count_pairs(dc, cap, cap_on))
     return mirror(half.withColumn("score", rank_score(F.col("score"))))
 
 
@@ -178,13 +178,13 @@ def top_k_list(ranked: DataFrame) -> DataFrame:
 
 
 def related_items(pairs: DataFrame, k: int = 10, cap: int = 100,
-                  hot_rows: int = HOT_KEY_ROWS, cap_on: str = "items") -> DataFrame:
+                  salts: int | None = None, cap_on: str = "items") -> DataFrame:
     """The whole job: behaviour pairs to (item_id, item_list).
 
     ``cap_on="events", cap=500, k=100`` is the job's older form, which capped
     users on their event count; its pair sums are the same.
     """
-    return top_k_list(top_k(item_similarity(pairs, cap, hot_rows, cap_on), k, round_scores=False))
+    return top_k_list(top_k(item_similarity(pairs, cap, salts, cap_on), k, round_scores=False))
 
 
 def shown_items(lists: DataFrame, active: DataFrame, n: int = 101) -> DataFrame:

@@ -3,6 +3,11 @@
 Each job trains on Spark (distributed histogram aggregation per level),
 scores with ``model.transform`` and reduces the error with one aggregate.
 Results come back as (metric, value) rows so that callers get a DataFrame.
+
+A fitted model is also a table: ``node_table`` reads the nodes it saves as
+Parquet, ``walk`` scores rows by joining them with their node level by level, and
+``node_report`` and ``tree_audit`` hold what the nodes say against the rows that
+reach them.
 """
 
 from __future__ import annotations
@@ -13,11 +18,13 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coview.operators.evaluate import error_rate, mean_squared_error
+from coview.session import scratch_path, write_cut
 
 
 def assemble(df: DataFrame, inputs: Sequence[str], label: str, out: str = "features") -> DataFrame:
@@ -61,18 +68,18 @@ def tree_regressor(data: DataFrame, max_depth: int = 5, max_bins: int = 32):
 
 
 def forest_classifier(train: DataFrame, test: DataFrame, num_trees: int = 3, max_depth: int = 4,
-                      max_bins: int = 32, seed: int = 12345, subset: str = "auto"):
+                      max_bins: int = 32, seed: int = 12345, subset: str = "auto", bootstrap: bool = True):
     """Random forest classifier (gini); held-out error."""
-    est = RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins,
+    est = RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins, bootstrap=bootstrap,
                                  impurity="gini", featureSubsetStrategy=subset, seed=seed)
     model, m = _fit_score(est, train, test, "error")
     return model, _metrics(train.sparkSession, model, m, "test_error")
 
 
 def forest_regressor(train: DataFrame, test: DataFrame, num_trees: int = 3, max_depth: int = 4,
-                     max_bins: int = 32, seed: int = 12345, subset: str = "auto"):
+                     max_bins: int = 32, seed: int = 12345, subset: str = "auto", bootstrap: bool = True):
     """Random forest regressor (variance); held-out MSE."""
-    est = RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins,
+    est = RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth, maxBins=max_bins, bootstrap=bootstrap,
                                 impurity="variance", featureSubsetStrategy=subset, seed=seed)
     model, m = _fit_score(est, train, test, "mse")
     return model, _metrics(train.sparkSession, model, m, "test_mse")
@@ -97,3 +104,141 @@ def gbt_regressor(train: DataFrame, test: DataFrame | None = None, rounds: int =
 def model_text(model, full: bool = True) -> str:
     """The model as text: the whole tree dump, or the one-line summary."""
     return model.toDebugString if full else str(model)
+
+
+# --- a fitted model as a table ------------------------------------------------
+
+def _members(model) -> list:
+    return list(model.trees) if hasattr(model, "trees") else [model]
+
+
+def tree_depth(model) -> int:
+    """The depth of a tree, or of an ensemble's deepest."""
+    return max(t.depth for t in _members(model))
+
+
+def node_table(model) -> DataFrame:
+    """(tree, node, feature, threshold, prediction, stats): the saved model's nodes.
+
+    ``node`` numbers a tree like a heap (root 1, children 2n and 2n + 1), so a
+    number is also the way to the node. Leaves have no feature. ``stats`` holds
+    what the node counted: rows per class, or rows, sum and sum of squares. At
+    most ``trees * 2^(depth + 1)`` rows; continuous features only.
+    """
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, "tree_model")
+    model.save(path)
+    data = spark.read.parquet(f"{path}/data")
+    data = data.select("treeID", "nodeData.*") if "treeID" in data.columns else data.withColumn("treeID", F.lit(0))
+    inner = F.col("leftChild") >= 0
+    nodes = data.select(
+        F.col("treeID").cast("int").alias("tree"), "id", "leftChild", "rightChild", F.col("prediction").alias("prediction"),
+        F.when(inner, F.col("split.featureIndex")).alias("feature"),
+        F.when(inner, F.col("split.leftCategoriesOrThreshold")[0]).alias("threshold"),
+        F.col("impurityStats").alias("stats"))
+    nodes = write_cut(nodes, "tree_nodes")
+    level = nodes.where("id = 0").withColumn("node", F.lit(1).cast("long"))
+    out = level
+    for _ in range(tree_depth(model)):
+        child = F.explode(F.array(F.struct(F.col("leftChild").alias("id"), (F.col("node") * 2).alias("node")),
+                                  F.struct(F.col("rightChild").alias("id"), (F.col("node") * 2 + 1).alias("node"))))
+        below = level.where("leftChild >= 0").select("tree", child.alias("c")).select("tree", "c.id", "c.node")
+        level = nodes.join(below, ["tree", "id"])
+        out = out.unionByName(level)
+    return write_cut(out.select("tree", "node", "feature", "threshold", "prediction", "stats"), "tree_nodes")
+
+
+def walk(rows: DataFrame, nodes: DataFrame, depth: int, features: str = "features") -> DataFrame:
+    """``rows`` once per tree with ``tree``, the leaf ``node`` they reach, its
+    ``prediction`` and ``stats``.
+
+    One join with the node table per level; a row goes left where its value is
+    at most the threshold. The node table is bounded by the model (see
+    ``node_table``), which is what makes these joins map-side ones.
+    """
+    trees = [r["tree"] for r in nodes.select("tree").distinct().collect()]
+    x = rows.withColumn("_x", vector_to_array(features))
+    at = x.withColumn("tree", F.explode(F.array(*map(F.lit, sorted(trees))))).withColumn("node", F.lit(1).cast("long"))
+    split = nodes.where("feature is not null").select("tree", "node", "feature", "threshold")
+    for _ in range(depth):
+        right = (F.get("_x", F.col("feature")) > F.col("threshold")).cast("long")
+        at = at.join(split, ["tree", "node"], "left").withColumn(
+            "node", F.when(F.col("feature").isNull(), F.col("node")).otherwise(F.col("node") * 2 + right)).drop("feature", "threshold")
+    return at.drop("_x").join(nodes.select("tree", "node", "prediction", "stats"), ["tree", "node"])
+
+
+def node_report(data: DataFrame, model, label: str = "label") -> DataFrame:
+    """(tree, node, feature, threshold, n, mean, prediction): every node with the
+    rows of ``data`` that pass through it and the mean of their labels."""
+    nodes, depth = node_table(model), tree_depth(model)
+    reached = walk(data.select(label, "features"), nodes, depth).groupBy("tree", "node").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(label).alias("sum"))
+    ways = F.explode(F.transform(F.sequence(F.lit(0), F.lit(depth)), lambda k: F.call_function("shiftright", F.col("node"), k)))
+    through = (reached.select("tree", ways.alias("node"), "n", "sum").where("node > 0")
+               .groupBy("tree", "node").agg(F.sum("n").alias("n"), F.sum("sum").alias("sum")))
+    return nodes.join(through, ["tree", "node"], "left").select(
+        "tree", "node", "feature", "threshold", F.coalesce("n", F.lit(0)).alias("n"),
+        (F.col("sum") / F.col("n")).alias("mean"), "prediction")
+
+
+def _forest_prediction(kind: str) -> Column:
+    """An ensemble's answer from its trees' leaves: the mean, or the class with
+    the largest sum of class shares."""
+    if kind == "regression":
+        return F.avg("prediction")
+    share = F.col("stats")[1] / (F.col("stats")[0] + F.col("stats")[1])
+    return (F.avg(share) > 0.5).cast("double")
+
+
+def forest_audit(model, train: DataFrame, test: DataFrame, kind: str, label: str = "label") -> DataFrame:
+    """Per tree of a forest that was grown on all rows of ``train``: (tree, n,
+    predicted_sum, leaves_off, rows_off).
+
+    ``leaves_off`` counts leaves whose prediction is not the mean (or majority) of
+    the training rows that reach them, ``predicted_sum`` is the sum of what the
+    training rows are told, and ``rows_off`` counts ``test`` rows for which the
+    walk and ``model.transform`` differ.
+    """
+    nodes, depth = node_table(model), tree_depth(model)
+    leaves = walk(train.select(label, "features"), nodes, depth).groupBy("tree", "node").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(label).alias("mean"), F.first("prediction").alias("prediction"))
+    right = F.col("mean") if kind == "regression" else (F.col("mean") > 0.5).cast("double")
+    off = F.count_if(F.abs(right - F.col("prediction")) > 1e-9 * (F.abs("prediction") + 1))
+    per_tree = leaves.groupBy("tree").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("prediction")).alias("predicted_sum"),
+                                          off.alias("leaves_off"))
+    keyed = write_cut(test.select("features").withColumn("row", F.monotonically_increasing_id()), "tree_rows")
+    walked = walk(keyed, nodes, depth).groupBy("row").agg(_forest_prediction(kind).alias("walked"))
+    told = model.transform(keyed).select("row", "prediction").join(walked, "row")
+    rows_off = told.agg(F.count_if(F.abs(F.col("walked") - F.col("prediction")) > 1e-9 * (F.abs("prediction") + 1)).alias("rows_off"))
+    return per_tree.withColumn("rows_off", F.lit(rows_off.first()[0]).cast("long"))
+
+
+def boosting_report(model, data: DataFrame, loss: str = "squared", label: str = "label") -> DataFrame:
+    """(tree, node, feature, threshold, n, mean, prediction) of boosted trees.
+
+    ``mean`` is the mean of what that round had to learn, computed from the
+    trees before it by walking them: the label at first, then the pseudo-residual
+    ``2 (y - F)`` (``loss="squared"``) or ``4 y / (1 + exp(2 y F))``
+    (``"logistic"``, labels 0 and 1 as y = -1 and 1). Each round's rows are written.
+    """
+    nodes, depth = node_table(model), tree_depth(model)
+    y = F.col(label) * 2 - 1 if loss == "logistic" else F.col(label)
+    rows = data.select(y.alias("y"), "features", F.lit(0.0).alias("score"), y.alias("goal"))
+    out = None
+    for i, weight in enumerate(model.treeWeights):
+        tree = nodes.where(F.col("tree") == i)
+        told = write_cut(walk(rows, tree, depth).drop("stats"), "boosting_rows")
+        ways = F.explode(F.transform(F.sequence(F.lit(0), F.lit(depth)), lambda k: F.call_function("shiftright", F.col("node"), k)))
+        sums = told.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum("goal").alias("sum"))
+        through = (sums.select(ways.alias("node"), "n", "sum").where("node > 0")
+                   .groupBy("node").agg(F.sum("n").alias("n"), F.sum("sum").alias("sum")))
+        part = tree.join(through, "node", "left").select(
+            "tree", "node", "feature", "threshold", F.coalesce("n", F.lit(0)).alias("n"),
+            (F.col("sum") / F.col("n")).alias("mean"), "prediction")
+        out = part if out is None else out.unionByName(part)
+        score = F.col("score") + F.lit(weight) * F.col("prediction")
+        rows = told.select("y", "features", score.alias("score"))
+        goal = (F.lit(2.0) * (F.col("y") - F.col("score")) if loss == "squared"
+                else F.lit(4.0) * F.col("y") / (F.lit(1.0) + F.exp(F.lit(2.0) * F.col("y") * F.col("score"))))
+        rows = rows.withColumn("goal", goal)
+    return out

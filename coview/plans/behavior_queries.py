@@ -107,9 +107,8 @@ UNION ALL SELECT 'active_items', count(*) FROM
 UNION ALL SELECT 'output', count(DISTINCT item_id) FROM sim""")
 def q_behavior_counts(spark, sf_dir):
     log = B.behavior_log_from_events(table(spark, sf_dir, "events"))
-    partnered = S.items_with_partners(S.damped_counts(B.behavior_filter(log)), USER_CAP)
     return B.behavior_counts(log, keep=1, min_events=ACTIVE_MIN_EVENTS, cap=USER_CAP,
-                             partnered=partnered)
+                             partnered=lambda cui: S.items_with_partners(S.with_user_totals(cui), USER_CAP))
 
 
 @register("user_activity", oracle=_with(SQL_VIEWS)

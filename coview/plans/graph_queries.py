@@ -69,3 +69,32 @@ paths(src, dst) AS (
 SELECT src, dst FROM paths""")
 def q_transitive_closure(spark, sf_dir):
     return G.transitive_closure(event_edges(spark, sf_dir))
+
+
+def place_edges(spark, sf_dir):
+    """What lies in what: order in customer, customer in nation, nation in region.
+
+    A forest of fixed depth, so its closure grows as the tables do.
+    """
+    def edges(name, child, child_key, parent, parent_key):
+        def node(kind, key):
+            return F.concat(F.lit(kind), F.col(key).cast("string"))
+        return table(spark, sf_dir, name).select(node(child, child_key).alias("src"), node(parent, parent_key).alias("dst"))
+
+    return (edges("orders", "o", "o_orderkey", "c", "o_custkey")
+            .unionByName(edges("customer", "c", "c_custkey", "n", "c_nationkey"))
+            .unionByName(edges("nation", "n", "n_nationkey", "r", "n_regionkey")))
+
+
+@register("place_closure", oracle="""
+WITH RECURSIVE e AS (
+  SELECT 'o' || o_orderkey AS src, 'c' || o_custkey AS dst FROM orders
+  UNION SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer
+  UNION SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation),
+paths(src, dst) AS (
+  SELECT src, dst FROM e
+  UNION
+  SELECT p.src, e.dst FROM paths p JOIN e ON p.dst = e.src)
+SELECT src, dst FROM paths""")
+def q_place_closure(spark, sf_dir):
+    return G.transitive_closure(place_edges(spark, sf_dir))

@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from coview.functions.scalars import today_ds
 from coview.operators import behavior as B
 from coview.operators import similarity as S
 from coview.operators.layout import dense_index, random_split
@@ -136,11 +137,8 @@ def q_json_nested_fields(spark, sf_dir):
         F.struct(F.col("c_mktsegment").alias("city"),
                  F.col("c_nationkey").cast("string").alias("state")).alias("address")))
         .alias("value"))
-    # Schema inference is a distributed pass of the JSON reader over the text.
-    path = scratch_path(spark, "people_address_json")
-    docs.write.text(path)
-    people = R.read_json(spark, path)
-    return people.select("name", F.col("address.city").alias("city"))
+    people = R.infer_json_column(docs, "value")
+    return people.select(F.col("value.name").alias("name"), F.col("value.address.city").alias("city"))
 
 
 # --- K3 + F3: create table as select -------------------------------------------------
@@ -163,9 +161,9 @@ def q_click_table(spark, sf_dir):
 
 @register("overwrite_partition", oracle=_with(SQL_VIEWS, sql_similarity_ctes(USER_CAP),
                                               sql_top_k_ctes(TOP_K)) + """
-SELECT item_id, item_list, '2015-11-22' AS ds FROM lists
+SELECT item_id, item_list, '2031-04-06' AS ds FROM lists
 UNION ALL
-SELECT item_id, CAST(count(*) AS VARCHAR) AS item_list, '2015-11-21' AS ds
+SELECT item_id, CAST(count(*) AS VARCHAR) AS item_list, '2031-04-05' AS ds
 FROM views GROUP BY item_id""")
 def q_overwrite_partition(spark, sf_dir):
     t = _unique("related_result")
@@ -176,10 +174,10 @@ def q_overwrite_partition(spark, sf_dir):
     S.related_items(v, TOP_K, USER_CAP).createOrReplaceTempView(lists)
     counts = _unique("counts")
     B.item_activity(v).createOrReplaceTempView(counts)
-    K.insert_overwrite_partition(spark, t, "ds", "2015-11-21", "SELECT 1111, 'old:100;row'")
-    K.insert_overwrite_partition(spark, t, "ds", "2015-11-22",
+    K.insert_overwrite_partition(spark, t, "ds", "2031-04-05", "SELECT 7, 'yesterday'")
+    K.insert_overwrite_partition(spark, t, "ds", "2031-04-06",
                                  f"SELECT item_id, item_list FROM {lists}")
-    K.insert_overwrite_partition(spark, t, "ds", "2015-11-21",
+    K.insert_overwrite_partition(spark, t, "ds", "2031-04-05",
                                  f"SELECT item_id, CAST(n_events AS STRING) FROM {counts}")
     return spark.table(t).select("item_id", "item_list", "ds")
 
@@ -282,8 +280,71 @@ def q_replaced_view(spark, sf_dir):
     return spark.sql("SELECT n_regionkey, count(*) AS n FROM replaced_view_source GROUP BY n_regionkey")
 
 
-@register("random_split_sides", oracle="SELECT o_orderkey, CAST(1 AS BIGINT) AS n_sides FROM orders")
+@register("random_split_sides", oracle="""
+SELECT count(*) AS n, CAST(0 AS BIGINT) AS on_both, CAST(0 AS BIGINT) AS on_none, CAST(0 AS BIGINT) AS moved,
+       TRUE AS share_near FROM orders""")
 def q_random_split_sides(spark, sf_dir):
-    """Every row is on exactly one side of the seeded split."""
-    train, test = random_split(table(spark, sf_dir, "orders").select("o_orderkey"))
-    return train.unionByName(test).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n_sides"))
+    """Every row is on one side, on the same one when split again, and the sides
+    have their shares (within five standard deviations)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+
+    def sides(name):
+        train, test = random_split(o)
+        return (train.withColumn(name, F.lit(1)).unionByName(test.withColumn(name, F.lit(2)))
+                .groupBy("o_orderkey").agg(F.sum(name).alias(name), F.count(F.lit(1)).alias(f"{name}_n")))
+
+    both = o.join(sides("side"), "o_orderkey", "left").join(sides("again"), "o_orderkey", "left")
+    n = F.count(F.lit(1))
+    off = F.abs(F.count_if(F.col("side") == 1) - n * F.lit(0.7))
+    return both.agg(n.alias("n"), F.count_if(F.col("side_n") > 1).alias("on_both"), F.count_if(F.col("side_n").isNull()).alias("on_none"),
+                    F.count_if(~F.col("side").eqNullSafe(F.col("again"))).alias("moved"),
+                    (off < F.sqrt(n * F.lit(0.21)) * 5).alias("share_near"))
+
+
+# --- K4, K5, X9: today's partition, written twice ---------------------------------------
+
+@register("today_partition", oracle=_with(SQL_VIEWS) + """
+SELECT item_id, CAST(count(*) AS BIGINT) AS n, 'today' AS day FROM views GROUP BY item_id
+UNION ALL
+SELECT user_id, count(*), '2031-04-05' FROM views GROUP BY user_id""")
+def q_today_partition(spark, sf_dir):
+    """The daily write: run twice on one day it replaces today's partition and
+    leaves the older one as it was."""
+    t = _unique("daily_counts")
+    K.create_partitioned_table(spark, t, "item_id BIGINT, n BIGINT", "ds", scratch_path(spark, "daily_counts"))
+    v = views(spark, sf_dir)
+    today = spark.range(1).select(today_ds()).first()[0]
+    older = B.user_activity(v).select(F.col("user_id").alias("item_id"), F.col("n_events").alias("n"))
+    K.overwrite_partitions(older.withColumn("ds", F.lit("2031-04-05")), t)
+    for part in (older, B.item_activity(v).select("item_id", F.col("n_events").alias("n"))):
+        K.overwrite_partitions(part.withColumn("ds", F.lit(today)), t)
+    return spark.table(t).select("item_id", "n", F.when(F.col("ds") == today, "today").otherwise(F.col("ds")).alias("day"))
+
+
+# --- S4, K7: a database of its own, its tables and their schemas ------------------------
+
+@register("table_listing", oracle="""
+SELECT 'nation' AS table_name, 'n_nationkey bigint, n_name string' AS columns, count(*) AS n FROM nation
+UNION ALL SELECT 'customer', 'c_custkey bigint, c_name string', count(*) FROM customer""")
+def q_table_listing(spark, sf_dir):
+    """Two tables made in a database that is then the current one, as its catalog
+    lists them, with their columns and rows."""
+    before, db = spark.catalog.currentDatabase(), _unique("listing")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'listing')}'")
+    try:
+        K.use_database(spark, db)
+        for name, cols in (("nation", ("n_nationkey", "n_name")), ("customer", ("c_custkey", "c_name"))):
+            key, text = cols
+            view = _unique("rows")
+            K.replace_view(table(spark, sf_dir, name).select(F.col(key).cast("long").alias(key), text), view)
+            K.create_table_as(spark, name, f"SELECT * FROM {view}", scratch_path(spark, name))
+        listed = [r["tableName"] for r in K.list_tables(spark, db).where("not isTemporary").collect()]
+        out = None
+        for name in listed:
+            rows = spark.table(f"{db}.{name}")
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+            part = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), F.lit(columns).alias("columns"), "n")
+            out = part if out is None else out.unionByName(part)
+    finally:
+        K.use_database(spark, before)
+    return out

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from coview.operators import descent as D
 from coview.operators import evaluate as EV
 from coview.operators.layout import hash_split_flag
+from coview.plans import tree_sql
 from coview.plans.registry import register
 from coview.plans.tables import table
 
@@ -182,46 +183,114 @@ s AS (
 SELECT itemset, CAST(size AS INTEGER) AS size, CAST(freq AS BIGINT) AS freq
 FROM s, n WHERE freq >= ceil({FP_MIN_SUPPORT} * n.n)""")
 def q_frequent_itemsets(spark, sf_dir):
-    from coview.operators.mining import frequent_itemsets, transactions
+    from coview.operators.mining import vertical_itemsets
+    return vertical_itemsets(_order_types(spark, sf_dir), "l_orderkey", "p_type", FP_MIN_SUPPORT)
+
+
+def _order_types(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     p = table(spark, sf_dir, "part")
-    rows = li.join(p, li["l_partkey"] == p["p_partkey"]).select("l_orderkey", "p_type")
-    return frequent_itemsets(transactions(rows, "l_orderkey", "p_type"), FP_MIN_SUPPORT)
+    return li.join(p, li["l_partkey"] == p["p_partkey"]).select("l_orderkey", "p_type")
+
+
+# Rarer sets, of any size: part types of an order up to all six. The SQL grows
+# sets while they stay frequent and cuts at no size.
+DEEP_MIN_SUPPORT = 0.005
+
+
+@register("frequent_itemsets_deep", oracle=f"""
+WITH RECURSIVE t AS MATERIALIZED (SELECT DISTINCT l.l_orderkey AS o, p.p_type AS item
+           FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+g AS (
+  SELECT o, item AS itemset, item AS last, 1 AS size FROM t
+  UNION ALL
+  SELECT g.o, g.itemset || ',' || t.item, t.item, g.size + 1 FROM g JOIN t ON g.o = t.o AND g.last < t.item)
+SELECT itemset, CAST(size AS INTEGER) AS size, count(*) AS freq FROM g GROUP BY itemset, size
+HAVING count(*) >= ceil({DEEP_MIN_SUPPORT} * (SELECT count(DISTINCT o) FROM t))""")
+def q_frequent_itemsets_deep(spark, sf_dir):
+    from coview.operators.mining import vertical_itemsets
+    return vertical_itemsets(_order_types(spark, sf_dir), "l_orderkey", "p_type", DEEP_MIN_SUPPORT)
 
 
 # --- M2 + K2: ALS factors and their text dump ----------------------------------------
 
 def purchase_ratings(spark, sf_dir):
-    """(user int, item int, rating double): mean quantity / 10 per customer and part."""
+    """(user long, item long, rating double): mean quantity / 10 per customer and part."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
     return (li.join(o, li["l_orderkey"] == o["o_orderkey"])
-            .groupBy(F.col("o_custkey").cast("int").alias("user"),
-                     F.col("l_partkey").cast("int").alias("item"))
+            .groupBy(F.col("o_custkey").alias("user"),
+                     F.col("l_partkey").alias("item"))
             .agg((F.avg("l_quantity") / F.lit(10.0)).alias("rating")))
 
 
+ALS_RANK, ALS_ROUNDS, ALS_REG = 2, 3, 0.05
+
+
+def _sql_als() -> str:
+    """The rounds unrolled for rank 2; ids of both sides as in the Spark job."""
+    half = """{out} AS MATERIALIZED (
+  SELECT {key}, n, y0 AS y0, (y1 / l11) AS f1, (y0 - l10 * (y1 / l11)) / l00 AS f0
+  FROM (SELECT {key}, n, l00, l10, l11, b0 / l00 AS y0, (b1 - l10 * (b0 / l00)) / l11 AS y1
+        FROM (SELECT *, sqrt(g00) AS l00, g01 / sqrt(g00) AS l10,
+                     sqrt(g11 - (g01 / sqrt(g00)) * (g01 / sqrt(g00))) AS l11
+              FROM (SELECT {key}, count(*) AS n, sum(f0 * f0) + {reg} * count(*) AS g00, sum(f0 * f1) AS g01,
+                           sum(f1 * f1) + {reg} * count(*) AS g11, sum(rating * f0) AS b0, sum(rating * f1) AS b1
+                    FROM r JOIN {fixed} USING ({other}) GROUP BY {key}))))"""
+    start = ", ".join(f"0.1::DOUBLE + ('0x' || substr(md5(usr || ':{j}'), 1, 6))::BIGINT / 16777216.0::DOUBLE AS f{j}"
+                      for j in range(2))
+    ctes = ["""r AS MATERIALIZED (
+  SELECT o_custkey AS usr, l_partkey AS item, avg(l_quantity) / 10.0::DOUBLE AS rating
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)""",
+            f"u0 AS (SELECT DISTINCT usr, {start} FROM r)"]
+    for i in range(ALS_ROUNDS):
+        ctes.append(half.format(out=f"i{i + 1}", key="item", other="usr", fixed=f"u{i}", reg=ALS_REG))
+        ctes.append(half.format(out=f"u{i + 1}", key="usr", other="item", fixed=f"i{i + 1}", reg=ALS_REG))
+    return "WITH " + ",\n".join(ctes)
+
+
 def _factors(spark, sf_dir):
-    from coview.operators.mining import als_factors
-    return als_factors(purchase_ratings(spark, sf_dir), rank=10, iterations=5, reg=0.01)
+    from coview.operators.factors import alternating_least_squares
+    return alternating_least_squares(purchase_ratings(spark, sf_dir), ALS_RANK, ALS_ROUNDS, ALS_REG)
 
 
-@register("als_factors")
+_ALS_ROWS = """SELECT '{side}' AS side, {key} AS id, n, round(f0 + 1e-9, 6) AS f0, round(f1 + 1e-9, 6) AS f1,
+       {residual} AS residual FROM {table}"""
+
+
+@register("als_factors", oracle=_sql_als() + "\n"
+          + _ALS_ROWS.format(side="user", key="usr", table=f"u{ALS_ROUNDS}", residual="0.0::DOUBLE") + "\nUNION ALL "
+          + _ALS_ROWS.format(side="item", key="item", table=f"i{ALS_ROUNDS}", residual="NULL"))
 def q_als_factors(spark, sf_dir):
+    # the users were solved last: their factors must solve the equations that
+    # the ratings and the item factors, read again, give
+    from coview.operators.factors import gram_sums, residuals
     users, items = _factors(spark, sf_dir)
-    return (users.select(F.lit("user").alias("side"), "id", F.size("features").alias("rank"))
-            .unionByName(items.select(F.lit("item").alias("side"), "id",
-                                      F.size("features").alias("rank"))))
+    sums = gram_sums(purchase_ratings(spark, sf_dir), items, "user", "item", "rating", ALS_RANK)
+    users = users.join(residuals(sums, users, "user", ALS_RANK, ALS_REG), "user")
+
+    def rows(side, table, key, residual):
+        return table.select(F.lit(side).alias("side"), F.col(key).cast("long").alias("id"), "n",
+                            *(F.round(F.col(f"f{j}") + F.lit(1e-9), 6).alias(f"f{j}") for j in range(ALS_RANK)),
+                            residual.alias("residual"))
 
+    return rows("user", users, "user", F.round("residual", 6)).unionByName(
+        rows("item", items, "item", F.lit(None).cast("double")))
 
-@register("factor_text_lines")
+
+@register("factor_text_lines", oracle=_sql_als() + "".join(f"""
+{union}SELECT '{side}' AS side, {key} || ',[' || printf('%.5f', round(round(f0 + 1e-12, 9), 5)) || ', '
+       || printf('%.5f', round(round(f1 + 1e-12, 9), 5)) || ']' AS value FROM {table}{ALS_ROUNDS}"""
+          for union, side, key, table in (("", "user", "usr", "u"), ("UNION ALL ", "item", "item", "i"))))
 def q_factor_text_lines(spark, sf_dir):
+    from coview.functions.scalars import fixed5
     from coview.session import scratch_path
     from coview.sources.sinks import vector_text, write_text_lines
     lines = None
     for side, factors in zip(("user", "item"), _factors(spark, sf_dir), strict=True):
         path = scratch_path(spark, f"{side}_factors_txt")
-        write_text_lines(factors, path, vector_text("id", "features"))
+        values = factors.select(side, F.array(*(f"f{j}" for j in range(ALS_RANK))).alias("features"))
+        write_text_lines(values, path, vector_text(side, "features", fixed5))
         part = spark.read.text(path).select(F.lit(side).alias("side"), "value")
         lines = part if lines is None else lines.unionByName(part)
     return lines
@@ -229,15 +298,49 @@ def q_factor_text_lines(spark, sf_dir):
 
 # --- M4, M5, M6: k-means, LDA, power iteration clustering ----------------------------
 
-@register("kmeans_centers")
+KMEANS_K, KMEANS_ROUNDS = 10, 3
+
+
+def _sql_kmeans() -> str:
+    """Lloyd's rounds unrolled over (point, dim) rows."""
+    ctes = ["p AS MATERIALIZED (SELECT vec_id AS id, list_transform(embedding, lambda v: v::DOUBLE) AS x FROM embeddings "
+            "WHERE embedding IS NOT NULL)",
+            f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY md5(id::VARCHAR), id) - 1 AS cluster, x, 0 AS n
+  FROM p QUALIFY cluster < {KMEANS_K})"""]
+    assign = """a{i} AS MATERIALIZED (SELECT id, x, arg_min(cluster, (cost, cluster)) AS cluster, min(cost) AS cost
+  FROM (SELECT p.id, p.x, c.cluster,
+               list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS cost
+        FROM p, c{i} c) GROUP BY id, x)"""
+    for i in range(KMEANS_ROUNDS):
+        ctes.append(assign.format(i=i))
+        ctes.append(f"""m{i} AS (SELECT cluster, list(v ORDER BY dim) AS x, max(n) AS n
+  FROM (SELECT cluster, dim, avg(v) AS v, count(*) AS n
+        FROM (SELECT cluster, unnest(x) AS v, generate_subscripts(x, 1) AS dim FROM a{i}) GROUP BY cluster, dim)
+  GROUP BY cluster)""")
+        ctes.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.x, c.x) AS x, coalesce(m.n, 0) AS n
+  FROM c{i} c LEFT JOIN m{i} m USING (cluster))""")
+    ctes.append(assign.format(i=KMEANS_ROUNDS))
+    return "WITH " + ",\n".join(ctes)
+
+
+@register("kmeans_centers", oracle=_sql_kmeans() + f"""
+SELECT CAST(cluster AS INTEGER) AS cluster, CAST(dim - 1 AS INTEGER) AS dim, round(v + 1e-9, 6) AS value, n,
+       (SELECT round(sum(cost), 4) FROM a{KMEANS_ROUNDS}) AS cost
+FROM (SELECT cluster, unnest(x) AS v, generate_subscripts(x, 1) AS dim, CAST(n AS BIGINT) AS n FROM c{KMEANS_ROUNDS})""")
 def q_kmeans_centers(spark, sf_dir):
-    from coview.operators.cluster import as_vectors, kmeans
-    pts = as_vectors(table(spark, sf_dir, "embeddings").select("embedding"), "embedding").select("features")
-    centers, cost = kmeans(pts, k=10, max_iter=20, runs=1, seed=1)
-    return centers.select("cluster", F.size("center").alias("dims"),
-                          F.round(F.aggregate("center", F.lit(0.0), lambda a, v: a + v * v), 6)
-                          .alias("sq_norm"),
-                          F.lit(round(cost, 6)).alias("cost"))
+    from coview.operators.cluster import kmeans_rounds
+    centers, points = kmeans_rounds(table(spark, sf_dir, "embeddings"), KMEANS_K, KMEANS_ROUNDS, "vec_id", "embedding")
+    cost = points.agg(F.round(F.sum("cost"), 4)).first()[0]
+    return centers.select("cluster", "dim", F.round(F.col("value") + F.lit(1e-9), 6).alias("value"), "n",
+                          F.lit(cost).alias("cost"))
+
+
+@register("kmeans_assignment", oracle=_sql_kmeans() + f"""
+SELECT id, CAST(cluster AS INTEGER) AS cluster, round(cost + 1e-9, 6) AS cost FROM a{KMEANS_ROUNDS}""")
+def q_kmeans_assignment(spark, sf_dir):
+    from coview.operators.cluster import kmeans_rounds
+    _, points = kmeans_rounds(table(spark, sf_dir, "embeddings"), KMEANS_K, KMEANS_ROUNDS, "vec_id", "embedding")
+    return points.select("id", "cluster", F.round(F.col("cost") + F.lit(1e-9), 6).alias("cost"))
 
 
 LDA_ROUNDS = 3
@@ -275,122 +378,208 @@ def q_lda_topics(spark, sf_dir):
     return topics.select("topic", "term", F.round(F.col("weight") + F.lit(1e-13), 10).alias("weight"))
 
 
-@register("graph_clusters")
+PIC_ROUNDS, PIC_LINE_ROUNDS = 10, 5
+
+
+def _sql_pic() -> str:
+    """Power iteration, then 2-means on the line, all rounds unrolled."""
+    ctes = ["""g AS (SELECT user_id * 2 AS a, CAST(json_extract_string(props, '$.k') AS BIGINT) * 2 + 1 AS b FROM events),
+e AS MATERIALIZED (SELECT id, other, count(*)::DOUBLE AS w
+  FROM (SELECT a AS id, b AS other FROM g WHERE a <> b UNION ALL SELECT b, a FROM g WHERE a <> b) GROUP BY ALL),
+d AS MATERIALIZED (SELECT id, sum(w) AS degree FROM e GROUP BY id),
+v0 AS MATERIALIZED (SELECT id, degree / (SELECT sum(degree) FROM d) AS v FROM d)"""]
+    for i in range(PIC_ROUNDS):
+        ctes.append(f"""n{i} AS MATERIALIZED (SELECT e.id, sum(e.w * v.v) / max(d.degree) AS v
+  FROM e JOIN v{i} v ON v.id = e.other JOIN d ON d.id = e.id GROUP BY e.id),
+v{i + 1} AS MATERIALIZED (SELECT id, v / (SELECT sum(abs(v)) FROM n{i}) AS v FROM n{i})""")
+    ctes.append(f"""x AS (SELECT min(v) AS lo, max(v) AS hi FROM v{PIC_ROUNDS}),
+k0 AS (SELECT lo + (hi - lo) / 4 AS c0, lo + (hi - lo) * 3 / 4 AS c1 FROM x)""")
+    side = "CASE WHEN abs(v - c1) < abs(v - c0) THEN 1 ELSE 0 END"
+    for i in range(PIC_LINE_ROUNDS):
+        ctes.append(f"""k{i + 1} AS MATERIALIZED (SELECT coalesce(avg(v) FILTER (WHERE {side} = 0), max(c0)) AS c0,
+  coalesce(avg(v) FILTER (WHERE {side} = 1), max(c1)) AS c1 FROM v{PIC_ROUNDS}, k{i})""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT id, CAST({side} AS INTEGER) AS cluster, round(v + 1e-13, 10) AS value FROM v{PIC_ROUNDS}, k{PIC_LINE_ROUNDS}"""
+
+
+@register("graph_clusters", oracle=_sql_pic())
 def q_graph_clusters(spark, sf_dir):
-    from coview.operators.cluster import power_iteration_clusters
+    from coview.operators.cluster import power_clusters
     ev = table(spark, sf_dir, "events")
     # users and items are different nodes: even ids for users, odd ids for items
     edges = (ev.select((F.col("user_id") * 2).alias("src"),
                        (F.get_json_object("props", "$.k").cast("long") * 2 + 1).alias("dst"))
              .groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight")))
-    return power_iteration_clusters(edges, k=2, max_iter=10)
+    found = power_clusters(edges, 2, PIC_ROUNDS, line_rounds=PIC_LINE_ROUNDS)
+    return found.select("id", "cluster", F.round(F.col("value") + F.lit(1e-13), 10).alias("value"))
 
 
 # --- M7-M13: tree learners ----------------------------------------------------------
+# Features are columns of at most 32 values, so Spark ML's bins are the values and
+# SQL can grow the same trees (``tree_sql``). The queries return the fitted
+# models' nodes, read from the saved model, with the rows that reach each.
 
-def _embedding_points(spark, sf_dir):
-    from coview.operators.cluster import as_vectors
-    e = table(spark, sf_dir, "embeddings")
-    return as_vectors(e, "embedding").select(F.col("label").cast("double").alias("label"),
-                                             "features", "vec_id")
+PRICE_SQL = ("l_linenumber", "round(l_discount * 100)", "round(l_tax * 100)", "month(l_shipdate)",
+             "floor(l_quantity / 2)")
+PRICE_LABEL = "l_extendedprice / CAST(1000 AS DOUBLE)"
 
 
-def _price_rows(spark, sf_dir):
-    """lineitem as (l_orderkey, x1..x5, price); price is the regression label."""
-    return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", *[F.expr(e).alias(x) for e, x in zip(FEATURE_SQL[:5], FEATURES[:5])],
-        (F.col("l_extendedprice") / F.lit(1000.0)).alias("price"))
+def _share(chars: str) -> str:
+    return (f"least(floor(CAST(100 AS DOUBLE) * (length(text) - length(translate(text, '{chars}', ''))) "
+            "/ greatest(length(text), 1)), 31)")
 
 
-def _price_points(rows):
+DOCUMENT_SQL = (_share("0123456789"), _share("#*$%&|<>"), _share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), _share(".,;:!?"),
+                "least(length(text) - length(replace(text, chr(10), '')), 31)",
+                "least(floor(sqrt(CAST(length(text) AS DOUBLE)) / 8), 31)")
+TREE_DEPTH, FOREST_DEPTH, FOREST_TREES = 5, 4, 3
+BOOST_ROUNDS, BOOST_DEPTH = 10, 5
+
+
+def _x(exprs) -> str:
+    return ", ".join(f"{e} AS x{j + 1}" for j, e in enumerate(exprs))
+
+
+SQL_PRICE = f"src AS MATERIALIZED (SELECT {_x(PRICE_SQL)}, {PRICE_LABEL} AS y FROM lineitem)"
+SQL_DOCUMENTS = (f"src AS MATERIALIZED (SELECT {_x(DOCUMENT_SQL)}, CAST(quality AS DOUBLE) AS y "
+                 "FROM documents JOIN labels USING (doc_id) WHERE text IS NOT NULL AND quality IS NOT NULL)")
+
+
+def _points(rows, exprs, label: str, *keep: str):
     from coview.operators.trees import assemble
-    return assemble(rows, list(FEATURES[:5]), "price")
+    xs = [f"x{j + 1}" for j in range(len(exprs))]
+    named = rows.select(*[F.expr(e).cast("double").alias(x) for e, x in zip(exprs, xs)],
+                        F.expr(label).cast("double").alias("y"), *keep)
+    return assemble(named, xs, "y")
 
 
-@register("tree_classifier")
+def _price_points(spark, sf_dir, side: bool | None = None):
+    li = table(spark, sf_dir, "lineitem")
+    if side is not None:
+        flag = hash_split_flag("l_orderkey")
+        li = li.where(flag if side else ~flag)
+    return _points(li, PRICE_SQL, PRICE_LABEL)
+
+
+def _document_points(spark, sf_dir, side: bool | None = None):
+    """documents with a quality label: text statistics as features."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text").join(
+        table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    d = d.where("text is not null and quality is not null")
+    if side is not None:
+        flag = hash_split_flag("doc_id")
+        d = d.where(flag if side else ~flag)
+    return _points(d, DOCUMENT_SQL, "quality")
+
+
+def _rounded(report):
+    return report.select("tree", "node", "feature", "threshold", "n",
+                         F.round(F.col("prediction") + F.lit(1e-9), 6).alias("prediction"), F.round("off", 6).alias("off"))
+
+
+def _off(report, kind: str):
+    """How far a node is from what the rows that reach it say."""
+    right = F.col("mean") if kind == "regression" else (F.col("mean") > 0.5).cast("double")
+    return report.withColumn("off", F.abs(right - F.col("prediction")))
+
+
+def _sql_grown(source: str, target: str, k: int, depth: int, classes: bool) -> str:
+    ctes = [source, tree_sql.grid("src", k), *tree_sql.grow("t", "src", target, k, depth, classes)]
+    return "WITH " + ",\n".join(ctes) + "\n" + tree_sql.report([(0, "t")])
+
+
+def _sql_boosted(source: str, k: int, depth: int, rounds: int, loss: str = "squared") -> str:
+    ctes = [source, tree_sql.grid("src", k), *tree_sql.boost("src", k, depth, rounds, loss)]
+    return "WITH " + ",\n".join(ctes) + "\n" + tree_sql.report([(i, f"m{i}") for i in range(rounds)])
+
+
+@register("tree_classifier", oracle=_sql_grown(SQL_DOCUMENTS, "y", len(DOCUMENT_SQL), TREE_DEPTH, True))
 def q_tree_classifier(spark, sf_dir):
-    from coview.operators.trees import tree_classifier
-    return tree_classifier(_embedding_points(spark, sf_dir))[1]
+    from coview.operators.trees import node_report, tree_classifier
+    data = _document_points(spark, sf_dir)
+    return _rounded(_off(node_report(data, tree_classifier(data, TREE_DEPTH)[0]), "classification"))
 
 
-@register("tree_regressor")
+@register("tree_regressor", oracle=_sql_grown(SQL_PRICE, "y", len(PRICE_SQL), TREE_DEPTH, False))
 def q_tree_regressor(spark, sf_dir):
-    from coview.operators.trees import tree_regressor
-    return tree_regressor(_price_points(_price_rows(spark, sf_dir)))[1]
+    from coview.operators.trees import node_report, tree_regressor
+    data = _price_points(spark, sf_dir)
+    return _rounded(_off(node_report(data, tree_regressor(data, TREE_DEPTH)[0]), "regression"))
+
 
+# A forest draws its features at random, which no SQL repeats; grown on all rows
+# (no bootstrap), its leaves still must say what the rows that reach them say.
+_SPLIT_FLAG = "((({key} * 7919 + 104729) % 10) + 10) % 10 < 7"
 
-@register("forest_classifier")
+
+def _sql_forest(source: str, total: str) -> str:
+    return f"""WITH train AS ({source})
+SELECT CAST(tree AS INTEGER) AS tree, (SELECT count(*) FROM train) AS n,
+       (SELECT {total} FROM train) AS predicted_sum, CAST(0 AS BIGINT) AS leaves_off, CAST(0 AS BIGINT) AS rows_off
+FROM range({FOREST_TREES}) t(tree)"""
+
+
+@register("forest_classifier", oracle=f"""
+WITH train AS (SELECT 1 FROM documents JOIN labels USING (doc_id)
+               WHERE text IS NOT NULL AND quality IS NOT NULL AND {_SPLIT_FLAG.format(key='doc_id')})
+SELECT CAST(tree AS INTEGER) AS tree, (SELECT count(*) FROM train) AS n,
+       CAST(0 AS BIGINT) AS leaves_off, CAST(0 AS BIGINT) AS rows_off
+FROM range({FOREST_TREES}) t(tree)""")
 def q_forest_classifier(spark, sf_dir):
-    from coview.operators.trees import forest_classifier
-    pts = _embedding_points(spark, sf_dir)
-    flag = hash_split_flag("vec_id")
-    return forest_classifier(pts.where(flag), pts.where(~flag))[1]
+    from coview.operators.trees import forest_audit, forest_classifier
+    train, test = _document_points(spark, sf_dir, True), _document_points(spark, sf_dir, False)
+    model, _ = forest_classifier(train, test, FOREST_TREES, FOREST_DEPTH, bootstrap=False)
+    return forest_audit(model, train, test, "classification").drop("predicted_sum")
 
 
-@register("forest_regressor")
+@register("forest_regressor", oracle=_sql_forest(
+    f"SELECT {PRICE_LABEL} AS y FROM lineitem WHERE {_SPLIT_FLAG.format(key='l_orderkey')}", "round(sum(y), 3)"))
 def q_forest_regressor(spark, sf_dir):
-    from coview.operators.trees import forest_regressor
-    rows = _price_rows(spark, sf_dir)
-    flag = hash_split_flag("l_orderkey")
-    return forest_regressor(_price_points(rows.where(flag)), _price_points(rows.where(~flag)))[1]
+    from coview.operators.trees import forest_audit, forest_regressor
+    train, test = _price_points(spark, sf_dir, True), _price_points(spark, sf_dir, False)
+    model, _ = forest_regressor(train, test, FOREST_TREES, FOREST_DEPTH, bootstrap=False)
+    return (forest_audit(model, train, test, "regression")
+            .withColumn("predicted_sum", F.round("predicted_sum", 3)))
 
 
-def _document_points(spark, sf_dir):
-    """documents with a quality label: text statistics as features."""
-    from coview.operators.trees import assemble
-    d = table(spark, sf_dir, "documents")
-    lab = table(spark, sf_dir, "labels")
-    n = F.greatest(F.length("text"), F.lit(1))
-    feats = d.join(lab, "doc_id").select(
-        F.length("text").alias("n_chars"),
-        F.size(F.split("text", r"\r\n|\r|\n")).alias("n_lines"),
-        F.size(F.split("text", r"\s+")).alias("n_tokens"),
-        (F.length(F.regexp_replace("text", r"[^0-9]", "")) / n).alias("digit_share"),
-        (F.length(F.regexp_replace("text", r"[^\p{Lu}]", "")) / n).alias("upper_share"),
-        (F.length(F.regexp_replace("text", r"[\p{L}\p{N}\s]", "")) / n).alias("symbol_share"),
-        F.col("quality").alias("quality"))
-    return assemble(feats, ["n_chars", "n_lines", "n_tokens", "digit_share", "upper_share",
-                            "symbol_share"], "quality")
-
-
-@register("gbt_classifier")
-def q_gbt_classifier(spark, sf_dir):
-    from coview.operators.trees import gbt_classifier
-    return gbt_classifier(_document_points(spark, sf_dir), rounds=10, max_depth=5)[1]
+DEAR = "CASE WHEN l_extendedprice > 50000 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END"
 
 
-@register("gbt_regressor")
-def q_gbt_regressor(spark, sf_dir):
-    from coview.operators.trees import gbt_regressor
-    return gbt_regressor(_price_points(_price_rows(spark, sf_dir)), rounds=10, max_depth=5)[1]
+@register("gbt_classifier", oracle=_sql_boosted(
+    f"src AS MATERIALIZED (SELECT {_x(PRICE_SQL)}, ({DEAR}) * 2 - 1 AS y FROM lineitem)",
+    len(PRICE_SQL), BOOST_DEPTH, BOOST_ROUNDS, "logistic"))
+def q_gbt_classifier(spark, sf_dir):
+    from coview.operators.trees import boosting_report, gbt_classifier
+    data = _points(table(spark, sf_dir, "lineitem"), PRICE_SQL, DEAR)
+    model, _ = gbt_classifier(data, rounds=BOOST_ROUNDS, max_depth=BOOST_DEPTH)
+    return _rounded(_off(boosting_report(model, data, "logistic"), "regression"))
 
 
-# Long-typed columns of lineitem x orders standing in for the reference's
-# feature table (8 long features, one double label).
-FEATURE_TABLE_COLS = ("f_part", "f_supp", "f_line", "f_cust", "f_qty", "f_disc", "f_tax", "f_month")
+@register("gbt_regressor", oracle=_sql_boosted(SQL_PRICE, len(PRICE_SQL), BOOST_DEPTH, BOOST_ROUNDS))
+def q_gbt_regressor(spark, sf_dir):
+    from coview.operators.trees import boosting_report, gbt_regressor
+    data = _price_points(spark, sf_dir)
+    model, _ = gbt_regressor(data, rounds=BOOST_ROUNDS, max_depth=BOOST_DEPTH)
+    return _rounded(_off(boosting_report(model, data), "regression"))
 
 
-def feature_table(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders")
-    return li.join(o, li["l_orderkey"] == o["o_orderkey"]).select(
-        "l_orderkey",
-        F.col("l_partkey").cast("long").alias("f_part"),
-        F.col("l_suppkey").cast("long").alias("f_supp"),
-        F.col("l_linenumber").cast("long").alias("f_line"),
-        F.col("o_custkey").cast("long").alias("f_cust"),
-        F.floor("l_quantity").cast("long").alias("f_qty"),
-        F.round(F.col("l_discount") * 100).cast("long").alias("f_disc"),
-        F.round(F.col("l_tax") * 100).cast("long").alias("f_tax"),
-        F.month("l_shipdate").cast("long").alias("f_month"),
-        (F.col("l_extendedprice") / F.lit(1000.0)).alias("label"))
+# Eight long columns of lineitem x orders standing in for the reference's
+# feature table; ids by their remainder, as they have no order of their own.
+FEATURE_TABLE_SQL = ("l_partkey % 25", "l_suppkey % 25", "l_linenumber", "o_custkey % 25", "floor(l_quantity / 2)",
+                     "round(l_discount * 100)", "round(l_tax * 100)", "month(l_shipdate)")
+TABLE_ROUNDS, TABLE_DEPTH = 3, 5
 
 
-@register("gbt_feature_table")
+@register("gbt_feature_table", oracle=_sql_boosted(
+    f"""src AS MATERIALIZED (SELECT {_x(FEATURE_TABLE_SQL)}, {PRICE_LABEL} AS y
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE {_SPLIT_FLAG.format(key='l_orderkey')})""",
+    len(FEATURE_TABLE_SQL), TABLE_DEPTH, TABLE_ROUNDS))
 def q_gbt_feature_table(spark, sf_dir):
-    from coview.operators.trees import assemble, gbt_regressor
-    ft = feature_table(spark, sf_dir)
+    from coview.operators.trees import boosting_report, gbt_regressor
+    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    rows = li.join(o, li["l_orderkey"] == o["o_orderkey"])
     flag = hash_split_flag("l_orderkey")
-    train = assemble(ft.where(flag), FEATURE_TABLE_COLS, "label")
-    test = assemble(ft.where(~flag), FEATURE_TABLE_COLS, "label")
-    return gbt_regressor(train, test, rounds=3, max_depth=5)[1]
+    train = _points(rows.where(flag), FEATURE_TABLE_SQL, PRICE_LABEL)
+    test = _points(rows.where(~flag), FEATURE_TABLE_SQL, PRICE_LABEL)
+    model, _ = gbt_regressor(train, test, rounds=TABLE_ROUNDS, max_depth=TABLE_DEPTH)
+    return _rounded(_off(boosting_report(model, train), "regression"))

@@ -30,10 +30,7 @@ RATING_SCHEMA = T.StructType([
 
 # The access-log pattern of the log roll-up (nine groups: ip,
 # identity, user, time, request, status, bytes, referrer, agent).
-ACCESS_LOG_PATTERN = (
-    r'^([\d.]+) (\S+) (\S+) \[([\w\d:/]+\s[+\-]\d{4})\] "(.+?)" (\d{3}) ([\d\-]+) '
-    r'"([^"]+)" "([^"]+)".*'
-)
+ACCESS_LOG_PATTERN = r'^([\d.]+) (\S+) (\S+) \[([\w\d:/]+\s[+\-]\d{4})\] "(.+?)" (\d{3}) ([\d\-]+) "([^"]+)" "([^"]+)".*'
 
 
 def _guard(value, ok, on_bad: str, what: str):
@@ -83,6 +80,25 @@ def parse_json_column(df: DataFrame, col: str, schema: T.StructType | str) -> Da
     return df.withColumn(col, F.from_json(F.col(col), schema))
 
 
+def json_column_schema(df: DataFrame, col: str) -> str:
+    """The schema of a JSON text column as a type string, without writing it.
+
+    Each text becomes a VARIANT and the schemas are merged by an aggregate (one
+    row per task is shuffled). As with JSON files, objects are structs with
+    fields by name, whole numbers are bigint, and a field that is always null
+    is a string. An empty table has an empty struct.
+    """
+    merged = df.select(F.schema_of_variant_agg(F.parse_json(col))).first()[0]
+    if merged == "VOID":
+        return "STRUCT<>"
+    return merged.replace("OBJECT<", "STRUCT<").replace(": VOID", ": STRING").replace("<VOID>", "<STRING>")
+
+
+def infer_json_column(df: DataFrame, col: str) -> DataFrame:
+    """A JSON text column to a struct column of the same name, its schema inferred."""
+    return parse_json_column(df, col, json_column_schema(df, col))
+
+
 def parse_labeled_points(lines: DataFrame, col: str = "value") -> DataFrame:
     """``y,x1 x2 ... xn`` to (label double, features array<double>)."""
     parts = F.split(F.col(col), ",")
@@ -133,15 +149,16 @@ def parse_people_lines(lines: DataFrame, col: str = "value") -> DataFrame:
 def parse_access_log(lines: DataFrame, col: str = "value") -> DataFrame:
     """Access-log lines to (matched, ip, user, request, bytes).
 
-    ``regexp_extract`` gives '' when a line does not match, so ``matched`` is
-    kept separately. Bytes ``-`` (the pattern allows it) become 0.
+    One regex run a line: a matching line is replaced by its ip, bytes, user and
+    request, which are apart at the first three spaces as only the request may
+    hold one; a line that does not match stays as it is, and a match never
+    does. Texts of a line without a match are ''. Bytes ``-`` (the pattern allows
+    it) become 0.
     """
-    v = F.col(col)
-    g = lambda i: F.regexp_extract(v, ACCESS_LOG_PATTERN, i)
-    matched = v.rlike(ACCESS_LOG_PATTERN)
-    raw_bytes = g(7)
+    found = F.regexp_replace(F.col(col), ACCESS_LOG_PATTERN + r"[\s\S]*", "$1 $7 $3 $5")
+    parts = lines.select((found != F.col(col)).alias("matched"), F.split(found, " ", 4).alias("_p"))
+    text = lambda i: F.when(F.col("matched"), F.get("_p", i)).when(~F.col("matched"), "")
     nbytes = F.when(~F.col("matched"), F.lit(0).cast("long")).otherwise(
-        F.coalesce(F.expr("try_cast(_b AS BIGINT)"), F.lit(0).cast("long")))
-    return (lines.select(matched.alias("matched"), g(1).alias("ip"), g(3).alias("user"),
-                         g(5).alias("request"), raw_bytes.alias("_b"))
-            .select("matched", "ip", "user", "request", nbytes.alias("bytes")))
+        F.coalesce(F.expr("try_cast(_p[1] AS BIGINT)"), F.lit(0).cast("long")))
+    return parts.select("matched", text(0).alias("ip"), text(2).alias("user"), text(3).alias("request"),
+                        nbytes.alias("bytes"))

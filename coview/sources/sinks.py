@@ -22,9 +22,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
     w.parquet(path)
 
 
-def vector_text(id_col: str, values_col: str) -> "F.Column":
-    """``id,[v1, v2, ...]`` as a text line (the factor dump format)."""
-    vals = F.transform(F.col(values_col), lambda v: v.cast("double").cast("string"))
+def vector_text(id_col: str, values_col: str, value=lambda v: v.cast("double").cast("string")) -> "F.Column":
+    """``id,[v1, v2, ...]`` as a text line (the factor dump format); ``value`` turns
+    one number into text."""
+    vals = F.transform(F.col(values_col), value)
     return F.concat(F.col(id_col).cast("string"), F.lit(",["), F.array_join(vals, ", "), F.lit("]"))
 
 
@@ -57,6 +58,26 @@ def insert_overwrite_partition(spark: SparkSession, name: str, partition_col: st
     spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({partition_col}='{value}') {select_sql}")
 
 
+def overwrite_partitions(df: DataFrame, name: str) -> None:
+    """Replace exactly the partitions of ``name`` that ``df`` has rows for.
+
+    Dynamic overwrite, which file tables take from the session: it is set for
+    this write alone. Columns are matched by position, the partition column
+    last. A second run of the same day replaces the first instead of adding to
+    it; older partitions are not read, let alone written.
+    """
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode, None)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(name)
+    finally:
+        if before is None:
+            spark.conf.unset(mode)
+        else:
+            spark.conf.set(mode, before)
+
+
 def replace_view(df: DataFrame, name: str) -> DataFrame:
     """Register ``df`` as a temp view; registering the same name again replaces it."""
     df.createOrReplaceTempView(name)

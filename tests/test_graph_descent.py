@@ -20,6 +20,38 @@ def test_closure_long_chain_and_idempotence(spark):
     assert G.transitive_closure(tc).count() == n * (n + 1) // 2
 
 
+def test_closure_of_nothing_and_of_loops(spark):
+    assert G.transitive_closure(_edges(spark, [])).count() == 0
+    got = {tuple(r) for r in G.transitive_closure(_edges(spark, [(1, 1), (1, 2), (None, 2), (2, None)])).collect()}
+    assert got == {(1, 1), (1, 2)}   # an edge without both ends is none
+
+
+def test_closure_of_a_hub(spark):
+    # a third of all edges enter one node, which has three ways on
+    rows = [(i, 0) for i in range(1, 60)] + [(0, -1), (0, -2), (0, -3), (-3, -4)] + [(100 + i, 101 + i) for i in range(0, 60, 2)]
+    want = set(rows) | {(i, j) for i in range(1, 60) for j in (-1, -2, -3, -4)} | {(0, -4)}
+    for salts in (1, 7):
+        assert {tuple(r) for r in G.transitive_closure(_edges(spark, rows), salts=salts).collect()} == want
+
+
+def test_closure_round_moves_only_what_it_finds(spark):
+    import re
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    state = None
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        state = G.ClosureState(_edges(spark, [(i, i + 1) for i in range(12)]))
+        assert state.advance() and state.advance()
+        plan = state.found()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+        if state:
+            state.close()
+    assert len(re.findall(r"\bExchange ", plan)) == 1 and plan.count("Bucketed: true") == 3
+
+
 def test_pagerank_by_hand(spark):
     e = _edges(spark, [(1, 2), (1, 2), (2, 3), (3, 2)])  # a=1, b=2, c=3
     r1 = {r["node"]: r["rank"] for r in G.pagerank(e, 1).collect()}
@@ -71,5 +103,5 @@ def test_pagerank_hot_sources_same_result(spark):
     rows = [(1, d) for d in range(2, 40)] + [(d, 1) for d in range(2, 40, 3)] + [(2, 3), (3, 2)]
     e = _edges(spark, rows)
     a = {r["node"]: r["rank"] for r in G.pagerank(e, 4).collect()}
-    b = {r["node"]: r["rank"] for r in G.pagerank(e, 4, hot_rows=5).collect()}
+    b = {r["node"]: r["rank"] for r in G.pagerank(e, 4, links_per_salt=5).collect()}
     assert a.keys() == b.keys() and all(math.isclose(a[k], b[k]) for k in a)

@@ -24,6 +24,50 @@ def test_frequent_itemsets_small(spark):
     assert got == {"z": 3, "r": 2, "r,z": 2}
 
 
+def _itemsets(rows, min_support):
+    """All itemsets of at least ceil(min_support * n) baskets, by brute force."""
+    import math
+    from itertools import combinations
+    baskets = {}
+    for b, i in rows:
+        if b is not None and i is not None:
+            baskets.setdefault(b, set()).add(i)
+    counts = {}
+    for items in baskets.values():
+        for size in range(1, len(items) + 1):
+            for c in combinations(sorted(items), size):
+                counts[c] = counts.get(c, 0) + 1
+    least = max(1, math.ceil(min_support * len(baskets)))
+    return {(",".join(c), len(c), n) for c, n in counts.items() if n >= least}
+
+
+def test_vertical_itemsets_against_brute_force(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [(f"b{b}", i) for b in range(300) for i in "abcdefgh" if rnd.random() < 0.6 - 0.05 * "abcdefgh".index(i)]
+    rows += [("big", f"x{i}") for i in range(400)] + [("b1", "a"), ("b1", "a"), (None, "a"), ("b2", None)]
+    df = spark.createDataFrame(rows, "basket string, item string")
+    for support in (0.5, 0.1, 0.02):
+        got = {tuple(r) for r in M.vertical_itemsets(df, "basket", "item", support).collect()}
+        assert got == _itemsets(rows, support)
+    assert max(s for _, s, _ in got) >= 4
+    tx = M.transactions(df.dropna(), "basket", "item")
+    assert {tuple(r) for r in M.frequent_itemsets(tx, min_support=0.1).collect()} == _itemsets(rows, 0.1)
+
+
+def test_vertical_itemsets_over_several_chunks(spark):
+    n = (1 << 15) + 500     # more baskets than one bitmap holds
+    rows = spark.range(n).select("id", F.explode(F.array(
+        F.lit("a"), F.when(F.col("id") % 2 == 0, "b"), F.when(F.col("id") % 3 == 0, "c"))).alias("item"))
+    got = {r["itemset"]: r["freq"] for r in M.vertical_itemsets(rows, "id", "item", 0.01).collect()}
+    two, three, six = (len(range(0, n, k)) for k in (2, 3, 6))
+    assert got == {"a": n, "b": two, "c": three, "a,b": two, "a,c": three, "b,c": six, "a,b,c": six}
+
+
+def test_vertical_itemsets_of_nothing(spark):
+    assert M.vertical_itemsets(spark.createDataFrame([], "b long, i string"), "b", "i").count() == 0
+
+
 def test_transactions_dedupe(spark):
     rows = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b")], "o long, t string")
     tx = M.transactions(rows, "o", "t").first()
@@ -57,8 +101,8 @@ def test_lda_topic_matrix_complete(spark):
 
 
 def test_trees_beat_constant_predictor(spark):
-    from coview.plans.learning_queries import _price_points, _price_rows
-    data = _price_points(_price_rows(spark, SF_SMALL))
+    from coview.plans.learning_queries import _price_points
+    data = _price_points(spark, SF_SMALL)
     model, metrics = T.tree_regressor(data)
     mse = {r["metric"]: r["value"] for r in metrics.collect()}["train_mse"]
     var = data.agg(F.var_pop("label")).first()[0]
@@ -86,3 +130,150 @@ def test_als_rmse_bound(spark):
                                            lambda acc, v: acc + v).alias("p")))
     rmse = pred.agg(F.sqrt(F.avg(F.pow(F.col("p") - F.col("rating"), 2)))).first()[0]
     assert rmse < 0.1
+
+
+# --- keyed factorisation, k-means and power iteration -----------------------------
+
+def _solve(a, b):
+    import numpy as np
+    return np.linalg.solve(np.array(a), np.array(b))
+
+
+def test_als_rounds_against_numpy(spark):
+    import hashlib
+    import numpy as np
+    from coview.operators import factors as FA
+    rows = [(f"u{u}", f"é{i}", float((u * i) % 5 + 1)) for u in range(14) for i in range(9) if (u + i) % 3]
+    rows += [("u0", "hot", 2.0), ("u0", "hot", 4.0)] + [(f"v{k}", "hot", 1.0 + k % 4) for k in range(60)]
+    bad = [(None, "é1", 1.0), ("u1", None, 1.0), ("u1", "é1", None)]
+    df = spark.createDataFrame(rows + bad, "user string, item string, rating double")
+    rank, reg = 3, 0.07
+    users, items = FA.alternating_least_squares(df, rank, 2, reg)
+
+    def start(key):
+        return [0.1 + int(hashlib.md5(f"{key}:{j}".encode()).hexdigest()[:6], 16) / (1 << 24) for j in range(rank)]
+
+    want_u = {u: np.array(start(u)) for u, _, _ in rows}
+    for _ in range(2):
+        want_i = {}
+        for key, side, other in (("i", 1, 0), ("u", 0, 1)):
+            fixed = want_u if key == "i" else want_i
+            solved = {}
+            for k in {r[side] for r in rows}:
+                own = [(fixed[r[other]], r[2]) for r in rows if r[side] == k]
+                a = sum(np.outer(v, v) for v, _ in own) + reg * len(own) * np.eye(rank)
+                solved[k] = _solve(a, sum(v * x for v, x in own))
+            if key == "i":
+                want_i = solved
+            else:
+                want_u = solved
+    for got, want, key in ((users, want_u, "user"), (items, want_i, "item")):
+        found = {r[key]: [r[f"f{j}"] for j in range(rank)] for r in got.collect()}
+        assert found.keys() == want.keys()
+        assert all(np.allclose(found[k], want[k], rtol=1e-8, atol=1e-10) for k in want)
+    sums = FA.gram_sums(df, items, "user", "item", "rating", rank)
+    off = FA.residuals(sums, users, "user", rank, reg)
+    assert off.agg(F.max("residual")).first()[0] < 1e-9
+    wrong = users.withColumn("f0", F.col("f0") + 0.01)
+    assert FA.residuals(sums, wrong, "user", rank, reg).agg(F.min("residual")).first()[0] > 1e-6
+
+
+def test_kmeans_rounds_are_means_of_nearest(spark):
+    import random
+    rnd = random.Random(2)
+    rows = [(i, [rnd.gauss(10 * (i % 3), 1), rnd.gauss(-5 * (i % 3), 1)]) for i in range(150)] + [(900, None)]
+    df = spark.createDataFrame(rows, "id long, point array<double>")
+    centers, points = C.kmeans_rounds(df, 3, 8)
+    by = {}
+    for r in centers.collect():
+        by.setdefault(r["cluster"], {})[r["dim"]] = (r["value"], r["n"])
+    got = {r["id"]: (r["cluster"], r["cost"]) for r in points.collect()}
+    assert set(got) == set(range(150))
+    for i, p in rows[:150]:
+        costs = {c: sum((p[d] - v[d][0]) ** 2 for d in v) for c, v in by.items()}
+        assert got[i][0] == min(costs, key=costs.get) and abs(got[i][1] - min(costs.values())) < 1e-9
+    for c, dims in by.items():        # the rounds have settled: centers are the means of their points
+        own = [p for i, p in rows[:150] if got[i][0] == c]
+        assert all(abs(sum(p[d] for p in own) / len(own) - dims[d][0]) < 1e-9 and dims[d][1] == len(own) for d in dims)
+
+
+def test_power_rounds_against_plain_arithmetic(spark):
+    rows = [(0, 1, 0.9), (1, 2, 0.9), (2, 3, 0.9), (3, 4, 0.1), (4, 5, 0.9), (5, 5, 7.0)]
+    df = spark.createDataFrame(rows, "src long, dst long, weight double")
+    w = {}
+    for a, b, x in rows:
+        if a != b:
+            w[a, b] = w[b, a] = x
+    deg = {i: sum(x for (a, _), x in w.items() if a == i) for i in range(6)}
+    v = {i: d / sum(deg.values()) for i, d in deg.items()}
+    for _ in range(10):
+        v = {i: sum(x * v[b] for (a, b), x in w.items() if a == i) / deg[i] for i in v}
+        v = {i: x / sum(v.values()) for i, x in v.items()}
+    got = {r["id"]: r["value"] for r in C.power_rounds(df, 10).collect()}
+    assert got.keys() == v.keys() and all(abs(got[i] - v[i]) < 1e-12 for i in v)
+    # a loose tolerance ends the iteration after its second round
+    early = {r["id"]: r["value"] for r in C.power_rounds(df, 10, tolerance=10.0).collect()}
+    two = {r["id"]: r["value"] for r in C.power_rounds(df, 2).collect()}
+    assert early == two
+    found = {r["id"]: r["cluster"] for r in C.power_clusters(df, 2, 10).collect()}
+    assert len({found[i] for i in range(4)}) == 1 and found[4] == found[5] != found[0]
+
+
+# --- fitted trees as tables --------------------------------------------------------
+
+def _grid_points(spark, n=900, noise=3):
+    rows = [(float(i % 7), float(i % 5), float((i * i) % 11), 2.0 * (i % 7 > 3) + (i % 5) * 0.5 + (i * 37 % noise)) for i in range(n)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y double")
+    return T.assemble(df, ["a", "b", "c"], "y")
+
+
+def test_walk_scores_as_the_model_does(spark):
+    data = _grid_points(spark)
+    for model in (T.tree_regressor(data, 4)[0], T.forest_regressor(data, data, 3, 3, bootstrap=False)[0]):
+        keyed = data.withColumn("row", F.monotonically_increasing_id())
+        walked = T.walk(keyed, T.node_table(model), T.tree_depth(model)).groupBy("row").agg(F.avg("prediction").alias("w"))
+        both = model.transform(keyed).join(walked, "row")
+        assert both.where(F.abs(F.col("w") - F.col("prediction")) > 1e-9).count() == 0 and both.count() == 900
+
+
+def test_stump_is_the_best_split(spark):
+    data = _grid_points(spark)
+    rows = [(r["features"].toArray().tolist(), r["label"]) for r in data.collect()]
+
+    def sse(ys):
+        m = sum(ys) / len(ys)
+        return sum((y - m) ** 2 for y in ys)
+
+    best = None
+    for f in range(3):
+        values = sorted({x[f] for x, _ in rows})
+        for lo, hi in zip(values, values[1:]):
+            cut = (lo + hi) / 2
+            left, right = [y for x, y in rows if x[f] <= cut], [y for x, y in rows if x[f] > cut]
+            got = sse(left) + sse(right)
+            if best is None or got < best[0] - 1e-9:
+                best = (got, f, cut, left, right)
+    report = {r["node"]: r for r in T.node_report(data, T.tree_regressor(data, 1)[0]).collect()}
+    assert (report[1]["feature"], report[1]["threshold"], report[1]["n"]) == (best[1], best[2], 900)
+    for node, ys in ((2, best[3]), (3, best[4])):
+        assert report[node]["feature"] is None and report[node]["n"] == len(ys)
+        assert abs(report[node]["prediction"] - sum(ys) / len(ys)) < 1e-9
+
+
+def test_every_node_says_the_mean_of_its_rows(spark):
+    data = _grid_points(spark)
+    model, _ = T.gbt_regressor(data, rounds=3, max_depth=3)
+    report = T.boosting_report(model, data).collect()
+    assert {r["tree"] for r in report} == {0, 1, 2}
+    assert all(abs(r["mean"] - r["prediction"]) < 1e-9 for r in report)
+    binary = data.withColumn("label", (F.col("label") > 2).cast("double"))
+    model, _ = T.gbt_classifier(binary, rounds=3, max_depth=2)
+    report = T.boosting_report(model, binary, "logistic").collect()
+    assert all(abs(r["mean"] - r["prediction"]) < 1e-9 for r in report)
+    model, _ = T.forest_classifier(binary, binary, 3, 3, bootstrap=False)
+    audit = T.forest_audit(model, binary, binary, "classification").collect()
+    assert [(r["n"], r["leaves_off"], r["rows_off"]) for r in audit] == [(900, 0, 0)] * 3
+    # a model fitted on other rows is caught
+    half = binary.where(F.rand(3) < 0.3)
+    model, _ = T.forest_classifier(half, half, 3, 3, bootstrap=False)
+    assert sum(r["leaves_off"] for r in T.forest_audit(model, binary, binary, "regression").collect()) > 0

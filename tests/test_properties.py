@@ -81,7 +81,7 @@ def test_pagerank_matches_brute_force(spark, edges, rounds):
     import math
     from coview.operators.graph import pagerank
     df = spark.createDataFrame(edges, "src long, dst long")
-    got = {r["node"]: r["rank"] for r in pagerank(df, rounds, hot_rows=2).collect()}
+    got = {r["node"]: r["rank"] for r in pagerank(df, rounds, links_per_salt=2).collect()}
     want = pagerank_model(edges, rounds)
     assert got.keys() == want.keys()
     assert all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
@@ -115,12 +115,12 @@ def similarity_model(events, cap, k):
 
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 7)), min_size=1, max_size=40),
-       st.integers(2, 6), st.integers(1, 4), st.sampled_from([0, 3, 1 << 20]))
-def test_similarity_matches_brute_force(spark, events, cap, k, hot_rows):
+       st.integers(2, 6), st.integers(1, 4), st.sampled_from([None, 1, 3]))
+def test_similarity_matches_brute_force(spark, events, cap, k, salts):
     from coview.operators import similarity as S
     df = spark.createDataFrame(events, "user_id long, item_id long")
     got = {}
-    for r in S.top_k(S.item_similarity(df, cap, hot_rows), k).collect():
+    for r in S.top_k(S.item_similarity(df, cap, salts), k).collect():
         got.setdefault(r["item_id"], []).append((r["rank"], r["other_id"]))
     got = {a: [b for _, b in sorted(v)] for a, v in got.items()}
     assert got == similarity_model(events, cap, k)

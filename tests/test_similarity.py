@@ -83,34 +83,81 @@ def test_user_baskets_respects_cap(spark):
     assert got == {2: "1:2,2:1"}
 
 
-def test_hot_key_paths_give_same_lists(spark):
+def test_lists_do_not_depend_on_salts(spark):
     from coview.plans.behavior_queries import views
     from conftest import SF_SMALL
     v = views(spark, SF_SMALL)
     base = _lists(S.related_items(v))
-    for hot_rows in (0, 3, 8):   # 0: every user and item hot; others: mixed
-        assert _lists(S.related_items(v, hot_rows=hot_rows)) == base
+    for salts in (1, 2, 50):
+        assert _lists(S.related_items(v, salts=salts)) == base
 
 
-def test_hot_split_join_matches_plain_join(spark):
-    from coview.operators.layout import hot_split_join
+def _hot(spark):
     from pyspark.sql import functions as F
     big = spark.range(0, 3000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
-    big = big.unionByName(spark.range(0, 2000).select(F.lit(3).cast("long").alias("k"), F.col("id").alias("v")))
-    small = spark.range(0, 7).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    counts = big.groupBy("k").count()
-    hot = counts.where("count > 1000").select("k")
-    got = sorted(tuple(r) for r in hot_split_join(big, small, "k", hot).collect())
+    big = big.unionByName(spark.range(0, 6000).select(F.lit(3).cast("long").alias("k"), F.col("id").alias("v")))
+    big = big.unionByName(spark.createDataFrame([(None, 1), (99, 2)], "k long, v long"))
+    return big, spark.range(0, 8).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+
+
+def test_salted_join_matches_plain_join(spark):
+    from coview.operators.layout import salted_join
+    big, small = _hot(spark)
     want = sorted(tuple(r) for r in big.join(small, "k").collect())
-    assert got == want and hot.count() == 1
+    for salts in (None, 1, 16):
+        assert sorted(tuple(r) for r in salted_join(big, small, "k", ["v"], salts).collect()) == want
 
 
-def test_user_baskets_hot_users_dropped_map_side(spark):
-    rows = [(1, i) for i in range(30)] + [(2, 1), (2, 1), (2, 2)]
+def test_salted_join_spreads_a_hot_key(spark):
+    from coview.operators.layout import salted_join
+    from pyspark.sql import functions as F
+    big, small = _hot(spark)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled",
+                                           "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "32")
+        joined = salted_join(big, small, "k", ["v"])
+        per_task = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    # 71 % of the rows have one key; dealt by the key alone they would be one task's
+    assert sum(per_task) == 9000 and len(per_task) >= 28 and max(per_task) < 900
+    assert "Broadcast" not in plan
+
+
+def test_one_user_with_a_third_of_all_rows(spark):
+    rows = [(1, i) for i in range(400)] + [(u, u % 37 + j) for u in range(2, 202) for j in range(4)]
     pairs = spark.createDataFrame(rows, "user_id long, item_id long")
-    base = {r["user_id"]: r["item_list"] for r in B.user_baskets(pairs, cap=5).collect()}
-    hot = {r["user_id"]: r["item_list"] for r in B.user_baskets(pairs, cap=5, hot_rows=10).collect()}
-    assert base == hot == {2: "1:2,2:1"}
+    calm = spark.createDataFrame([r for r in rows if r[0] != 1], "user_id long, item_id long")
+    baskets = {r["user_id"]: r["item_list"] for r in B.user_baskets(pairs, cap=100).collect()}
+    assert 1 not in baskets and baskets == {r["user_id"]: r["item_list"] for r in B.user_baskets(calm, cap=100).collect()}
+    # the heavy user makes no pairs but counts in the weights
+    got = {(r["item_a"], r["item_b"]) for r in S.item_pair_scores(S.damped_counts(pairs), 100).collect()}
+    assert got == {(a, b) for _, a in rows for b in range(a + 1, a + 4) if any(
+        (u, a) in set(rows) and (u, b) in set(rows) for u in range(2, 202))}
+
+
+def test_pair_tasks_follow_the_pairs(spark):
+    from coview.operators.layout import spread_by_pairs
+    df = spark.range(10).withColumnRenamed("id", "user_id")
+    assert spread_by_pairs(df, "user_id", 1000, least=1, per_task=100).rdd.getNumPartitions() == 10
+    assert spread_by_pairs(df, "user_id", 0, least=3).rdd.getNumPartitions() == 3
+
+
+def test_behavior_counts_scan_the_log_once(spark, tmp_path):
+    log = spark.createDataFrame(
+        [("1", "10", "1", "t"), ("1", None, "1", "t"), (None, "10", "1", "t"), ("2", "10", None, "t"), ("2", "x", "2", "t")],
+        "user_id string, item_id string, behavior_type string, time string")
+    log.write.parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    out = B.behavior_counts(log, min_events=1, cap=2, partnered=lambda cui: S.items_with_partners(S.with_user_totals(cui), 3))
+    assert f"{tmp_path}/log" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r["metric"]: r["value"] for r in out.collect()} == {
+        "rows": 5, "views": 3, "users": 2, "baskets": 1, "items": 2, "active_items": 1, "output": 2}
 
 
 def test_items_with_partners_equals_items_in_similarity(spark):

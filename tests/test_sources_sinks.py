@@ -1,3 +1,4 @@
+from decimal import Decimal
 import os
 
 import pytest
@@ -94,12 +95,43 @@ def test_parquet_write_fails_if_exists(spark, scratch):
 def test_partition_overwrite_keeps_other_partitions(spark, scratch):
     K.create_partitioned_table(spark, "related_result_t", "item_id BIGINT, item_list STRING", "ds",
                                scratch("related_result"))
-    K.insert_overwrite_partition(spark, "related_result_t", "ds", "2015-11-21",
-                                 "SELECT 1111, 'old:100;row'")
-    K.insert_overwrite_partition(spark, "related_result_t", "ds", "2015-11-22", "SELECT 1, 'x'")
-    K.insert_overwrite_partition(spark, "related_result_t", "ds", "2015-11-21", "SELECT 2, 'y'")
+    K.insert_overwrite_partition(spark, "related_result_t", "ds", "2031-04-05",
+                                 "SELECT 7, 'yesterday'")
+    K.insert_overwrite_partition(spark, "related_result_t", "ds", "2031-04-06", "SELECT 1, 'x'")
+    K.insert_overwrite_partition(spark, "related_result_t", "ds", "2031-04-05", "SELECT 2, 'y'")
     got = sorted(tuple(r) for r in spark.table("related_result_t").collect())
-    assert got == [(1, "x", "2015-11-22"), (2, "y", "2015-11-21")]
+    assert got == [(1, "x", "2031-04-06"), (2, "y", "2031-04-05")]
+
+
+def test_daily_overwrite_replaces_only_its_day(spark, scratch):
+    K.create_partitioned_table(spark, "daily_t", "item_id BIGINT, n BIGINT", "ds", scratch("daily"))
+
+    def day(rows):
+        return spark.createDataFrame(rows, "item_id long, n long, ds string")
+
+    K.overwrite_partitions(day([(1, 1, "a"), (2, 2, "b")]), "daily_t")
+    K.overwrite_partitions(day([(3, 3, "b")]), "daily_t")
+    K.overwrite_partitions(day([(3, 3, "b")]), "daily_t")
+    assert sorted(tuple(r) for r in spark.table("daily_t").collect()) == [(1, 1, "a"), (3, 3, "b")]
+    K.overwrite_partitions(day([]), "daily_t")
+    assert spark.table("daily_t").count() == 2
+
+
+def test_json_schema_of_a_column(spark):
+    rows = [('{"b": 1, "a": {"c": "x", "n": null}, "l": [1, 2]}',), ('{"b": 2, "d": 1.5}',), (None,)]
+    df = spark.createDataFrame(rows, "v string")
+    got = R.infer_json_column(df, "v").select("v.a.c", "v.a.n", "v.b", "v.d", "v.l").collect()
+    assert [tuple(r) for r in got] == [("x", None, 1, None, [1, 2]), (None, None, 2, Decimal("1.5"), None), (None,) * 5] or (
+        [tuple(r) for r in got] == [("x", None, 1, None, [1, 2]), (None, None, 2, 1.5, None), (None,) * 5])
+    assert R.infer_json_column(df.where("false"), "v").count() == 0
+
+
+def test_access_log_in_one_run(spark):
+    line = '10.1.2.3 id me [03/May/2022:10:00:00 +0000] "GET /a b HTTP/1.1" 200 12 "r" "agent" rest'
+    rows = [(line,), (line.replace(" 12 ", " - "),), ("no match at all",), ("",), (None,), (line + "\nnext line",)]
+    got = [tuple(r) for r in R.parse_access_log(spark.createDataFrame(rows, "value string")).collect()]
+    hit = (True, "10.1.2.3", "me", "GET /a b HTTP/1.1", 12)
+    assert got == [hit, (*hit[:4], 0), (False, "", "", "", 0), (False, "", "", "", 0), (None, None, None, None, 0), hit]
 
 
 def test_create_table_as_if_not_exists(spark, scratch):
