@@ -86,8 +86,8 @@ def bits_of(keys: DataFrame) -> Bits:
               .agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit((1 << _CHUNK) - 1).cast("long"))).alias("bits")))
     data = np.zeros(size >> 3, dtype=np.uint8)
     for row in chunks.collect():
-        part = np.frombuffer(row["bits"], dtype=np.uint8)
         start = row["chunk"] << (_CHUNK - 3)
+        part = np.frombuffer(row["bits"], dtype=np.uint8)[: len(data) - start]
         data[start: start + len(part)] = part
     return Bits(data, size)
 
