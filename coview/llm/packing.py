@@ -75,6 +75,10 @@ class WordTokenizer:
         self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self._clear()
 
+    def forget(self) -> None:
+        """Drop the cached words: what follows in this worker needs the memory."""
+        self._clear()
+
     def _clear(self) -> None:
         self.known: dict[int, int] = {}
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
@@ -167,7 +171,8 @@ _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
 def tokenizer_for(path: str) -> WordTokenizer:
-    """One tokenizer and cache per Python worker, kept from task to task."""
+    """One tokenizer per Python worker, kept from task to task; its cached words
+    are not (see ``_pack``)."""
     if path not in _TOKENIZERS:
         _TOKENIZERS[path] = WordTokenizer(path)
     return _TOKENIZERS[path]
@@ -289,14 +294,17 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, window: int, cut: int, e
           block_windows: int) -> Iterator[pa.RecordBatch]:
     tokenizer = tokenizer_for(path)
     pool = None
-    for batch in batches:
-        if pool is None:
-            pool = _Pool(window, cut, block_windows, TaskContext.get().partitionId() << 32)
-        for block in K.text_blocks(batch.column(1)):
-            ids, counts = tokenizer.encode(block, end_id)
-            yield from pool.add(batch.column(0).slice(block.first, block.n), ids, counts)
-    if pool is not None and pool.parts:
-        yield pool.flush()
+    try:
+        for batch in batches:
+            if pool is None:
+                pool = _Pool(window, cut, block_windows, TaskContext.get().partitionId() << 32)
+            for block in K.text_blocks(batch.column(1)):
+                ids, counts = tokenizer.encode(block, end_id)
+                yield from pool.add(batch.column(0).slice(block.first, block.n), ids, counts)
+        if pool is not None and pool.parts:
+            yield pool.flush()
+    finally:
+        tokenizer.forget()
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
