@@ -53,7 +53,6 @@ def basket_bitmaps(rows: DataFrame, basket_col: str, item_col: str) -> tuple[Dat
     pairs = rows.select(F.col(basket_col).alias("basket"), F.col(item_col).cast("string").alias("item"))
     pairs = write_cut(pairs.where("basket is not null and item is not null"), "basket_items")
     index = dense_index(pairs.select("basket").distinct(), ["basket"], "at")
-    index = write_cut(index, "basket_index")
     bits = F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit((1 << _CHUNK_BITS) - 1).cast("long")))
     maps = (salted_join(pairs, index, "basket", ["item"])
             .groupBy("item", F.shiftright("at", _CHUNK_BITS).alias("chunk")).agg(bits.alias("bits")))
@@ -92,9 +91,9 @@ def vertical_itemsets(rows: DataFrame, basket_col: str, item_col: str, min_suppo
     while True:
         frequent = write_cut(_supported(maps, least), "itemsets")
         out = frequent if out is None else out.unionByName(frequent)
-        if frequent.isEmpty():
-            break
         size += 1
+        if frequent.count() < size:   # a set of `size` items has as many parts of one item less
+            break
         parts = maps.withColumnRenamed("items", "part").repartition("chunk")
         met = parts.join(_candidates(frequent, size), "part")
         maps = write_cut(met.groupBy("chunk", "items").agg(F.bitmap_and_agg("bits").alias("bits"), F.count(F.lit(1)).alias("n"))

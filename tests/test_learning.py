@@ -33,11 +33,13 @@ def _itemsets(rows, min_support):
         if b is not None and i is not None:
             baskets.setdefault(b, set()).add(i)
     counts = {}
+    least = max(1, math.ceil(min_support * len(baskets)))
+    often = {i for i in set().union(*baskets.values()) if sum(i in items for items in baskets.values()) >= least}
     for items in baskets.values():
+        items = sorted(items & often)
         for size in range(1, len(items) + 1):
-            for c in combinations(sorted(items), size):
+            for c in combinations(items, size):
                 counts[c] = counts.get(c, 0) + 1
-    least = max(1, math.ceil(min_support * len(baskets)))
     return {(",".join(c), len(c), n) for c, n in counts.items() if n >= least}
 
 
@@ -171,7 +173,7 @@ def test_als_rounds_against_numpy(spark):
         found = {r[key]: [r[f"f{j}"] for j in range(rank)] for r in got.collect()}
         assert found.keys() == want.keys()
         assert all(np.allclose(found[k], want[k], rtol=1e-8, atol=1e-10) for k in want)
-    sums = FA.gram_sums(df, items, "user", "item", "rating", rank)
+    sums = FA.gram_sums(df.dropna(), items, "user", "item", "rating", rank)
     off = FA.residuals(sums, users, "user", rank, reg)
     assert off.agg(F.max("residual")).first()[0] < 1e-9
     wrong = users.withColumn("f0", F.col("f0") + 0.01)
