@@ -53,16 +53,16 @@ def _fit_score(est, train: DataFrame, test: DataFrame, measure: str):
 
 
 def tree_classifier(data: DataFrame, max_depth: int = 5, max_bins: int = 32,
-                    impurity: str = "gini"):
+                    impurity: str = "gini", min_rows: int = 1):
     """Decision tree classifier; training error."""
-    est = DecisionTreeClassifier(maxDepth=max_depth, maxBins=max_bins, impurity=impurity)
+    est = DecisionTreeClassifier(maxDepth=max_depth, maxBins=max_bins, impurity=impurity, minInstancesPerNode=min_rows)
     model, m = _fit_score(est, data, data, "error")
     return model, _metrics(data.sparkSession, model, m, "train_error")
 
 
-def tree_regressor(data: DataFrame, max_depth: int = 5, max_bins: int = 32):
+def tree_regressor(data: DataFrame, max_depth: int = 5, max_bins: int = 32, min_rows: int = 1):
     """Decision tree regressor (variance); training MSE."""
-    est = DecisionTreeRegressor(maxDepth=max_depth, maxBins=max_bins, impurity="variance")
+    est = DecisionTreeRegressor(maxDepth=max_depth, maxBins=max_bins, impurity="variance", minInstancesPerNode=min_rows)
     model, m = _fit_score(est, data, data, "mse")
     return model, _metrics(data.sparkSession, model, m, "train_mse")
 
@@ -85,17 +85,17 @@ def forest_regressor(train: DataFrame, test: DataFrame, num_trees: int = 3, max_
     return model, _metrics(train.sparkSession, model, m, "test_mse")
 
 
-def gbt_classifier(data: DataFrame, rounds: int = 10, max_depth: int = 5, seed: int = 1):
+def gbt_classifier(data: DataFrame, rounds: int = 10, max_depth: int = 5, seed: int = 1, min_rows: int = 1):
     """Boosted trees classifier (two classes only); training error."""
-    est = GBTClassifier(maxIter=rounds, maxDepth=max_depth, seed=seed)
+    est = GBTClassifier(maxIter=rounds, maxDepth=max_depth, seed=seed, minInstancesPerNode=min_rows)
     model, m = _fit_score(est, data, data, "error")
     return model, _metrics(data.sparkSession, model, m, "train_error")
 
 
 def gbt_regressor(train: DataFrame, test: DataFrame | None = None, rounds: int = 10,
-                  max_depth: int = 5, seed: int = 1):
+                  max_depth: int = 5, seed: int = 1, min_rows: int = 1):
     """Boosted trees regressor (squared loss); MSE on ``test`` (training data if None)."""
-    est = GBTRegressor(maxIter=rounds, maxDepth=max_depth, seed=seed, lossType="squared")
+    est = GBTRegressor(maxIter=rounds, maxDepth=max_depth, seed=seed, lossType="squared", minInstancesPerNode=min_rows)
     model, m = _fit_score(est, train, train if test is None else test, "mse")
     name = "train_mse" if test is None else "test_mse"
     return model, _metrics(train.sparkSession, model, m, name)

@@ -26,7 +26,7 @@ def _impurity(n: str, s: str, q: str, classes: bool) -> str:
     return f"(({q} - {s} * {s} / {n}) / {n})"
 
 
-def grow(p: str, source: str, target: str, k: int, depth: int, classes: bool = False) -> list[str]:
+def grow(p: str, source: str, target: str, k: int, depth: int, classes: bool = False, least: int = 1) -> list[str]:
     """CTEs ``{p}rows`` (source's columns and the leaf ``node``) and ``{p}nodes``
     (node, feature, threshold, n, prediction) of one tree."""
     xs = ", ".join(f"x{j + 1}::DOUBLE" for j in range(k))
@@ -49,7 +49,7 @@ def grow(p: str, source: str, target: str, k: int, depth: int, classes: bool = F
   FROM (SELECT *, i - (ln / n) * li - ((n - ln) / n) * ri AS gain
         FROM (SELECT *, {_impurity('n', 'ws', 'wq', classes)} AS i, {_impurity('ln', 'ls', 'lq', classes)} AS li,
                      {_impurity('(n - ln)', '(ws - ls)', '(wq - lq)', classes)} AS ri
-              FROM {p}g{d} WHERE nv IS NOT NULL AND ln >= 1 AND n - ln >= 1))
+              FROM {p}g{d} WHERE nv IS NOT NULL AND ln >= {least} AND n - ln >= {least}))
   WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, split) = 1)""")
         out.append(f"""{p}r{d + 1} AS MATERIALIZED (
   SELECT r.* EXCLUDE (node), CASE WHEN b.node IS NULL THEN r.node
@@ -81,12 +81,13 @@ def grow(p: str, source: str, target: str, k: int, depth: int, classes: bool = F
     return out
 
 
-def boost(source: str, k: int, depth: int, rounds: int, loss: str = "squared", step: float = 0.1) -> list[str]:
+def boost(source: str, k: int, depth: int, rounds: int, loss: str = "squared", step: float = 0.1,
+          least: int = 1) -> list[str]:
     """CTEs of ``rounds`` boosted trees, ``m0nodes``, ``m1nodes``, ...; ``source`` has ``y``."""
     out = [f"s0 AS MATERIALIZED (SELECT *, 0.0::DOUBLE AS score FROM {source})"]
     goal = "2.0 * (y - score)" if loss == "squared" else "4.0 * y / (1.0 + exp(2.0 * y * score))"
     for i in range(rounds):
-        out += grow(f"m{i}", f"s{i}", "y" if i == 0 else goal, k, depth)
+        out += grow(f"m{i}", f"s{i}", "y" if i == 0 else goal, k, depth, least=least)
         weight = "1.0::DOUBLE" if i == 0 else f"{step}::DOUBLE"
         out.append(f"s{i + 1} AS MATERIALIZED (SELECT * EXCLUDE (node, prediction) REPLACE (score + {weight} * prediction AS score) "
                    f"FROM m{i}rows)")
