@@ -58,11 +58,13 @@ RANK_SLOTS = 1 << 16
 #: rounds that contract before the last pass
 LEADER_ROUNDS = 6
 #: rows of a block of a long column in the last pass, and pairs held at a time
-LONG_ROWS, HELD_PAIRS = 4096, 1 << 20
+LONG_ROWS, HELD_PAIRS = 4096, 1 << 19
 #: 64-bit words of a set's parity sketch
 SKETCH_WORDS = 8
 #: rows of one column that a task holds at a time
 HELD_ROWS = 1 << 20
+#: bytes of text whose shingles a task holds at a time
+TEXT_BYTES = 1 << 18
 
 
 def shingle_sets(block: K.Block, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -92,7 +94,7 @@ def _segment_sum(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def _digests(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, a, b = [], [], []
-        for block in K.text_blocks(batch.column(1)):
+        for block in K.text_blocks(batch.column(1), TEXT_BYTES):
             values, counts = shingle_sets(block, k)
             n.append(counts)
             a.append(_segment_sum(K.mix(values), counts))
@@ -107,7 +109,7 @@ def _frequent(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
     """The hash slots that stand out in a task, with their counts."""
     total = np.zeros(RANK_SLOTS, dtype=np.int64)
     for batch in batches:
-        for block in K.text_blocks(batch.column(0)):
+        for block in K.text_blocks(batch.column(0), TEXT_BYTES):
             values, _ = shingle_sets(block, k)
             total += np.bincount((values & np.uint64(RANK_SLOTS - 1)).astype(np.int64), minlength=RANK_SLOTS)
     slot = np.flatnonzero(total >= max(8, 4 * total.mean()))
@@ -131,7 +133,7 @@ def _columns(batches: Iterator[pa.RecordBatch], k: int, percent: int, ids: np.nd
         if ids is not None:
             slot = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((ids[slot >> 3] >> (slot & 7) & 1).astype(bool)))
-        for block in K.text_blocks(batch.column(1)):
+        for block in K.text_blocks(batch.column(1), TEXT_BYTES):
             values, counts = shingle_sets(block, k)
             length = counts
             if ids is None:
@@ -150,7 +152,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], k: int, ids: np.ndarray) -> Ite
     for batch in batches:
         slot = batch.column(2).to_numpy()
         batch = batch.filter(pa.array((ids[slot >> 3] >> (slot & 7) & 1).astype(bool)))
-        for block in K.text_blocks(batch.column(1)):
+        for block in K.text_blocks(batch.column(1), TEXT_BYTES):
             values, counts = shingle_sets(block, k)
             at = np.repeat(np.arange(block.n), counts) * bits + (K.mix(values) % np.uint64(bits)).astype(np.int64)
             odd = (np.bincount(at, minlength=block.n * bits) & 1).astype(np.uint8)
