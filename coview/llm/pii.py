@@ -43,7 +43,11 @@ _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOOSE_PHONE = re.compile(r"(?<![0-9])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")
 _LOOSE_CARD = re.compile(r"(?<![0-9.+])[0-9](?:[ -]?[0-9]){11,18}(?![0-9])")
-_SECRET = re.compile(r"(?<![A-Za-z0-9_])(?=[A-Za-z_]{0,40}[0-9])[A-Za-z0-9_]{20,128}(?![A-Za-z0-9_])")
+#: runs of any length; one without a digit is no key (tested after the match)
+_SECRET = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9_]{20,}")
+_DIGIT = re.compile(r"[0-9]")
+#: area code and exchange of a ten-digit number begin with 2 to 9
+_TEN_DIGITS = re.compile(r"\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[ .-][0-9]{4}$")
 _CONTEXT = {
     "email": re.compile(r"e-?mail|contact|write|mailto|@", re.I),
     "ip": re.compile(r"\bip\b|address|host|server", re.I),
@@ -103,7 +107,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Candidates outside the base spans, longest claim first, no overlaps."""
     found = [(m.start(), k, m.end()) for k, rule in ((2, _LOOSE_CARD), (3, _LOOSE_PHONE), (4, _SECRET))
-             for m in rule.finditer(text)]
+             for m in rule.finditer(text) if k != 4 or _DIGIT.search(m.group())]
     taken = sorted((s, e) for s, _, e in base)
     out: list[tuple[int, int, int]] = []
     for s, k, e in sorted(found, key=lambda x: (x[0], x[0] - x[2], x[1])):
@@ -129,7 +133,7 @@ def votes(text: str, start: int, kind: int, end: int, strict: bool) -> str:
     elif kind == 0:
         gazetteer = "1" if re.search(r"\.(com|org|net|edu|io|de|fr|es|example)$", span) else "-"
     elif kind == 3:
-        gazetteer = "1" if "555" in span or span.startswith("+") else "-"
+        gazetteer = "1" if span.startswith("+") or _TEN_DIGITS.match(span) else "-"
     context = "1" if _CONTEXT[name].search(before) else "-"
     check = "-"
     if kind == 2:
