@@ -1,27 +1,31 @@
 """Hierarchical Pitman-Yor language model with Gibbs-sampled seating.
 
-A token is a lower-cased word or the end of its text. Its context is the last
-byte of the word before it, so there are at most 256 context restaurants; they
-share one parent restaurant over all words, whose own base is uniform over the
-vocabulary and one unknown word. Cells (word, context) with their counts come
-from every training document of the corpus.
+A token is a lower-cased word or the end of its text. Its context is the token
+before it (the end token at the start of a text), so every word has a
+restaurant of what follows it. All of them share one parent restaurant over
+words, whose own base is uniform over the vocabulary and one unknown word.
+Cells (word, context) with their counts come from every training document of the
+corpus.
 
 Seating is sampled in sweeps. Tables of all words are reseated by the Chinese
-restaurant process given the totals of the last sweep; words are dealt to parts
-by hash, so a word's cells and its parent entry are in one part and only the
-totals of the restaurants (at most 257 rows) go through the driver. A part
-replays the chain from its seed, so no state is kept between sweeps and a lost
-task is run again with the same result. Predictive probabilities are averaged
-over the sweeps after the burn-in.
-
-Texts are scanned once: a batch of documents is written as token numbers and a
-dictionary of its cells; dictionaries, not tokens, meet the model, and their
-answers go back to the batch. A very frequent word is one entry per batch.
+restaurant process given the totals of the last sweep. Words are dealt to parts
+by hash, so a word's cells and its parent entry are in one part. A context is a
+word too: its part is the home of its restaurant, which sums the restaurant's
+tables over the parts and sends the sum back to those that ask. A cell of one
+guest always has one table, so its tables are summed once and sweeps carry only
+the cells of two guests and more. Each sweep's seating is written. The driver
+sees the parent's totals, the vocabulary and the token count. Predictive
+probabilities are averaged over the sweeps after the burn-in.
+
+Texts are scanned once: a batch of documents becomes token numbers and a
+dictionary of its cells; dictionaries, not tokens, meet the model. A batch gets
+back counts and tables of its cells and words, small numbers, from which it
+works out its probabilities. A very frequent word is one entry per batch.
 
 Cases: a null or empty text is the end token alone; null ids train the model;
 without training rows all probabilities come from the uniform base; repeated
 rows are scored alike; an empty table gives no rows; other columns are not
-read. Words are compared by 64-bit hashes.
+read. Words are compared by 64-bit hashes, contexts by their first 48 bits.
 """
 
 from __future__ import annotations
@@ -43,7 +47,11 @@ DISCOUNT, STRENGTH = 0.6, 5.0          # context restaurants
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.7, 20.0
 SWEEPS, BURN_IN = 3, 1
 BATCH_BYTES = 16 << 20
+#: bytes of text for which there is a part
+PART_BYTES = 32 << 20
 _END = np.uint64(0x2545F4914F6CDD1D)
+#: a context is its word's hash without the last bits; words in order are contexts in order
+_CUT = np.uint64(16)
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -54,6 +62,37 @@ def _unpack(b: bytes, kind) -> np.ndarray:
     return np.frombuffer(zlib.decompress(b), dtype=kind)
 
 
+def _pack_hashes(x: np.ndarray, width: int) -> bytes:
+    """Hashes of ``width`` bytes, mostly rising, as differences by byte place."""
+    step = np.diff(x, prepend=np.uint64(0)).astype("<u8")
+    return zlib.compress(step.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes(), 1)
+
+
+def _unpack_hashes(b: bytes, width: int) -> np.ndarray:
+    places = np.frombuffer(zlib.decompress(b), dtype=np.uint8).reshape(width, -1)
+    step = np.zeros((places.shape[1], 8), dtype=np.uint8)
+    step[:, :width] = places.T
+    return np.cumsum(step.view("<u8").ravel(), dtype=np.uint64) & np.uint64((1 << 8 * width) - 1)
+
+
+def _pack_rising(x: np.ndarray) -> bytes:
+    return _pack(np.diff(x, prepend=0).astype(np.uint32))
+
+
+def _unpack_rising(b: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(b, np.uint32), dtype=np.int64)
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    if len(new):
+        new[1:] = False
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
 def tokens(block: K.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes with an end token per document, contexts, tokens per document."""
     data = K.LOWER[block.data]
@@ -64,15 +103,35 @@ def tokens(block: K.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inner[ends] = False
     word = np.full(len(inner), _END, dtype=np.uint64)
     word[inner] = K.span_hash(K.prefix_hash(data), words.starts, words.ends)
-    last = np.zeros(len(inner) + 1, dtype=np.uint8)
-    last[1:][inner] = data[words.ends - 1]
-    context = last[:-1].copy()
-    context[ends - counts + 1] = 0
+    # an end token is before every first word
+    context = np.concatenate([[_END], word[:-1]]) >> _CUT
     return word, context, counts
 
 
-_ROWS = ("batch long, part int, doc_id long, held_out boolean, n_tokens long, words binary, "
-         "contexts binary, counts binary")
+_OWN = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64())]
+_BYTES = [(f"b{i}", pa.binary()) for i in range(6)]
+#: rows of every step: what they are, whose, and packed columns
+_SCHEMA = pa.schema([("kind", pa.int32()), ("part", pa.int64()), ("batch", pa.int64()), *_OWN, ("x", pa.int64()),
+                     ("y", pa.int64()), *_BYTES])
+_ROWS = ("kind int, part long, batch long, doc_id long, held_out boolean, n_tokens long, x long, y long, "
+         + ", ".join(f"b{i} binary" for i in range(6)))
+OWN, CELLS, MAP, STATE, SEATS, HOME, TOLD = range(7)
+
+
+def _rows(kind: int, n: int, **columns) -> pa.RecordBatch:
+    """``n`` rows of a kind; columns are arrays, lists or one value for all."""
+    out = []
+    for f in _SCHEMA:
+        v = kind if f.name == "kind" else columns.get(f.name)
+        if v is None:
+            out.append(pa.nulls(n, f.type))
+        elif isinstance(v, pa.Array):
+            out.append(v)
+        elif isinstance(v, (np.ndarray, list)):
+            out.append(pa.array(v, type=f.type))
+        else:
+            out.append(pa.array([v] * n, type=f.type))
+    return pa.RecordBatch.from_arrays(out, schema=_SCHEMA)
 
 
 class _Batch:
@@ -86,38 +145,32 @@ class _Batch:
     def flush(self) -> Iterator[pa.RecordBatch]:
         word, context = np.concatenate(self.words), np.concatenate(self.contexts)
         lengths, held = np.concatenate(self.lengths), np.concatenate(self.held)
-        cell = K.mix(word + context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        _, first, inverse = np.unique(cell, return_index=True, return_inverse=True)
-        part = (word[first] % np.uint64(self.parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
+        self.words = self.contexts = None
+        _, first, inverse = np.unique(K.mix(word + K.mix(context)), return_index=True, return_inverse=True)
+        word, context = word[first], context[first]
+        order = np.lexsort((context, word))
+        part = ((word[order] >> _CUT) % np.uint64(self.parts)).astype(np.int64)
+        by_part = np.argsort(part, kind="stable")
+        order, part = order[by_part], part[by_part]
         place = np.empty(len(order), dtype=np.int64)
         place[order] = np.arange(len(order))
         number = place[inverse].astype(np.uint32)
         trained = np.bincount(number[np.repeat(~held, lengths)], minlength=len(order)).astype(np.uint32)
-        first, part = first[order], part[order]
-        word, context = word[first], context[first]
+        word, context = word[order], context[order]
         bounds = np.searchsorted(part, np.arange(self.parts + 1))
-        used = np.flatnonzero(np.diff(bounds))
-        n = len(used)
-        schema = pa.schema([("batch", pa.int64()), ("part", pa.int32()), ("doc_id", pa.int64()),
-                            ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("words", pa.binary()),
-                            ("contexts", pa.binary()), ("counts", pa.binary())])
-
-        def packed(x):
-            return pa.array([_pack(x[bounds[p]: bounds[p + 1]]) for p in used.tolist()], type=pa.binary())
-
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, self.number)), pa.array(used.astype(np.int32)), pa.nulls(n, pa.int64()),
-             pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64()), packed(word), packed(context), packed(trained)],
-            schema=schema)
-        m = len(lengths)
+        heads = _starts(word)
+        runs = np.diff(np.append(heads, len(word))).astype(np.uint32)
+        at = np.searchsorted(heads, bounds)
+        used = np.flatnonzero(np.diff(bounds)).tolist()
+        yield _rows(CELLS, len(used), part=used, batch=self.number,
+                    b0=[_pack_hashes(word[heads[at[p]: at[p + 1]]], 8) for p in used],
+                    b1=[_pack(runs[at[p]: at[p + 1]]) for p in used],
+                    b2=[_pack_hashes(context[bounds[p]: bounds[p + 1]], 6) for p in used],
+                    b3=[_pack(trained[bounds[p]: bounds[p + 1]]) for p in used])
         ends = np.cumsum(lengths)
-        own = pa.array([_pack(number[a:z]) for a, z in zip((ends - lengths).tolist(), ends.tolist(), strict=True)],
-                       type=pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(m, self.number)), pa.array(np.full(m, -1, dtype=np.int32)),
-             pa.concat_arrays(self.ids), pa.array(held), pa.array(lengths.astype(np.int64)), own,
-             pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], schema=schema)
+        yield _rows(OWN, len(lengths), part=-1 - self.number, batch=self.number, doc_id=pa.concat_arrays(self.ids),
+                    held_out=held, n_tokens=lengths.astype(np.int64),
+                    b0=[_pack(number[a:z]) for a, z in zip((ends - lengths).tolist(), ends.tolist(), strict=True)])
 
 
 def _batches(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
@@ -141,22 +194,60 @@ def _batches(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Recor
         yield from current.flush()
 
 
-def _cells(table: pa.Table) -> pa.Table:
-    """One part's distinct cells by (word, context) with their training counts."""
-    word = np.concatenate([_unpack(x, np.uint64) for x in table["words"].to_pylist()])
-    context = np.concatenate([_unpack(x, np.uint8) for x in table["contexts"].to_pylist()])
-    count = np.concatenate([_unpack(x, np.uint32) for x in table["counts"].to_pylist()]).astype(np.int64)
+def _dealt(part: int, kind: int, keys: np.ndarray, values: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Rising contexts and a number each, as one row for each home."""
+    home = (keys % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(home, kind="stable")
+    bounds = np.searchsorted(home[order], np.arange(parts + 1))
+    used = np.flatnonzero(np.diff(bounds)).tolist()
+    cut = [order[bounds[p]: bounds[p + 1]] for p in used]
+    return _rows(kind, len(used), part=used, x=part, b0=[_pack_hashes(keys[c], 6) for c in cut],
+                 b1=[_pack(values[c].astype(np.uint32)) for c in cut])
+
+
+def _assemble(table: pa.Table, parts: int) -> pa.Table:
+    """One part's cells from all batches; a batch's own rows as they are.
+
+    ``MAP`` rows say which cell and which word each entry of a batch is (and how
+    many entries a word has), the
+    ``CELLS`` row holds the counts of the cells, ``STATE`` the cells of two
+    guests and more, each at one table, ``SEATS`` the tables of the others
+    by context, ``HOME`` the words.
+    """
+    part = table["part"][0].as_py()
+    if part < 0:
+        return table
+    batch = table["batch"].to_pylist()
+    heads = [_unpack_hashes(b, 8) for b in table["b0"].to_pylist()]
+    word = np.concatenate([np.repeat(h, _unpack(r, np.uint32)) for h, r in zip(heads, table["b1"].to_pylist(), strict=True)])
+    context = [_unpack_hashes(b, 6) for b in table["b2"].to_pylist()]
+    sizes = [len(c) for c in context]
+    context = np.concatenate(context)
+    count = np.concatenate([_unpack(b, np.uint32) for b in table["b3"].to_pylist()]).astype(np.int64)
     order = np.lexsort((context, word))
     word, context, count = word[order], context[order], count[order]
-    new = np.ones(len(word), dtype=bool)
-    new[1:] = (word[1:] != word[:-1]) | (context[1:] != context[:-1])
-    at = np.flatnonzero(new)
-    total = np.add.reduceat(count, at)
-    seen = total > 0
-    return pa.table({"part": pa.array([table["part"][0].as_py()], type=pa.int32()),
-                     "words": pa.array([_pack(word[at][seen])], type=pa.binary()),
-                     "contexts": pa.array([_pack(context[at][seen])], type=pa.binary()),
-                     "counts": pa.array([_pack(total[seen])], type=pa.binary())})
+    at = _starts(word, context)
+    cell = np.empty(len(order), dtype=np.int64)
+    cell[order] = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(order))))
+    word, context, count = word[at], context[at], np.add.reduceat(count, at)
+    first = _starts(word)
+    runs = np.diff(np.append(first, len(word)))
+    head = np.repeat(np.arange(len(first)), runs)
+    words = word[first]
+    cells = np.split(cell, np.cumsum(sizes)[:-1])
+    out = [_rows(MAP, len(batch), part=part, batch=batch, b0=[_pack_rising(c) for c in cells],
+                 b1=[_pack_rising(np.searchsorted(words, h)) for h in heads], b2=table["b1"].to_pylist())]
+    total = np.add.reduceat(count, first)
+    out.append(_rows(CELLS, 1, part=part, x=int((total > 0).sum()), y=int(count.sum()),
+                     b0=[_pack(count.astype(np.uint32))], b1=[_pack(runs.astype(np.uint32))]))
+    one, more = count == 1, count > 1
+    fixed = np.bincount(head[one], minlength=len(words))
+    state = State(part, head[more], context[more], count[more], np.ones(int(more.sum()), dtype=np.int64), fixed,
+                  np.minimum(total, 1))
+    out.append(state.row())
+    out.append(_dealt(part, SEATS, *np.unique(context[one], return_counts=True), parts))
+    out.append(_rows(HOME, 1, part=part, b0=[_pack_hashes(words, 8)]))
+    return pa.Table.from_batches(out)
 
 
 def seat(customers: np.ndarray, opening: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -177,138 +268,143 @@ def seat(customers: np.ndarray, opening: np.ndarray, discount: float, rng: np.ra
     return tables
 
 
-class Part:
-    """One part's cells and the replay of its Gibbs chain."""
+class State:
+    """One part's seating: cells of two guests and more with their tables, per
+    word the tables of its other cells and of the word in the parent."""
 
-    def __init__(self, part: int, words: bytes, contexts: bytes, counts: bytes) -> None:
-        self.part = part
-        self.words, self.contexts = _unpack(words, np.uint64), _unpack(contexts, np.uint8).astype(np.int64)
-        self.counts = _unpack(counts, np.int64)
-        new = np.ones(len(self.words), dtype=bool)
-        new[1:] = self.words[1:] != self.words[:-1]
-        self.word = np.cumsum(new) - 1
-        self.heads = np.flatnonzero(new)
-        self.tables = np.ones(len(self.words), dtype=np.int64)
-        self._parents()
-        self.parent_tables = np.ones(len(self.heads), dtype=np.int64)
+    def __init__(self, part, word, context, count, tables, fixed, parent_tables) -> None:
+        self.part, self.word, self.context, self.count = part, word, context, count
+        self.tables, self.fixed, self.parent_tables = tables, fixed, parent_tables
 
-    def _parents(self) -> None:
-        self.parents = (np.add.reduceat(self.tables, self.heads) if len(self.heads)
-                        else np.zeros(0, dtype=np.int64))
+    @staticmethod
+    def of(row: dict) -> State:
+        long = lambda b: _unpack(b, np.uint32).astype(np.int64)
+        return State(row["part"], _unpack_rising(row["b0"]), row["b1"] and _unpack_hashes(row["b1"], 6), *map(long, (
+            row["b2"], row["b3"], row["b4"], row["b5"])))
 
-    def word_counts(self) -> np.ndarray:
-        return np.add.reduceat(self.counts, self.heads) if len(self.heads) else self.counts
+    def parents(self) -> np.ndarray:
+        """Guests of each word in the parent restaurant."""
+        return self.fixed + np.bincount(self.word, weights=self.tables, minlength=len(self.fixed)).astype(np.int64)
+
+    def row(self) -> pa.RecordBatch:
+        small = [_pack(x.astype(np.uint32)) for x in (self.count, self.tables, self.fixed, self.parent_tables)]
+        return _rows(STATE, 1, part=self.part, x=int(self.parents().sum()), y=int(self.parent_tables.sum()),
+                     b0=[_pack_rising(self.word)], b1=[_pack_hashes(self.context, 6)],
+                     **{f"b{i + 2}": [b] for i, b in enumerate(small)})
 
     def shared(self, totals: dict) -> np.ndarray:
         """The parent's probability of each of the part's words."""
-        return ((self.parents - PARENT_DISCOUNT * self.parent_tables
-                 + (PARENT_STRENGTH + PARENT_DISCOUNT * totals["parent_tables"]) * totals["base"])
-                / (PARENT_STRENGTH + totals["parents"]))
-
-    def unseen(self, totals: dict) -> float:
-        return ((PARENT_STRENGTH + PARENT_DISCOUNT * totals["parent_tables"]) * totals["base"]
+        return ((self.parents() - PARENT_DISCOUNT * self.parent_tables + _new_mass(totals))
                 / (PARENT_STRENGTH + totals["parents"]))
 
-    def sweep(self, number: int, totals: dict) -> None:
+    def sweep(self, number: int, totals: dict, tables: np.ndarray) -> None:
+        """Reseats all cells, given the tables of each cell's restaurant."""
         rng = np.random.default_rng([20240229, number, self.part])
-        mass = STRENGTH + DISCOUNT * totals["tables"][self.contexts]
-        self.tables = seat(self.counts, mass * self.shared(totals)[self.word], DISCOUNT, rng)
-        self._parents()
-        opening = (PARENT_STRENGTH + PARENT_DISCOUNT * totals["parent_tables"]) * totals["base"]
-        self.parent_tables = seat(self.parents, np.full(len(self.parents), opening), PARENT_DISCOUNT, rng)
-
-    def replay(self, history: list[dict]) -> Iterator[int]:
-        for number, totals in enumerate(history):
-            self.sweep(number, totals)
-            yield number
-
-
-def _totals(batches: Iterator[pa.RecordBatch], history: list[dict]) -> Iterator[pa.RecordBatch]:
-    """Customers and tables per context, summed over the task's parts; context
-    -1 is the parent, -2 has the vocabulary and the tokens."""
-    total = np.zeros((258, 2), dtype=np.int64)
+        mass = STRENGTH + DISCOUNT * tables
+        self.tables = seat(self.count, mass * self.shared(totals)[self.word], DISCOUNT, rng)
+        parents = self.parents()
+        self.parent_tables = seat(parents, np.full(len(parents), _new_mass(totals)), PARENT_DISCOUNT, rng)
+
+
+def _new_mass(totals: dict) -> float:
+    return (PARENT_STRENGTH + PARENT_DISCOUNT * totals["parent_tables"]) * totals["base"]
+
+
+def _seats(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """The tables of each part's cells, summed by context, for their homes."""
     for b in batches:
         for row in b.to_pylist():
-            p = Part(row["part"], row["words"], row["contexts"], row["counts"])
-            for _ in p.replay(history):
-                pass
-            total[:256, 0] += np.bincount(p.contexts, weights=p.counts, minlength=256).astype(np.int64)
-            total[:256, 1] += np.bincount(p.contexts, weights=p.tables, minlength=256).astype(np.int64)
-            total[256] += p.parents.sum(), p.parent_tables.sum()
-            total[257] += len(p.heads), p.counts.sum()
-    context = np.array([*range(256), -1, -2])
-    used = total.any(axis=1)
-    yield pa.RecordBatch.from_arrays([pa.array(context[used]), pa.array(total[used, 0]), pa.array(total[used, 1])],
-                                     names=["context", "customers", "tables"])
-
-
-def _gather(cells: DataFrame, history: list[dict]) -> dict:
-    rows = (cells.mapInArrow(partial(_totals, history=history), "context long, customers long, tables long")
-            .groupBy("context").agg(F.sum("customers").alias("c"), F.sum("tables").alias("t")).collect())
-    got = {r["context"]: (r["c"], r["t"]) for r in rows}
-    table = np.array([got.get(i, (0, 0)) for i in range(256)], dtype=np.float64)
-    vocabulary, n = got.get(-2, (0, 0))
-    parents, parent_tables = got.get(-1, (0, 0))
-    return {"customers": table[:, 0], "tables": table[:, 1], "parents": parents, "parent_tables": parent_tables,
-            "vocabulary": vocabulary, "n": n, "base": 1.0 / (vocabulary + 1)}
-
-
-def _answer(asked: pa.Table, model: pa.Table, history: list[dict], burn_in: int) -> pa.Table:
-    """For every dictionary entry its log10 probability and its word's count."""
-    out = {"batch": [], "part": [], "logs": [], "counts": []}
+            s = State.of(row)
+            keys, place = np.unique(s.context, return_inverse=True)
+            yield _dealt(s.part, SEATS, keys, np.bincount(place, weights=s.tables, minlength=len(keys)), parts)
+
+
+def _at_home(home: pa.Table, seats: pa.Table, words_too: bool) -> pa.Table:
+    """The tables of each restaurant of a home: all of them in the ``HOME`` row,
+    and a ``TOLD`` row for each part that sent some, in the order it sent them."""
+    if not home.num_rows:
+        return _SCHEMA.empty_table()
+    own = home.to_pylist()[0]
+    words = _unpack_hashes(own["b0"], 8)
+    total = _unpack(own["b1"], np.uint32).astype(np.int64) if own["b1"] else np.zeros(len(words), dtype=np.int64)
+    sent = [(r["x"], np.searchsorted(words >> _CUT, _unpack_hashes(r["b0"], 6)), _unpack(r["b1"], np.uint32))
+            for r in seats.to_pylist()]
+    total = total.copy()
+    for _, at, tables in sent:
+        total[at] += tables
+    out = [_rows(HOME, 1, part=own["part"], b0=[own["b0"] if words_too else None], b1=[_pack(total.astype(np.uint32))]),
+           _rows(TOLD, len(sent), part=[p for p, _, _ in sent], x=own["part"],
+                 b0=[_pack(total[at].astype(np.uint32)) for _, at, _ in sent])]
+    return pa.Table.from_batches(out)
+
+
+def _reseat(state: pa.Table, told: pa.Table, number: int, totals: dict, parts: int) -> pa.Table:
+    s = State.of(state.to_pylist()[0])
+    keys, place = np.unique(s.context, return_inverse=True)
+    home = (keys % np.uint64(parts)).astype(np.int64)
+    tables = np.zeros(len(keys), dtype=np.int64)
+    for r in told.to_pylist():
+        tables[home == r["x"]] = _unpack(r["b0"], np.uint32)
+    s.sweep(number, totals, tables[place])
+    return pa.Table.from_batches([s.row()])
+
+
+def _answer(asked: pa.Table, samples: pa.Table, totals: list[dict]) -> pa.Table:
+    """For every entry of a batch: guests and tables of its cells; guests of its
+    words, their shares in the parent and the tables of their restaurants.
+    ``samples`` has ``STATE`` and ``HOME`` rows with their sample in ``batch``."""
     if not asked.num_rows:
-        return pa.table({"batch": pa.array([], pa.int64()), "part": pa.array([], pa.int32()),
-                         "logs": pa.array([], pa.binary()), "counts": pa.array([], pa.binary())})
-    queries = [(_unpack(w, np.uint64), _unpack(c, np.uint8).astype(np.int64))
-               for w, c in zip(asked["words"].to_pylist(), asked["contexts"].to_pylist(), strict=True)]
-    if model.num_rows:
-        p = Part(*(model[c][0].as_py() for c in ("part", "words", "contexts", "counts")))
-    else:
-        p = Part(0, _pack(np.zeros(0, np.uint64)), _pack(np.zeros(0, np.uint8)), _pack(np.zeros(0, np.int64)))
-    heads = p.words[p.heads]
-    counts = p.word_counts()
-    # a word's cells are neighbours in order of context: one key finds a cell
-    keys = p.word * 256 + p.contexts
-    found = []
-    for word, context in queries:
-        at = np.searchsorted(heads, word).clip(0, max(len(heads) - 1, 0))
-        known = heads[at] == word if len(heads) else np.zeros(len(word), dtype=bool)
-        key = at * 256 + context
-        cell = np.searchsorted(keys, key).clip(0, max(len(keys) - 1, 0))
-        own = known & (keys[cell] == key) if len(keys) else known
-        found.append((at, known, cell, own, context, np.zeros(len(word))))
-    samples = 0
-    for number in p.replay(history[:-1]):
-        if number < burn_in:
+        return _SCHEMA.empty_table()
+    rows = asked.to_pylist()
+    own = next(r for r in rows if r["kind"] == CELLS)
+    count, runs = (_unpack(own[c], np.uint32) for c in ("b0", "b1"))
+    more = np.flatnonzero(count > 1)
+    total = np.add.reduceat(count.astype(np.int64), np.cumsum(runs, dtype=np.int64) - runs)
+    shares, seats, tables = [], [], []
+    for r in sorted(samples.to_pylist(), key=lambda r: r["batch"]):
+        if r["kind"] == HOME:
+            seats.append(_unpack(r["b1"], np.uint32))
+            continue
+        s = State.of(r)
+        shares.append(s.shared(totals[r["batch"]]))
+        here = np.minimum(count, 1)
+        here[more] = s.tables
+        tables.append(here)
+    out = []
+    for r in rows:
+        if r["kind"] != MAP:
             continue
-        samples += 1
-        totals = history[number + 1]
-        shared, unseen = p.shared(totals), p.unseen(totals)
-        for at, known, cell, own, context, total in found:
-            up = np.where(known, shared[at] if len(shared) else 0, unseen)
-            stay = np.where(own, p.counts[cell] - DISCOUNT * p.tables[cell], 0) if len(keys) else 0
-            mass = STRENGTH + DISCOUNT * totals["tables"][context]
-            total += (stay + mass * up) / (STRENGTH + totals["customers"][context])
-    for i, (at, known, _, _, _, total) in enumerate(found):
-        out["batch"].append(asked["batch"][i].as_py())
-        out["part"].append(asked["part"][i].as_py())
-        out["logs"].append(_pack(np.log10(total / samples)))
-        out["counts"].append(_pack(np.where(known, counts[at] if len(heads) else 0, 0).astype(np.int64)))
-    return pa.table({"batch": pa.array(out["batch"], pa.int64()), "part": pa.array(out["part"], pa.int32()),
-                     "logs": pa.array(out["logs"], pa.binary()), "counts": pa.array(out["counts"], pa.binary())})
-
-
-def _score(docs: pa.Table, answers: pa.Table, n: int, vocabulary: int) -> pa.Table:
+        cell, word = _unpack_rising(r["b0"]), _unpack_rising(r["b1"])
+        out.append(_rows(MAP, 1, part=r["part"], batch=r["batch"], b0=[_pack(count[cell])],
+                         b1=[_pack(np.concatenate([t[cell] for t in tables]))], b2=[_pack(total[word])],
+                         b3=[_pack(np.concatenate([x[word] for x in shares]))],
+                         b4=[_pack(np.concatenate([x[word] for x in seats]))],
+                         b5=[r["b2"]]))
+    return pa.Table.from_batches(out, schema=_SCHEMA)
+
+
+def _score(docs: pa.Table, answers: pa.Table, n: int, vocabulary: int, samples: int) -> pa.Table:
     answers = answers.sort_by("part")
-    logs = np.concatenate([_unpack(x, np.float64) for x in answers["logs"].to_pylist()])
-    counts = np.concatenate([_unpack(x, np.int64) for x in answers["counts"].to_pylist()])
-    base = np.log10((counts + 0.1) / (n + 0.1 * (vocabulary + 1)))
+
+    def column(name: str, kind, by: int = 1) -> np.ndarray:
+        return np.concatenate([_unpack(b, kind).reshape(by, -1) for b in answers[name].to_pylist()], axis=1)
+
+    count, tables = column("b0", np.uint32)[0], column("b1", np.uint32, samples)
+    guests, shares, seats = column("b2", np.int64)[0], column("b3", np.float64, samples), column("b4", np.uint32, samples)
+    word = np.repeat(np.arange(len(guests)), column("b5", np.uint32)[0])
+    base = np.log10((guests + 0.1) / (n + 0.1 * (vocabulary + 1)))
     score, base_score, known = [], [], []
-    for packed in docs["words"].to_pylist():
+    for packed in docs["b0"].to_pylist():
         number = _unpack(packed, np.uint32)
-        score.append(float(logs[number].sum()))
-        base_score.append(float(base[number].sum()))
-        known.append(int((counts[number] > 0).sum()))
+        here = word[number]
+        before = np.roll(here, 1)  # the end token, the last, is before the first
+        chance = np.zeros(len(number))
+        for s in range(samples):
+            stay = count[number] - DISCOUNT * tables[s][number]
+            chance += (stay + (STRENGTH + DISCOUNT * seats[s][before]) * shares[s][here]) / (STRENGTH + guests[before])
+        score.append(float(np.log10(chance / samples).sum()))
+        base_score.append(float(base[here].sum()))
+        known.append(int((guests[here] > 0).sum()))
     return pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": docs["n_tokens"],
                      "n_known": pa.array(known, pa.int64()),
                      "train_tokens": pa.array([n] * docs.num_rows, pa.int64()),
@@ -325,20 +421,44 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweep
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score
     (log10 probability) of every row. Perplexity is ``10 ** (-score / n_tokens)``."""
     spark = docs.sparkSession
-    parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"),
                          F.col(text_col).cast("string").alias("text"))
-    rows = write_cut(source.mapInArrow(partial(_batches, parts=parts), _ROWS), "lm-tokens")
-    asked = rows.where("part >= 0").select("batch", "part", "words", "contexts", "counts")
-    cells = write_cut(asked.groupBy("part").applyInArrow(
-        _cells, "part int, words binary, contexts binary, counts binary"), "lm-cells")
-    history = [_gather(cells, [])]
-    for _ in range(sweeps):
-        history.append(_gather(cells, history))
-    answers = asked.groupBy("part").cogroup(cells.groupBy("part")).applyInArrow(
-        partial(_answer, history=history, burn_in=burn_in), "batch long, part int, logs binary, counts binary")
-    last = history[-1]
-    own = rows.where("part < 0").select("batch", "doc_id", "held_out", "n_tokens", "words")
-    return own.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        partial(_score, n=int(last["n"]), vocabulary=int(last["vocabulary"])),
+    if parts is None:
+        size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    rows = write_cut(source.mapInArrow(partial(_batches, parts=parts), _ROWS).groupBy("part").applyInArrow(
+        lambda table: _assemble(table, parts), _ROWS), "lm-cells")
+    kind = F.col("kind")
+    n, vocabulary = (int(v or 0) for v in rows.where(kind == CELLS).agg(F.sum("y"), F.sum("x")).first())
+
+    def totals(state: DataFrame) -> dict:
+        parents, parent_tables = (int(v or 0) for v in state.agg(F.sum("x"), F.sum("y")).first())
+        return {"parents": parents, "parent_tables": parent_tables, "base": 1.0 / (vocabulary + 1)}
+
+    def at_home(home: DataFrame, seats: DataFrame, words_too: bool = False) -> DataFrame:
+        return write_cut(home.groupBy("part").cogroup(seats.groupBy("part")).applyInArrow(
+            partial(_at_home, words_too=words_too), _ROWS), "lm-homes")
+
+    def seated(state: DataFrame) -> DataFrame:
+        return at_home(homes, state.mapInArrow(partial(_seats, parts=parts), _ROWS))
+
+    homes = at_home(rows.where(kind == HOME), rows.where(kind == SEATS), True).where(kind == HOME)
+    state = rows.where(kind == STATE)
+    held = seated(state)
+    history, samples = [totals(state)], None
+    for number in range(sweeps):
+        state = write_cut(state.groupBy("part").cogroup(held.where(kind == TOLD).groupBy("part")).applyInArrow(
+            partial(_reseat, number=number, totals=history[-1], parts=parts), _ROWS), "lm-state")
+        held = seated(state)
+        history.append(totals(state))
+        if number >= burn_in:
+            # without the words and contexts, which the answers do not need
+            seats = state.withColumn("b1", F.lit(None).cast("binary"))
+            both = seats.unionByName(held.where(kind == HOME)).withColumn("batch", F.lit(number + 1).cast("long"))
+            samples = both if samples is None else samples.unionByName(both)
+    asked = rows.where(kind.isin(CELLS, MAP))
+    answers = asked.groupBy("part").cogroup(samples.groupBy("part")).applyInArrow(
+        partial(_answer, totals=history), _ROWS)
+    return rows.where(kind == OWN).groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
+        partial(_score, n=n, vocabulary=vocabulary, samples=sweeps - burn_in),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

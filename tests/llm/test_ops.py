@@ -298,6 +298,46 @@ def test_language_model(docs, empty):
     assert lm.score(empty, parts=4).count() == 0
 
 
+def test_language_model_knows_the_word_before(spark):
+    # "maple" and "apple" end in one byte and are as frequent: only a model of whole words tells what follows
+    rows = [(i, "maple tree" if i % 2 else "apple pie") for i in range(400)]
+    tests = ["maple tree", "maple pie", "apple pie", "apple tree", "tree maple"]
+    held = [i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 10 == 0][:5]
+    docs = spark.createDataFrame(rows + list(zip(held, tests)), "doc_id long, text string")
+    one = {r["doc_id"]: r["score"] for r in lm.score(docs, parts=3).collect()}
+    score = dict(zip(tests, (one[i] for i in held)))
+    assert score["maple tree"] > score["maple pie"] + 1 and score["apple pie"] > score["apple tree"] + 1
+    assert score["maple tree"] > score["tree maple"] + 1
+
+
+def test_language_model_against_its_definition(spark):
+    """All cells of one guest: seating has no choice, the chances follow by hand."""
+    train = [i for i in range(50) if zlib.crc32(str(i).encode()) % 10][:3]
+    held = [i for i in range(50) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
+    texts = ["a b", "c d", "d e f"]
+    docs = spark.createDataFrame(list(zip(train + held, [*texts, "a d", "zz b"])), "doc_id long, text string")
+    cells = Counter()
+    for t in texts:
+        words = ["", *t.split(), ""]
+        cells.update(zip(words, words[1:]))
+    assert set(cells.values()) == {1}
+    guests, parents = Counter(u for u, _ in cells), Counter(w for _, w in cells)
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, parts=2).collect()}
+    base, total = 1 / (len(parents) + 1), sum(parents.values())
+    # a word of several guests in the parent (the end, "d") may sit at one table or more
+    for i, t in zip(train + held, [*texts, "a d", "zz b"]):
+        low = high = 0.0
+        words = ["", *t.split(), ""]
+        for u, w in zip(words, words[1:]):
+            chances = []
+            for tables in (len(parents), total):
+                for own in ((1, parents[w]) if parents[w] else (0,)):
+                    shared = (parents[w] - 0.7 * own + (20 + 0.7 * tables) * base) / (20 + total)
+                    chances.append(((cells[u, w] - 0.6 * (cells[u, w] > 0)) + (5 + 0.6 * guests[u]) * shared) / (5 + guests[u]))
+            low, high = low + math.log10(min(chances)), high + math.log10(max(chances))
+        assert low - 1e-9 <= got[i] <= high + 1e-9
+
+
 def test_seating_is_a_restaurant_process():
     import numpy as np
     rng = np.random.default_rng(1)
