@@ -6,7 +6,9 @@ A half step solves one small system per user (or item)::
 
 The sums are one packed row per key (``rank * (rank + 1) / 2 + rank`` numbers),
 partial in every map task, so a user or item with a third of all ratings
-leaves a task as one row; the factors come to the ratings by a salted join. The
+leaves a task as one row. Ratings are packed once by either side, one row a key
+(several for a key of very many ratings), and the factors of a side come to its
+packed rows, so a half step moves a key's factors once and not once a rating. The
 system is solved in place by an unrolled Cholesky decomposition. Ids are
 keys and may be of any type; no id index is needed.
 """
@@ -16,9 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coview.operators.layout import salted_join
 from coview.session import write_cut
 
+#: ratings of a packed row, about
+CHUNK = 1 << 14
+
 
 def start_value(key: str, j: int) -> Column:
     """A start factor in [0.1, 1.1) from the id alone: the first 24 bits of
@@ -31,16 +35,36 @@ def _names(rank: int) -> list[str]:
     return [f"f{j}" for j in range(rank)]
 
 
-def gram_sums(ratings: DataFrame, fixed: DataFrame, key: str, other: str, rating: str, rank: int,
-              salts: int | None = None) -> DataFrame:
-    """(key, n, g{i}_{j} for i <= j, b{j}): the packed normal equations of ``key``."""
+def packed(ratings: DataFrame, by: str, other: str, rating: str, chunk: int = CHUNK) -> DataFrame:
+    """(by, _chunk, _entries): the ratings of a key as one array of (other, rating),
+    or as several of about ``chunk`` entries. Written.
+
+    Only keys of more than ``chunk`` ratings are broadcast, at most one for so
+    many ratings. Rows without a key are left out.
+    """
+    rows = ratings.select(by, other, rating).where(F.col(by).isNotNull())
+    long = (rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk)
+            .select(by, F.ceil(F.col("_n") / chunk).alias("_chunks")))
+    own = F.coalesce(F.pmod(F.xxhash64(other, rating), F.col("_chunks")), F.lit(0).cast("long"))
+    return write_cut(rows.join(F.broadcast(long), by, "left").withColumn("_chunk", own)
+                     .groupBy(by, "_chunk").agg(F.collect_list(F.struct(other, rating)).alias("_entries")), "als_packed")
+
+
+def _sums(pack: DataFrame, fixed: DataFrame, key: str, other: str, rating: str, rank: int) -> DataFrame:
     f = _names(rank)
-    met = salted_join(ratings.select(key, other, rating), fixed.select(other, *f), other, [key], salts)
+    there = pack.select(other, "_chunk").join(fixed.select(other, *f), other)
+    met = pack.join(there, [other, "_chunk"]).select(*f, F.inline("_entries").alias(key, rating))
     outer = [F.sum(F.col(f[i]) * F.col(f[j])).alias(f"g{i}_{j}") for i in range(rank) for j in range(i, rank)]
     right = [F.sum(F.col(rating) * F.col(f[j])).alias(f"b{j}") for j in range(rank)]
     return met.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *outer, *right)
 
 
+def gram_sums(ratings: DataFrame, fixed: DataFrame, key: str, other: str, rating: str, rank: int,
+              chunk: int = CHUNK) -> DataFrame:
+    """(key, n, g{i}_{j} for i <= j, b{j}): the packed normal equations of ``key``."""
+    return _sums(packed(ratings, other, key, rating, chunk), fixed, key, other, rating, rank)
+
+
 def solve(sums: DataFrame, key: str, rank: int, reg: float) -> DataFrame:
     """(key, n, f0..): the solution of every row's system, by Cholesky.
 
@@ -87,7 +111,7 @@ def residuals(sums: DataFrame, solved: DataFrame, key: str, rank: int, reg: floa
 
 def alternating_least_squares(ratings: DataFrame, rank: int = 10, iterations: int = 10, reg: float = 0.01,
                               user: str = "user", item: str = "item", rating: str = "rating",
-                              salts: int | None = None) -> tuple[DataFrame, DataFrame]:
+                              chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
     """((user, n, f0..), (item, n, f0..)) after ``iterations`` rounds.
 
     A round solves the items from the users, then the users from the items;
@@ -96,11 +120,12 @@ def alternating_least_squares(ratings: DataFrame, rank: int = 10, iterations: in
     ratings of a pair all count. Each half step is written to the shared folder.
     """
     ratings = write_cut(ratings.select(user, item, F.col(rating).cast("double").alias(rating)).dropna(), "als_ratings")
-    users = ratings.select(user).distinct().select(user, *(start_value(user, j).alias(f"f{j}") for j in range(rank)))
+    by_user, by_item = packed(ratings, user, item, rating, chunk), packed(ratings, item, user, rating, chunk)
+    users = by_user.select(user).distinct().select(user, *(start_value(user, j).alias(f"f{j}") for j in range(rank)))
     items = None
     for _ in range(iterations):
-        items = write_cut(solve(gram_sums(ratings, users, item, user, rating, rank, salts), item, rank, reg), "als_items")
-        users = write_cut(solve(gram_sums(ratings, items, user, item, rating, rank, salts), user, rank, reg), "als_users")
+        items = write_cut(solve(_sums(by_user, users, item, user, rating, rank), item, rank, reg), "als_items")
+        users = write_cut(solve(_sums(by_item, items, user, item, rating, rank), user, rank, reg), "als_users")
     if items is None:
         raise ValueError("iterations must be positive")
     return users, items

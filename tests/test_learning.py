@@ -180,6 +180,37 @@ def test_als_rounds_against_numpy(spark):
     assert FA.residuals(sums, wrong, "user", rank, reg).agg(F.min("residual")).first()[0] > 1e-6
 
 
+def test_als_packs_a_long_key_in_parts(spark):
+    from coview.operators import factors as FA
+    rows = [("hot", f"i{k}", float(k % 5)) for k in range(200)] + [("u", "i1", 1.0), (None, "i1", 3.0)]
+    df = spark.createDataFrame(rows, "user string, item string, rating double")
+    pack = FA.packed(df, "user", "item", "rating", 20).collect()
+    held = {"hot": [], "u": []}
+    for r in pack:
+        held[r["user"]].append([tuple(e) for e in r["_entries"]])
+    assert len(held["hot"]) > 5 and max(map(len, held["hot"])) < 60 and len(held["u"]) == 1
+    assert sorted(e for c in held["hot"] for e in c) == sorted((i, x) for u, i, x in rows if u == "hot")
+    one, many = (FA.gram_sums(df, spark.createDataFrame([("hot", 2.0), ("u", 3.0)], "user string, f0 double"),
+                              "item", "user", "rating", 1, c).orderBy("item").collect() for c in (1000, 20))
+    assert one == many and len(one) == 200 and one[1]["n"] == 2 and one[1]["g0_0"] == 13.0
+
+
+def test_points_of_one_file_are_dealt_by_rows(spark):
+    from coview.operators.layout import deal
+    rows = spark.range(5000).coalesce(1)
+    dealt = deal(rows, "dealt", 250)
+    assert dealt.rdd.getNumPartitions() == 20
+    assert dealt.agg(F.sum("id"), F.count("id")).first() == (5000 * 4999 // 2, 5000)
+
+
+def test_boosting_report_is_one_pass(spark):
+    data = _grid_points(spark)
+    model, _ = T.gbt_regressor(data, rounds=2, max_depth=2)
+    plan = T.boosting_report(model, data)._jdf.queryExecution().executedPlan().toString()
+    # one join with the report's nodes, none for the walk
+    assert plan.count("Join") == 1 and plan.count("Generate") == 2
+
+
 def test_kmeans_rounds_are_means_of_nearest(spark):
     import random
     rnd = random.Random(2)
