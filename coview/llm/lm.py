@@ -13,8 +13,8 @@ by hash, so a word's cells and its parent entry are in one part. A context is a
 word too: its part is the home of its restaurant, which sums the restaurant's
 tables over the parts and sends the sum back to those that ask. A cell of one
 guest always has one table, so its tables are summed once and sweeps carry only
-the cells of two guests and more. Each sweep's seating is written. The driver
-sees the parent's totals, the vocabulary and the token count. Predictive
+the cells of two guests and more. Each sweep's tables are written, not the words
+and contexts they belong to, which stay as they were. The driver sees the parent's totals, the vocabulary and the token count. Predictive
 probabilities are averaged over the sweeps after the burn-in.
 
 Texts are scanned once: a batch of documents becomes token numbers and a
@@ -47,8 +47,9 @@ DISCOUNT, STRENGTH = 0.6, 5.0          # context restaurants
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.7, 20.0
 SWEEPS, BURN_IN = 3, 1
 BATCH_BYTES = 16 << 20
-#: bytes of text for which there is a part
-PART_BYTES = 32 << 20
+#: bytes of text for which there is a part, and parts of small inputs at most:
+#: parts write to each other, so their number is not that of the shuffle
+PART_BYTES, SMALL_PARTS = 16 << 20, 128
 _END = np.uint64(0x2545F4914F6CDD1D)
 #: a context is its word's hash without the last bits; words in order are contexts in order
 _CUT = np.uint64(16)
@@ -62,6 +63,16 @@ def _unpack(b: bytes, kind) -> np.ndarray:
     return np.frombuffer(zlib.decompress(b), dtype=kind)
 
 
+def _pack_places(x: np.ndarray) -> bytes:
+    """32-bit numbers by byte place: their high places are few values or none."""
+    return zlib.compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpack_places(b: bytes) -> np.ndarray:
+    places = np.frombuffer(zlib.decompress(b), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(places.T).view("<u4").ravel()
+
+
 def _pack_hashes(x: np.ndarray, width: int) -> bytes:
     """Hashes of ``width`` bytes, mostly rising, as differences by byte place."""
     step = np.diff(x, prepend=np.uint64(0)).astype("<u8")
@@ -115,7 +126,7 @@ _SCHEMA = pa.schema([("kind", pa.int32()), ("part", pa.int64()), ("batch", pa.in
                      ("y", pa.int64()), *_BYTES])
 _ROWS = ("kind int, part long, batch long, doc_id long, held_out boolean, n_tokens long, x long, y long, "
          + ", ".join(f"b{i} binary" for i in range(6)))
-OWN, CELLS, MAP, STATE, SEATS, HOME, TOLD = range(7)
+OWN, CELLS, MAP, STATE, SEATS, HOME, TOLD, TABLES = range(8)
 
 
 def _rows(kind: int, n: int, **columns) -> pa.RecordBatch:
@@ -170,7 +181,7 @@ class _Batch:
         ends = np.cumsum(lengths)
         yield _rows(OWN, len(lengths), part=-1 - self.number, batch=self.number, doc_id=pa.concat_arrays(self.ids),
                     held_out=held, n_tokens=lengths.astype(np.int64),
-                    b0=[_pack(number[a:z]) for a, z in zip((ends - lengths).tolist(), ends.tolist(), strict=True)])
+                    b0=[_pack_places(number[a:z]) for a, z in zip((ends - lengths).tolist(), ends.tolist(), strict=True)])
 
 
 def _batches(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
@@ -244,7 +255,7 @@ def _assemble(table: pa.Table, parts: int) -> pa.Table:
     fixed = np.bincount(head[one], minlength=len(words))
     state = State(part, head[more], context[more], count[more], np.ones(int(more.sum()), dtype=np.int64), fixed,
                   np.minimum(total, 1))
-    out.append(state.row())
+    out.append(state.row(STATE))
     out.append(_dealt(part, SEATS, *np.unique(context[one], return_counts=True), parts))
     out.append(_rows(HOME, 1, part=part, b0=[_pack_hashes(words, 8)]))
     return pa.Table.from_batches(out)
@@ -277,25 +288,30 @@ class State:
         self.tables, self.fixed, self.parent_tables = tables, fixed, parent_tables
 
     @staticmethod
-    def of(row: dict) -> State:
+    def of(rows: list[dict]) -> State:
+        """From the part's first ``STATE`` row and, if it has been reseated, its
+        ``TABLES`` row, which holds only what a sweep changes."""
         long = lambda b: _unpack(b, np.uint32).astype(np.int64)
-        return State(row["part"], _unpack_rising(row["b0"]), row["b1"] and _unpack_hashes(row["b1"], 6), *map(long, (
-            row["b2"], row["b3"], row["b4"], row["b5"])))
+        own = next(r for r in rows if r["kind"] == STATE)
+        now = next((r for r in rows if r["kind"] == TABLES), own)
+        return State(own["part"], _unpack_rising(own["b0"]), own["b1"] and _unpack_hashes(own["b1"], 6),
+                     *map(long, (own["b2"], now["b3"], own["b4"], now["b5"])))
 
     def parents(self) -> np.ndarray:
         """Guests of each word in the parent restaurant."""
         return self.fixed + np.bincount(self.word, weights=self.tables, minlength=len(self.fixed)).astype(np.int64)
 
-    def row(self) -> pa.RecordBatch:
+    def row(self, kind: int) -> pa.RecordBatch:
+        """The whole state, or (``TABLES``) its tables alone."""
         small = [_pack(x.astype(np.uint32)) for x in (self.count, self.tables, self.fixed, self.parent_tables)]
-        return _rows(STATE, 1, part=self.part, x=int(self.parents().sum()), y=int(self.parent_tables.sum()),
-                     b0=[_pack_rising(self.word)], b1=[_pack_hashes(self.context, 6)],
-                     **{f"b{i + 2}": [b] for i, b in enumerate(small)})
+        columns = {"b0": [_pack_rising(self.word)], "b1": [_pack_hashes(self.context, 6)], "b2": [small[0]],
+                   "b4": [small[2]]} if kind == STATE else {}
+        return _rows(kind, 1, part=self.part, x=int(self.parents().sum()), y=int(self.parent_tables.sum()),
+                     b3=[small[1]], b5=[small[3]], **columns)
 
     def shared(self, totals: dict) -> np.ndarray:
         """The parent's probability of each of the part's words."""
-        return ((self.parents() - PARENT_DISCOUNT * self.parent_tables + _new_mass(totals))
-                / (PARENT_STRENGTH + totals["parents"]))
+        return _shared(self.parents(), self.parent_tables, totals)
 
     def sweep(self, number: int, totals: dict, tables: np.ndarray) -> None:
         """Reseats all cells, given the tables of each cell's restaurant."""
@@ -306,17 +322,19 @@ class State:
         self.parent_tables = seat(parents, np.full(len(parents), _new_mass(totals)), PARENT_DISCOUNT, rng)
 
 
+def _shared(parents: np.ndarray, parent_tables: np.ndarray, totals: dict) -> np.ndarray:
+    return (parents - PARENT_DISCOUNT * parent_tables + _new_mass(totals)) / (PARENT_STRENGTH + totals["parents"])
+
+
 def _new_mass(totals: dict) -> float:
     return (PARENT_STRENGTH + PARENT_DISCOUNT * totals["parent_tables"]) * totals["base"]
 
 
-def _seats(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """The tables of each part's cells, summed by context, for their homes."""
-    for b in batches:
-        for row in b.to_pylist():
-            s = State.of(row)
-            keys, place = np.unique(s.context, return_inverse=True)
-            yield _dealt(s.part, SEATS, keys, np.bincount(place, weights=s.tables, minlength=len(keys)), parts)
+def _seats(state: pa.Table, parts: int) -> pa.Table:
+    """The tables of a part's cells, summed by context, for their homes."""
+    s = State.of(state.to_pylist())
+    keys, place = np.unique(s.context, return_inverse=True)
+    return pa.Table.from_batches([_dealt(s.part, SEATS, keys, np.bincount(place, weights=s.tables, minlength=len(keys)), parts)])
 
 
 def _at_home(home: pa.Table, seats: pa.Table, words_too: bool) -> pa.Table:
@@ -339,34 +357,36 @@ def _at_home(home: pa.Table, seats: pa.Table, words_too: bool) -> pa.Table:
 
 
 def _reseat(state: pa.Table, told: pa.Table, number: int, totals: dict, parts: int) -> pa.Table:
-    s = State.of(state.to_pylist()[0])
+    s = State.of(state.to_pylist())
     keys, place = np.unique(s.context, return_inverse=True)
     home = (keys % np.uint64(parts)).astype(np.int64)
     tables = np.zeros(len(keys), dtype=np.int64)
     for r in told.to_pylist():
         tables[home == r["x"]] = _unpack(r["b0"], np.uint32)
     s.sweep(number, totals, tables[place])
-    return pa.Table.from_batches([s.row()])
+    return pa.Table.from_batches([s.row(TABLES)])
 
 
-def _answer(asked: pa.Table, samples: pa.Table, totals: list[dict]) -> pa.Table:
+def _answer(asked: pa.Table, samples: pa.Table) -> pa.Table:
     """For every entry of a batch: guests and tables of its cells; guests of its
-    words, their shares in the parent and the tables of their restaurants.
-    ``samples`` has ``STATE`` and ``HOME`` rows with their sample in ``batch``."""
+    words, their guests and tables in the parent and the tables of their
+    restaurants. ``samples`` has the ``STATE`` row, and a ``TABLES`` and a
+    ``HOME`` row of each sample with its number in ``batch``."""
     if not asked.num_rows:
         return _SCHEMA.empty_table()
-    rows = asked.to_pylist()
+    rows, states = asked.to_pylist(), samples.to_pylist()
     own = next(r for r in rows if r["kind"] == CELLS)
+    start = next(r for r in states if r["kind"] == STATE)
     count, runs = (_unpack(own[c], np.uint32) for c in ("b0", "b1"))
     more = np.flatnonzero(count > 1)
     total = np.add.reduceat(count.astype(np.int64), np.cumsum(runs, dtype=np.int64) - runs)
-    shares, seats, tables = [], [], []
-    for r in sorted(samples.to_pylist(), key=lambda r: r["batch"]):
+    parents, seats, tables = [], [], []
+    for r in sorted((r for r in states if r["kind"] != STATE), key=lambda r: r["batch"]):
         if r["kind"] == HOME:
             seats.append(_unpack(r["b1"], np.uint32))
             continue
-        s = State.of(r)
-        shares.append(s.shared(totals[r["batch"]]))
+        s = State.of([start, r])
+        parents += [s.parents().astype(np.uint32), s.parent_tables.astype(np.uint32)]
         here = np.minimum(count, 1)
         here[more] = s.tables
         tables.append(here)
@@ -375,27 +395,31 @@ def _answer(asked: pa.Table, samples: pa.Table, totals: list[dict]) -> pa.Table:
         if r["kind"] != MAP:
             continue
         cell, word = _unpack_rising(r["b0"]), _unpack_rising(r["b1"])
-        out.append(_rows(MAP, 1, part=r["part"], batch=r["batch"], b0=[_pack(count[cell])],
-                         b1=[_pack(np.concatenate([t[cell] for t in tables]))], b2=[_pack(total[word])],
-                         b3=[_pack(np.concatenate([x[word] for x in shares]))],
-                         b4=[_pack(np.concatenate([x[word] for x in seats]))],
+        out.append(_rows(MAP, 1, part=r["part"], batch=r["batch"], b0=[_pack_places(count[cell])],
+                         b1=[_pack_places(np.concatenate([t[cell] for t in tables]))], b2=[_pack(total[word])],
+                         b3=[_pack_places(np.concatenate([x[word] for x in parents]))],
+                         b4=[_pack_places(np.concatenate([x[word] for x in seats]))],
                          b5=[r["b2"]]))
     return pa.Table.from_batches(out, schema=_SCHEMA)
 
 
-def _score(docs: pa.Table, answers: pa.Table, n: int, vocabulary: int, samples: int) -> pa.Table:
+def _score(docs: pa.Table, answers: pa.Table, n: int, vocabulary: int, totals: list[dict]) -> pa.Table:
+    """``totals``: those of each sample."""
     answers = answers.sort_by("part")
+    samples = len(totals)
 
-    def column(name: str, kind, by: int = 1) -> np.ndarray:
-        return np.concatenate([_unpack(b, kind).reshape(by, -1) for b in answers[name].to_pylist()], axis=1)
+    def column(name: str, read, by: int = 1) -> np.ndarray:
+        return np.concatenate([read(b).reshape(by, -1) for b in answers[name].to_pylist()], axis=1)
 
-    count, tables = column("b0", np.uint32)[0], column("b1", np.uint32, samples)
-    guests, shares, seats = column("b2", np.int64)[0], column("b3", np.float64, samples), column("b4", np.uint32, samples)
-    word = np.repeat(np.arange(len(guests)), column("b5", np.uint32)[0])
+    count, tables = column("b0", _unpack_places)[0], column("b1", _unpack_places, samples)
+    guests = column("b2", partial(_unpack, kind=np.int64))[0]
+    parents, seats = column("b3", _unpack_places, 2 * samples).astype(np.int64), column("b4", _unpack_places, samples)
+    shares = [_shared(parents[2 * s], parents[2 * s + 1], t) for s, t in enumerate(totals)]
+    word = np.repeat(np.arange(len(guests)), column("b5", partial(_unpack, kind=np.uint32))[0])
     base = np.log10((guests + 0.1) / (n + 0.1 * (vocabulary + 1)))
     score, base_score, known = [], [], []
     for packed in docs["b0"].to_pylist():
-        number = _unpack(packed, np.uint32)
+        number = _unpack_places(packed)
         here = word[number]
         before = np.roll(here, 1)  # the end token, the last, is before the first
         chance = np.zeros(len(number))
@@ -416,6 +440,11 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 10 == 0, F.lit(False))
 
 
+def part_count(size: int, partitions: int) -> int:
+    """Parts for ``size`` bytes of text and this many shuffle partitions."""
+    return max(min(4 * partitions, SMALL_PARTS), -(-size // PART_BYTES))
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweeps: int = SWEEPS,
           burn_in: int = BURN_IN, parts: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score
@@ -425,14 +454,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweep
                          F.col(text_col).cast("string").alias("text"))
     if parts is None:
         size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+        parts = part_count(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = write_cut(source.mapInArrow(partial(_batches, parts=parts), _ROWS).groupBy("part").applyInArrow(
         lambda table: _assemble(table, parts), _ROWS), "lm-cells")
     kind = F.col("kind")
     n, vocabulary = (int(v or 0) for v in rows.where(kind == CELLS).agg(F.sum("y"), F.sum("x")).first())
 
-    def totals(state: DataFrame) -> dict:
-        parents, parent_tables = (int(v or 0) for v in state.agg(F.sum("x"), F.sum("y")).first())
+    def totals(tables: DataFrame) -> dict:
+        parents, parent_tables = (int(v or 0) for v in tables.agg(F.sum("x"), F.sum("y")).first())
         return {"parents": parents, "parent_tables": parent_tables, "base": 1.0 / (vocabulary + 1)}
 
     def at_home(home: DataFrame, seats: DataFrame, words_too: bool = False) -> DataFrame:
@@ -440,25 +469,25 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweep
             partial(_at_home, words_too=words_too), _ROWS), "lm-homes")
 
     def seated(state: DataFrame) -> DataFrame:
-        return at_home(homes, state.mapInArrow(partial(_seats, parts=parts), _ROWS))
+        return at_home(homes, state.groupBy("part").applyInArrow(lambda table: _seats(table, parts), _ROWS))
 
     homes = at_home(rows.where(kind == HOME), rows.where(kind == SEATS), True).where(kind == HOME)
-    state = rows.where(kind == STATE)
-    held = seated(state)
-    history, samples = [totals(state)], None
+    start = rows.where(kind == STATE)
+    state, held = start, seated(start)
+    history, samples = [totals(start)], None
     for number in range(sweeps):
-        state = write_cut(state.groupBy("part").cogroup(held.where(kind == TOLD).groupBy("part")).applyInArrow(
-            partial(_reseat, number=number, totals=history[-1], parts=parts), _ROWS), "lm-state")
+        tables = write_cut(state.groupBy("part").cogroup(held.where(kind == TOLD).groupBy("part")).applyInArrow(
+            partial(_reseat, number=number, totals=history[-1], parts=parts), _ROWS), "lm-tables")
+        state = start.unionByName(tables)
         held = seated(state)
-        history.append(totals(state))
+        history.append(totals(tables))
         if number >= burn_in:
-            # without the words and contexts, which the answers do not need
-            seats = state.withColumn("b1", F.lit(None).cast("binary"))
-            both = seats.unionByName(held.where(kind == HOME)).withColumn("batch", F.lit(number + 1).cast("long"))
+            both = tables.unionByName(held.where(kind == HOME)).withColumn("batch", F.lit(number + 1).cast("long"))
             samples = both if samples is None else samples.unionByName(both)
+    # without the contexts, which the answers do not need
+    samples = samples.unionByName(start.withColumn("b1", F.lit(None).cast("binary")))
     asked = rows.where(kind.isin(CELLS, MAP))
-    answers = asked.groupBy("part").cogroup(samples.groupBy("part")).applyInArrow(
-        partial(_answer, totals=history), _ROWS)
+    answers = asked.groupBy("part").cogroup(samples.groupBy("part")).applyInArrow(_answer, _ROWS)
     return rows.where(kind == OWN).groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        partial(_score, n=n, vocabulary=vocabulary, samples=sweeps - burn_in),
+        partial(_score, n=n, vocabulary=vocabulary, totals=history[burn_in + 1:]),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -338,6 +338,39 @@ def test_language_model_against_its_definition(spark):
         assert low - 1e-9 <= got[i] <= high + 1e-9
 
 
+def test_language_model_writes_only_what_a_sweep_changes():
+    import numpy as np
+    word, context = np.array([0, 0, 2]), np.array([5, 9, 7], dtype=np.uint64)
+    one = np.array([1, 1, 1])
+    state = lm.State(3, word, context, np.array([2, 3, 4]), one, np.array([0, 2, 1]), one)
+    whole, = state.row(lm.STATE).to_pylist()
+    state.tables, state.parent_tables = np.array([2, 1, 3]), np.array([1, 2, 2])
+    tables, = state.row(lm.TABLES).to_pylist()
+    assert tables["b0"] is None and tables["b1"] is None and tables["b2"] is None and tables["b4"] is None
+    again = lm.State.of([tables, whole])
+    for name in ("word", "context", "count", "tables", "fixed", "parent_tables"):
+        assert getattr(again, name).tolist() == getattr(state, name).tolist()
+    assert lm.State.of([whole]).tables.tolist() == [1, 1, 1]
+    many = np.array([0, 1, 255, 256, 70000, 2**32 - 1], dtype=np.uint32)
+    assert lm._unpack_places(lm._pack_places(many)).tolist() == many.tolist()
+
+
+def test_language_model_parts_follow_the_text():
+    # parts write to each other: their number may not follow a large shuffle setting
+    assert lm.part_count(50 << 20, 211) == 128 and lm.part_count(0, 8) == 32
+    assert lm.part_count(1 << 36, 8) == 4096
+
+
+def test_written_cut_leaves_no_shuffle_files(spark):
+    from coview.session import write_cut
+    files = lambda: {p for p in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+                     .getAllFiles().mkString("\n").split("\n") if "shuffle_" in p}
+    before, setting = files(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    cut = write_cut(spark.range(1000).repartition(5, "id"), "cut")
+    assert not files() - before and cut.where("id >= 0").count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+
+
 def test_seating_is_a_restaurant_process():
     import numpy as np
     rng = np.random.default_rng(1)
