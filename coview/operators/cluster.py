@@ -1,5 +1,5 @@
 """Clustering and topic jobs: k-means and power iteration clustering, by Spark ML
-and as keyed rounds, and LDA by keyed EM."""
+and as keyed rounds, and the terms for LDA."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coview.operators.layout import salted_join, widen
+from coview.operators.topics import lda_topics  # noqa: F401
 from coview.session import write_cut
 
 
@@ -93,47 +94,6 @@ def term_counts(docs: DataFrame, doc_col: str = "doc_id", words_col: str = "word
             .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("n")))
 
 
-def lda_topics(counts: DataFrame, k: int = 3, rounds: int = 3, doc_weight: float | None = None,
-               term_weight: float = 1.1) -> DataFrame:
-    """(topic, term, weight): the full topic-term matrix of LDA fitted by EM.
-
-    Each (doc, term, n) edge holds its topic shares. A round sums them per term
-    and per document (partial aggregates first), joins both sums back and
-    renews the shares. Only the k topic totals and the number of terms go to
-    the driver; the vocabulary is a table of any size. ``doc_weight`` and
-    ``term_weight`` are the usual smoothing parameters (50 / k + 1 and 1.1).
-    The start gives 0.6 of an edge to topic ``(doc + length(term)) mod k``.
-    """
-    alpha = (50.0 / k + 1.0 if doc_weight is None else doc_weight) - 1.0
-    eta = term_weight - 1.0
-    topics = range(k)
-    own = F.pmod(F.col("doc") + F.length("term"), F.lit(k))
-    rest = 0.4 / max(k - 1, 1)
-    counts = write_cut(counts, "lda_counts")
-    edges = counts.select("doc", "term", "n", *[
-        F.when(own == t, F.lit(0.6 if k > 1 else 1.0)).otherwise(F.lit(rest)).alias(f"p{t}") for t in topics])
-    sums = lambda by, to: (edges.groupBy(by).agg(
-        *[F.sum(F.col("n") * F.col(f"p{t}")).alias(f"{to}{t}") for t in topics]))
-    for turn in range(rounds + 1):
-        # written, so that the joins below are of plain scans whose hot keys can be split
-        per_term = write_cut(sums("term", "w"), "lda_terms")
-        total = per_term.agg(F.count(F.lit(1)).alias("terms"),
-                             *[F.sum(f"w{t}").alias(f"w{t}") for t in topics]).first()
-        if turn == rounds:
-            break
-        per_doc = write_cut(sums("doc", "d"), "lda_docs")
-        raw = [(F.col(f"w{t}") + eta) * (F.col(f"d{t}") + alpha) / F.lit((total[f"w{t}"] or 0.0) + total["terms"] * eta)
-               for t in topics]
-        joined = counts.join(per_term, "term").join(per_doc, "doc")
-        joined = joined.select("doc", "term", "n", *[r.alias(f"r{t}") for t, r in enumerate(raw)])
-        whole = sum((F.col(f"r{t}") for t in topics[1:]), F.col("r0")) if k > 1 else F.col("r0")
-        edges = write_cut(joined.select("doc", "term", "n", *[(F.col(f"r{t}") / whole).alias(f"p{t}") for t in topics]),
-                          "lda_edges")
-    cells = F.explode(F.array(*[F.struct(F.lit(t).alias("topic"), (F.col(f"w{t}") / F.lit(total[f"w{t}"] or 1.0))
-                                         .alias("weight")) for t in topics]))
-    return per_term.select("term", cells.alias("c")).select("c.topic", "term", "c.weight")
-
-
 def power_iteration_clusters(edges: DataFrame, k: int = 2, max_iter: int = 10,
                              init_mode: str = "degree", src: str = "src", dst: str = "dst",
                              weight: str = "weight") -> DataFrame:

@@ -102,6 +102,41 @@ def test_lda_topic_matrix_complete(spark):
     assert all(abs(s - 1.0) < 1e-6 for s in sums)
 
 
+def test_lda_in_blocks_equals_em_by_edge(spark):
+    """Edges of null and of repeated ids, several blocks: the rounds done edge by edge."""
+    from coview.operators.topics import lda_topics
+    k, alpha, eta = 3, 50.0 / 3, 1.1 - 1.0
+    texts = [(i % 11 if i % 9 else None, " ".join("w" * ((i * j) % 7 + 1) + "abcd"[(i + j) % 4] for j in range(i % 13)))
+             for i in range(40)] + [(-5, "Gr\u00fc\u00dfe w"), (None, "alone alone"), (3, None)]
+    counts = C.term_counts(C.tokens(spark.createDataFrame(texts, "doc_id long, text string")))
+    edges = [(r["doc"], r["term"], r["n"]) for r in counts.collect()]
+    for rounds in (0, 3):
+        share = {}
+        for d, t, _ in edges:
+            own = None if d is None else (d + len(t)) % k
+            share[d, t] = [0.6 if own == x else 0.2 for x in range(k)]
+        live = edges
+        for turn in range(rounds + 1):
+            w, by_doc = {}, {}
+            for d, t, n in live:
+                for key, sums in ((t, w), (d, by_doc)):
+                    old = sums.setdefault(key, [0.0] * k)
+                    for x in range(k):
+                        old[x] += n * share[d, t][x]
+            total = [sum(v[x] for v in w.values()) for x in range(k)]
+            if turn == rounds:
+                break
+            live = [e for e in edges if e[0] is not None]
+            for d, t, _ in live:
+                raw = [(w[t][x] + eta) * (by_doc[d][x] + alpha) / (total[x] + len(w) * eta) for x in range(k)]
+                share[d, t] = [r / sum(raw) for r in raw]
+        got = {(r["topic"], r["term"]): r["weight"] for r in lda_topics(counts, k, rounds, block_edges=40).collect()}
+        assert got.keys() == {(x, t) for t in w for x in range(k)}
+        assert all(abs(got[x, t] - w[t][x] / total[x]) < 1e-12 for x, t in got)
+        assert ("alone" in w) == (rounds == 0)
+    assert lda_topics(counts.limit(0), k, 2).isEmpty()
+
+
 def test_trees_beat_constant_predictor(spark):
     from coview.plans.learning_queries import _price_points
     data = _price_points(spark, SF_SMALL)
