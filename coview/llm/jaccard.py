@@ -35,6 +35,7 @@ by 64-bit hashes, sets by 128-bit digests.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -53,8 +54,9 @@ FILTER_SLOTS = 1 << 20
 #: columns of at most so many rows are multiplied as a whole block: in the
 #: first round, in later ones
 FIRST_BLOCK_ROWS, BLOCK_ROWS = 8, 64
-#: hash slots of the frequency table: 64 KB, whatever the input
-RANK_SLOTS = 1 << 16
+#: hash slots of the frequency table: 1 MB, whatever the input; slots of a row
+#: of it on the way
+RANK_SLOTS, RANK_ROW = 1 << 20, 1 << 14
 #: rounds that contract before the last pass
 LEADER_ROUNDS = 6
 #: rows of a block of a long column in the last pass, and pairs held at a time
@@ -106,23 +108,45 @@ def _digests(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
 
 
 def _frequent(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """The hash slots that stand out in a task, with their counts."""
-    total = np.zeros(RANK_SLOTS, dtype=np.int64)
+    """How many shingles of a task's documents fall into each hash slot."""
+    total = np.zeros(RANK_SLOTS, dtype=np.uint32)
     for batch in batches:
         for block in K.text_blocks(batch.column(0), TEXT_BYTES):
             values, _ = shingle_sets(block, k)
-            total += np.bincount((values & np.uint64(RANK_SLOTS - 1)).astype(np.int64), minlength=RANK_SLOTS)
-    slot = np.flatnonzero(total >= max(8, 4 * total.mean()))
-    yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.array(total[slot])], names=["slot", "held"])
+            slot, held = np.unique(values & np.uint64(RANK_SLOTS - 1), return_counts=True)
+            total[slot.astype(np.int64)] += held.astype(np.uint32)
+    rows = [r for r in range(RANK_SLOTS // RANK_ROW) if total[r * RANK_ROW: (r + 1) * RANK_ROW].any()]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(rows, pa.int64()), pa.array([_packed(total[r * RANK_ROW: (r + 1) * RANK_ROW]) for r in rows], pa.binary())],
+        names=["row", "held"])
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _unpacked(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(b), dtype=np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    total = np.zeros(RANK_ROW, dtype=np.uint64)
+    for b in table["held"]:
+        total += _unpacked(b.as_py())
+    return pa.table({"row": table["row"][:1], "held": pa.array([_packed(total)], pa.binary())})
 
 
 def frequency_ranks(source: DataFrame, k: int) -> np.ndarray:
-    """Per hash slot 0, or the power of two of its count if it is frequent."""
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("slot", "held")])
-    rows = source.select("text").mapInArrow(partial(_frequent, k=k), schema).groupBy("slot").agg(F.sum("held").alias("held"))
-    ranks = np.zeros(RANK_SLOTS, dtype=np.uint8)
+    """Per hash slot 0, or the power of two of its count over all documents if it
+    is frequent among the slots."""
+    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("held", T.BinaryType())])
+    rows = source.select("text").mapInArrow(partial(_frequent, k=k), schema).groupBy("row").applyInArrow(_summed, schema)
+    total = np.zeros(RANK_SLOTS, dtype=np.int64)
     for r in rows.collect():
-        ranks[r["slot"]] = int(r["held"]).bit_length()
+        total[r["row"] * RANK_ROW: (r["row"] + 1) * RANK_ROW] = _unpacked(bytes(r["held"])).astype(np.int64)
+    ranks = np.zeros(RANK_SLOTS, dtype=np.uint8)
+    often = np.flatnonzero(total >= max(8, 4 * total.mean()))
+    ranks[often] = np.frexp(total[often].astype(np.float64))[1]
     return ranks
 
 

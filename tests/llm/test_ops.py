@@ -440,6 +440,18 @@ def test_jaccard_hub_of_independent_copies(spark, monkeypatch):
     assert got == _components(texts)
 
 
+def test_jaccard_frequent_over_all_tasks(spark):
+    # one document of each task holds the passage: it stands out in no task, but over all
+    rows = [(i, f"one two three four five {i} a{i} b{i} c{i} d{i}") for i in range(64)]
+    source = spark.createDataFrame(rows, "doc_id long, text string").repartition(64, "doc_id")
+    ranks = jaccard.frequency_ranks(source, 5)
+    import pyarrow as pa
+    block, = jaccard.K.text_blocks(pa.array(["one two three four five"]))
+    values, _ = jaccard.shingle_sets(block)
+    assert ranks[int(values[0]) & (jaccard.RANK_SLOTS - 1)] == 7
+    assert (ranks > 0).sum() == 1
+
+
 def test_jaccard_pair_that_meets_in_few_rounds(spark):
     """P and Q share only columns that a template's many copies lead; Q links to P alone."""
     rnd = random.Random(9)
