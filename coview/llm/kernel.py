@@ -11,8 +11,10 @@ working on characters. Hashes are 64-bit: a polynomial hash per word, mixed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +67,50 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def give_back() -> None:
+    """Memory that ended work has freed goes back to the system. A Python worker
+    outlives its task, and waits beside those that work; Arrow's pool and the C
+    library would keep what the largest batch took."""
+    _POWERS.__init__()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
+def _ended(batches: Iterator[pa.RecordBatch], step: Callable) -> Iterator[pa.RecordBatch]:
+    try:
+        yield from step(batches)
+    finally:
+        give_back()
+
+
+def ends(step: Callable) -> Callable:
+    """``step``, a function for ``mapInArrow``, whose task gives back its memory."""
+    return partial(_ended, step=step)
+
+
+# without type hints: Spark fails on those of a partial function
+def _group_ended(table, *, step):
+    try:
+        return step(table)
+    finally:
+        give_back()
+
+
+def _groups_ended(left, right, *, step):
+    try:
+        return step(left, right)
+    finally:
+        give_back()
+
+
+def group_ends(step: Callable, sides: int = 1) -> Callable:
+    """The same for ``applyInArrow`` on groups (or, with two sides, cogroups)."""
+    return partial(_group_ended if sides == 1 else _groups_ended, step=step)
+
+
+
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """``c`` with ``c[e] - c[s]`` the (shifted) polynomial of ``data[s:e]``."""
     up, _ = _POWERS.get(len(data))

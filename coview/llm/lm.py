@@ -114,9 +114,12 @@ def tokens(block: K.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inner[ends] = False
     word = np.full(len(inner), _END, dtype=np.uint64)
     word[inner] = K.span_hash(K.prefix_hash(data), words.starts, words.ends)
-    # an end token is before every first word
-    context = np.concatenate([[_END], word[:-1]]) >> _CUT
-    return word, context, counts
+    return word, _contexts(word), counts
+
+
+def _contexts(word: np.ndarray) -> np.ndarray:
+    """The words before; an end token is before every first word."""
+    return np.concatenate([[_END], word[:-1]]) >> _CUT
 
 
 _OWN = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64())]
@@ -150,22 +153,27 @@ class _Batch:
 
     def __init__(self, number: int, parts: int) -> None:
         self.number, self.parts = number, parts
-        self.words, self.contexts, self.lengths, self.ids, self.held = [], [], [], [], []
+        self.words, self.lengths, self.ids, self.held = [], [], [], []
         self.bytes = 0
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        word, context = np.concatenate(self.words), np.concatenate(self.contexts)
+        word = np.concatenate(self.words)
+        self.words = None
         lengths, held = np.concatenate(self.lengths), np.concatenate(self.held)
-        self.words = self.contexts = None
-        _, first, inverse = np.unique(K.mix(word + K.mix(context)), return_index=True, return_inverse=True)
-        word, context = word[first], context[first]
+        context = _contexts(word)  # every block ends with an end token, which is before the next one's first word
+        key = K.mix(context)
+        key += word
+        key = K.mix(key)
+        _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        word, context, key = word[first], context[first], None
         order = np.lexsort((context, word))
         part = ((word[order] >> _CUT) % np.uint64(self.parts)).astype(np.int64)
         by_part = np.argsort(part, kind="stable")
         order, part = order[by_part], part[by_part]
         place = np.empty(len(order), dtype=np.int64)
         place[order] = np.arange(len(order))
-        number = place[inverse].astype(np.uint32)
+        number = place.astype(np.uint32)[inverse]
+        inverse = first = place = None
         trained = np.bincount(number[np.repeat(~held, lengths)], minlength=len(order)).astype(np.uint32)
         word, context = word[order], context[order]
         bounds = np.searchsorted(part, np.arange(self.parts + 1))
@@ -190,9 +198,8 @@ def _batches(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Recor
     for b in batches:
         held = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
         for block in K.text_blocks(b.column(2)):
-            word, context, counts = tokens(block)
+            word, _, counts = tokens(block)
             current.words.append(word)
-            current.contexts.append(context)
             current.lengths.append(counts)
             current.ids.append(b.column(0).slice(block.first, block.n))
             current.held.append(held[block.first: block.first + block.n])
@@ -455,8 +462,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweep
     if parts is None:
         size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         parts = part_count(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = write_cut(source.mapInArrow(partial(_batches, parts=parts), _ROWS).groupBy("part").applyInArrow(
-        lambda table: _assemble(table, parts), _ROWS), "lm-cells")
+    rows = write_cut(source.mapInArrow(K.ends(partial(_batches, parts=parts)), _ROWS).groupBy("part").applyInArrow(
+        K.group_ends(partial(_assemble, parts=parts)), _ROWS), "lm-cells")
     kind = F.col("kind")
     n, vocabulary = (int(v or 0) for v in rows.where(kind == CELLS).agg(F.sum("y"), F.sum("x")).first())
 
@@ -466,10 +473,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweep
 
     def at_home(home: DataFrame, seats: DataFrame, words_too: bool = False) -> DataFrame:
         return write_cut(home.groupBy("part").cogroup(seats.groupBy("part")).applyInArrow(
-            partial(_at_home, words_too=words_too), _ROWS), "lm-homes")
+            K.group_ends(partial(_at_home, words_too=words_too), 2), _ROWS), "lm-homes")
 
     def seated(state: DataFrame) -> DataFrame:
-        return at_home(homes, state.groupBy("part").applyInArrow(lambda table: _seats(table, parts), _ROWS))
+        return at_home(homes, state.groupBy("part").applyInArrow(K.group_ends(partial(_seats, parts=parts)), _ROWS))
 
     homes = at_home(rows.where(kind == HOME), rows.where(kind == SEATS), True).where(kind == HOME)
     start = rows.where(kind == STATE)
@@ -477,7 +484,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweep
     history, samples = [totals(start)], None
     for number in range(sweeps):
         tables = write_cut(state.groupBy("part").cogroup(held.where(kind == TOLD).groupBy("part")).applyInArrow(
-            partial(_reseat, number=number, totals=history[-1], parts=parts), _ROWS), "lm-tables")
+            K.group_ends(partial(_reseat, number=number, totals=history[-1], parts=parts), 2), _ROWS), "lm-tables")
         state = start.unionByName(tables)
         held = seated(state)
         history.append(totals(tables))
@@ -487,7 +494,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweep
     # without the contexts, which the answers do not need
     samples = samples.unionByName(start.withColumn("b1", F.lit(None).cast("binary")))
     asked = rows.where(kind.isin(CELLS, MAP))
-    answers = asked.groupBy("part").cogroup(samples.groupBy("part")).applyInArrow(_answer, _ROWS)
+    answers = asked.groupBy("part").cogroup(samples.groupBy("part")).applyInArrow(K.group_ends(_answer, 2), _ROWS)
     return rows.where(kind == OWN).groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        partial(_score, n=n, vocabulary=vocabulary, totals=history[burn_in + 1:]),
+        K.group_ends(partial(_score, n=n, vocabulary=vocabulary, totals=history[burn_in + 1:]), 2),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -478,3 +478,30 @@ def test_license_gate_passes_what_rules_match(spark):
     df = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
     got = {r["doc_id"]: r["labels"] for r in licenses.scan(df).collect()}
     assert [got[i] for i in range(len(want))] == [[x] if x else [] for x in want.values()]
+
+
+def test_ended_tasks_give_back_their_memory(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    from coview.llm import kernel as K
+    calls = []
+    monkeypatch.setattr(K, "give_back", lambda: calls.append(len(calls)))
+    assert list(K.ends(lambda batches: (b + 1 for b in batches))(iter([1, 2]))) == [2, 3] and len(calls) == 1
+    broken = K.ends(lambda batches: (1 // b for b in batches))
+    with pytest.raises(ZeroDivisionError):
+        list(broken(iter([1, 0])))
+    assert K.group_ends(lambda t: t + 1)(1) == 2 and K.group_ends(lambda a, b: a + b, 2)(1, 2) == 3 and len(calls) == 4
+    monkeypatch.undo()
+    K.prefix_hash(np.zeros(100, dtype=np.uint8))
+    pa.array(np.arange(4_000_000)).cast(pa.string())
+    K.give_back()
+    # the powers of the hash base, 16 MB of every idle worker, go too
+    assert len(K._POWERS.up) == 1 and K.prefix_hash(np.ones(3, dtype=np.uint8)).tolist()[1] == 2
+
+
+def test_language_model_batch_follows_its_blocks():
+    blocks = list(lm.K.text_blocks(pa.array(["a b", "", "b a", None, "a"]), 2))
+    assert len(blocks) > 1
+    parts = [lm.tokens(b) for b in blocks]
+    import numpy as np
+    assert lm._contexts(np.concatenate([p[0] for p in parts])).tolist() == np.concatenate([p[1] for p in parts]).tolist()
