@@ -20,11 +20,12 @@ products a row), after which they leave too. Rounds follow until one adds no
 link, ``LEADER_ROUNDS`` at most. They only contract: what they find is checked,
 what they miss is left to the last pass. That pass takes all columns of the first
 round that still span components and meets every two rows of different
-components, long columns in pairs of blocks of ``LONG_ROWS`` rows. Its counts are
-the exact numbers of shared leading columns, so its bound loses no link. Pairs
-then compare fixed-size parity sketches, whose distance is at most that of the
-sets, before whole sets are joined. Its cost
-grows with the square of the components in a column.
+components, long columns in pairs of blocks of ``LONG_ROWS`` rows. Its rows carry
+a fixed-size sketch of their set, whose distance is at most that of the sets;
+only pairs near enough to be linked leave the task that met them. Their counts are
+the exact numbers of shared leading columns, so its bound loses no link. What the
+pass returns grows with the pairs near a link; the comparisons in a task grow with
+the square of the components in a column.
 
 Cases: a null text, or one without words, has no shingles and links with
 nothing; a text of fewer words than ``k`` has its whole sequence as its only
@@ -61,8 +62,8 @@ RANK_SLOTS, RANK_ROW = 1 << 20, 1 << 14
 LEADER_ROUNDS = 6
 #: rows of a block of a long column in the last pass, and pairs held at a time
 LONG_ROWS, HELD_PAIRS = 4096, 1 << 19
-#: 64-bit words of a set's parity sketch
-SKETCH_WORDS = 8
+#: slots of a set's sketch, a byte each, and pairs whose sketches a task compares at a time
+SKETCH_SLOTS, HELD_SKETCHES = 128, 1 << 15
 #: rows of one column that a task holds at a time
 HELD_ROWS = 1 << 20
 #: bytes of text whose shingles a task holds at a time
@@ -136,16 +137,23 @@ def _summed(table: pa.Table) -> pa.Table:
     return pa.table({"row": table["row"][:1], "held": pa.array([_packed(total)], pa.binary())})
 
 
+def frequent_from(mean: float) -> float:
+    """Shingles from which a slot is frequent: the number of rare ones that meet in
+    a slot spreads with the square root of its mean, so what stands out does not
+    grow in step with the input."""
+    return max(8.0, min(4 * mean, mean + 8 * mean ** 0.5))
+
+
 def frequency_ranks(source: DataFrame, k: int) -> np.ndarray:
     """Per hash slot 0, or the power of two of its count over all documents if it
     is frequent among the slots."""
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("held", T.BinaryType())])
-    rows = source.select("text").mapInArrow(partial(_frequent, k=k), schema).groupBy("row").applyInArrow(_summed, schema)
+    rows = source.select("text").mapInArrow(K.ends(partial(_frequent, k=k)), schema).groupBy("row").applyInArrow(_summed, schema)
     total = np.zeros(RANK_SLOTS, dtype=np.int64)
     for r in rows.collect():
         total[r["row"] * RANK_ROW: (r["row"] + 1) * RANK_ROW] = _unpacked(bytes(r["held"])).astype(np.int64)
     ranks = np.zeros(RANK_SLOTS, dtype=np.uint8)
-    often = np.flatnonzero(total >= max(8, 4 * total.mean()))
+    often = np.flatnonzero(total >= frequent_from(total.mean()))
     ranks[often] = np.frexp(total[often].astype(np.float64))[1]
     return ranks
 
@@ -171,19 +179,31 @@ def _columns(batches: Iterator[pa.RecordBatch], k: int, percent: int, ids: np.nd
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], k: int, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Per document in the id filter the parity of its shingles in each slot."""
-    bits = 64 * SKETCH_WORDS
+    """Per document in the id filter how many shingles it has in each slot, modulo 256."""
     for batch in batches:
         slot = batch.column(2).to_numpy()
         batch = batch.filter(pa.array((ids[slot >> 3] >> (slot & 7) & 1).astype(bool)))
         for block in K.text_blocks(batch.column(1), TEXT_BYTES):
             values, counts = shingle_sets(block, k)
-            at = np.repeat(np.arange(block.n), counts) * bits + (K.mix(values) % np.uint64(bits)).astype(np.int64)
-            odd = (np.bincount(at, minlength=block.n * bits) & 1).astype(np.uint8)
-            words = np.packbits(odd).view(np.int64)
+            sketch = pa.array(list(sketches(values, counts)), type=pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(block.first, block.n), pa.array(counts.astype(np.int64)),
-                 K.list_array(words, np.full(block.n, SKETCH_WORDS), pa.int64())], names=["doc_id", "n", "shingles"])
+                [batch.column(0).slice(block.first, block.n), pa.array(counts.astype(np.int64)), sketch],
+                names=["doc_id", "n", "sketch"])
+
+
+def sketches(values: np.ndarray, counts: np.ndarray) -> Iterator[bytes]:
+    """One for each set of ``shingle_sets``."""
+    at = np.repeat(np.arange(len(counts)), counts) * SKETCH_SLOTS + (K.mix(values) % np.uint64(SKETCH_SLOTS)).astype(np.int64)
+    held = np.bincount(at, minlength=len(counts) * SKETCH_SLOTS).astype(np.uint8).reshape(-1, SKETCH_SLOTS)
+    return (row.tobytes() for row in held)
+
+
+def _near(x: np.ndarray, y: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of sketches (rows of ``x`` and ``y``) that differ no more than those of
+    linked sets whose sizes sum to ``total``. A shingle of one set only moves one
+    slot by one, so sketches differ in no more than the sets do."""
+    apart = x - y  # modulo 256
+    return np.minimum(apart, -apart).sum(axis=1, dtype=np.int64) <= total + 2 * (-percent * total // (100 + percent))
 
 
 def _product(cells: np.ndarray, lead: np.ndarray | None, percent: int, block: int,
@@ -230,11 +250,13 @@ def _product(cells: np.ndarray, lead: np.ndarray | None, percent: int, block: in
     return np.stack([doc[x[new]], doc[y[new]], n[x[new]], n[y[new]], overlap]), cells[:3, stays]
 
 
-def _all_pairs(cells: np.ndarray, percent: int) -> Iterator[np.ndarray]:
-    """Pairs (a, b, na, nb, overlap) of all rows of different components in some
-    columns. ``cells`` has rows key, doc_id, n, comp, side; rows of one side
+def _all_pairs(cells: np.ndarray, sketch: np.ndarray, percent: int) -> Iterator[np.ndarray]:
+    """Pairs (a, b, na, nb, overlap) of the rows of different components in some
+    columns whose sketches are near. ``cells`` has rows key, doc_id, n, comp, side,
+    ``sketch`` a row for each of their columns; rows of one side
     (0 or 1) do not meet, as their block is multiplied by itself elsewhere."""
-    cells = cells[:, np.lexsort((cells[3], cells[0]))]
+    order = np.lexsort((cells[3], cells[0]))
+    cells, sketch = cells[:, order], sketch[order]
     key, doc, n, comp, side = cells
     m = len(key)
     column = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -255,43 +277,59 @@ def _all_pairs(cells: np.ndarray, percent: int) -> Iterator[np.ndarray]:
         low, high = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
         ok = (low * 100 >= high * percent) & ((side[x] < 0) | (side[x] != side[y]))
         x, y = x[ok], y[ok]
+        near = [_near(sketch[x[i: i + HELD_SKETCHES]], sketch[y[i: i + HELD_SKETCHES]],
+                      n[x[i: i + HELD_SKETCHES]] + n[y[i: i + HELD_SKETCHES]], percent)
+                for i in range(0, len(x), HELD_SKETCHES)]
+        if not near or not (near := np.concatenate(near)).any():
+            continue
+        x, y = x[near], y[near]
         swap = doc[x] > doc[y]
         x, y = np.where(swap, y, x), np.where(swap, x, y)
-        order = np.lexsort((doc[y], doc[x]))
-        x, y = x[order], y[order]
-        new = np.flatnonzero(np.concatenate([[True], (doc[x][1:] != doc[x][:-1]) | (doc[y][1:] != doc[y][:-1])])[: len(x)])
-        if len(new):
-            yield np.stack([doc[x[new]], doc[y[new]], n[x[new]], n[y[new]], np.diff(np.append(new, len(x)))])
+        order = np.lexsort((n[y], n[x], doc[y], doc[x]))
+        pair = np.stack([doc[x], doc[y], n[x], n[y]])[:, order]
+        new = np.flatnonzero(np.concatenate([[True], (pair[:, 1:] != pair[:, :-1]).any(axis=0)]))
+        yield np.concatenate([pair[:, new], [np.diff(np.append(new, len(x)))]])
 
 
 def _exhaust(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """``_all_pairs`` over a stream of cells sorted by key."""
-    held = np.zeros((5, 0), dtype=np.int64)
+    """``_all_pairs`` over a stream of cells sorted by key, with their sketches."""
+    held, sketch = np.zeros((5, 0), dtype=np.int64), np.zeros((0, SKETCH_SLOTS), dtype=np.uint8)
 
-    def rows(cells: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for pairs in _all_pairs(cells, percent):
+    def rows(cut: int) -> Iterator[pa.RecordBatch]:
+        for pairs in _all_pairs(held[:, :cut], sketch[:cut], percent):
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], names=["a", "b", "na", "nb", "overlap"])
 
     for batch in batches:
-        held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
+        held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns[:5]])], axis=1)
+        more = np.frombuffer(b"".join(batch.column(5).to_pylist()), dtype=np.uint8)
+        sketch = np.concatenate([sketch, more.reshape(-1, SKETCH_SLOTS)])
         if held.shape[1] < HELD_ROWS // 8:
             continue
         cut = int(np.searchsorted(held[0], held[0, -1]))
         if cut:
-            yield from rows(held[:, :cut])
-            held = held[:, cut:].copy()
+            yield from rows(cut)
+            held, sketch = held[:, cut:].copy(), sketch[cut:].copy()
     if held.shape[1]:
-        yield from rows(held)
+        yield from rows(held.shape[1])
 
 
-def last_pass(cells: DataFrame, lengths: DataFrame, comp: DataFrame | None, percent: int) -> DataFrame:
-    """Pairs (a, b, na, nb) of different components with at least the number of
-    shared leading columns that a link of their sizes has. ``lengths`` has
-    (shingle, held) of the columns of more than ``LONG_ROWS`` rows."""
+def spanning(cells: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """Cells with their component, of the columns that span components."""
     if comp is not None:
         cells = cells.join(comp, "doc_id", "left").select("shingle", "doc_id", "n", F.coalesce("comp", "doc_id").alias("comp"))
     else:
         cells = cells.select("shingle", "doc_id", "n", F.col("doc_id").alias("comp"))
+    open_ = cells.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    return cells.join(open_.select("shingle"), "shingle", "left_semi")
+
+
+def last_pass(cells: DataFrame, lengths: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, na, nb) of different components whose sketches are near, with at
+    least the number of shared leading columns that a link of their sizes has.
+    ``cells`` are those of
+    ``spanning``, ``sketch`` has (doc_id, n, sketch) of their documents, ``lengths``
+    (shingle, held) of the columns of more than ``LONG_ROWS`` rows."""
+    cells = cells.join(sketch, ["doc_id", "n"])
     blocks = lengths.groupBy("shingle").agg(F.ceil(F.sum("held") / LONG_ROWS).cast("int").alias("blocks"))
     cells = cells.join(F.broadcast(blocks), "shingle", "left")
     own = F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)")
@@ -301,9 +339,9 @@ def last_pass(cells: DataFrame, lengths: DataFrame, comp: DataFrame | None, perc
     cells = cells.select(
         F.when(alone, F.col("shingle")).otherwise(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other"))).alias("key"),
         "doc_id", "n", "comp",
-        F.when(alone | (F.col("own") == F.col("other")), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).cast("long").alias("side"))
+        F.when(alone | (F.col("own") == F.col("other")), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).cast("long").alias("side"), "sketch")
     fields = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "na", "nb", "overlap")])
-    pairs = cells.repartition("key").sortWithinPartitions("key").mapInArrow(partial(_exhaust, percent=percent), fields)
+    pairs = cells.repartition("key").sortWithinPartitions("key").mapInArrow(K.ends(partial(_exhaust, percent=percent)), fields)
     # sets x >= y that link share o = p (x + y) / (100 + p) shingles at least. Of
     # the one whose leading columns end first all but ceil(p x / 100) - 1 lead, and
     # what it shares of these leads in the other too
@@ -380,19 +418,19 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     of the document's set) for every row; ids are integers."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     long = lambda *names: [T.StructField(c, T.LongType()) for c in names]
-    digests = write_cut(source.mapInArrow(partial(_digests, k=k), T.StructType(long("doc_id", "n", "a", "b"))), "digests")
+    digests = write_cut(source.mapInArrow(K.ends(partial(_digests, k=k)), T.StructType(long("doc_id", "n", "a", "b"))), "digests")
     # equal sets are one row of the matrix, named by their least id
     sets = digests.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep"))
     reps = sets.select(F.col("rep").alias("doc_id"), "n").distinct()
     fields = T.StructType([*long("doc_id", "n"), T.StructField("shingles", T.ArrayType(T.LongType()))])
-    columns = source.mapInArrow(partial(_columns, k=k, percent=percent, ids=None, ranks=frequency_ranks(source, k)), fields)
+    columns = source.mapInArrow(K.ends(partial(_columns, k=k, percent=percent, ids=None, ranks=frequency_ranks(source, k))), fields)
     cells = (columns.join(reps, ["doc_id", "n"], "left_semi")
              .select(F.explode("shingles").alias("shingle"), "doc_id", "n"))
     hashed = source.where("doc_id IS NOT NULL").withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_SLOTS)))
 
     def verified(pairs: DataFrame) -> DataFrame:
         slots = _needed(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")))
-        whole = hashed.mapInArrow(partial(_columns, k=k, percent=percent, ids=slots, ranks=None), fields)
+        whole = hashed.mapInArrow(K.ends(partial(_columns, k=k, percent=percent, ids=slots, ranks=None)), fields)
         left = whole.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
         right = whole.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
         both = F.size(F.array_intersect("sa", "sb"))
@@ -400,17 +438,6 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
                .where(F.col("i") * 100 >= (F.col("t") - F.col("i")) * percent))
         return write_cut(new.select("a", "b").distinct(), "links")
 
-    def close(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sketches differ in no more bits than linked sets can in shingles."""
-        slots = _needed(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")))
-        all_ = hashed.mapInArrow(partial(_sketches, k=k, ids=slots), fields)
-        left = all_.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-        right = all_.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-        differ = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
-        most = F.expr(f"na + nb - 2 * ceil({percent} * (na + nb) / {100 + percent})")
-        return (pairs.join(left, ["a", "na"]).join(right, ["b", "nb"]).where(differ <= most)
-                .select("a", "b", "na", "nb").distinct())
-
     links = None
     comp = None
     for turn in range(LEADER_ROUNDS):
@@ -420,7 +447,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
             cells = cells.select("shingle", "doc_id", "n", F.col("doc_id").alias("comp"))
         dealt = cells.repartition("shingle").sortWithinPartitions("shingle", F.xxhash64("doc_id", F.lit(turn)), "doc_id")
         product = write_cut(dealt.mapInArrow(
-            partial(_multiply, percent=percent, block=BLOCK_ROWS if turn else FIRST_BLOCK_ROWS, last=turn > 0, long_rows=LONG_ROWS),
+            K.ends(partial(_multiply, percent=percent, block=BLOCK_ROWS if turn else FIRST_BLOCK_ROWS, last=turn > 0, long_rows=LONG_ROWS)),
             T.StructType(long("a", "b", "na", "nb", "overlap"))), "product")
         cells = product.where("overlap = 0").select(F.col("a").alias("shingle"), F.col("b").alias("doc_id"), F.col("na").alias("n"))
         if not turn:  # every column of two documents or more
@@ -437,8 +464,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
             comp = components(links)
         elif turn:
             break
-    met = write_cut(last_pass(every, lengths, comp, percent), "pairs")
-    new = verified(write_cut(close(met), "pairs"))
+    open_ = write_cut(spanning(every, comp), "open")
+    sketch = hashed.mapInArrow(K.ends(partial(_sketches, k=k, ids=_needed(open_))), T.StructType(
+        [*long("doc_id", "n"), T.StructField("sketch", T.BinaryType())])).distinct()
+    new = verified(write_cut(last_pass(open_, lengths, sketch, percent), "pairs"))
     if not new.isEmpty():
         links = new if links is None else links.union(new)
         comp = components(links)

@@ -505,3 +505,41 @@ def test_language_model_batch_follows_its_blocks():
     parts = [lm.tokens(b) for b in blocks]
     import numpy as np
     assert lm._contexts(np.concatenate([p[0] for p in parts])).tolist() == np.concatenate([p[1] for p in parts]).tolist()
+
+
+def test_jaccard_sketches_of_linked_sets_are_near():
+    rnd = np.random.default_rng(5)
+    for _ in range(200):
+        n = int(rnd.integers(2, 700))
+        x = rnd.integers(0, 1 << 62, n).astype(np.uint64)
+        y = np.concatenate([x[: int(rnd.integers(n // 2, n + 1))], rnd.integers(0, 1 << 62, int(rnd.integers(0, n // 3 + 1))).astype(np.uint64)])
+        a, b = (np.frombuffer(s, dtype=np.uint8)[None] for s in jaccard.sketches(np.concatenate([x, y]), np.array([len(x), len(y)])))
+        both = len(np.intersect1d(x, y))
+        if both * 100 >= (len(x) + len(y) - both) * 75:
+            assert jaccard._near(a, b, np.array([len(x) + len(y)]), 75)[0]
+
+
+def test_jaccard_last_pass_returns_near_pairs_only(spark):
+    # 300 documents share 2 of 3 shingles: none is linked, and no pair leaves a task
+    rnd = np.random.default_rng(9)
+    passage = rnd.integers(0, 1 << 62, 60).astype(np.uint64)
+    sets = [np.concatenate([passage, rnd.integers(0, 1 << 62, 30).astype(np.uint64)]) for _ in range(300)]
+    near = sets[0].copy()
+    near[-1] += np.uint64(1)
+    # an id with two texts of one size: any of its sketches may be the near one
+    sets += [near, sets[5]]
+    ids = [*range(300), 300, 300]
+    sketch = list(jaccard.sketches(np.concatenate(sets), np.full(len(sets), 90)))
+    cells = pa.RecordBatch.from_arrays([pa.array([7] * 302), pa.array(ids), pa.array([90] * 302), pa.array(ids),
+                                        pa.array([-1] * 302), pa.array(sketch, pa.binary())], names=list("kdncsx"))
+    got = {r[:4] for b in jaccard._exhaust(iter([cells.slice(0, 100), cells.slice(100)]), 75) for r in zip(*(c.to_pylist() for c in b.columns))}
+    assert {(0, 300, 90, 90), (5, 300, 90, 90)} <= got and len(got) < 300
+    # only columns that span components reach that pass
+    rows = spark.createDataFrame([(1, 10, 5), (1, 11, 5), (2, 10, 5), (2, 12, 5)], "shingle long, doc_id long, n long")
+    comp = spark.createDataFrame([(10, 10), (11, 10)], "doc_id long, comp long")
+    assert {r["shingle"] for r in jaccard.spanning(rows, comp).collect()} == {2}
+
+
+def test_jaccard_frequency_bound_grows_slower_than_the_input():
+    assert jaccard.frequent_from(0.5) == 8 and jaccard.frequent_from(1) == 8
+    assert jaccard.frequent_from(100) <= 200 and jaccard.frequent_from(10000) <= 11000
