@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coview.llm import kernel as K
+
 
 def _apply(batches: Iterator[pa.RecordBatch], compute: Callable, names: list[str], n_keep: int,
            text: int) -> Iterator[pa.RecordBatch]:
@@ -31,7 +33,7 @@ def map_text(docs: DataFrame, compute: Callable, fields: Sequence[T.StructField]
     sent = text_col in keep and isinstance(docs.schema[text_col].dataType, T.StringType)
     source = docs.select(*kept, *([] if sent else [F.col(text_col).cast("string").alias("text")]))
     schema = T.StructType([*source.schema.fields[:len(kept)], *fields])
-    out = source.mapInArrow(partial(_apply, compute=compute, names=schema.names, n_keep=len(keep),
-                                    text=list(keep).index(text_col) if sent else len(kept)), schema)
+    out = source.mapInArrow(K.ends(partial(_apply, compute=compute, names=schema.names, n_keep=len(keep),
+                                           text=list(keep).index(text_col) if sent else len(kept))), schema)
     return out.select(*(F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)),
                       *(f.name for f in fields))

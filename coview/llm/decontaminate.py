@@ -134,7 +134,7 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                       F.array().cast(T.ArrayType(run)).alias("runs"),
                       F.array().cast("array<string>").alias("items"))
     for table in _slices(spark, items, slice_bytes, n):
-        out = out.mapInArrow(partial(_scan, table=table), out.schema)
+        out = out.mapInArrow(K.ends(partial(_scan, table=table)), out.schema)
     return out.select(*(F.col(f"keep_{c}").alias(c) for c in keep if c != "text"),
                       "text", "n_words", "runs", "items")
 
@@ -164,4 +164,4 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_hits(found: DataFrame) -> DataFrame:
     """``find_windows`` rows with the hit words (and what stands between them)
     cut out of ``text``."""
-    return found.mapInArrow(_cut, found.schema)
+    return found.mapInArrow(K.ends(_cut), found.schema)

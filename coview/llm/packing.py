@@ -322,5 +322,5 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         *(T.StructField(c, T.LongType()) for c in
           ("start", "length", "doc_tokens", "sequence_id", "offset")),
         T.StructField("ids", T.BinaryType())])
-    return source.mapInArrow(partial(_pack, path=tokenizer_path, window=window, cut=cut,
-                                     end_id=end_id, block_windows=block_windows), schema)
+    return source.mapInArrow(K.ends(partial(_pack, path=tokenizer_path, window=window, cut=cut,
+                                            end_id=end_id, block_windows=block_windows)), schema)

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coview.llm import kernel as K
 from coview.llm.columns import map_text
 from coview.session import write_cut
 
@@ -278,7 +279,7 @@ def detect(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str =
 
     base = F.transform(F.filter("spans", lambda s: s["strict"]), lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
-    return found.mapInArrow(accept, schema).select(*keep, base.alias("base"), F.col("final").alias("spans"))
+    return found.mapInArrow(K.ends(accept), schema).select(*keep, base.alias("base"), F.col("final").alias("spans"))
 
 
 def redact(docs: DataFrame, keep: tuple[str, ...], text_col: str = "text") -> DataFrame:
