@@ -21,10 +21,13 @@ link, ``LEADER_ROUNDS`` at most. They only contract: what they find is checked,
 what they miss is left to the last pass. That pass takes all columns of the first
 round that still span components and meets every two rows of different
 components, long columns in pairs of blocks of ``LONG_ROWS`` rows. Its rows carry
-a fixed-size sketch of their set, whose distance is at most that of the sets;
-only pairs near enough to be linked leave the task that met them. Their counts are
-the exact numbers of shared leading columns, so its bound loses no link. What the
-pass returns grows with the pairs near a link; the comparisons in a task grow with
+a fixed-size sketch of their set, whose distance is at most that of the sets, and
+names the row's columns of the pass (the smallest ``LIST_COLUMNS``); only pairs near
+enough to be linked, with as many shared columns as a link has, leave the task that
+met them. A pair meets in each column of both and is returned from the smallest
+only, so that the rows of the pass are the pairs near a link and not these times
+their columns. Where the lists of long rows name no column of both, each of its
+columns returns the pair: no link is lost. The comparisons in a task grow with
 the square of the components in a column.
 
 Cases: a null text, or one without words, has no shingles and links with
@@ -64,6 +67,8 @@ LEADER_ROUNDS = 6
 LONG_ROWS, HELD_PAIRS = 4096, 1 << 19
 #: slots of a set's sketch, a byte each, and pairs whose sketches a task compares at a time
 SKETCH_SLOTS, HELD_SKETCHES = 128, 1 << 15
+#: columns that a row of the last pass names, 4 bytes each, and pairs whose names a task compares at a time
+LIST_COLUMNS, HELD_LISTS = 64, 1 << 12
 #: rows of one column that a task holds at a time
 HELD_ROWS = 1 << 20
 #: bytes of text whose shingles a task holds at a time
@@ -250,23 +255,24 @@ def _product(cells: np.ndarray, lead: np.ndarray | None, percent: int, block: in
     return np.stack([doc[x[new]], doc[y[new]], n[x[new]], n[y[new]], overlap]), cells[:3, stays]
 
 
-def _all_pairs(cells: np.ndarray, sketch: np.ndarray, percent: int) -> Iterator[np.ndarray]:
-    """Pairs (a, b, na, nb, overlap) of the rows of different components in some
-    columns whose sketches are near. ``cells`` has rows key, doc_id, n, comp, side,
-    ``sketch`` a row for each of their columns; rows of one side
-    (0 or 1) do not meet, as their block is multiplied by itself elsewhere."""
+def _all_pairs(cells: np.ndarray, sketch: np.ndarray, length: np.ndarray, flat: np.ndarray,
+               percent: int) -> Iterator[np.ndarray]:
+    """Pairs (a, b, na, nb) of the rows of different components in some columns
+    whose sketches are near, those of ``_here`` only. ``cells`` has rows key, doc_id,
+    n, comp, side, col, held, ``sketch`` a row for each of their columns, ``flat`` the
+    lists of columns with their ``length``; rows of one side (0 or 1) do not meet, as
+    their block is multiplied by itself elsewhere."""
     order = np.lexsort((cells[3], cells[0]))
     cells, sketch = cells[:, order], sketch[order]
-    key, doc, n, comp, side = cells
+    start, length = (np.cumsum(length) - length)[order], length[order]
+    key, doc, n, comp, side, col, held = cells
     m = len(key)
     column = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     run = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (comp[1:] != comp[:-1])]))
     column_end = np.repeat(np.append(column[1:], m), np.diff(np.append(column, m)))
     run_end = np.repeat(np.append(run[1:], m), np.diff(np.append(run, m)))
     partners = column_end - run_end
-    # by document, so that a pair's columns are counted together
-    rows = np.argsort(doc, kind="stable")
-    rows = rows[partners[rows] > 0]
+    rows = np.flatnonzero(partners > 0)
     done = np.cumsum(partners[rows])
     first = 0
     while first < len(rows):
@@ -283,32 +289,72 @@ def _all_pairs(cells: np.ndarray, sketch: np.ndarray, percent: int) -> Iterator[
         if not near or not (near := np.concatenate(near)).any():
             continue
         x, y = x[near], y[near]
+        here = np.concatenate([_here(x[i: i + HELD_LISTS], y[i: i + HELD_LISTS], n, col, held, flat, start, length, percent)
+                               for i in range(0, len(x), HELD_LISTS)])
+        if not here.any():
+            continue
+        x, y = x[here], y[here]
         swap = doc[x] > doc[y]
         x, y = np.where(swap, y, x), np.where(swap, x, y)
         order = np.lexsort((n[y], n[x], doc[y], doc[x]))
         pair = np.stack([doc[x], doc[y], n[x], n[y]])[:, order]
-        new = np.flatnonzero(np.concatenate([[True], (pair[:, 1:] != pair[:, :-1]).any(axis=0)]))
-        yield np.concatenate([pair[:, new], [np.diff(np.append(new, len(x)))]])
+        new = np.concatenate([[True], (pair[:, 1:] != pair[:, :-1]).any(axis=0)])
+        yield pair[:, new]
+
+
+def _here(x: np.ndarray, y: np.ndarray, n: np.ndarray, col: np.ndarray, held: np.ndarray, flat: np.ndarray,
+          start: np.ndarray, length: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of rows are returned from this column: their lists name no
+    smaller column of both and, if complete, as many as a link of their sizes has.
+    The smallest column that both lists name returns the pair; pairs whose lists
+    name none return from each of theirs."""
+    m = len(x)
+    pair = np.concatenate([np.repeat(np.arange(m), length[x]), np.repeat(np.arange(m), length[y])])
+    named = np.concatenate([flat[K.ragged(start[x], length[x])], flat[K.ragged(start[y], length[y])]])
+    named = (pair << 32) + (named.astype(np.int64) + (1 << 31))
+    named.sort()
+    both = named[1:][named[1:] == named[:-1]]
+    of = both >> 32
+    smaller = np.bincount(of[(both & 0xFFFFFFFF) - (1 << 31) < col[x][of]], minlength=m) > 0
+    # sets x >= y that link share o = p (x + y) / (100 + p) shingles at least. Of
+    # the one whose leading columns end first all but ceil(p x / 100) - 1 lead, and
+    # what it shares of these leads in the other too
+    total, high = n[x] + n[y], np.maximum(n[x], n[y])
+    need = -(-percent * total // (100 + percent)) - -(-percent * high // 100) + 1
+    complete = (held[x] == length[x]) & (held[y] == length[y])
+    return ~smaller & (~complete | (np.bincount(of, minlength=m) >= need))
 
 
 def _exhaust(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """``_all_pairs`` over a stream of cells sorted by key, with their sketches."""
-    held, sketch = np.zeros((5, 0), dtype=np.int64), np.zeros((0, SKETCH_SLOTS), dtype=np.uint8)
+    """``_all_pairs`` over a stream of cells sorted by key, with their sketches and
+    (if the stream has them) their columns, the number of all open columns of the
+    row and the smallest of these."""
+    held, sketch = np.zeros((7, 0), dtype=np.int64), np.zeros((0, SKETCH_SLOTS), dtype=np.uint8)
+    length, flat = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
 
     def rows(cut: int) -> Iterator[pa.RecordBatch]:
-        for pairs in _all_pairs(held[:, :cut], sketch[:cut], percent):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], names=["a", "b", "na", "nb", "overlap"])
+        for pairs in _all_pairs(held[:, :cut], sketch[:cut], length[:cut], flat, percent):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], names=["a", "b", "na", "nb"])
 
     for batch in batches:
-        held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns[:5]])], axis=1)
+        if not batch.num_rows:
+            continue
+        none = np.zeros(batch.num_rows, dtype=np.int64)
+        known = batch.num_columns > 6
+        more = [c.to_numpy() for c in batch.columns[:5]] + ([c.to_numpy() for c in batch.columns[6:8]] if known else [none, none - 1])
+        held = np.concatenate([held, np.stack(more)], axis=1)
         more = np.frombuffer(b"".join(batch.column(5).to_pylist()), dtype=np.uint8)
         sketch = np.concatenate([sketch, more.reshape(-1, SKETCH_SLOTS)])
+        length = np.concatenate([length, batch.column(8).value_lengths().to_numpy() if known else none])
+        if known:
+            flat = np.concatenate([flat, batch.column(8).flatten().to_numpy()])
         if held.shape[1] < HELD_ROWS // 8:
             continue
         cut = int(np.searchsorted(held[0], held[0, -1]))
         if cut:
             yield from rows(cut)
-            held, sketch = held[:, cut:].copy(), sketch[cut:].copy()
+            flat = flat[length[:cut].sum():].copy()
+            held, sketch, length = held[:, cut:].copy(), sketch[cut:].copy(), length[cut:]
     if held.shape[1]:
         yield from rows(held.shape[1])
 
@@ -323,31 +369,38 @@ def spanning(cells: DataFrame, comp: DataFrame | None) -> DataFrame:
     return cells.join(open_.select("shingle"), "shingle", "left_semi")
 
 
+def open_columns(cells: DataFrame) -> DataFrame:
+    """(doc_id, n, comp, all, cols, held) of the rows of ``cells``: their columns as
+    32-bit hashes in order, the ``LIST_COLUMNS`` smallest of these, and how many
+    there are. Columns of one hash are one column; that only adds to what meets."""
+    return (cells.groupBy("doc_id", "n")
+            .agg(F.min("comp").alias("comp"), F.sort_array(F.collect_set(F.hash("shingle"))).alias("all"))
+            .withColumn("cols", F.slice("all", 1, LIST_COLUMNS)).withColumn("held", F.size("all").cast("long")))
+
+
 def last_pass(cells: DataFrame, lengths: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, na, nb) of different components whose sketches are near, with at
-    least the number of shared leading columns that a link of their sizes has.
-    ``cells`` are those of
-    ``spanning``, ``sketch`` has (doc_id, n, sketch) of their documents, ``lengths``
-    (shingle, held) of the columns of more than ``LONG_ROWS`` rows."""
-    cells = cells.join(sketch, ["doc_id", "n"])
-    blocks = lengths.groupBy("shingle").agg(F.ceil(F.sum("held") / LONG_ROWS).cast("int").alias("blocks"))
-    cells = cells.join(F.broadcast(blocks), "shingle", "left")
+    least the number of shared leading columns that a link of their sizes has (rows
+    of more open columns than ``LIST_COLUMNS`` are not asked for that). ``cells`` are
+    those of ``spanning``, ``sketch`` has (doc_id, n, sketch) of their documents,
+    ``lengths`` (shingle, held) of the columns of more than ``LONG_ROWS`` rows."""
+    blocks = (lengths.groupBy(F.hash("shingle").alias("col"))
+              .agg(F.ceil(F.sum("held") / LONG_ROWS).cast("int").alias("blocks")))
+    cells = (open_columns(cells).join(sketch, ["doc_id", "n"])
+             .select("doc_id", "n", "comp", "sketch", "held", "cols", F.explode("all").alias("col"))
+             .join(F.broadcast(blocks), "col", "left"))
     own = F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)")
     cells = cells.withColumn("own", own).withColumn("other", F.explode(
         F.when(F.col("blocks") > 1, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(-1)))))
     alone = F.col("blocks").isNull() | (F.col("blocks") < 2)
     cells = cells.select(
-        F.when(alone, F.col("shingle")).otherwise(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other"))).alias("key"),
+        F.when(alone, F.col("col").cast("long")).otherwise(F.xxhash64("col", F.least("own", "other"), F.greatest("own", "other"))).alias("key"),
         "doc_id", "n", "comp",
-        F.when(alone | (F.col("own") == F.col("other")), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).cast("long").alias("side"), "sketch")
-    fields = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "na", "nb", "overlap")])
+        F.when(alone | (F.col("own") == F.col("other")), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).cast("long").alias("side"),
+        "sketch", F.col("col").cast("long").alias("col"), "held", "cols")
+    fields = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "na", "nb")])
     pairs = cells.repartition("key").sortWithinPartitions("key").mapInArrow(K.ends(partial(_exhaust, percent=percent)), fields)
-    # sets x >= y that link share o = p (x + y) / (100 + p) shingles at least. Of
-    # the one whose leading columns end first all but ceil(p x / 100) - 1 lead, and
-    # what it shares of these leads in the other too
-    need = F.expr(f"ceil({percent} * (na + nb) / {100 + percent}) - ceil({percent} * greatest(na, nb) / 100) + 1")
-    return (pairs.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
-            .where(F.col("overlap") >= need).select("a", "b", "na", "nb"))
+    return pairs.distinct()
 
 
 def _multiply(batches: Iterator[pa.RecordBatch], percent: int, block: int, last: bool,

@@ -540,6 +540,44 @@ def test_jaccard_last_pass_returns_near_pairs_only(spark):
     assert {r["shingle"] for r in jaccard.spanning(rows, comp).collect()} == {2}
 
 
+def _met(key, rows):
+    """What a task returns for one column: rows (doc, sketch, columns
+    named, number of all, columns that meet)."""
+    doc, sketch, cols, held = zip(*[r[:4] for r in rows if key in r[4]], strict=True)
+    m = len(doc)
+    cells = pa.RecordBatch.from_arrays(
+        [pa.array([key] * m), pa.array(doc), pa.array([90] * m), pa.array(doc), pa.array([-1] * m), pa.array(sketch, pa.binary()),
+         pa.array([key] * m), pa.array(held), pa.array(cols, pa.list_(pa.int32()))], names=list("kdncsxlhw"))
+    return [r[:4] for b in jaccard._exhaust(iter([cells.slice(0, 2), cells.slice(2)]), 75) for r in zip(*(c.to_pylist() for c in b.columns))]
+
+
+def test_jaccard_last_pass_returns_a_pair_from_one_column():
+    rnd = np.random.default_rng(3)
+    passage = rnd.integers(0, 1 << 62, 88).astype(np.uint64)
+    sets = [np.concatenate([passage, rnd.integers(0, 1 << 62, 2).astype(np.uint64)]) for _ in range(4)]
+    sketch = list(jaccard.sketches(np.concatenate(sets), np.full(4, 90)))
+    # 20 columns of all of them, negative hashes too: each pair leaves one of 20 tasks
+    columns = list(range(-10, 10))
+    rows = [(d, sketch[d], columns, 20, columns) for d in range(4)]
+    got = [p for key in columns for p in _met(key, rows)]
+    assert sorted(got) == [(a, b, 90, 90) for a in range(4) for b in range(a + 1, 4)]
+    # too few shared columns for a link of these sizes (11 of them): none leaves
+    few = [(d, sketch[d], [*columns[:8], *range(100 * d + 20, 100 * d + 32)], 20, columns[:8]) for d in range(4)]
+    assert not [p for key in columns[:8] for p in _met(key, few)]
+    # long rows whose lists end early, and name no column of both: no pair is lost
+    cut = [(d, sketch[d], [-20 - d], 21, columns) for d in range(4)]
+    assert {p for key in columns for p in _met(key, cut)} == set(got)
+
+
+def test_jaccard_long_rows_name_part_of_their_columns(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LIST_COLUMNS", 1)
+    monkeypatch.setattr(jaccard, "LEADER_ROUNDS", 1)
+    texts = _copies(40, 5)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(df).collect()}
+    assert got == _components(texts)
+
+
 def test_jaccard_frequency_bound_grows_slower_than_the_input():
     assert jaccard.frequent_from(0.5) == 8 and jaccard.frequent_from(1) == 8
     assert jaccard.frequent_from(100) <= 200 and jaccard.frequent_from(10000) <= 11000
