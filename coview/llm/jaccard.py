@@ -22,13 +22,13 @@ what they miss is left to the last pass. That pass takes all columns of the firs
 round that still span components and meets every two rows of different
 components, long columns in pairs of blocks of ``LONG_ROWS`` rows. Its rows carry
 a fixed-size sketch of their set, whose distance is at most that of the sets, and
-names the row's columns of the pass (the smallest ``LIST_COLUMNS``); only pairs near
-enough to be linked, with as many shared columns as a link has, leave the task that
-met them. A pair meets in each column of both and is returned from the smallest
-only, so that the rows of the pass are the pairs near a link and not these times
-their columns. Where the lists of long rows name no column of both, each of its
-columns returns the pair: no link is lost. The comparisons in a task grow with
-the square of the components in a column.
+name the row's smallest columns of the pass; only pairs near enough to be linked
+leave the task that met them. A pair meets in each column of both and is returned
+from the smallest that both name only, so that the rows of the pass are the pairs
+near a link and not these times their columns. Where the lists name no column of
+both, each of its columns returns the pair: no link is lost. Pairs with fewer shared
+columns than a link has are discarded then. The comparisons in a task grow with the
+square of the components in a column.
 
 Cases: a null text, or one without words, has no shingles and links with
 nothing; a text of fewer words than ``k`` has its whole sequence as its only
@@ -65,10 +65,10 @@ RANK_SLOTS, RANK_ROW = 1 << 20, 1 << 14
 LEADER_ROUNDS = 6
 #: rows of a block of a long column in the last pass, and pairs held at a time
 LONG_ROWS, HELD_PAIRS = 4096, 1 << 19
-#: slots of a set's sketch, a byte each, and pairs whose sketches a task compares at a time
+#: slots of a set's sketch, half a byte each, and pairs whose sketches a task compares at a time
 SKETCH_SLOTS, HELD_SKETCHES = 128, 1 << 15
 #: columns that a row of the last pass names, 4 bytes each, and pairs whose names a task compares at a time
-LIST_COLUMNS, HELD_LISTS = 64, 1 << 12
+LIST_COLUMNS, HELD_LISTS = 8, 1 << 14
 #: rows of one column that a task holds at a time
 HELD_ROWS = 1 << 20
 #: bytes of text whose shingles a task holds at a time
@@ -184,7 +184,7 @@ def _columns(batches: Iterator[pa.RecordBatch], k: int, percent: int, ids: np.nd
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], k: int, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Per document in the id filter how many shingles it has in each slot, modulo 256."""
+    """Per document in the id filter how many shingles it has in each slot, modulo 16."""
     for batch in batches:
         slot = batch.column(2).to_numpy()
         batch = batch.filter(pa.array((ids[slot >> 3] >> (slot & 7) & 1).astype(bool)))
@@ -200,15 +200,19 @@ def sketches(values: np.ndarray, counts: np.ndarray) -> Iterator[bytes]:
     """One for each set of ``shingle_sets``."""
     at = np.repeat(np.arange(len(counts)), counts) * SKETCH_SLOTS + (K.mix(values) % np.uint64(SKETCH_SLOTS)).astype(np.int64)
     held = np.bincount(at, minlength=len(counts) * SKETCH_SLOTS).astype(np.uint8).reshape(-1, SKETCH_SLOTS)
-    return (row.tobytes() for row in held)
+    held &= 15
+    return (row.tobytes() for row in held[:, ::2] | held[:, 1::2] << 4)
 
 
 def _near(x: np.ndarray, y: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
     """Pairs of sketches (rows of ``x`` and ``y``) that differ no more than those of
     linked sets whose sizes sum to ``total``. A shingle of one set only moves one
     slot by one, so sketches differ in no more than the sets do."""
-    apart = x - y  # modulo 256
-    return np.minimum(apart, -apart).sum(axis=1, dtype=np.int64) <= total + 2 * (-percent * total // (100 + percent))
+    apart = np.zeros(len(x), dtype=np.int64)
+    for a, b in ((x & 15, y & 15), (x >> 4, y >> 4)):
+        a -= b
+        apart += np.minimum(a & 15, -a & 15).sum(axis=1, dtype=np.int64)  # modulo 16
+    return apart <= total + 2 * (-percent * total // (100 + percent))
 
 
 def _product(cells: np.ndarray, lead: np.ndarray | None, percent: int, block: int,
@@ -259,13 +263,13 @@ def _all_pairs(cells: np.ndarray, sketch: np.ndarray, length: np.ndarray, flat:
                percent: int) -> Iterator[np.ndarray]:
     """Pairs (a, b, na, nb) of the rows of different components in some columns
     whose sketches are near, those of ``_here`` only. ``cells`` has rows key, doc_id,
-    n, comp, side, col, held, ``sketch`` a row for each of their columns, ``flat`` the
-    lists of columns with their ``length``; rows of one side (0 or 1) do not meet, as
-    their block is multiplied by itself elsewhere."""
+    n, comp, side, col, ``sketch`` a row for each of their columns, ``flat`` the lists
+    of columns with their ``length``; rows of one side (0 or 1) do not meet, as their
+    block is multiplied by itself elsewhere."""
     order = np.lexsort((cells[3], cells[0]))
     cells, sketch = cells[:, order], sketch[order]
     start, length = (np.cumsum(length) - length)[order], length[order]
-    key, doc, n, comp, side, col, held = cells
+    key, doc, n, comp, side, col = cells
     m = len(key)
     column = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     run = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (comp[1:] != comp[:-1])]))
@@ -289,7 +293,7 @@ def _all_pairs(cells: np.ndarray, sketch: np.ndarray, length: np.ndarray, flat:
         if not near or not (near := np.concatenate(near)).any():
             continue
         x, y = x[near], y[near]
-        here = np.concatenate([_here(x[i: i + HELD_LISTS], y[i: i + HELD_LISTS], n, col, held, flat, start, length, percent)
+        here = np.concatenate([_here(x[i: i + HELD_LISTS], y[i: i + HELD_LISTS], col, flat, start, length)
                                for i in range(0, len(x), HELD_LISTS)])
         if not here.any():
             continue
@@ -302,12 +306,11 @@ def _all_pairs(cells: np.ndarray, sketch: np.ndarray, length: np.ndarray, flat:
         yield pair[:, new]
 
 
-def _here(x: np.ndarray, y: np.ndarray, n: np.ndarray, col: np.ndarray, held: np.ndarray, flat: np.ndarray,
-          start: np.ndarray, length: np.ndarray, percent: int) -> np.ndarray:
-    """Which pairs of rows are returned from this column: their lists name no
-    smaller column of both and, if complete, as many as a link of their sizes has.
-    The smallest column that both lists name returns the pair; pairs whose lists
-    name none return from each of theirs."""
+def _here(x: np.ndarray, y: np.ndarray, col: np.ndarray, flat: np.ndarray, start: np.ndarray,
+          length: np.ndarray) -> np.ndarray:
+    """Which pairs of rows are returned from this column: those whose lists name no
+    smaller column of both. A pair is returned from the smallest column that both
+    name; if they name none, from each of theirs."""
     m = len(x)
     pair = np.concatenate([np.repeat(np.arange(m), length[x]), np.repeat(np.arange(m), length[y])])
     named = np.concatenate([flat[K.ragged(start[x], length[x])], flat[K.ragged(start[y], length[y])]])
@@ -315,21 +318,13 @@ def _here(x: np.ndarray, y: np.ndarray, n: np.ndarray, col: np.ndarray, held: np
     named.sort()
     both = named[1:][named[1:] == named[:-1]]
     of = both >> 32
-    smaller = np.bincount(of[(both & 0xFFFFFFFF) - (1 << 31) < col[x][of]], minlength=m) > 0
-    # sets x >= y that link share o = p (x + y) / (100 + p) shingles at least. Of
-    # the one whose leading columns end first all but ceil(p x / 100) - 1 lead, and
-    # what it shares of these leads in the other too
-    total, high = n[x] + n[y], np.maximum(n[x], n[y])
-    need = -(-percent * total // (100 + percent)) - -(-percent * high // 100) + 1
-    complete = (held[x] == length[x]) & (held[y] == length[y])
-    return ~smaller & (~complete | (np.bincount(of, minlength=m) >= need))
+    return np.bincount(of[(both & 0xFFFFFFFF) - (1 << 31) < col[x][of]], minlength=m) == 0
 
 
 def _exhaust(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """``_all_pairs`` over a stream of cells sorted by key, with their sketches and
-    (if the stream has them) their columns, the number of all open columns of the
-    row and the smallest of these."""
-    held, sketch = np.zeros((7, 0), dtype=np.int64), np.zeros((0, SKETCH_SLOTS), dtype=np.uint8)
+    (if the stream has them) their columns and the smallest open columns of their rows."""
+    held, sketch = np.zeros((6, 0), dtype=np.int64), np.zeros((0, SKETCH_SLOTS // 2), dtype=np.uint8)
     length, flat = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
 
     def rows(cut: int) -> Iterator[pa.RecordBatch]:
@@ -341,13 +336,13 @@ def _exhaust(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             continue
         none = np.zeros(batch.num_rows, dtype=np.int64)
         known = batch.num_columns > 6
-        more = [c.to_numpy() for c in batch.columns[:5]] + ([c.to_numpy() for c in batch.columns[6:8]] if known else [none, none - 1])
+        more = [c.to_numpy() for c in batch.columns[:5]] + [batch.column(6).to_numpy() if known else none]
         held = np.concatenate([held, np.stack(more)], axis=1)
         more = np.frombuffer(b"".join(batch.column(5).to_pylist()), dtype=np.uint8)
-        sketch = np.concatenate([sketch, more.reshape(-1, SKETCH_SLOTS)])
-        length = np.concatenate([length, batch.column(8).value_lengths().to_numpy() if known else none])
+        sketch = np.concatenate([sketch, more.reshape(-1, SKETCH_SLOTS // 2)])
+        length = np.concatenate([length, batch.column(7).value_lengths().to_numpy() if known else none])
         if known:
-            flat = np.concatenate([flat, batch.column(8).flatten().to_numpy()])
+            flat = np.concatenate([flat, batch.column(7).flatten().to_numpy()])
         if held.shape[1] < HELD_ROWS // 8:
             continue
         cut = int(np.searchsorted(held[0], held[0, -1]))
@@ -370,24 +365,21 @@ def spanning(cells: DataFrame, comp: DataFrame | None) -> DataFrame:
 
 
 def open_columns(cells: DataFrame) -> DataFrame:
-    """(doc_id, n, comp, all, cols, held) of the rows of ``cells``: their columns as
-    32-bit hashes in order, the ``LIST_COLUMNS`` smallest of these, and how many
-    there are. Columns of one hash are one column; that only adds to what meets."""
-    return (cells.groupBy("doc_id", "n")
-            .agg(F.min("comp").alias("comp"), F.sort_array(F.collect_set(F.hash("shingle"))).alias("all"))
-            .withColumn("cols", F.slice("all", 1, LIST_COLUMNS)).withColumn("held", F.size("all").cast("long")))
+    """(doc_id, n, comp, cols) of the rows of ``cells``: their columns as 32-bit
+    hashes in order. Columns of one hash are one column; that only adds to what meets."""
+    return cells.groupBy("doc_id", "n").agg(F.min("comp").alias("comp"), F.sort_array(F.collect_set(F.hash("shingle"))).alias("cols"))
 
 
-def last_pass(cells: DataFrame, lengths: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+def last_pass(rows: DataFrame, lengths: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, na, nb) of different components whose sketches are near, with at
-    least the number of shared leading columns that a link of their sizes has (rows
-    of more open columns than ``LIST_COLUMNS`` are not asked for that). ``cells`` are
-    those of ``spanning``, ``sketch`` has (doc_id, n, sketch) of their documents,
-    ``lengths`` (shingle, held) of the columns of more than ``LONG_ROWS`` rows."""
+    least the number of shared leading columns that a link of their sizes has.
+    ``rows`` are those of ``open_columns``, ``sketch`` has (doc_id, n, sketch) of
+    their documents, ``lengths`` (shingle, held) of the columns of more than
+    ``LONG_ROWS`` rows."""
     blocks = (lengths.groupBy(F.hash("shingle").alias("col"))
               .agg(F.ceil(F.sum("held") / LONG_ROWS).cast("int").alias("blocks")))
-    cells = (open_columns(cells).join(sketch, ["doc_id", "n"])
-             .select("doc_id", "n", "comp", "sketch", "held", "cols", F.explode("all").alias("col"))
+    cells = (rows.join(sketch, ["doc_id", "n"])
+             .select("doc_id", "n", "comp", "sketch", F.slice("cols", 1, LIST_COLUMNS).alias("cols"), F.explode("cols").alias("col"))
              .join(F.broadcast(blocks), "col", "left"))
     own = F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)")
     cells = cells.withColumn("own", own).withColumn("other", F.explode(
@@ -397,10 +389,17 @@ def last_pass(cells: DataFrame, lengths: DataFrame, sketch: DataFrame, percent:
         F.when(alone, F.col("col").cast("long")).otherwise(F.xxhash64("col", F.least("own", "other"), F.greatest("own", "other"))).alias("key"),
         "doc_id", "n", "comp",
         F.when(alone | (F.col("own") == F.col("other")), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).cast("long").alias("side"),
-        "sketch", F.col("col").cast("long").alias("col"), "held", "cols")
+        "sketch", F.col("col").cast("long").alias("col"), "cols")
     fields = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "na", "nb")])
     pairs = cells.repartition("key").sortWithinPartitions("key").mapInArrow(K.ends(partial(_exhaust, percent=percent)), fields)
-    return pairs.distinct()
+    # sets x >= y that link share o = p (x + y) / (100 + p) shingles at least. Of
+    # the one whose leading columns end first all but ceil(p x / 100) - 1 lead, and
+    # what it shares of these leads in the other too
+    need = F.expr(f"ceil({percent} * (na + nb) / {100 + percent}) - ceil({percent} * greatest(na, nb) / 100) + 1")
+    left = rows.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("cols").alias("ca"))
+    right = rows.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("cols").alias("cb"))
+    return (pairs.distinct().join(left, ["a", "na"]).join(right, ["b", "nb"])
+            .where(F.size(F.array_intersect("ca", "cb")) >= need).select("a", "b", "na", "nb"))
 
 
 def _multiply(batches: Iterator[pa.RecordBatch], percent: int, block: int, last: bool,
@@ -517,7 +516,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
             comp = components(links)
         elif turn:
             break
-    open_ = write_cut(spanning(every, comp), "open")
+    open_ = write_cut(open_columns(spanning(every, comp)), "open")
     sketch = hashed.mapInArrow(K.ends(partial(_sketches, k=k, ids=_needed(open_))), T.StructType(
         [*long("doc_id", "n"), T.StructField("sketch", T.BinaryType())])).distinct()
     new = verified(write_cut(last_pass(open_, lengths, sketch, percent), "pairs"))

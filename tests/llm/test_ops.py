@@ -541,13 +541,12 @@ def test_jaccard_last_pass_returns_near_pairs_only(spark):
 
 
 def _met(key, rows):
-    """What a task returns for one column: rows (doc, sketch, columns
-    named, number of all, columns that meet)."""
-    doc, sketch, cols, held = zip(*[r[:4] for r in rows if key in r[4]], strict=True)
+    """What a task returns for one column of rows (doc, sketch, columns named)."""
+    doc, sketch, cols = zip(*rows, strict=True)
     m = len(doc)
     cells = pa.RecordBatch.from_arrays(
         [pa.array([key] * m), pa.array(doc), pa.array([90] * m), pa.array(doc), pa.array([-1] * m), pa.array(sketch, pa.binary()),
-         pa.array([key] * m), pa.array(held), pa.array(cols, pa.list_(pa.int32()))], names=list("kdncsxlhw"))
+         pa.array([key] * m), pa.array(cols, pa.list_(pa.int32()))], names=list("kdncsxlw"))
     return [r[:4] for b in jaccard._exhaust(iter([cells.slice(0, 2), cells.slice(2)]), 75) for r in zip(*(c.to_pylist() for c in b.columns))]
 
 
@@ -558,17 +557,25 @@ def test_jaccard_last_pass_returns_a_pair_from_one_column():
     sketch = list(jaccard.sketches(np.concatenate(sets), np.full(4, 90)))
     # 20 columns of all of them, negative hashes too: each pair leaves one of 20 tasks
     columns = list(range(-10, 10))
-    rows = [(d, sketch[d], columns, 20, columns) for d in range(4)]
+    rows = [(d, sketch[d], columns) for d in range(4)]
     got = [p for key in columns for p in _met(key, rows)]
     assert sorted(got) == [(a, b, 90, 90) for a in range(4) for b in range(a + 1, 4)]
-    # too few shared columns for a link of these sizes (11 of them): none leaves
-    few = [(d, sketch[d], [*columns[:8], *range(100 * d + 20, 100 * d + 32)], 20, columns[:8]) for d in range(4)]
-    assert not [p for key in columns[:8] for p in _met(key, few)]
-    # long rows whose lists end early, and name no column of both: no pair is lost
-    cut = [(d, sketch[d], [-20 - d], 21, columns) for d in range(4)]
+    # lists that end early and name no column of both: no pair is lost
+    cut = [(d, sketch[d], [-20 - d]) for d in range(4)]
     assert {p for key in columns for p in _met(key, cut)} == set(got)
 
 
+def test_jaccard_pairs_of_too_few_columns_are_discarded(spark):
+    # sets of 90 that link share 11 leading columns at least
+    sketch = next(iter(jaccard.sketches(np.arange(90, dtype=np.uint64), np.array([90]))))
+    rows = spark.createDataFrame([(c, d, 90, d) for d, most in ((1, 11), (2, 11), (3, 10)) for c in range(most)],
+                                 "shingle long, doc_id long, n long, comp long")
+    found = spark.createDataFrame([(d, 90, sketch) for d in (1, 2, 3)], "doc_id long, n long, sketch binary")
+    none = spark.createDataFrame([], "shingle long, held long")
+    got = jaccard.last_pass(jaccard.open_columns(rows), none, found, 75).collect()
+    assert [tuple(r) for r in got] == [(1, 2, 90, 90)]
+
+
 def test_jaccard_long_rows_name_part_of_their_columns(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "LIST_COLUMNS", 1)
     monkeypatch.setattr(jaccard, "LEADER_ROUNDS", 1)
