@@ -44,11 +44,13 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Hit words are cut out; mostly hit documents go."""
+    """Hit words are cut out; mostly hit documents go. What is kept is written in
+    between: a task that ran both steps would hold a Python worker for each, and
+    the additional workers would wait beside those of all later stages."""
     found = decontaminate.find_windows(docs, table(spark, sf_dir, "benchmark"), keep=tuple(docs.columns))
     hit = decontaminate.n_hit()
     kept = found.where((hit == 0) | (hit < F.col("n_words") * DROP_SHARE))
-    return _with_text(decontaminate.remove_hits(kept), docs.columns)
+    return _with_text(decontaminate.remove_hits(write_cut(kept, "kept")), docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

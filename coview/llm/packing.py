@@ -34,6 +34,8 @@ from coview.llm import kernel as K
 
 WINDOW = 2048
 END_ID = 1
+#: bytes of text that a task tokenises at a time
+TEXT_BYTES = 1 << 18
 
 
 def _piece_class(b: int) -> int:
@@ -298,7 +300,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, window: int, cut: int, e
         for batch in batches:
             if pool is None:
                 pool = _Pool(window, cut, block_windows, TaskContext.get().partitionId() << 32)
-            for block in K.text_blocks(batch.column(1)):
+            for block in K.text_blocks(batch.column(1), TEXT_BYTES):
                 ids, counts = tokenizer.encode(block, end_id)
                 yield from pool.add(batch.column(0).slice(block.first, block.n), ids, counts)
         if pool is not None and pool.parts:

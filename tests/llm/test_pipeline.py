@@ -26,3 +26,11 @@ def test_stages(spark):
     assert "[EMAIL]" in seen["personal_data"][10_005] and "jo.doe" not in seen["personal_data"][10_005]
     pieces = P.STAGES[-1][1](spark, docs, SF_SMALL).collect()
     assert {r["doc_id"] for r in pieces} == set(seen["personal_data"])
+
+
+def test_a_task_of_the_pipeline_holds_one_python_worker(spark):
+    from conftest import SF_SMALL
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(20)
+    for name, stage in P.STAGES[2:]:
+        plan = stage(spark, docs, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1, name
