@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from coview.functions.scalars import fixed5
 from coview.operators.behavior import user_item_counts
 from coview.operators.layout import PAIRS_PER_TASK, salted_join, spread_by_pairs
+from coview.operators.partners import best_partners
 from coview.session import write_cut
 
 
@@ -53,11 +54,12 @@ def with_user_totals(cui: DataFrame, salts: int | None = None) -> DataFrame:
     return salted_join(cui, totals, "user_id", ["item_id"], salts)
 
 
-def item_weights(dc: DataFrame) -> DataFrame:
-    """(item_id, weight, n_users): weight = sum over all users of c^2 / ln(1 + N_u)."""
+def item_weights(dc: DataFrame, *more: Column) -> DataFrame:
+    """(item_id, weight, n_users): weight = sum over all users of c^2 / ln(1 + N_u).
+    ``more`` are further sums of the same pass."""
     return dc.groupBy("item_id").agg(
         F.sum(F.col("n") * F.col("n") / F.log(F.lit(1.0) + F.col("n_events"))).alias("weight"),
-        F.count(F.lit(1)).alias("n_users"))
+        F.count(F.lit(1)).alias("n_users"), *more)
 
 
 CAP_COLUMNS = {"items": "n_items", "events": "n_events"}
@@ -102,13 +104,13 @@ def item_pair_scores(dc: DataFrame, cap: int = 100, cap_on: str = "items") -> Da
 
 
 def normalized_counts(dc: DataFrame, weights: DataFrame, salts: int | None = None) -> DataFrame:
-    """``dc`` with ``x = n / sqrt(weight of the item)``.
+    """``dc`` with ``x = n / sqrt(weight of the item)`` and the weights' further sums.
 
     Joining the weights here, once per (user, item), replaces the two joins of
     the much larger pair table with the weights (``s_ij / sqrt(w_i) / sqrt(w_j)``
     is the sum of ``x_ui * x_uj / ln(1 + N_u)``).
     """
-    j = salted_join(dc, weights.select("item_id", "weight"), "item_id", ["user_id"], salts)
+    j = salted_join(dc, weights.drop("n_users"), "item_id", ["user_id"], salts)
     return j.withColumn("x", F.col("n") / F.sqrt("weight"))
 
 
@@ -177,14 +179,26 @@ def top_k_list(ranked: DataFrame) -> DataFrame:
                     .alias("item_list")))
 
 
+def top_similarity(pairs: DataFrame, k: int = 10, cap: int = 100, salts: int | None = None,
+                   cap_on: str = "items", **sizes) -> DataFrame:
+    """(item_id, other_id, score): the rows of ``item_similarity`` that ``top_k``
+    can keep. The same sums, each item's pairs in one place and never on disk
+    all at once (``partners.best_partners``, which takes ``sizes``)."""
+    dc = write_cut(damped_counts(pairs, salts), "damped_counts")
+    paired = _under_cap(cap, cap_on) & (F.col("n_items") > 1)
+    made = F.coalesce(F.sum(F.when(paired, F.col("n_items") - 1)), F.lit(0)).alias("pairs")
+    dcn = normalized_counts(dc, item_weights(dc, made), salts).where(paired)
+    return best_partners(dcn, dc.where(paired).count(), k, rank_score, **sizes)
+
+
 def related_items(pairs: DataFrame, k: int = 10, cap: int = 100,
-                  salts: int | None = None, cap_on: str = "items") -> DataFrame:
+                  salts: int | None = None, cap_on: str = "items", **sizes) -> DataFrame:
     """The whole job: behaviour pairs to (item_id, item_list).
 
     ``cap_on="events", cap=500, k=100`` is the job's older form, which capped
     users on their event count; its pair sums are the same.
     """
-    return top_k_list(top_k(item_similarity(pairs, cap, salts, cap_on), k, round_scores=False))
+    return top_k_list(top_k(top_similarity(pairs, k, cap, salts, cap_on, **sizes), k, round_scores=False))
 
 
 def shown_items(lists: DataFrame, active: DataFrame, n: int = 101) -> DataFrame:

@@ -177,3 +177,36 @@ def test_event_cap_variant(spark):
     assert S.related_items(pairs, cap=3, cap_on="events").count() == 0
     got = _lists(S.related_items(pairs, cap=4, cap_on="events"))
     assert got == {1: "2:0.57735", 2: "3:0.70711;1:0.57735", 3: "2:0.70711"}
+
+
+def _basket_log(spark):
+    """A hot item, users over the cap, repeats, equal scores and nulls."""
+    rows = [(u, i) for u in range(60) for i in (7, u % 13 + 100, (u * u) % 17 + 200, u % 5 + 300, u % 5 + 300)]
+    rows += [(900, i) for i in range(400)] + [(901, 1), (None, 7), (902, None), (902, 7), (902, -4)]
+    return spark.createDataFrame(rows, "user_id long, item_id long")
+
+
+def test_best_partners_in_parts_and_rounds(spark):
+    pairs = _basket_log(spark)
+    want = _lists(S.top_k_list(S.top_k(S.item_similarity(pairs, 100), 4, round_scores=False)))
+    assert len(want) == 29
+    # one part; many parts in many rounds; some items hot; all items hot
+    for part_pairs, round_pairs in ((1 << 20, None), (20, 50), (60, 100), (1, None)):
+        got = _lists(S.related_items(pairs, 4, part_pairs=part_pairs, round_pairs=round_pairs))
+        assert got == want, (part_pairs, round_pairs)
+    texts = pairs.selectExpr("user_id", "concat('i', item_id) as item_id")
+    assert _lists(S.related_items(texts, 4)) == _lists(S.top_k_list(S.top_k(S.item_similarity(texts, 100), 4)))
+
+
+def test_rounds_shuffle_baskets_and_not_all_pairs(spark):
+    import glob
+    from coview.session import checkpoint_root
+    parts = f"{checkpoint_root(spark).removeprefix('file:')}/coview/partners-*"
+    before = set(glob.glob(parts))
+    S.related_items(_basket_log(spark), 2, part_pairs=60, round_pairs=200).count()
+    made = [spark.read.parquet(p) for p in set(glob.glob(parts)) - before]
+    assert len(made) == 3
+    # a round returns the best two of its own items and no pair more
+    items = [{r["item_id"] for r in m.collect()} for m in made]
+    assert sum(map(len, items)) == len(set().union(*items))
+    assert all(m.count() <= 2 * len(own) for m, own in zip(made, items, strict=True))
