@@ -345,3 +345,32 @@ def test_every_node_says_the_mean_of_its_rows(spark):
     half = binary.where(F.rand(3) < 0.3)
     model, _ = T.forest_classifier(half, half, 3, 3, bootstrap=False)
     assert sum(r["leaves_off"] for r in T.forest_audit(model, binary, binary, "regression").collect()) > 0
+
+
+def test_boosting_learns_cells_as_rows(spark):
+    """The trees that Spark ML grows on the rows, one weighted row for those of equal features."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.regression import GBTRegressor
+    data = _grid_points(spark)
+    binary = data.withColumn("label", (F.col("label") > 2).cast("double"))
+    held = T.cells(data)
+    assert held.count() == data.select("features").distinct().count() == 210
+    assert held.agg(F.sum("n")).first()[0] == 900
+    for rows, kept, fit, est, loss, kind in (
+            (data, held, T.gbt_regressor, GBTRegressor, "squared", {"lossType": "squared"}),
+            (binary, T.cells(binary, True), T.gbt_classifier, GBTClassifier, "logistic", {})):
+        # 40 rows on either side are far more than 40 cells would be
+        plain = est(maxIter=3, maxDepth=3, seed=1, minInstancesPerNode=40, **kind).fit(rows)
+        want = sorted((r["tree"], r["node"], r["feature"], r["threshold"], r["n"], round(r["prediction"], 9))
+                      for r in T.boosting_report(plain, rows, loss).collect())
+        model, metrics = fit(kept, rounds=3, max_depth=3, min_rows=40)
+        report = T.boosting_report(model, kept, loss).collect()
+        assert sorted((r["tree"], r["node"], r["feature"], r["threshold"], r["n"], round(r["prediction"], 9)) for r in report) == want
+        assert all(abs(r["mean"] - r["prediction"]) < 1e-9 for r in report)
+        off = F.avg((F.col("label") - F.col("prediction")) ** 2)   # for classes the share of wrong ones
+        assert abs(metrics.first()["value"] - plain.transform(rows).agg(off).first()[0]) < 1e-9
+    few = data.limit(30)
+    assert T.gbt_regressor(few, rounds=1, max_depth=3, min_rows=20)[0].trees[0].depth == 0
+    test_model, test_metrics = T.gbt_regressor(held, data, rounds=1, max_depth=2)
+    want = test_model.transform(data).agg(F.avg((F.col("label") - F.col("prediction")) ** 2)).first()[0]
+    assert test_metrics.first()["metric"] == "test_mse" and abs(test_metrics.first()["value"] - want) < 1e-9
