@@ -374,3 +374,16 @@ def test_boosting_learns_cells_as_rows(spark):
     test_model, test_metrics = T.gbt_regressor(held, data, rounds=1, max_depth=2)
     want = test_model.transform(data).agg(F.avg((F.col("label") - F.col("prediction")) ** 2)).first()[0]
     assert test_metrics.first()["metric"] == "test_mse" and abs(test_metrics.first()["value"] - want) < 1e-9
+
+
+def test_gbt_classifier_runs_all_rounds_on_cells(spark, monkeypatch):
+    """Ten rounds of depth 5, as the reference's runner and the regressor; the rows are read for the cells only."""
+    from coview.operators import trees
+    from coview.plans import learning_queries as L
+    from coview.plans.registry import oracle_sql
+    dealt, real = [], trees.deal
+    monkeypatch.setattr(trees, "deal", lambda df, name, *a: dealt.append(name) or real(df, name, *a))
+    got = L.q_gbt_classifier(spark, SF_SMALL).collect()
+    assert dealt == ["boost_cells"]
+    assert {r["tree"] for r in got} == set(range(10)) and max(r["node"] for r in got) >= 32
+    assert "m9nodes" in oracle_sql()["gbt_classifier"] and "m0r5 " in oracle_sql()["gbt_classifier"]
