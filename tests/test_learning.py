@@ -387,3 +387,16 @@ def test_gbt_classifier_runs_all_rounds_on_cells(spark, monkeypatch):
     assert dealt == ["boost_cells"]
     assert {r["tree"] for r in got} == set(range(10)) and max(r["node"] for r in got) >= 32
     assert "m9nodes" in oracle_sql()["gbt_classifier"] and "m0r5 " in oracle_sql()["gbt_classifier"]
+
+
+def test_lda_query_runs_all_rounds(spark, monkeypatch):
+    """Twenty rounds, the default of the reference's LDA, in the query and its SQL."""
+    from coview.operators import cluster
+    from coview.plans import learning_queries as L
+    from coview.plans.registry import oracle_sql
+    asked = []
+    real = spark.createDataFrame([(0, "a", 1.0)], "topic int, term string, weight double")
+    monkeypatch.setattr(cluster, "lda_topics", lambda counts, k, rounds: asked.append((k, rounds)) or real)
+    L.q_lda_topics(spark, SF_SMALL)
+    assert asked == [(3, 20)]
+    assert "w20_" in oracle_sql()["lda_topics"]
